@@ -1,0 +1,351 @@
+"""Each operator against brute force, an exact round trip or held-out accuracy, on odd and given rows."""
+
+import hashlib
+import re
+import struct
+import zlib
+from collections import Counter, defaultdict
+from itertools import combinations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from duelframe.llm import base, bpe, components, hamming, jaccard, langid, media, packing, pii, quality, registry, sharding, token_store
+from duelframe.llm.token_cache import CachedEncoder
+
+WORDS = [f"w{k}x" for k in range(400)]
+LONG = " ".join(WORDS[(k * 7 + k // 11) % 400] for k in range(6000))
+BODY = " ".join(WORDS[:120])
+NEAR = " ".join([*WORDS[:60], "other", *WORDS[61:120]])
+ODD = [
+    (0, ""), (1, None), (2, " \t\n"), (3, "one two"), (4, "one two"), (5, "A b C d E"), (6, "a B c D e"), (7, BODY), (8, BODY.upper()), (9, NEAR),
+    (10, LONG), (11, LONG), (12, "x" * 5000), (13, " " * 3000), (14, "é x́ y 日本 語。　x \u0085 🙂\n\n\nΟΔΟΣ a\t\n b"),
+    (15, "mail a.b+c@d-e.example.org or 1.2.3.4 and 300.1.1.1 call +1 (988) 555-2485 now"), (16, "card 4337166598464399 4337-1665-9846-4399 4337166598464398 1.2.3.4.5.6.7.8"),
+    (17, "don't 's <|endoftext|> <|startoftext|> I'LL"), (None, "no id"), (18, "a b c d"), (19, "a b c d e"), (20, "z@z z@z.z@z.z +12345678901 +123456789 ٣٤٥"),
+]
+SHAPE = "doc_id long, text string, lang string, source string, n_chars long, shard int, component_id string, `rank_` long"
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame([(d, t, None, None, None, 9, "x", -1) for d, t in ODD], SHAPE).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def none(spark, odd):
+    return spark.createDataFrame([], odd.schema)
+
+
+def texts(df):
+    return [(r["doc_id"], r["text"] or "") for r in df.select("doc_id", "text").collect()]
+
+
+def reference_ids(name, text):
+    return CachedEncoder.get(registry.tokenizer_path(name)).tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def u32(ids):
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+@pytest.mark.parametrize("which", ["odd", "docs"])
+def test_token_store(spark, request, which):
+    df = request.getfixturevalue(which)
+    path = f"{base.shared_dir(spark)}/store-{which}"
+    token_store.write_store(df, path, registry.tokenizer_path("word_bpe_49k.json"), end_id=1)
+    got = [tuple(r) for r in token_store.with_global_start(spark, path, token_store.read_store(spark, path)).select("doc_id", "start", "n_tokens", "ids_crc32").collect()]
+    want, at = [], 0
+    for d, t in sorted(texts(df), key=lambda x: (x[0] is not None, x[0])):
+        ids = [*reference_ids("word_bpe_49k.json", t), 1]
+        want.append((d, at, len(ids), zlib.crc32(u32(ids))))
+        at += len(ids)
+    assert sorted(got, key=str) == sorted(want, key=str)
+    one = token_store.read_store(spark, path, [10, 3], with_ids=True).collect()
+    assert {r["doc_id"]: r["ids"] for r in one} == {d: [*reference_ids("word_bpe_49k.json", t), 1] for d, t in texts(df) if d in (10, 3)}
+
+
+@pytest.mark.parametrize("which", ["odd", "docs"])
+def test_packing(request, which):
+    df = request.getfixturevalue(which)
+    rows = packing.pack(df, registry.tokenizer_path("byte_bpe_50k.json"), 2).collect()
+    want = {}
+    for d, t in texts(df):
+        ids = [*reference_ids("byte_bpe_50k.json", t), 2]
+        first = len(ids) % 1024 or 1024
+        bounds = [0, *range(first, len(ids) + 1, 1024)]
+        for k, (a, b) in enumerate(zip(bounds, bounds[1:])):
+            want[d, k] = (a, b - a, zlib.crc32(u32(ids[a:b])))
+    assert {(r["doc_id"], r["piece"]): (r["start"], r["length"], r["ids_crc32"]) for r in rows} == want and len(rows) == len(want)
+    bins = defaultdict(list)
+    for r in rows:
+        bins[r["sequence_id"]].append((r["offset"], r["length"]))
+    for own in bins.values():
+        own.sort()
+        assert own[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(own, own[1:])) and sum(own[-1]) <= 1024
+    assert len(bins) <= 1.03 * sum(r["length"] for r in rows) / 1024 + 2
+
+
+def test_plan_keeps_the_histogram():
+    rng = np.random.default_rng(5)
+    for n in (1, 7, 5000):
+        histogram = Counter(np.minimum(1024, rng.geometric(1 / 300, n)).tolist())
+        made = packing.plan(dict(histogram), 1024)
+        total = Counter()
+        for p, repeats in made:
+            assert sum(p) <= 1024
+            for a in p:
+                total[a] += repeats
+        assert total == histogram
+        assert sum(r for _, r in made) <= 1.02 * sum(a * c for a, c in histogram.items()) / 1024 + 2
+    assert packing.plan({}, 1024) == []
+
+
+@pytest.mark.parametrize("which", ["odd", "docs"])
+def test_bpe(request, which):
+    import public_tokenizers as P
+
+    df, ranks = request.getfixturevalue(which), registry.tokenizer_path("byte_bpe_multi_50k.tiktoken")
+    enc = bpe.encoding(ranks, P.PATTERN)
+    got = bpe.decode(bpe.encode(df, ranks, P.PATTERN), ranks, P.PATTERN).collect()
+    want = Counter()
+    for d, t in texts(df):
+        ids = [i for part in re_findall(P.PATTERN, t) for i in enc._encode_single_piece(part.encode())]
+        want[d, len(ids), hashlib.sha256(u32(ids)).hexdigest(), hashlib.sha256(t.encode()).hexdigest(), t.encode()] += 1
+    assert Counter((r["doc_id"], r["n_tokens"], r["ids_sha256"], r["decoded_sha256"], bytes(r["decoded"])) for r in got) == want
+
+
+def re_findall(pattern, text):
+    import regex
+
+    return regex.findall(pattern, text)
+
+
+def test_bpe_parts_of_long_text():
+    import public_tokenizers as P
+
+    enc = bpe.encoding(registry.tokenizer_path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    for text in (LONG + "\n\n  " + LONG + ".  x 's 12 34\n", "日本 " * 3000, "a  \n " * 4000):
+        cut = list(bpe.parts(text, 1000))
+        assert "".join(cut) == text
+        assert [i for c in cut for i in enc.encode_ordinary(c)] == enc.encode_ordinary(text)
+
+
+def brute_components(rows):
+    sets = {}
+    for k, (_, t) in enumerate(rows):
+        low = (t or "").translate({c: c + 32 for c in range(65, 91)})
+        w = re.findall(r"[^\x20\x09-\x0D]+", low)
+        sets[k] = frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+    parent = list(range(len(rows)))
+
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    for a, b in combinations(range(len(rows)), 2):
+        both = len(sets[a] & sets[b])
+        if both and 100 * both >= 80 * len(sets[a] | sets[b]):
+            parent[root(a)] = root(b)
+    least = {}
+    for k, (d, _) in enumerate(rows):
+        if d is not None:
+            least[root(k)] = min(d, least.get(root(k), d))
+    return Counter((d, len(sets[k]), least.get(root(k)) if sets[k] else d) for k, (d, _) in enumerate(rows))
+
+
+@pytest.mark.parametrize("which", ["odd", "docs", "chains"])
+def test_jaccard(spark, request, which):
+    if which == "chains":
+        rng = np.random.default_rng(3)
+        rows, k = [], 0
+        for base_words in (60, 200, 37):
+            text = [WORDS[i] for i in rng.integers(0, 400, base_words)]
+            for _ in range(40):
+                at = rng.integers(0, base_words)
+                text = [*text[:at], WORDS[rng.integers(0, 400)], *text[at + 1 :]]
+                rows.append((1000 - k, " ".join(text)))
+                k += 1
+        shared = " ".join(WORDS[i] for i in rng.integers(0, 400, 80))
+        rows += [(5000 + j, shared + " " + " ".join(WORDS[i] for i in rng.integers(0, 400, 30 + j % 9))) for j in range(60)]
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    else:
+        df = request.getfixturevalue(which)
+    rows = [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+    assert Counter(map(tuple, jaccard.near_duplicates(df).collect())) == brute_components(rows)
+
+
+def test_jaccard_keeps_one(odd):
+    ids = [r["doc_id"] for r in jaccard.one_of_each(odd).select("doc_id").collect()]
+    assert {7, 10, 3, 5, 0, 1, 2, None} <= set(ids) and not {8, 9, 11, 4, 6} & set(ids) and len(ids) == len(set(ids))
+
+
+def test_components(spark):
+    edges = [(k, k + 1) for k in range(0, 30)] + [(100, 105), (105, 103)] + [(200, k) for k in range(201, 240)] + [(7, 7)]
+    got = {r["node"]: r["component"] for r in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{k: 0 for k in range(31)}, 100: 100, 105: 100, 103: 100, **{k: 200 for k in range(200, 240)}}
+    assert components.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def plain_spans(text):
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
+        out.append((m.start(), m.end(), "email"))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(x) <= 255 for x in m[0].split(".")):
+            out.append((m.start(), m.end(), "ip"))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        d = [int(c) for c in m[0] if c.isdigit()]
+        if 14 <= len(d) <= 19 and (sum(d[-1::-2]) + sum(sum(divmod(2 * x, 10)) for x in d[-2::-2])) % 10 == 0:
+            out.append((m.start(), m.end(), "card"))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 10 <= sum(c.isdigit() for c in m[0]) <= 15:
+            out.append((m.start(), m.end(), "phone"))
+    return sorted(out, key=lambda s: (s[0], pii.KINDS.index(s[2])))
+
+
+@pytest.mark.parametrize("which", ["odd", "docs"])
+def test_pii_base(request, which):
+    df = request.getfixturevalue(which)
+    got = Counter(tuple(r)[:6] for r in pii.report(df).collect())
+    want = Counter()
+    for d, t in texts(df):
+        spans = plain_spans(t)
+        joined = ",".join(f"{k}:{a}:{b}" for a, b, k in spans)
+        want[(d, *(sum(s[2] == k for s in spans) for k in pii.KINDS), hashlib.sha256(joined.encode()).hexdigest())] += 1
+    assert got == want
+
+
+def test_pii_linear_patterns():
+    assert pii.base_spans("a" * 300_000 + "@") == [] and pii.base_spans("1" * 300_000 + "@x.") == []
+    for t in ("@@a@b.c..d@e.f.g", "1.2.3.4.5.6.7.8.9", "+1+2 (345) 678-901234", "12 34-5678 9012 3456 78", "00255.1.1.1"):
+        assert pii.base_spans(t) == plain_spans(t)
+
+
+def test_pii_terms(spark):
+    rows = [(k, f"the owner zorblax quux wrote from zed{k}@mail.example.org about it number{k}") for k in range(3)]
+    rows += [(10 + k, "agent qwyjibo sent it to secret@mail.example.org and the rest went home") for k in range(4)]
+    rows += [(100 + k, f"the rest went home and sent it to the number of {'abcdefghij'[k % 10]} it") for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r for r in pii.report(df).collect()}
+    assert "remove:6:13" in found[10]["spans"] and "email:25:" in found[10]["spans"] and "generalise" not in found[0]["spans"]
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(df).collect()}
+    assert "qwyjibo" not in clean[10] and "@" not in clean[10] and "[EMAIL]" in clean[10] and clean[100] == rows[7][1] and len(clean) == len(rows)
+
+
+def test_pii_sanitise_odd(odd):
+    clean = pii.sanitise(odd)
+    assert clean.columns == odd.columns and clean.count() == odd.count()
+    assert clean.filter("doc_id = 1 and text is null").count() == 1
+
+
+def test_language(spark, odd, none):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = langid.identify(df).join(df.select("doc_id", "lang"), "doc_id").filter("held_out").collect()
+    assert all(zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1 for r in got)
+    assert np.mean([r["lang_pred"] == r["lang"] for r in got if r["lang_pred"] != "und"]) > 0.97
+    assert all(0 <= r["score"] <= 1 for r in got)
+    assert {(r["lang_pred"], r["score"]) for r in langid.identify(odd).collect()} == {("und", 0.0)}
+    assert langid.identify(none).count() == 0
+
+
+def test_quality(spark, odd, none):
+    df, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    train, test = labels.filter("doc_id % 2 = 0"), labels.filter("doc_id % 2 = 1")
+    got = quality.assess(df, train, F.col("source"), F.col("lang")).join(test, "doc_id").collect()
+    good, bad = ([r["keep"] for r in got if r["quality"] is not None and r[-2] == q] for q in (1, 0))
+    assert np.mean(good) > 0.98 and np.mean(bad) < 0.25
+    for rows in (odd, none):
+        out = quality.assess(rows, labels.limit(0), F.col("source"), F.col("lang"))
+        assert out.count() == rows.count() and out.filter("not keep").count() == 0
+        assert quality.kept(rows, labels.limit(0), F.col("source"), F.col("lang")).columns == rows.columns
+
+
+@pytest.mark.parametrize("which", ["odd", "docs", "none"])
+def test_sharding(request, which):
+    df = request.getfixturevalue(which)
+    got = sharding.shard(df).collect()
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == Counter((d, len(t.encode()) + 1, zlib.crc32(t.encode())) for d, t in texts(df))
+    slots = defaultdict(list)
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+    counts = [len(slots[s]) for s in range(8)]
+    assert max(counts) - min(counts) <= 1 and all(sorted(v) == list(range(len(v))) for v in slots.values()) and set(slots) <= set(range(8))
+
+
+def test_sharding_cuts_fewer_links(spark):
+    rows = [(k, f"a line that names group number {k % 40} and is long enough\nown line {k} of this very document and more") for k in range(400)]
+    _, nodes = sharding.nodes_of(spark.createDataFrame(rows, "doc_id long, text string"))
+    links = sharding.incidence(nodes)
+    before, after = (sharding.edge_cut(links, sharding.propagate(nodes, links, 4, n)).first()["cut"] for n in (0, 5))
+    assert after < 0.7 * before
+
+
+@pytest.mark.parametrize("given", [True, False])
+def test_hamming(spark, given):
+    rng = np.random.default_rng(1)
+    if given:
+        df = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    else:
+        rows = [(k, [float(x) for x in rng.normal(size=64)] if k % 3 else [1.0] * 64) for k in range(240)] + [(500, None), (550, []), (600, [1.0, -1.0])]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    rows = [(r["vec_id"], sum(1 << i for i, x in enumerate(r["embedding"][:64]) if x > 0)) for r in df.collect() if r["embedding"]]
+    want = set()
+    for q, c in rows:
+        if q % 50 == 0:
+            best = sorted(((c ^ d).bit_count(), i) for i, d in rows if i != q)[:10]
+            want |= {(q, k + 1, i, dist) for k, (dist, i) in enumerate(best)}
+    assert {tuple(r) for r in hamming.top_k(df).collect()} == want
+
+
+@pytest.mark.parametrize("which", ["odd", "docs"])
+def test_media(request, which):
+    df = request.getfixturevalue(which)
+    got = media.media_features(df).collect()
+    want = Counter()
+    for d, t in texts(df):
+        raw = t.encode()
+        payload = raw + b"\0" * (-len(raw) % 64 or (0 if raw else 64))
+        file = media.pcm_wav(payload)
+        want[d, len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(file), hashlib.sha256(file).hexdigest()] += 1
+    assert Counter(tuple(r)[:7] for r in got) == want
+    by = defaultdict(set)
+    for r in got:
+        by[r["payload_sha256"]].add(r["feature"])
+    assert all(len(v) == 1 for v in by.values())
+
+
+def test_media_blocks_and_tensors():
+    import pyarrow as pa
+
+    payload = bytes(np.random.default_rng(0).integers(0, 256, 300 * 128 * 2, dtype=np.uint8))
+    whole = media.log_mel(payload)
+    kept = media.BLOCK_FRAMES
+    try:
+        media.BLOCK_FRAMES = 64
+        assert np.allclose(media.log_mel(payload), whole, atol=1e-3)
+    finally:
+        media.BLOCK_FRAMES = kept
+    table = media.tensors(whole)
+    assert len(table) == -(-len(whole) // media.PATCH) and isinstance(table["log_mel"].type, pa.FixedShapeTensorType)
+    assert np.allclose(table["log_mel"].chunk(0).to_numpy_ndarray().reshape(-1, media.BANDS)[: len(whole)], whole)
+    assert pa.ipc.open_stream(media.ipc(table)).read_all().num_rows == len(table)
+
+
+def test_empty_tables(spark, none):
+    path = f"{base.shared_dir(spark)}/store-none"
+    token_store.write_store(none, path, registry.tokenizer_path("word_bpe_49k.json"), end_id=1)
+    assert token_store.with_global_start(spark, path, token_store.read_store(spark, path)).count() == 0
+    assert packing.pack(none, registry.tokenizer_path("byte_bpe_50k.json"), 2).count() == 0
+    assert jaccard.near_duplicates(none).count() == 0 and pii.report(none).count() == 0 and media.media_features(none).count() == 0
+    import public_tokenizers as P
+
+    ranks = registry.tokenizer_path("byte_bpe_multi_50k.tiktoken")
+    assert bpe.decode(bpe.encode(none, ranks, P.PATTERN), ranks, P.PATTERN).count() == 0
+    assert hamming.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
