@@ -76,7 +76,7 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 50, id_col: str = "vec_i
 
 #: The same by brute force: DuckDB over the table embeddings.
 ORACLE_SQL = """
-WITH coded AS (SELECT vec_id AS id, list_sum(list_transform(range(1, 65), i -> CASE WHEN embedding[i] > 0 THEN (1::HUGEINT << (i - 1)::INT) ELSE 0::HUGEINT END))::HUGEINT AS code FROM embeddings WHERE len(embedding) > 0),
+WITH coded AS (SELECT vec_id AS id, list_sum(list_transform(range(1, 65), lambda i: CASE WHEN embedding[i] > 0 THEN (1::HUGEINT << (i - 1)::INT) ELSE 0::HUGEINT END))::HUGEINT AS code FROM embeddings WHERE len(embedding) > 0),
 pairs AS (SELECT q.id AS query_id, c.id AS neighbour_id, bit_count(xor(q.code::UBIGINT, c.code::UBIGINT))::INT AS distance FROM coded q JOIN coded c ON q.id % 50 = 0 AND q.id != c.id)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbour_id) AS INT) AS rank, neighbour_id, distance FROM pairs
 QUALIFY rank <= 10
