@@ -23,7 +23,7 @@ def csv_scan_strict(spark: SparkSession, path: str, columns: list[str]) -> tuple
     rows = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", True).csv(path)
     rows = rows.select("*", F.col("_metadata.file_path").alias("source_file"))
     fields = F.size(F.split(F.col(CORRUPT), ","))
-    bad = rows.filter(F.col(CORRUPT).isNotNull()).select("source_file", F.lit("parse").alias("stage"), F.when(fields > len(names), "extra CSV fields").otherwise("missing CSV fields").alias("reason"), F.create_map(F.lit("line"), F.col(CORRUPT)).alias("payload"))
+    bad = rows.filter(F.col(CORRUPT).isNotNull()).select("source_file", F.lit("parse").alias("stage"), F.when(fields > len(names), "extra CSV fields").otherwise("missing CSV fields").alias("reason"), F.create_map(F.lit("line"), F.col(CORRUPT), *(x for c in names for x in (F.lit(c), F.col(c)))).alias("payload"))
     good = rows.filter(F.col(CORRUPT).isNull()).select(*(F.trim(c).alias(c) for c in names), "source_file")
     return good, bad
 
