@@ -11,15 +11,14 @@ its own neighbour; a row that repeats an id counts once for each; an empty table
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from duelframe.llm.base import materialize
 
-BITS, SEGMENT = 64, 16
-SEGMENTS = BITS // SEGMENT
+BITS = 64
+#: Bits of a segment: the narrow one for few codes, so that buckets aren't mostly empty.
+NARROW, WIDE, FEW_CODES = 8, 16, 1 << 12
 
 
 def sign_code(vector: str) -> Column:
@@ -28,8 +27,8 @@ def sign_code(vector: str) -> Column:
     return F.when(F.size(vector) > 0, F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b)))
 
 
-def _segment(code: Column, k: int) -> Column:
-    return F.shiftrightunsigned(code, SEGMENT * k).bitwiseAND(F.lit((1 << SEGMENT) - 1))
+def _segments(code: Column, width: int) -> Column:
+    return F.array(*(F.shiftrightunsigned(code, width * k).bitwiseAND(F.lit((1 << width) - 1)) for k in range(BITS // width)))
 
 
 def top_k(vectors: DataFrame, k: int = 10, every: int = 50, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -41,16 +40,18 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 50, id_col: str = "vec_i
     lists = few.groupBy("code").agg(F.slice(F.array_sort(F.collect_list("id")), 1, k + 1).alias("ids"))
     counts = coded.groupBy("code").agg(F.count("*").alias("rows"))
     entries = materialize(counts.join(lists, "code"), "codes")
-    index = materialize(entries.select(F.posexplode(F.array(*(_segment(F.col("code"), s) for s in range(SEGMENTS)))).alias("segment", "value"), "code", "rows"), "index")
+    width = NARROW if entries.count() < FEW_CODES else WIDE
+    index = materialize(entries.select(F.posexplode(_segments(F.col("code"), width)).alias("segment", "value"), "code", "rows"), "index")
+    # all values of a segment with their weight: 2^width rows, so they may be broadcast
+    flips = vectors.sparkSession.range(1 << width).select(F.col("id").alias("mask"), F.bit_count("id").alias("weight"))
     asked = coded.filter(F.col("id") % every == 0).select(F.col("id").alias("query_id"), F.col("code").alias("query"))
     asked = materialize(asked, "asked")
     active = asked.select("query").distinct()
     done = None
     found = None
-    for r in range(SEGMENT + 1):
-        masks = F.array(*(F.lit(sum(1 << i for i in c)) for c in combinations(range(SEGMENT), r)))
-        probes = active.select("query", F.posexplode(F.array(*(_segment(F.col("query"), s) for s in range(SEGMENTS)))).alias("segment", "own"))
-        probes = probes.select("query", "segment", F.explode(masks).alias("mask"), "own").select("query", "segment", F.col("own").bitwiseXOR(F.col("mask").cast("long")).alias("value"))
+    for r in range(width + 1):
+        own = active.select("query", F.posexplode(_segments(F.col("query"), width)).alias("segment", "own"), F.lit(r).alias("weight"))
+        probes = own.join(F.broadcast(flips.filter(F.col("weight") == r)), "weight").select("query", "segment", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
         met = probes.join(index, ["segment", "value"]).select("query", "code", "rows", F.bit_count(F.col("query").bitwiseXOR(F.col("code"))).alias("distance"))
         if found is not None:
             met = met.unionByName(found)
@@ -59,7 +60,7 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 50, id_col: str = "vec_i
         upto = Window.partitionBy("query").orderBy("distance")
         kth = level.withColumn("upto", F.sum("n").over(upto)).filter(F.col("upto") > k).groupBy("query").agg(F.min("distance").alias("kth"))
         met = materialize(met.join(kth, "query", "left").filter("kth is null or distance <= kth"), f"met-{r}")
-        ready = (F.col("kth") < SEGMENTS * (r + 1)) if r < SEGMENT else F.lit(True)
+        ready = (F.col("kth") < BITS // width * (r + 1)) if r < width else F.lit(True)
         ended = met.filter(F.coalesce(ready, F.lit(False))).select("query", "code", "distance")
         done = ended if done is None else done.unionByName(ended)
         found = met.filter(~F.coalesce(ready, F.lit(False))).select("query", "code", "rows", "distance")
