@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step works on; a longer document is a step of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Rows of a task's Arrow batches; texts vary in size, so this stays small.
 BATCH_ROWS = 2000
 

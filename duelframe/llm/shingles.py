@@ -10,7 +10,7 @@ import pyarrow as pa
 
 from duelframe.llm.base import slices, utf8_buffers
 
-SLICE = 2 << 20
+SLICE = 1 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -25,7 +25,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     up = np.full(n, BASE, np.uint64)
     down = np.full(n, np.uint64(pow(int(BASE), -1, 1 << 64)), np.uint64)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from duelframe.llm.base import slices, utf8_buffers
 
 #: Distinct chunks that a worker remembers; at this many it starts afresh.
-CACHE_ENTRIES = 1_200_000
+CACHE_ENTRIES = 500_000
 #: Bytes of unseen chunks that are joined for one call.
 JOINED_BYTES = 4000
 SPACE, LINE = 32, 10
