@@ -193,6 +193,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
     own = docs.columns
     keyed = docs.select(F.struct(*own).alias("row_"), F.col("text").alias("text_"), digest("text").alias("k_"))
     plain = keyed.filter("k_ is null").select("row_.*")
-    rest = keyed.filter("k_ is not null").join(extra, F.col("k_") == F.col("key_"), "left")
+    # written first: two Python steps in one stage would keep twice as many workers, and their caches, alive
+    rest = materialize(keyed.filter("k_ is not null"), "personal").join(extra, F.col("k_") == F.col("key_"), "left")
     rest = rest.select("row_", clean("text_", "extra_").alias("clean_"))
     return plain.unionByName(rest.select(*(F.col("clean_").alias(c) if c == "text" else F.col("row_")[c].alias(c) for c in own)))
