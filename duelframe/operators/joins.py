@@ -138,3 +138,25 @@ def param_grid(spark, **options: list) -> DataFrame:
 def set_keyed_lookup(rows: DataFrame, members: str, table: DataFrame, key: str) -> DataFrame:
     """Join on an unordered set of members, written in sorted order."""
     return rows.withColumn("set_key_", F.concat_ws("", F.array_sort(members))).join(F.broadcast(table.withColumnRenamed(key, "set_key_")), "set_key_", "left").drop("set_key_")
+
+
+def catalog_enrich(pairs: DataFrame, catalog: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """The catalogue's fields of both sides, null for a side it does not list; its keys are unique."""
+    out = pairs
+    for side in ("home", "away"):
+        own = catalog.select(F.col(key).alias("key_"), *(F.col(f).alias(f"{side}_{f}") for f in fields))
+        out = out.join(own, F.col(f"{side}_id") == F.col("key_"), "left").drop("key_")
+    return out
+
+
+def category_lookup(pairs: DataFrame, categories: DataFrame) -> DataFrame:
+    """Category and weight by the exact competition name, null without an entry."""
+    own = categories.select(F.col("name").alias("name_"), "category", "weight")
+    return pairs.join(own, F.col("competition") == F.col("name_"), "left").drop("name_")
+
+
+def venue_alias(names: DataFrame, venues: DataFrame) -> DataFrame:
+    """row_id, site_id: the one site whose '|'-separated aliases hold the name; null for none or several."""
+    alias = venues.select("site_id", F.explode(F.split("aliases", r"\|")).alias("alias")).select("site_id", F.trim("alias").alias("alias_"))
+    one = alias.groupBy("alias_").agg(F.countDistinct("site_id").alias("n_"), F.min("site_id").alias("site_id")).filter("n_ = 1")
+    return names.join(one, F.col("name") == F.col("alias_"), "left").select("row_id", "site_id")

@@ -127,3 +127,14 @@ def temperature_fit(rows: DataFrame, by: str, grid: tuple[float, ...]) -> DataFr
     best = losses.groupBy(by).agg(F.min(F.struct("loss", "t")).alias("b"), F.min(F.when(F.col("t") == 1.0, F.col("loss"))).alias("identity"))
     better = F.col("b.loss") < F.col("identity") - 1e-12
     return best.select(by, F.when(better, F.col("b.t")).otherwise(1.0).alias("temperature"), F.least(F.col("b.loss"), F.col("identity")).alias("loss"))
+
+
+def scored_projection(scored: DataFrame) -> DataFrame:
+    """One flat row per scored forecast: predicted and actual class, and the classes' shares as a baseline.
+
+    Equal probabilities: the first of home, draw, away counts. An empty table gives no rows.
+    """
+    shares = scored.agg(*(F.avg((F.col("outcome") == c).cast("double")).alias(c) for c in ("home_win", "draw", "away_win"))).first()
+    predicted = F.when((F.col("p_home") >= F.col("p_draw")) & (F.col("p_home") >= F.col("p_away")), "home_win").when(F.col("p_draw") >= F.col("p_away"), "draw").otherwise("away_win")
+    base = [F.lit(shares[c]).cast("double").alias(f"base_{c}") for c in ("home_win", "draw", "away_win")]
+    return scored.select("forecast_id", "fixture_id", "created_at", "lead_hours", "p_home", "p_draw", "p_away", predicted.alias("predicted"), F.col("outcome").alias("actual"), *base)

@@ -921,3 +921,29 @@ def contextual_feature_build(visits):
 def evaluate_prospective(forecasts):
     official = windows.official_selection(forecasts.filter(_validity().isNull()))
     return scoring.segment_metrics(official, {"all": F.lit("all"), "horizon": scalars.horizon_bucket(F.col("lead_hours"), BUCKETS), "rule": F.col("rule")})
+
+
+@query("""SELECT p.match_id, h.zone AS home_zone, h.elevation AS home_elevation, a.zone AS away_zone, a.elevation AS away_elevation
+  FROM pairs p LEFT JOIN sites h ON h.site_id = p.home_id LEFT JOIN sites a ON a.site_id = p.away_id""", "pairs", "sites")
+def catalog_enrich_join(pairs, sites):
+    return joins.catalog_enrich(pairs, sites, "site_id", ["zone", "elevation"]).select("match_id", "home_zone", "home_elevation", "away_zone", "away_elevation")
+
+
+@query("SELECT match_id, category, weight FROM pairs LEFT JOIN categories ON competition = name", "pairs", "categories")
+def category_lookup_join(pairs, categories):
+    return joins.category_lookup(pairs, categories).select("match_id", "category", "weight")
+
+
+@query("""WITH a AS (SELECT site_id, trim(unnest(string_split(aliases, '|'))) AS alias FROM venues),
+  one AS (SELECT alias, min(site_id) AS site_id FROM a GROUP BY alias HAVING count(DISTINCT site_id) = 1)
+  SELECT row_id, site_id FROM names LEFT JOIN one ON name = alias""", "names", "venues")
+def venue_alias_join(names, venues):
+    return joins.venue_alias(names, venues)
+
+
+@query("""SELECT forecast_id, fixture_id, CASE WHEN p_home >= p_draw AND p_home >= p_away THEN 'home_win' WHEN p_draw >= p_away THEN 'draw' ELSE 'away_win' END AS predicted, outcome AS actual,
+  round(avg(CASE WHEN outcome = 'home_win' THEN 1.0 ELSE 0.0 END) OVER (), 6) AS base_home_win, round(avg(CASE WHEN outcome = 'draw' THEN 1.0 ELSE 0.0 END) OVER (), 6) AS base_draw,
+  round(avg(CASE WHEN outcome = 'away_win' THEN 1.0 ELSE 0.0 END) OVER (), 6) AS base_away_win FROM forecasts""", "forecasts")
+def scored_match_projection(forecasts):
+    out = scoring.scored_projection(forecasts)
+    return out.select("forecast_id", "fixture_id", "predicted", "actual", *(r6(c).alias(c) for c in ("base_home_win", "base_draw", "base_away_win")))
