@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from duelframe.functions.ids import derived_id
+
 EARLIEST, LATEST = "0001-01-01", "9999-12-31"
 
 
@@ -62,19 +62,36 @@ def previous_asof(rows: DataFrame, key: str, order: list[str], take: list[str])
     return rows.withColumns({f"previous_{c}": F.lag(c).over(w) for c in take})
 
 
-def previous_asof_by_cutoff(rows: DataFrame) -> DataFrame:
-    """visit_id and its previous visit of the team: strictly earlier and known by this row's cutoff."""
-    a, b = rows.alias("a"), rows.alias("b")
+def previous_asof_by_cutoff(rows: DataFrame, near: int = 16) -> DataFrame:
+    """visit_id and its previous visit of the team: strictly earlier and known by this row's cutoff.
+
+    The nearest earlier rows are looked through first, in one window; only rows with none among them that
+    have further earlier ones are joined with those.
+    """
+    w = Window.partitionBy("team").orderBy("kickoff", "visit_id")
+    back = lambda c, k: F.lag(c, k).over(w)
+    fits = [F.when((back("kickoff", k) < F.col("kickoff")) & (back("cutoff", k) <= F.col("cutoff")), back("visit_id", k)) for k in range(1, near + 1)]
+    looked = rows.select("team", "visit_id", "kickoff", "cutoff", F.coalesce(*fits).alias("previous_id"), F.row_number().over(w).alias("nth_"))
+    done = F.col("previous_id").isNotNull() | (F.col("nth_") <= near + 1)
+    a, b = looked.filter(~done).alias("a"), rows.alias("b")
     met = a.join(b, (F.col("a.team") == F.col("b.team")) & (F.col("b.kickoff") < F.col("a.kickoff")) & (F.col("b.cutoff") <= F.col("a.cutoff")), "left")
-    return met.groupBy(F.col("a.visit_id").alias("visit_id")).agg(F.max(F.struct(F.col("b.kickoff").alias("k"), F.col("b.visit_id").alias("v"))).alias("p")).select("visit_id", F.col("p.v").alias("previous_id"))
+    rest = met.groupBy(F.col("a.visit_id").alias("visit_id")).agg(F.max(F.struct(F.col("b.kickoff").alias("k"), F.col("b.visit_id").alias("v"))).alias("p")).select("visit_id", F.col("p.v").alias("previous_id"))
+    return looked.filter(done).select("visit_id", "previous_id").unionByName(rest)
 
 
 def interval_self_join(rows: DataFrame, days: int) -> DataFrame:
-    """How many earlier rows of the team lie within the days before each row."""
-    a, b = rows.alias("a"), rows.alias("b")
-    gap = F.unix_micros("a.kickoff") - F.unix_micros("b.kickoff")
-    met = a.join(b, (F.col("a.team") == F.col("b.team")) & (gap > 0) & (gap <= days * 86_400_000_000), "left")
-    return met.groupBy(F.col("a.visit_id").alias("visit_id")).agg(F.count("b.visit_id").alias("n"))
+    """How many earlier rows of the team lie within the days before each row.
+
+    Rows stand in their own stretch of that many days and, as context, in the next one; windows are by team
+    and stretch, so a team with many rows is spread over time and no pairs are made.
+    """
+    span = days * 86_400_000_000
+    at = F.unix_micros("kickoff")
+    stretch = F.floor(at / span)
+    both = F.array(F.struct(stretch.alias("part_"), F.lit(True).alias("own_")), F.struct((stretch + 1).alias("part_"), F.lit(False).alias("own_")))
+    dealt = rows.select("visit_id", "team", at.alias("at_"), F.explode(both).alias("x_")).select("visit_id", "team", "at_", "x_.*")
+    w = Window.partitionBy("team", "part_").orderBy("at_").rangeBetween(-span, -1)
+    return dealt.withColumn("n", F.count("*").over(w)).filter("own_").select("visit_id", "n")
 
 
 def home_away_pair(sides: DataFrame, key: str, features: list[str]) -> DataFrame:
@@ -128,16 +145,22 @@ def paired_deltas(scored: DataFrame, key: str, model: str, loss: str, baseline:
 
 def param_grid(spark, **options: list) -> DataFrame:
     """All combinations of option values (as many as their counts' product), each with a row-hash id."""
-    from duelframe.functions.ids import derived_id
-
-    frames = [spark.createDataFrame([(v,) for v in values], f"{name} double") for name, values in options.items()]
-    grid = reduce(lambda a, b: a.crossJoin(F.broadcast(b)), frames)
+    grid = spark.createDataFrame([tuple([float(v) for v in values] for values in options.values())], ", ".join(f"{name} array<double>" for name in options))
+    for name in options:
+        grid = grid.withColumn(name, F.explode(name))
     return grid.withColumn("param_id", derived_id(*(F.col(c) for c in options)))
 
 
 def set_keyed_lookup(rows: DataFrame, members: str, table: DataFrame, key: str) -> DataFrame:
     """Join on an unordered set of members, written in sorted order."""
-    return rows.withColumn("set_key_", F.concat_ws("", F.array_sort(members))).join(F.broadcast(table.withColumnRenamed(key, "set_key_")), "set_key_", "left").drop("set_key_")
+    return rows.withColumn("set_key_", F.concat_ws("", F.array_sort(members))).join(table.withColumnRenamed(key, "set_key_"), "set_key_", "left").drop("set_key_")
+
+
+def fixture_alignment(official: DataFrame, challenger: DataFrame, key: str) -> DataFrame:
+    """key, state: aligned where both tables have the key once; else missing, unexpected or repeated."""
+    o, c = (df.groupBy(key).agg(F.count("*").alias(n)) for df, n in ((official, "o_"), (challenger, "c_")))
+    state = F.when(F.col("c_").isNull(), "missing").when(F.col("o_").isNull(), "unexpected").when((F.col("o_") > 1) | (F.col("c_") > 1), "repeated").otherwise("aligned")
+    return o.join(c, key, "full").select(key, state.alias("state"))
 
 
 def catalog_enrich(pairs: DataFrame, catalog: DataFrame, key: str, fields: list[str]) -> DataFrame:

@@ -57,12 +57,19 @@ def ordinal_logistic(train: DataFrame, test: DataFrame, numeric: list[str], cate
     return out.withColumns({"p_home": low, "p_draw": high - low, "p_away": 1 - high}).drop("c1", "c2")
 
 
+def boosted_models(train: DataFrame, numeric: list[str]) -> list:
+    """(outcome, boosted-tree pipeline against the rest) of each outcome."""
+    out = []
+    for outcome in OUTCOMES:
+        gbt = GBTClassifier(maxIter=8, maxDepth=3, seed=2026, labelCol="label", featuresCol="features")
+        out.append((outcome, Pipeline(stages=[*preprocess_stages(numeric, []), gbt]).fit(train.withColumn("label", (F.col("outcome") == outcome).cast("double")))))
+    return out
+
+
 def boosted_tree_challenger(train: DataFrame, test: DataFrame, numeric: list[str]) -> DataFrame:
     """Three one-against-rest boosted-tree models, their probabilities normalised."""
     out = test
-    for k, outcome in enumerate(OUTCOMES):
-        gbt = GBTClassifier(maxIter=8, maxDepth=3, seed=2026, labelCol="label", featuresCol="features")
-        model = Pipeline(stages=[*preprocess_stages(numeric, []), gbt]).fit(train.withColumn("label", (F.col("outcome") == outcome).cast("double")))
+    for k, (_, model) in enumerate(boosted_models(train, numeric)):
         out = model.transform(out).withColumn(f"g{k}", vector_to_array("probability")[1]).select(*out.columns, f"g{k}")
     total = F.col("g0") + F.col("g1") + F.col("g2")
     return out.withColumns({p: F.col(f"g{k}") / total for k, p in enumerate(("p_home", "p_draw", "p_away"))}).drop("g0", "g1", "g2")

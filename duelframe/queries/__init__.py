@@ -1 +1,3 @@
+"""Registered queries; importing the package registers all of them."""
 
+from duelframe.queries import jobs, library  # noqa: F401

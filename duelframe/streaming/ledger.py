@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -11,6 +11,11 @@ from duelframe.operators.joins import snapshot_diff
 from duelframe.operators.windows import ledger_merge
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's shared folder; one beside the warehouse only where the session names none."""
+    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/shared"
+
+
 def stream_ledger_append(arriving: DataFrame, ledger_path: str, checkpoint: str, key: str, order: list[str]) -> StreamingQuery:
     """Append arriving forecasts by id: replays add nothing, an id with other content stops the stream.
 

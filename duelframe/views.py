@@ -21,6 +21,8 @@ VIEWS = {
     "names": "SELECT o_orderkey AS row_id, concat('NATION_', CAST(o_custkey % 27 AS STRING)) AS name, CAST(o_orderdate AS DATE) AS seen FROM {orders}",
     "sites": """SELECT n_nationkey AS site_id, n_name AS name, CAST(n_nationkey * 7 % 180 - 90 AS DOUBLE) AS latitude, CAST(n_nationkey * 31 % 360 - 180 AS DOUBLE) AS longitude, n_nationkey * 211 % 4000 AS elevation,
         CASE n_nationkey % 4 WHEN 0 THEN 'Europe/London' WHEN 1 THEN 'America/New_York' WHEN 2 THEN 'Asia/Tokyo' ELSE 'UTC' END AS zone FROM {nation}""",
+    "raw": """SELECT o_orderkey AS row_id, CASE WHEN o_orderkey % 31 = 0 THEN 'n/a' ELSE concat(substr(CAST(CAST(o_orderdate AS DATE) AS STRING), 1, 7), '-01') END AS day, concat('NATION_', CAST(o_custkey % 27 AS STRING)) AS home,
+        concat(' NATION_', CAST((o_custkey + o_orderkey % 7) % 27 AS STRING)) AS away, CASE WHEN o_orderkey % 37 = 0 THEN '-1' ELSE CAST(o_orderkey % 2 AS STRING) END AS home_score, CASE WHEN o_orderkey % 41 = 0 THEN '' ELSE '1' END AS away_score FROM {orders}""",
     "venues": """SELECT n_nationkey AS site_id, CASE WHEN n_nationkey % 5 = 0 THEN concat(n_name, '|NATION_', CAST(n_nationkey + 1 AS STRING)) WHEN n_nationkey = 3 THEN concat(n_name, '| NATION_25') ELSE n_name END AS aliases FROM {nation}""",
     "categories": "SELECT o_orderpriority AS name, concat('class ', substr(o_orderpriority, 1, 1)) AS category, CAST(min(o_orderkey % 5) + length(o_orderpriority) AS DOUBLE) AS weight FROM {orders} WHERE o_orderpriority NOT LIKE '5%' GROUP BY o_orderpriority",
 }

@@ -3,13 +3,14 @@
 import datetime as dt
 import gzip
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from duelframe.functions import ids, scalars
 from duelframe.operators import joins, reports, windows
-from duelframe.plans import models, ratings
+from duelframe.plans import jobs, models, ratings
 from duelframe.queries.library import PARAMS
 from duelframe.sources import scans, sinks
 from duelframe.streaming import ledger
@@ -204,3 +205,52 @@ def test_stream_snapshot_changes(spark, tmp_path):
         run()
     got = sorted((r["id"], r["field"], r["now"]) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert got == [(1, "new", None), (1, "status", "b"), (2, "new", None)]
+
+
+def test_interval_join_counts_across_stretches(spark):
+    at = [dt.datetime(2024, 1, 1) + dt.timedelta(days=d) for d in (0, 3, 6, 7, 7, 20)]
+    rows = spark.createDataFrame([(k, 1, t) for k, t in enumerate(at)], "visit_id long, team long, kickoff timestamp")
+    want = {k: sum(dt.timedelta(0) < t - u <= dt.timedelta(days=7) for u in at) for k, t in enumerate(at)}
+    assert {r.visit_id: r.n for r in joins.interval_self_join(rows, 7).collect()} == want
+
+
+@pytest.mark.parametrize("near", [1, 2, 16])
+def test_previous_by_cutoff_looks_beyond_the_nearest(spark, near):
+    rnd = random.Random(5)
+    data = [(k, k % 2, dt.datetime(2024, 1, 1) + dt.timedelta(hours=rnd.randrange(40)), dt.datetime(2024, 1, 1) + dt.timedelta(hours=rnd.randrange(90))) for k in range(60)]
+    rows = spark.createDataFrame(data, "visit_id long, team long, kickoff timestamp, cutoff timestamp")
+    best = {a[0]: max(((b[2], b[0]) for b in data if b[1] == a[1] and b[2] < a[2] and b[3] <= a[3]), default=(None, None))[1] for a in data}
+    assert {r.visit_id: r.previous_id for r in joins.previous_asof_by_cutoff(rows, near).collect()} == best
+
+
+def test_historical_ingest_places_each_row_once(spark):
+    raw = spark.createDataFrame(
+        [(1, "2020-01-01", "A", "B", "1", "0"), (2, "2020-01-01", "A", " B ", "1", "0"), (3, "2020-01-02", "A", "B", "1", "0"), (4, "2020-01-02", "A", "B", "2", "0"), (5, "x", "A", "B", "1", "0"), (6, "2020-01-03", "A", "C", "1", "0"), (7, "2020-01-04", "A", "A2", "1", "0"), (8, "2020-01-05", None, "B", "1", "0")],
+        "row_id long, day string, home string, away string, home_score string, away_score string",
+    )
+    alias = spark.createDataFrame([("A", 1), ("A2", 1), ("B", 2)], "name string, entity long").withColumns({c: F.lit(None).cast("date") for c in ("valid_from", "valid_to")})
+    accepted, quarantined = jobs.historical_ingest(raw, alias)
+    assert [(r.row_id, r.home_entity, r.away_entity) for r in accepted.collect()] == [(1, 1, 2)]
+    assert {r.row_id: (r.stage, r.reason) for r in quarantined.collect()} == {
+        2: ("dedupe", "duplicate"), 3: ("dedupe", "conflict"), 4: ("dedupe", "conflict"), 5: ("parse", "invalid day"), 6: ("resolve", "away unresolved"), 7: ("contract", "same teams"), 8: ("parse", "invalid home"),
+    }
+
+
+def test_live_ingest_writes_a_snapshot_once(spark, tmp_path):
+    cur = spark.createDataFrame([(1, "v", "scheduled", None)], "id long, venue string, status string, updated timestamp")
+    for _ in range(2):
+        out = jobs.live_ingest(cur.limit(0), cur, cur, ["venue", "status"], "2024-01-15 00:00:00", 24, str(tmp_path))
+        assert {(r.check, r.detail, r.n) for r in out.collect()} == {("change", "new", 1), ("stale", "scheduled", 1)}
+    assert spark.read.parquet(f"{tmp_path}/snapshots").count() == 1
+    assert spark.read.parquet(f"{tmp_path}/view").first().status_group == "pending"
+
+
+def test_challenger_needs_exactly_the_official_fixtures(spark):
+    official = spark.createDataFrame([(1, 0.5, 0.2, 0.3)], "match_id long, p_home double, p_draw double, p_away double")
+    with pytest.raises(ValueError):
+        jobs.predict_challenger(official, spark.createDataFrame([(2, 1.0)], "match_id long, load double"), None, 1.0)
+
+
+def test_param_grid_has_all_combinations(spark):
+    rows = joins.param_grid(spark, a=[1, 2], b=[3, 4, 5]).collect()
+    assert {(r.a, r.b) for r in rows} == {(float(a), float(b)) for a in (1, 2) for b in (3, 4, 5)} and len({r.param_id for r in rows}) == 6
