@@ -13,10 +13,10 @@ import unicodedata
 import numpy as np
 import pyarrow as pa
 
-from duelframe.llm.base import slices, utf8_buffers
+from duelframe.llm.base import SLICE_BYTES, slices, utf8_buffers
 
 #: Distinct chunks that a worker remembers; at this many it starts afresh.
-CACHE_ENTRIES = 1_200_000
+CACHE_ENTRIES = 500_000
 #: Bytes of unseen chunks that are joined for one call.
 JOINED_BYTES = 4000
 SPACE, LINE = 32, 10
@@ -127,6 +127,6 @@ class CachedEncoder:
     def encode(self, texts: pa.Array):
         """Yields (first document, ids of some documents, their offsets): all documents in order."""
         raw, offsets = utf8_buffers(texts)
-        for first, last in slices(offsets):
+        for first, last in slices(offsets, SLICE_BYTES // 2):
             at = offsets[first : last + 1]
             yield (first, *self._slice(raw[at[0] : at[-1]], at - at[0]))
