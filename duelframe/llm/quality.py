@@ -145,11 +145,12 @@ def assess(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> Da
 
 
 def kept(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> DataFrame:
-    """The documents that ``assess`` keeps, with their own columns."""
+    """The documents that ``assess`` keeps, with their own columns. Rows are written with their scores, so that
+    each text is scored once and the second pass needs no Python."""
     score = scorer(docs, fit(docs, labels))
     own = docs.columns
-    scored = docs.select(F.struct(*own).alias("row_"), host.alias("host_"), path.alias("path_"), score("text").alias("p_"))
-    rates, mu, sites = site_rates(materialize(scored.select("host_", "path_", "p_"), "scores"))
+    scored = materialize(docs.select(F.struct(*own).alias("row_"), host.alias("host_"), path.alias("path_"), score("text").alias("p_")), "scores")
+    rates, mu, sites = site_rates(scored.select("host_", "path_", "p_"))
     rates = rates.select(F.col("host_").alias("rate_host_"), F.col("path_").alias("rate_path_"), "path_rate")
     rates = F.broadcast(rates) if sites <= BROADCAST_SITES else rates
     joined = scored.join(rates, F.col("host_").eqNullSafe(F.col("rate_host_")) & F.col("path_").eqNullSafe(F.col("rate_path_")), "left")
