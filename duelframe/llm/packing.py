@@ -156,6 +156,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, size: int = 1024) -> Data
     run_from, first, offset = (table[c].to_numpy(np.int64) for c in ("from", "first", "at"))
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        CachedEncoder.forget()  # workers that encoded would keep it for as long as they live
         for part in batches:
             length = part["length"].to_numpy(np.int64)
             rank = part["rank_"].to_numpy(np.int64) - base[length]

@@ -62,6 +62,11 @@ class CachedEncoder:
             cls._made[path] = cls(path)
         return cls._made[path]
 
+    @classmethod
+    def forget(cls) -> None:
+        """Drop this worker's encoders and what they remember."""
+        cls._made.clear()
+
     def clear(self) -> None:
         self.slot: dict[bytes, int] = {}
         self.pool = np.zeros(1 << 16, np.uint32)
