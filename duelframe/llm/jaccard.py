@@ -159,11 +159,18 @@ def _in_reach() -> F.Column:
     return reach * (UP + DOWN) >= (F.col("n_a") + F.col("n_b")) * UP
 
 
-def _enough(na: str, nb: str, count: str) -> F.Column:
-    """By overlap counted in the first n-grams: what lies behind them can't make up for less."""
-    a, b = F.col(na), F.col(nb)
+def _enough(whole: bool) -> F.Column:
+    """By overlap counted in the first n-grams: what lies behind them can't make up for less.
+
+    All that is shared up to the end of the prefix that ends first is counted, and either can be that one, so
+    what is left is at most the larger rest. If the count is ``whole``, all up to the last counted n-gram is in it.
+    """
+    a, b = F.col("n_a"), F.col("n_b")
     rest = lambda n: F.floor((UP * n + DOWN - 1) / DOWN) - 1
-    return (F.col(count) + F.least(rest(a), rest(b))) * (UP + DOWN) >= (a + b) * UP
+    left = F.greatest(rest(a), rest(b))
+    if whole:
+        left = F.least(left, a - F.col("last_a") - 1, b - F.col("last_b") - 1)
+    return (F.col("c") + left) * (UP + DOWN) >= (a + b) * UP
 
 
 def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -176,14 +183,8 @@ def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     members = table.select("doc_id", "n", "sig")
     column = Window.partitionBy("gram")
     entries = classes.select(F.posexplode("prefix").alias("pos", "gram"), "cid", "n").withColumn("k", F.count("*").over(column)).filter("k > 1").drop("k")
-    live = materialize(entries, "entries")
-    # a class needs enough live entries to reach the bound with a set of its own size
-    able = live.groupBy("cid").agg(F.count("*").alias("c"), F.first("n").alias("n")).filter((F.col("c") + 3) * 9 >= F.col("n") * 9 - F.floor((UP * F.col("n") + DOWN - 1) / DOWN) * 9 - F.col("n")).select("cid")
     # n-grams of one class alone can't be shared: before an entry at most its live ones (seen) are
-    live = live.join(able, "cid", "left_semi").withColumn("k", F.count("*").over(column)).filter("k > 1").drop("k")
-    live = materialize(live.withColumn("seen", F.row_number().over(Window.partitionBy("cid").orderBy("pos", "gram")) - 1), "entries")
-    wanted = classes.select("cid", "rep", "sig").join(live.select("cid").distinct(), "cid", "left_semi")
-    sets = materialize(whole_sets(docs, wanted), "grams")
+    live = materialize(entries.withColumn("seen", F.row_number().over(Window.partitionBy("cid").orderBy("pos", "gram")) - 1), "entries")
     links = materialize(live.sparkSession.createDataFrame([], "a long, b long"), "links")
     component = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     for turn in range(PIVOT_ROUNDS + 1):
@@ -206,8 +207,11 @@ def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
             first = [F.min(F.when(own == k, F.struct("pos", "cid", "seen", "n", "comp"))) for k in range(PIVOTS)]
             pivot = live_now.groupBy("gram").agg(F.array_compact(F.array(*first)).alias("ps")).select("gram", F.explode("ps").alias("p"))
             met = live_now.join(pivot, "gram").select(F.col("p.cid").alias("cid_a"), F.col("p.n").alias("n_a"), F.col("cid").alias("cid_b"), F.col("n").alias("n_b"), F.col("p.pos").alias("pos_a"), F.col("pos").alias("pos_b"), F.col("p.seen").alias("seen_a"), F.col("seen").alias("seen_b"), F.col("p.comp").alias("comp_a"), F.col("comp").alias("comp_b")).filter((F.col("comp_a") != F.col("comp_b")) & _may_link("n_a", "n_b") & _in_reach())
-        counted = met.groupBy("cid_a", "cid_b").agg(F.count("*").alias("c"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))
-        pairs = counted.filter(_enough("n_a", "n_b", "c")).select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b"))
+        counted = met.groupBy("cid_a", "cid_b").agg(F.count("*").alias("c"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"), F.max("pos_a").alias("last_a"), F.max("pos_b").alias("last_b"))
+        pairs = materialize(counted.filter(_enough(whole=last)).select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b")), "pairs")
+        # one live n-gram can be enough for a smaller partner, so only classes in pairs have their whole sets made
+        wanted = classes.select("cid", "rep", "sig").join(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), "cid", "left_semi")
+        sets = materialize(whole_sets(docs, wanted), "grams")
         links = materialize(links.unionByName(verified(pairs, sets)), "links")
         component = connected_components(links)
         live = live_now.select("gram", "pos", "seen", "cid", "n")

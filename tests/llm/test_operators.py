@@ -181,6 +181,22 @@ def test_jaccard(spark, request, which):
     assert Counter(map(tuple, jaccard.near_duplicates(df).collect())) == brute_components(rows)
 
 
+@pytest.mark.parametrize("copies", [1, 60])
+@pytest.mark.parametrize("how", ["appended", "inserted", "truncated"])
+def test_jaccard_of_unequal_sizes(spark, how, copies):
+    """Texts that contain one another, at similarities of about 0.78 to 0.92, alone and beside many copies."""
+    rows = []
+    for group, more in enumerate((9, 13, 17, 20, 22, 24, 25, 26, 28)):
+        own = [f"g{group}n{k}" for k in range(104)]
+        extra = [f"e{group}n{k}" for k in range(more)]
+        other = own[: 104 - more] if how == "truncated" else [*own, *extra] if how == "appended" else [*own[:50], *extra[4:], *own[50:]]
+        rows += [(1000 * group + k, " ".join(own)) for k in range(copies)] + [(1000 * group + 900, " ".join(other))]
+        if how == "truncated":  # many copies of the short text, too
+            rows += [(1000 * group + 901 + k, " ".join(other)) for k in range(copies - 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert Counter(map(tuple, jaccard.near_duplicates(df).collect())) == brute_components(rows)
+
+
 def test_jaccard_keeps_one(odd):
     ids = [r["doc_id"] for r in jaccard.one_of_each(odd).select("doc_id").collect()]
     assert {7, 10, 3, 5, 0, 1, 2, None} <= set(ids) and not {8, 9, 11, 4, 6} & set(ids) and len(ids) == len(set(ids))
