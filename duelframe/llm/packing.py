@@ -1,8 +1,9 @@
 """Packing pieces of documents into fixed-size sequences by fitted length patterns.
 
-Few-document length patterns are enumerated from the length histogram, their repeat counts are fitted to
-it by non-negative least squares and rounded down, and what remains is packed best-fit by decreasing
-length into the space left and into new sequences. Only the histogram (at most ``size`` rows) and the plan
+Length patterns that fill a sequence are enumerated from the length histogram (repeats of one or two lengths
+and a filler), their repeat counts are fitted to it by non-negative least squares and rounded down, and what
+remains is packed best-fit by decreasing length into the space left and into new sequences. Where best-fit
+alone takes fewer sequences, as it can for few pieces, it is what counts. Only the histogram (at most ``size`` rows) and the plan
 made from it are on the driver; pieces find their sequence by their rank among pieces of equal length.
 
 Defined results: null text is an empty text (its piece is the end id alone); rows that repeat a doc_id are
@@ -24,8 +25,10 @@ from pyspark.sql import functions as F
 from duelframe.llm.base import materialize, ranked, small_batches
 from duelframe.llm.token_cache import CachedEncoder
 
-#: Complements tried for the second place of a three-document pattern; steps of the fit.
-SECOND_CHOICES, FIT_STEPS = 12, 300
+#: Lengths tried for the second place of a pattern, and repeats of the first; steps of the fit.
+SECOND_CHOICES, REPEATS, FIT_STEPS = 12, 6, 300
+#: A pattern is fitted if it leaves at most one of so many parts of a sequence empty.
+FULL = 64
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -51,34 +54,44 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int) -> DataFrame
     return docs.select("doc_id", "text").mapInArrow(cut, PIECES)
 
 
-def patterns(lengths: np.ndarray, size: int) -> list[tuple[int, ...]]:
-    """Patterns of one to three of these lengths: each length alone if full, or with what fills it best."""
+def patterns(lengths: np.ndarray, size: int) -> list[tuple[tuple[int, int], ...]]:
+    """(Nearly) full patterns of one to three of these lengths, each as (length, repeats), longest first."""
     have = np.sort(lengths)
-    found: set[tuple[int, ...]] = set()
+    found: set[tuple[tuple[int, int], ...]] = set()
 
     def best(room: int) -> int:
         k = int(np.searchsorted(have, room, "right")) - 1
         return int(have[k]) if k >= 0 else 0
 
+    def some(values: np.ndarray, most: int) -> list[int]:
+        return values[np.unique(np.linspace(0, len(values) - 1, most).astype(int))].tolist() if len(values) else []
+
+    def add(*parts: tuple[int, int]) -> None:
+        if sum(a * m for a, m in parts) >= size - size // FULL:
+            count: dict[int, int] = defaultdict(int)
+            for a, m in parts:
+                count[a] += m
+            found.add(tuple(sorted(count.items(), reverse=True)))
+
     for a in map(int, have):
-        if a == size:
-            found.add((a,))
-            continue
-        if b := best(size - a):
-            found.add(tuple(sorted((a, b), reverse=True)))
-        room = have[have <= size - a - 1]
-        for b in map(int, room[np.unique(np.linspace(0, len(room) - 1, SECOND_CHOICES).astype(int))] if len(room) else []):
-            if c := best(size - a - b):
-                found.add(tuple(sorted((a, b, c), reverse=True)))
-    return sorted(found, key=lambda p: (-sum(p), p))
-
-
-def fit_repeats(histogram: np.ndarray, found: list[tuple[int, ...]]) -> np.ndarray:
+        for m in some(np.arange(1, size // a + 1), REPEATS):
+            room = size - m * a
+            add((a, m))
+            for b in {best(room), *some(have[have <= room], SECOND_CHOICES)} - {0}:
+                for n in {1, room // b}:
+                    add((a, m), (b, n))
+                    if c := best(room - n * b):
+                        add((a, m), (b, n), (c, (room - n * b) // c))
+    return sorted(found, key=lambda p: (-sum(a * m for a, m in p), p))
+
+
+def fit_repeats(histogram: np.ndarray, found: list[tuple[tuple[int, int], ...]]) -> np.ndarray:
     """Repeat counts x >= 0 that make the patterns' lengths match the histogram in the least-squares sense."""
     owner = np.repeat(np.arange(len(found)), [len(p) for p in found])
-    length = np.array([a for p in found for a in p], np.int64)
-    forward = lambda x: np.bincount(length, x[owner], len(histogram))
-    back = lambda r: np.bincount(owner, r[length], len(found))
+    length = np.array([a for p in found for a, _ in p], np.int64)
+    times = np.array([m for p in found for _, m in p], float)
+    forward = lambda x: np.bincount(length, x[owner] * times, len(histogram))
+    back = lambda r: np.bincount(owner, r[length] * times, len(found))
     probe = np.ones(len(found))
     for _ in range(20):
         probe = back(forward(probe))
@@ -98,15 +111,24 @@ def plan(histogram: dict[int, int], size: int) -> list[tuple[tuple[int, ...], in
     left = np.zeros(size + 1, np.int64)
     for length, n in histogram.items():
         left[length] = n
-    bins: dict[int, dict[tuple[int, ...], int]] = defaultdict(lambda: defaultdict(int))
+    alone = best_fit(left, {}, size)
     found = patterns(np.flatnonzero(left), size)
-    if found:
-        for p, repeats in zip(found, np.floor(fit_repeats(left.astype(float), found) + 1e-6).astype(np.int64), strict=True):
-            need = {a: p.count(a) for a in p}
-            if (n := min(int(repeats), *(int(left[a]) // m for a, m in need.items()))) > 0:
-                for a, m in need.items():
-                    left[a] -= n * m
-                bins[size - sum(p)][p] += n
+    if not found:
+        return alone
+    fitted: dict[tuple[int, ...], int] = {}
+    for p, repeats in zip(found, np.floor(fit_repeats(left.astype(float), found) + 1e-6).astype(np.int64), strict=True):
+        if (n := min(int(repeats), *(int(left[a]) // m for a, m in p))) > 0:
+            for a, m in p:
+                left[a] -= n * m
+            fitted[tuple(a for a, m in p for _ in range(m))] = n
+    return min(best_fit(left, fitted, size), alone, key=lambda made: sum(n for _, n in made))
+
+
+def best_fit(left: np.ndarray, begun: dict[tuple[int, ...], int], size: int) -> list[tuple[tuple[int, ...], int]]:
+    """Pieces (how many of each length are left) by decreasing length into the least room of sequences begun, and new ones."""
+    bins: dict[int, dict[tuple[int, ...], int]] = defaultdict(lambda: defaultdict(int))
+    for p, n in begun.items():
+        bins[size - sum(p)][p] += n
     for a in map(int, np.flatnonzero(left)[::-1]):
         n = int(left[a])
         while n:

@@ -106,6 +106,23 @@ def test_plan_keeps_the_histogram():
     assert packing.plan({}, 1024) == []
 
 
+@pytest.mark.parametrize("histogram", [{100: 1000}, {10: 1000}, {1: 5000}, {341: 900}, {257: 400, 255: 400}, {600: 100, 100: 400}, {k: 50 for k in range(5, 90)}, {k: 7 for k in range(200, 330)}, {3: 1}])
+def test_plan_of_short_pieces(histogram):
+    made = packing.plan(histogram, 1024)
+    total = Counter()
+    for p, repeats in made:
+        assert sum(p) <= 1024
+        for a in p:
+            total[a] += repeats
+    assert total == histogram
+    if len(histogram) == 1:
+        [(a, n)] = histogram.items()
+        least = -(-n // (1024 // a))
+    else:
+        least = -(-sum(a * n for a, n in histogram.items()) // 1024)
+    assert least <= sum(n for _, n in made) <= 1.05 * least
+
+
 @pytest.mark.parametrize("which", ["odd", "docs"])
 def test_bpe(request, which):
     import public_tokenizers as P
