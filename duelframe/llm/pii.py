@@ -1,9 +1,11 @@
 """Personal data: patterns, and terms that give away what the patterns protect.
 
 Base spans (email, ip, card, phone) come from patterns. A protected entity is such a value. For each term
-within a few words of one, corpus co-occurrence gives the point-wise mutual information of term and entity
-over documents; where it reaches a share of the entity's own information content, the term discloses the
-entity and gets a span next to it: ``remove`` at the higher threshold, ``generalise`` at the lower.
+anywhere in an entity's documents, co-occurrence over the corpus's documents gives the point-wise mutual
+information of term and entity; where it reaches a share of the entity's own information content, the term
+discloses the entity. Each of its occurrences outside base spans, in any document, gets a span: ``remove`` at
+the higher threshold, ``generalise`` at the lower. Terms that meet an entity in fewer than SUPPORT documents
+tell too little to judge by, so an entity in fewer documents has no such terms.
 
 Defined results: null text is an empty text (no spans; null stays null when sanitised); repeated rows
 count each as a document; equal texts have equal spans; an empty table gives an empty result; other columns
@@ -13,9 +15,13 @@ stay as they are.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,11 +40,13 @@ PATTERNS = {
 }
 DIGIT, PLUS = re.compile("[0-9]"), re.compile(r"\+[0-9]")
 WORD = re.compile(r"[^\W\d_]+")
-#: Words on each side of an entity that are looked at, documents that a term must share with it.
-WINDOW, SUPPORT = 8, 3
+#: Documents that a term must share with an entity.
+SUPPORT = 3
+#: Bits of the set of disclosing terms that every task looks words up in (at most 16 MB are broadcast).
+TERM_BITS = (16, 27)
 #: Shares of an entity's information content at which a term is generalised, and removed.
 GENERALISE, REMOVE = 0.85, 1.0
-FOUND = "doc_id long, key string, n array<long>, spans array<string>, near array<struct<entity:string,term:string,start:int,stop:int>>"
+FOUND = "doc_id long, key string, n array<long>, spans array<string>, entities array<string>, terms array<string>"
 
 
 def luhn(digits: str) -> bool:
@@ -68,76 +76,128 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
-def near_terms(text: str, spans: list[tuple[int, int, str]]) -> list[dict]:
-    """The words within WINDOW of each span, on either side, outside all spans."""
-    out, edge = [], 40 * WINDOW
-    for start, end, kind in spans:
-        entity = f"{kind}:{text[start:end].lower()}"
-        before = [m for m in WORD.finditer(text, max(0, start - edge), start)]
-        after = [m for m in WORD.finditer(text, end, min(len(text), end + edge))]
-        for m in before[-WINDOW:] + after[:WINDOW]:
-            if not any(m.start() < e and s < m.end() for s, e, _ in spans[max(0, _at(spans, start) - 8) : _at(spans, start) + 9]):
-                out.append({"entity": entity, "term": m[0].lower(), "start": m.start(), "stop": m.end()})
-    return out
+def outside(text: str, spans: list[tuple[int, int, str]]) -> Iterator[tuple[int, int, str]]:
+    """(start, end, term) of each word that no base span touches."""
+    at, reach, k = 0, 0, 0
+    for m in WORD.finditer(text):
+        at, end = m.span()
+        while k < len(spans) and spans[k][0] < end:
+            reach = max(reach, spans[k][1])
+            k += 1
+        if reach <= at:
+            yield at, end, m[0].lower()
 
 
-def _at(spans: list[tuple[int, int, str]], start: int) -> int:
-    low, high = 0, len(spans)
-    while low < high:
-        mid = (low + high) // 2
-        low, high = (mid + 1, high) if spans[mid][0] < start else (low, mid)
-    return low
+def digest(text: str) -> str:
+    return hashlib.blake2b(text.encode(), digest_size=16).hexdigest()
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """Base spans of every whole text, and the terms near them. key: digest of a text that has any, else null."""
+    """Base spans and the digest (key) of every whole text; entities and terms of those with base spans."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        near = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int32()), ("stop", pa.int32())]))
         for batch in batches:
             out = []
             for t in batch.column(1):
                 text = t.as_py() or ""
                 spans = base_spans(text)
                 count = [sum(k == kind for _, _, k in spans) for kind in KINDS]
-                key = hashlib.blake2b(text.encode(), digest_size=16).hexdigest() if spans else None
-                out.append((key, count, [f"{k}:{s}:{e}" for s, e, k in spans], near_terms(text, spans)))
-            columns = list(zip(*out, strict=True)) or [[]] * 4
-            types = (pa.string(), pa.list_(pa.int64()), pa.list_(pa.string()), near)
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], ["doc_id", "key", "n", "spans", "near"])
+                entities = sorted({f"{k}:{text[s:e].lower()}" for s, e, k in spans})
+                terms = sorted({w for _, _, w in outside(text, spans)}) if spans else []
+                out.append((digest(text), count, [f"{k}:{s}:{e}" for s, e, k in spans], entities, terms))
+            columns = list(zip(*out, strict=True)) or [[]] * 5
+            types = (pa.string(), pa.list_(pa.int64()), *[pa.list_(pa.string())] * 3)
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], [x.split()[0] for x in FOUND.split(", ")])
 
     return docs.select("doc_id", "text").mapInArrow(run, FOUND)
 
 
+def terms_of_all(docs: DataFrame) -> DataFrame:
+    """(term, with_term): in how many documents each term stands, anywhere in them."""
+    small_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            count: Counter[str] = Counter()
+            for t in batch.column(0):
+                count.update({m[0].lower() for m in WORD.finditer(t.as_py() or "")})
+            yield pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())], ["term", "n"])
+
+    return docs.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("with_term"))
+
+
 def disclosing(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """(entity, term, action) where the term's information about the entity reaches a threshold.
+    """(term, action) where the term's information about some entity reaches a threshold.
 
-    Counts are of documents, over all of them: with the entity, with the term, with both near each other.
+    Counts are of documents, over all of them: with the entity, with the term, with both. Equal texts are
+    counted once with their number. As both is at most either count, a term in more than
+    total^(1 - GENERALISE) * with_entity^GENERALISE documents can't reach the threshold, and is left out early.
     """
-    total = docs.count()
-    near = found.filter("key is not null").select("doc_id", "key", F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(x.entity.alias("entity"), x.term.alias("term"))))).alias("x"))
-    both = near.groupBy("x.entity", "x.term").agg(F.count("*").alias("both")).filter(F.col("both") >= SUPPORT)
-    entities = found.filter("key is not null").select(F.explode(F.array_distinct(F.transform("near", lambda x: x.entity))).alias("entity")).groupBy("entity").agg(F.count("*").alias("with_entity"))
-    pairs = materialize(both.join(entities, "entity"), "pairs")
-    if pairs.isEmpty():
-        return pairs.select("entity", "term", F.lit("").alias("action"))
-    words = docs.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("term"))
-    terms = words.groupBy("term").agg(F.count("*").alias("with_term")).join(pairs.select("term").distinct(), "term", "left_semi")
-    joined = pairs.join(terms, "term")
-    content = F.log(F.lit(float(max(total, 1))) / F.col("with_entity"))
-    information = F.log(F.col("both") * float(max(total, 1)) / (F.col("with_entity") * F.col("with_term")))
+    total = float(max(docs.count(), 1))
+    texts = found.filter(F.size("entities") > 0).groupBy("key").agg(F.count("*").alias("copies"), F.first("entities").alias("entities"), F.first("terms").alias("terms"))
+    texts = materialize(texts, "texts")
+    held = texts.select("key", "copies", F.explode("entities").alias("entity"))
+    entities = materialize(held.groupBy("entity").agg(F.sum("copies").alias("with_entity")).filter(F.col("with_entity") >= SUPPORT), "entities")
+    most = entities.agg(F.max("with_entity")).first()[0]
+    if most is None:
+        return entities.select(F.col("entity").alias("term"), F.lit("").alias("action"))
+    bound = total ** (1 - GENERALISE) * most**GENERALISE * (1 + 1e-9)
+    terms = terms_of_all(docs).filter(F.col("with_term").between(SUPPORT, bound))
+    own = held.join(entities.select("entity"), "entity", "left_semi").groupBy("key").agg(F.collect_list("entity").alias("own"))
+    met = texts.join(own, "key").select("copies", F.explode("own").alias("entity"), "terms").select("copies", "entity", F.explode("terms").alias("term"))
+    both = met.groupBy("entity", "term").agg(F.sum("copies").alias("both")).filter(F.col("both") >= SUPPORT)
+    joined = both.join(entities, "entity").join(terms, "term")
+    content = F.log(F.lit(total) / F.col("with_entity"))
+    information = F.log(F.col("both") * total / (F.col("with_entity") * F.col("with_term")))
     share = information / F.greatest(content, F.lit(1e-9))
     action = F.when(share >= REMOVE - 1e-9, "remove").when(share >= GENERALISE, "generalise")
-    return joined.select("entity", "term", action.alias("action")).filter("action is not null")
+    # of several entities' actions the stronger: remove comes last by name
+    return materialize(joined.select("term", action.alias("action")).filter("action is not null").groupBy("term").agg(F.max("action").alias("action")), "terms")
 
 
-def term_spans(found: DataFrame, terms: DataFrame) -> DataFrame:
-    """(key, extra): for each distinct text, the spans of disclosing terms near its entities."""
-    texts = found.filter("key is not null").dropDuplicates(["key"]).select("key", F.explode("near").alias("x")).select("key", "x.entity", "x.term", "x.start", "x.stop")
-    hit = texts.join(terms, ["entity", "term"]).groupBy("key", "start", "stop").agg(F.min(F.when(F.col("action") == "remove", 0).otherwise(1)).alias("a"))
-    span = F.concat(F.when(F.col("a") == 0, "remove").otherwise("generalise"), F.lit(":"), F.col("start"), F.lit(":"), F.col("stop"))
-    return hit.groupBy("key").agg(F.collect_list(span).alias("extra"))
+class Candidates:
+    """A set of terms by bits of their CRC, small enough for every task; it may also say yes to others."""
+
+    def __init__(self, terms: DataFrame):
+        n = terms.count()
+        self.empty = not n
+        bits = min(max(math.ceil(math.log2(64 * max(n, 1))), TERM_BITS[0]), TERM_BITS[1])
+        words = terms.select((F.crc32(F.col("term").cast("binary")) % (1 << bits)).alias("b")).groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("b") % 64).cast("int"))).alias("m"))
+        table = np.zeros(1 << (bits - 6), np.uint64)
+        for r in words.toLocalIterator():
+            table[r["w"]] = np.uint64(r["m"] & 0xFFFFFFFFFFFFFFFF)
+        self.shared = terms.sparkSession.sparkContext.broadcast(table.tobytes())
+
+    def __contains__(self, term: str) -> bool:
+        table = self.shared.value
+        b = zlib.crc32(term.encode()) & (8 * len(table) - 1)
+        return bool(table[b >> 3] >> (b & 7) & 1)
+
+
+def term_spans(docs: DataFrame, terms: DataFrame, may: Candidates) -> DataFrame:
+    """(key, extra): for each distinct text, the spans of all disclosing terms in it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, known = [], {}
+            for t in set(batch.column(0).to_pylist()) - {None}:
+                for m in WORD.finditer(t):
+                    w = m[0].lower()
+                    if w not in known:
+                        known[w] = w in may
+                    if known[w]:
+                        key = digest(t)
+                        rows += [(key, w, a, b) for a, b, w in outside(t, base_spans(t)) if w in may]
+                        break
+            columns = list(zip(*rows, strict=True)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int64()), strict=True)], ["key", "term", "start", "stop"])
+
+    shape = "key string, term string, start long, stop long"
+    if may.empty:
+        return docs.sparkSession.createDataFrame([], "key string, extra array<string>")
+    hit = docs.select("text").mapInArrow(run, shape).dropDuplicates(["key", "start", "stop"]).join(terms, "term")
+    return hit.groupBy("key").agg(F.collect_list(F.concat_ws(":", "action", "start", "stop")).alias("extra"))
 
 
 def _in_order(spans: F.Column) -> F.Column:
@@ -151,11 +211,10 @@ def _in_order(spans: F.Column) -> F.Column:
 def spans_of(docs: DataFrame) -> DataFrame:
     """(doc_id, key, n, spans, all_spans) of every document: base spans, and those with the terms' added."""
     found = materialize(find(docs), "found")
-    extra = term_spans(found, disclosing(docs, found))
-    slim = found.select("doc_id", "key", "n", "spans")
-    have = slim.filter("key is not null").join(extra, "key", "left")
-    none = slim.filter("key is null").withColumn("extra", F.lit(None).cast("array<string>"))
-    return have.select("doc_id", "key", "n", "spans", "extra").unionByName(none.select("doc_id", "key", "n", "spans", "extra")).withColumn("all_spans", F.when(F.col("extra").isNull(), F.col("spans")).otherwise(_in_order(F.concat("spans", F.coalesce("extra", F.array().cast("array<string>"))))))
+    terms = disclosing(docs, found)
+    extra = materialize(term_spans(docs, terms, Candidates(terms)), "extra")
+    out = found.select("doc_id", "key", "n", "spans").join(extra, "key", "left").select("doc_id", "key", "n", "spans", "extra")
+    return out.withColumn("all_spans", F.when(F.col("extra").isNull(), F.col("spans")).otherwise(_in_order(F.concat("spans", F.coalesce("extra", F.array().cast("array<string>"))))))
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -180,18 +239,21 @@ def replaced(text: str, extra: list[str]) -> str:
 def sanitise(docs: DataFrame) -> DataFrame:
     """All documents with their own columns, personal data in ``text`` replaced."""
     found = materialize(find(docs), "found")
-    extra = materialize(term_spans(found, disclosing(docs, found)), "extra").withColumnRenamed("key", "key_").withColumnRenamed("extra", "extra_")
+    terms = disclosing(docs, found)
+    may = Candidates(terms)
+    extra = materialize(term_spans(docs, terms, may), "extra").withColumnRenamed("key", "key_").withColumnRenamed("extra", "extra_")
 
     @F.arrow_udf(T.StringType())
     def clean(texts: pa.Array, more: pa.Array) -> pa.Array:
         return pa.array([t if t is None else replaced(t, x or []) for t, x in zip(texts.to_pylist(), more.to_pylist(), strict=True)], pa.string())
 
     @F.arrow_udf(T.StringType())
-    def digest(texts: pa.Array) -> pa.Array:
-        return pa.array([hashlib.blake2b(t.encode(), digest_size=16).hexdigest() if t and base_spans(t) else None for t in texts.to_pylist()], pa.string())
+    def key_of(texts: pa.Array) -> pa.Array:
+        some = lambda t: base_spans(t) or not may.empty and any(w in may for w in {m[0].lower() for m in WORD.finditer(t)})
+        return pa.array([digest(t) if t and some(t) else None for t in texts.to_pylist()], pa.string())
 
     own = docs.columns
-    keyed = docs.select(F.struct(*own).alias("row_"), F.col("text").alias("text_"), digest("text").alias("k_"))
+    keyed = docs.select(F.struct(*own).alias("row_"), F.col("text").alias("text_"), key_of("text").alias("k_"))
     plain = keyed.filter("k_ is null").select("row_.*")
     # written first: two Python steps in one stage would keep twice as many workers, and their caches, alive
     rest = materialize(keyed.filter("k_ is not null"), "personal").join(extra, F.col("k_") == F.col("key_"), "left")

@@ -272,6 +272,23 @@ def test_pii_terms(spark):
     assert "qwyjibo" not in clean[10] and "@" not in clean[10] and "[EMAIL]" in clean[10] and clean[100] == rows[7][1] and len(clean) == len(rows)
 
 
+def test_pii_terms_far_away(spark):
+    """Terms of an entity's documents disclose it however far away they stand, and in any text."""
+    far = " ".join(["filler words that go on"] * 8)
+    rows = [(k, f"qwyjibo {far} secret@mail.example.org {far} Zorblax street, again qwyjibo") for k in range(3)]
+    rows += [(10, f"{far} and zorblax too")] + [(100 + k, f"{far} and words {k} of others too") for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: r["spans"].split(",") for r in pii.report(df).collect()}
+    text = rows[0][1]
+    for at in (0, text.rindex("qwyjibo")):
+        assert f"remove:{at}:{at + 7}" in found[0]
+    place = text.index("Zorblax")
+    assert any(x in found[0] for x in (f"generalise:{place}:{place + 7}", f"remove:{place}:{place + 7}")) and "ip" not in found[0]
+    assert found[10] != [""] and all(found[k] == [""] for k, _ in rows if k >= 100)
+    clean = {r["doc_id"]: r["text"] for r in pii.sanitise(df).collect()}
+    assert not any(w in clean[k].lower() for w in ("qwyjibo", "zorblax", "secret") for k in (0, 1, 2, 10)) and clean[100] == rows[4][1] and len(clean) == len(rows)
+
+
 def test_pii_sanitise_odd(odd):
     clean = pii.sanitise(odd)
     assert clean.columns == odd.columns and clean.count() == odd.count()
