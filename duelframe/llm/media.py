@@ -2,7 +2,8 @@
 
 ``store`` keeps bytes as unsigned 8-bit mono samples in a WAV file; ``features`` reads such files back,
 resamples by a polyphase filter, takes overlapped log-mel frames and finds segments by two energy
-thresholds. ``tensors`` gives the log-mel patches as a fixed-shape Arrow tensor column with time spans.
+thresholds. ``tensors`` gives the log-mel patches as a fixed-shape Arrow tensor column with time spans; they
+are written as a table with the segments' spans, and what ``summary`` says comes from that table alone.
 
 Defined results: null text is an empty text (payload: 64 zero bytes); equal texts give equal values; an
 empty table gives an empty result; other columns are not read. Long media are worked through in blocks.
@@ -137,28 +138,58 @@ def ipc(table: pa.Table) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def features(media: DataFrame, with_tensors: bool = False) -> DataFrame:
-    """Read stored media back: digests of payload and file, a feature summary, and the tensors as Arrow IPC."""
-    shape = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, tensors binary"
+def frames_of(table: pa.Table) -> np.ndarray:
+    """The log-mel frames of such a table, without padding."""
+    if not isinstance(table["log_mel"].type, pa.FixedShapeTensorType):
+        raise TypeError("log_mel is no fixed-shape tensor column")
+    whole = table["log_mel"].combine_chunks()
+    whole = whole.chunk(0) if isinstance(whole, pa.ChunkedArray) else whole
+    n = round(table["end_s"][-1].as_py() * RATE * UP / (HOP * DOWN))
+    return whole.to_numpy_ndarray().reshape(-1, BANDS)[:n]
+
+
+FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string"
+TENSORS = FEATURES + ", segments array<struct<start_s:double,end_s:double>>, tensors binary"
+
+
+def features(media: DataFrame) -> DataFrame:
+    """Read stored media back: digests of payload and file, segments in seconds, and the tensors as Arrow IPC."""
+    second = HOP * DOWN / (RATE * UP)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spans = pa.list_(pa.struct([("start_s", pa.float64()), ("end_s", pa.float64())]))
         for batch in batches:
             rows = []
             for doc, n, held in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 file = held.as_py()
                 payload = samples(file)
                 mel = log_mel(payload)
-                found = segments(mel)
-                means = ",".join(f"{v:.2f}" for v in mel.mean(0, dtype=np.float64)[::4] + 0.0)
-                feature = f"frames={len(mel)};segments={len(found)};voiced={int((found[:, 1] - found[:, 0]).sum())};mel={means}"
-                rows.append((doc, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), len(file), hashlib.sha256(file).hexdigest(), feature, ipc(tensors(mel)) if with_tensors else None))
+                found = [{"start_s": a * second, "end_s": b * second} for a, b in segments(mel).tolist()]
+                rows.append((doc, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), len(file), hashlib.sha256(file).hexdigest(), found, ipc(tensors(mel))))
             columns = list(zip(*rows, strict=True)) or [[]] * 9
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], [x.split()[0] for x in shape.split(", ")])
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), spans, pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], [*(x.split()[0] for x in FEATURES.split(", ")), "segments", "tensors"])
+
+    return media.mapInArrow(run, TENSORS)
+
+
+def summary(stored: DataFrame) -> DataFrame:
+    """Read stored tensors and segments back: their counts, voiced frames and mean bands as ``feature``."""
+    second = HOP * DOWN / (RATE * UP)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for found, held in zip(batch.column("segments").to_pylist(), batch.column("tensors"), strict=True):
+                mel = frames_of(pa.ipc.open_stream(held.as_buffer()).read_all())
+                voiced = sum(round((x["end_s"] - x["start_s"]) / second) for x in found)
+                means = ",".join(f"{v:.2f}" for v in mel.mean(0, dtype=np.float64)[::4] + 0.0)
+                out.append(f"frames={len(mel)};segments={len(found)};voiced={voiced};mel={means}")
+            yield pa.RecordBatch.from_arrays([*batch.columns[:7], pa.array(out, pa.string())], [*batch.schema.names[:7], "feature"])
 
-    return media.mapInArrow(run, shape)
+    return stored.mapInArrow(run, FEATURES + ", feature string")
 
 
 def media_features(docs: DataFrame) -> DataFrame:
-    """Store every whole text as media, written as a table, and compute features from what is read back."""
-    return features(materialize(store(docs), "media")).drop("tensors")
+    """Store every whole text as media and its tensors, each written as a table, and sum up what is read back."""
+    return summary(materialize(features(materialize(store(docs), "media")), "tensors"))

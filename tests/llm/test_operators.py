@@ -388,6 +388,31 @@ def test_media_blocks_and_tensors():
     assert pa.ipc.open_stream(media.ipc(table)).read_all().num_rows == len(table)
 
 
+def test_media_tensors_are_stored(spark, odd, monkeypatch):
+    import pyarrow as pa
+
+    stored = {}
+
+    def kept(df, tag):
+        stored[tag] = base.materialize(df, tag)
+        return stored[tag]
+
+    monkeypatch.setattr(media, "materialize", kept)
+    got = {r["payload_sha256"]: r["feature"] for r in media.media_features(odd).collect()}
+    rows = stored["tensors"].collect()
+    assert len(rows) == odd.count()
+    for (_, t), r in zip(sorted(texts(odd), key=str), sorted(rows, key=lambda r: str((r["doc_id"], ""))), strict=True):
+        raw = t.encode()
+        payload = raw + b"\0" * (-len(raw) % 64 or (0 if raw else 64))
+        assert r["payload_sha256"] == hashlib.sha256(payload).hexdigest()
+        mel, table = media.log_mel(payload), pa.ipc.open_stream(r["tensors"]).read_all()
+        assert np.array_equal(media.frames_of(table), mel) and isinstance(table["log_mel"].type, pa.FixedShapeTensorType)
+        second = media.HOP * media.DOWN / (media.RATE * media.UP)
+        spans = media.segments(mel)
+        assert np.allclose([[x["start_s"], x["end_s"]] for x in r["segments"]], spans * second) if len(spans) else r["segments"] == []
+        assert got[r["payload_sha256"]].startswith(f"frames={len(mel)};segments={len(spans)};voiced={int((spans[:, 1] - spans[:, 0]).sum())};mel=")
+
+
 def test_empty_tables(spark, none):
     path = f"{base.shared_dir(spark)}/store-none"
     token_store.write_store(none, path, registry.tokenizer_path("word_bpe_49k.json"), end_id=1)
