@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -124,17 +126,18 @@ def ratio_split(rows: DataFrame, fold: str, order: list[str], shares: tuple[floa
     return rows.withColumn("part", F.when(place <= shares[0], "train").when(place <= shares[1], "tune").otherwise("calibration"))
 
 
-def rank_with_tiebreaks(standings: DataFrame, matches: DataFrame, teams: int) -> DataFrame:
+def rank_with_tiebreaks(standings: DataFrame, matches: DataFrame, teams: int | None = None) -> DataFrame:
     """Order inside each group: points; tied teams by points, difference and goals among themselves (each
     criterion that splits starts over on what stays tied), then overall difference and goals, then a hash.
 
     ``standings``: grp, team, points, difference, scored. ``matches``: grp, home_id, away_id, goals of both.
-    As many passes as a group can have splits; rows stay a few per group.
+    Passes go on until no bucket splits, or for as many as a group of ``teams`` can have splits; each is
+    checkpointed. Rows stay a few per group.
     """
     ranked = standings.withColumn("bucket", F.rank().over(Window.partitionBy("grp").orderBy(F.desc("points"))).cast("int"))
     sides = matches.select("grp", F.explode(F.array(F.struct(F.col("home_id").alias("team"), F.col("away_id").alias("other"), F.col("home_goals").alias("s"), F.col("away_goals").alias("c")), F.struct(F.col("away_id").alias("team"), F.col("home_id").alias("other"), F.col("away_goals").alias("s"), F.col("home_goals").alias("c")))).alias("x")).select("grp", "x.*")
     points = F.when(F.col("s") > F.col("c"), 3).when(F.col("s") == F.col("c"), 1).otherwise(0)
-    for _ in range(max(teams - 1, 1)):
+    for _ in count() if teams is None else range(max(teams - 1, 1)):
         other = ranked.select("grp", F.col("team").alias("other"), F.col("bucket").alias("other_bucket"))
         inside = sides.join(ranked.select("grp", "team", "bucket"), ["grp", "team"]).join(other, ["grp", "other"]).filter("bucket = other_bucket")
         own = inside.groupBy("grp", "team").agg(F.sum(points).alias("h1"), F.sum(F.col("s") - F.col("c")).alias("h2"), F.sum("s").alias("h3"))
@@ -144,6 +147,9 @@ def rank_with_tiebreaks(standings: DataFrame, matches: DataFrame, teams: int) ->
         split = F.when(F.min("h1").over(w) != F.max("h1").over(w), F.col("h1")).when(F.min("h2").over(w) != F.max("h2").over(w), F.col("h2")).when(F.min("h3").over(w) != F.max("h3").over(w), F.col("h3")).otherwise(0)
         met = met.withColumn("key_", split)
         step = F.rank().over(w.orderBy(F.desc("key_"))) - 1
-        ranked = met.withColumn("bucket", (F.col("bucket") + step).cast("int")).drop("h1", "h2", "h3", "key_")
+        moved = met.withColumn("step_", step).withColumn("bucket", (F.col("bucket") + F.col("step_")).cast("int")).drop("h1", "h2", "h3", "key_").checkpoint()
+        ranked = moved.drop("step_")
+        if moved.filter("step_ > 0").isEmpty():
+            break
     last = Window.partitionBy("grp").orderBy("bucket", F.desc("difference"), F.desc("scored"), F.xxhash64("team"))
     return ranked.withColumn("position", F.row_number().over(last))

@@ -652,14 +652,14 @@ def preview_limit(visits):
 
 
 def _standings_of_years(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    rows = pairs.filter("match_id % 20 = 0").withColumn("competition", F.concat_ws("/", F.year("match_date").cast("string"), F.col("competition")))
+    rows = pairs.withColumn("competition", F.concat_ws("/", F.year("match_date").cast("string"), F.col("competition")))
     return rows, reports.group_standings(rows)
 
 
 @query(None, "pairs")
 def rank_with_tiebreaks(pairs):
     rows, table = _standings_of_years(pairs)
-    ranked = windows.rank_with_tiebreaks(table.withColumnRenamed("competition", "grp"), rows.withColumnRenamed("competition", "grp"), 4)
+    ranked = windows.rank_with_tiebreaks(table.withColumnRenamed("competition", "grp"), rows.withColumnRenamed("competition", "grp"))
     return ranked.select("grp", "team", "points", "difference", "scored", "position")
 
 

@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__
 from compare import difference
 from duelframe.queries import library
+from duelframe.views import view
 
 SF = "/root/testdata/sf0.001"
 
@@ -22,3 +23,39 @@ def test_runs(spark, name):
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def standing(matches, teams):
+    """(points, difference, goals) of each of these teams in the matches among them."""
+    out = {t: [0, 0, 0] for t in teams}
+    for h, a, x, y in matches:
+        if h in out and a in out:
+            for t, s, c in ((h, x, y), (a, y, x)):
+                out[t] = [out[t][0] + (3 if s > c else s == c), out[t][1] + s - c, out[t][2] + s]
+    return out
+
+
+def tied(matches, teams):
+    """Buckets of teams in order: what splits starts over on what stays tied."""
+    own = standing(matches, teams)
+    for k in range(3):
+        values = sorted({own[t][k] for t in teams}, reverse=True)
+        if len(values) > 1:
+            return [b for v in values for b in tied(matches, [t for t in teams if own[t][k] == v])]
+    return [teams]
+
+
+def test_tiebreaks_of_all_matches(spark):
+    groups, code = {}, {r["t"]: r["h"] for r in spark.range(40).selectExpr("id AS t", "xxhash64(id) AS h").collect()}
+    for r in view(spark, SF, "pairs").collect():
+        groups.setdefault(f"{r['match_date'].year}/{r['competition']}", []).append((r["home_id"], r["away_id"], r["home_goals"], r["away_goals"]))
+    want = set()
+    for grp, matches in groups.items():
+        whole = standing(matches, {t for m in matches for t in m[:2]})
+        order = []
+        for p in sorted({v[0] for v in whole.values()}, reverse=True):
+            for bucket in tied(matches, [t for t in whole if whole[t][0] == p]):
+                order += sorted(bucket, key=lambda t: (-whole[t][1], -whole[t][2], code[t]))
+        want |= {(grp, t, *whole[t], k + 1) for k, t in enumerate(order)}
+    got = [tuple(r) for r in library.QUERIES["rank_with_tiebreaks"](spark, SF).select("grp", "team", "points", "difference", "scored", "position").collect()]
+    assert len(got) == len(want) and set(got) == want
