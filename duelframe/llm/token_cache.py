@@ -50,7 +50,6 @@ class CachedEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.clear()
 
     @classmethod

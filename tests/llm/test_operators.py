@@ -106,6 +106,20 @@ def test_plan_keeps_the_histogram():
     assert packing.plan({}, 1024) == []
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_added_tokens_keep_their_ids(name):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(registry.tokenizer_path(name))
+    own = ["<|endoftext|>", "a <|endoftext|> b.<|endoftext|>, c<|startoftext|>d", "x\n\n<|endoftext|>  \n<|endoftext|><|endoftext|>é 's", "<|startoftext|> one. two<|endoftext|>", *(t or "" for _, t in ODD)]
+    got = []
+    for _, ids, at in CachedEncoder(registry.tokenizer_path(name)).encode(pa.array(own)):
+        got += [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])]
+    assert got == [plain.encode(t, add_special_tokens=False).ids for t in own]
+    assert plain.token_to_id("<|endoftext|>") in got[0]
+
+
 @pytest.mark.parametrize("histogram", [{100: 1000}, {10: 1000}, {1: 5000}, {341: 900}, {257: 400, 255: 400}, {600: 100, 100: 400}, {k: 50 for k in range(5, 90)}, {k: 7 for k in range(200, 330)}, {3: 1}])
 def test_plan_of_short_pieces(histogram):
     made = packing.plan(histogram, 1024)
