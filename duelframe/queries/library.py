@@ -482,6 +482,13 @@ def paired_bootstrap_ci(forecasts):
     return _rounded(scoring.paired_bootstrap_ci(d, "forecast_id", "fixture_id", 50), "mean_delta", "low", "high", "share_below_zero")
 
 
+@query(None, "forecasts")
+def paired_bootstrap_ci_whole(forecasts):
+    """Every fixture and 1,000 resamples; ``paired_bootstrap_ci`` keeps to what its SQL has."""
+    d = scoring.with_losses(forecasts).select("fixture_id", "forecast_id", (F.col("log_loss") + F.log(F.lit(1 / 3))).alias("delta"))
+    return _rounded(scoring.paired_bootstrap_ci(d, "forecast_id", "fixture_id", 1000), "mean_delta", "low", "high", "share_below_zero")
+
+
 @query(f"""WITH {LOSS}, m AS (SELECT fold, CASE WHEN forecast_id % 2 = 0 THEN 'a' ELSE 'b' END AS model, avg(log_loss) AS x, avg(brier) AS y, avg(rps) AS z FROM l GROUP BY 1, 2)
 SELECT a.fold, round(a.x - b.x, 6) AS log_loss_delta, round(a.y - b.y, 6) AS brier_delta, round(a.z - b.z, 6) AS rps_delta FROM m a JOIN m b ON a.fold = b.fold AND a.model = 'a' AND b.model = 'b'""", "forecasts")
 def model_comparison_delta(forecasts):

@@ -1,9 +1,13 @@
 """Every query runs; each with SQL has the rows that DuckDB gives."""
 
+import hashlib
+
+import numpy as np
 import pytest
 
 import __spark_entry__
 from compare import difference
+from duelframe.operators import scoring
 from duelframe.queries import library
 from duelframe.views import view
 
@@ -59,3 +63,28 @@ def test_tiebreaks_of_all_matches(spark):
         want |= {(grp, t, *whole[t], k + 1) for k, t in enumerate(order)}
     got = [tuple(r) for r in library.QUERIES["rank_with_tiebreaks"](spark, SF).select("grp", "team", "points", "difference", "scored", "position").collect()]
     assert len(got) == len(want) and set(got) == want
+
+
+def bootstrap(by, deltas, resamples):
+    n = len(deltas)
+    draw = lambda r, k: int(hashlib.md5(f"{by}|{r}|{k}".encode()).hexdigest()[:8], 16) % n
+    means = np.array([np.mean([deltas[draw(r, k)] for k in range(n)]) for r in range(resamples)])
+    return (n, np.mean(deltas), *np.quantile(means, [0.025, 0.975]), np.mean(means < 0))
+
+
+def test_bootstrap_of_all_fixtures(spark):
+    groups = {}
+    for r in view(spark, SF, "forecasts").orderBy("forecast_id").collect():
+        p = {"home_win": r["p_home"], "draw": r["p_draw"], "away_win": r["p_away"]}[r["outcome"]]
+        groups.setdefault(r["fixture_id"], []).append(-np.log(p) + np.log(1 / 3))
+    got = {r[0]: tuple(r)[1:] for r in library.QUERIES["paired_bootstrap_ci_whole"](spark, SF).select("fixture_id", "n", "mean_delta", "low", "high", "share_below_zero").collect()}
+    assert set(got) == set(groups)
+    for by in [x for x in sorted(groups, key=lambda x: (len(groups[x]), x)) if x % 10][:5]:
+        assert np.allclose(got[by], bootstrap(by, groups[by], 1000), atol=2e-6)
+
+
+def test_bootstrap_of_a_large_group(spark):
+    deltas = [((k * 37) % 101 - 50) / 40 for k in range(1500)]
+    df = spark.createDataFrame([(7, k, d) for k, d in enumerate(deltas)], "g long, k long, delta double")
+    got = scoring.paired_bootstrap_ci(df, "k", "g", 20).select("n", "mean_delta", "low", "high", "share_below_zero").first()
+    assert np.allclose(tuple(got), bootstrap(7, deltas, 20))
