@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -16,18 +15,16 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 4 << 20
 #: Rows of a task's Arrow batches; texts vary in size, so this stays small.
 BATCH_ROWS = 2000
+#: Bytes of a part of a set of bits.
+BIT_PART = 1 << 15
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (``spark.checkpoint.dir``).
-
-    Where the session names none, as in local tests, a new temporary folder is set for it.
-    """
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, which the cluster or a test names."""
     key = "spark.checkpoint.dir"
     base = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key)
     if not base:
-        base = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set(key, base)
+        raise ValueError(f"{key} names no folder that driver and executors share")
     return base.rstrip("/")
 
 
@@ -36,7 +33,48 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.table_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables of ``materialize`` that nothing reads any more, so that rounds don't fill the shared folder."""
+    for df in tables:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df.table_path)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def bit_set(places: DataFrame, bits: int) -> np.ndarray:
+    """2^bits bits as bytes, those at the (only) column's numbers set. Each task sets bits of its own; parts of
+    them meet by place, one after the other, so that nothing larger than the set is held anywhere."""
+    size = 1 << (bits - 3)
+    part = min(size, BIT_PART)
+
+    def rows(found: Iterator[tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        for k, own in found:
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([own.tobytes()], pa.binary())], ["k", "bits"])
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(size, np.uint8)
+        for batch in batches:
+            at = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            np.bitwise_or.at(table, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
+        yield from rows((k, own) for k, own in enumerate(table.reshape(-1, part)) if own.any())
+
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, own in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                held[k] = held.get(k, 0) | np.frombuffer(own.as_buffer(), np.uint8)
+        yield from rows(held.items())
+
+    shape = "k int, bits binary"
+    whole = np.zeros(size, np.uint8).reshape(-1, part)
+    for r in places.mapInArrow(mark, shape).repartition("k").mapInArrow(unite, shape).collect():
+        whole[r["k"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return whole.ravel()
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duelframe.llm.base import materialize
+from duelframe.llm.base import discard, materialize
 
 #: Far more rounds than any graph needs: a path of n nodes takes about log2(n).
 MOST_ROUNDS = 200
@@ -14,21 +14,27 @@ MOST_ROUNDS = 200
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the edges (a, b): the smallest node that can be reached.
 
-    Each round writes its edges to the shared folder, so a lost executor costs one round at most.
+    Each round writes its edges to the shared folder, so a lost executor costs one round at most. Nodes with
+    very many edges are no hot keys: smallest neighbours are found by partial sums and written, so that Spark
+    can split the large side of the joins with them. More than MOST_ROUNDS rounds are an error.
     """
     edges = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct(), "edges")
     was = None
     for _ in range(MOST_ROUNDS):
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1000003), F.sum(F.col("v") % 1000003)).first())
-        if now == was:
+        # the set of edges by count and two sums over 64-bit hashes: equal only if no edge changed
+        now = tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first())
+        if now == was or not now[0]:
             break
         was = now
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        star = small.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+        least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
+        large = materialize(both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+        discard(least, edges)
+        least = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        star = large.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         edges = materialize(star.filter("u != v").distinct(), "edges")
+        discard(least, large)
+    else:
+        raise RuntimeError(f"components have not settled after {MOST_ROUNDS} rounds")
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

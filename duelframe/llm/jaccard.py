@@ -2,13 +2,16 @@
 
 The document by n-gram incidence is multiplied with itself only where it must be: each document keeps the
 n-grams that come first in one global order (rare ones first, by a sketch that covers all documents),
-enough of them that similar sets must share some. Overlap counts of pairs accumulate over these columns;
-pairs below the bound that follows from the two sizes are discarded, the rest are compared exactly.
+enough of them that similar sets must share some. N-grams that stand in the same documents are one block.
+Documents that meet in a block are discarded where their sizes and the block's places in them rule the
+similarity out, then where the overlap counted over their first n-grams does; the rest are compared exactly.
 
-Equal sets are one class before that, so copies never meet in pairs. Columns that one component fills
-already are closed; the others first compare each class with a few pivots (a fixed multiple of the entries), again
-with other pivots while that leaves too many pairs, and then all pairs of different components that are
-left. No link between different components' classes is lost.
+Equal sets are one class before that, so copies never meet in pairs. Blocks that one component fills are
+closed. While the others would still make more than PAIRS_PER_ENTRY pairs an entry, and each round halves them, a
+few leading documents of each overfull block are compared with all that meet them, and are done with; what they
+link becomes one component. At the end only documents outside a block's largest component are compared with the rest of it,
+in parts of at most BLOCK_PAIRS pairs. A pair is left out only where both are in one component already, or
+where a bound says that they can't be similar.
 
 Defined results: null or blank text has an empty set and links with nothing; a null doc_id is kept, its
 component is the smallest doc_id of its component, or null; repeated rows share a class; an empty table
@@ -20,14 +23,14 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from duelframe.llm.base import materialize, small_batches
+from duelframe.llm.base import bit_set, discard, materialize, small_batches
 from duelframe.llm.components import connected_components
 from duelframe.llm.shingles import shingle_sets
 
@@ -37,12 +40,15 @@ WORDS = 5
 SKETCH_CHUNK = 1 << 15
 #: Bits of the sketch: one bucket for every 1/8 document, within these bounds (so at most 4 MB are broadcast).
 SKETCH_BITS = (15, 22)
-#: Bits of the set of documents whose n-grams are needed for comparison (at most 16 MB are broadcast).
-PICK_BITS = (16, 27)
-#: Pivots of a column in one round, and rounds at most.
-PIVOTS, PIVOT_ROUNDS = 8, 1
-#: All pairs are made once there are at most so many for each incidence entry.
+#: Up to so many documents whose n-grams are needed for comparison are broadcast (16 bytes each); beyond, a set
+#: of at most 2^PICK_BITS bits (16 MB) picks them.
+PICK_ROWS, PICK_BITS = 500_000, (16, 27)
+#: Leading documents of a block in one round.
+LEADS = 4
+#: All pairs that are left are made once there are at most so many for each entry, or a round has not halved them.
 PAIRS_PER_ENTRY = 8
+#: Pairs of one block that one task makes.
+BLOCK_PAIRS = 1 << 20
 SETS = "doc_id long, n long, sig binary, prefix array<long>"
 
 
@@ -58,8 +64,9 @@ def prefix_length(n: np.ndarray) -> np.ndarray:
 def frequency_classes(docs: DataFrame, bits: int) -> np.ndarray:
     """For each of 2^bits hash buckets, log2 of how many (document, n-gram) entries fall there."""
     buckets, mask = 1 << bits, np.uint64((1 << bits) - 1)
+    names = ["chunk", "salt", "counts"]
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         total = np.zeros(buckets, np.uint32)
@@ -68,22 +75,31 @@ def frequency_classes(docs: DataFrame, bits: int) -> np.ndarray:
                 total += np.bincount((h & mask).astype(np.int64), minlength=buckets).astype(np.uint32)
         narrow = np.minimum(total, 255).astype(np.uint8).reshape(-1, SKETCH_CHUNK)  # a task's own share; sums go on beyond
         salt = TaskContext.get().partitionId() % 16
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(narrow)), pa.int32()), pa.array([salt] * len(narrow), pa.int32()), pa.array([x.tobytes() for x in narrow], pa.binary())], ["chunk", "salt", "counts"])
-
-    def add(kind: type):
-        def run(frame: pd.DataFrame) -> pd.DataFrame:
-            total = np.zeros(SKETCH_CHUNK, np.uint64)
-            for x in frame["counts"]:
-                total += np.frombuffer(x, kind)
-            return pd.DataFrame({"chunk": frame["chunk"][:1], "salt": frame["salt"][:1], "counts": [total.tobytes()]})
+        for k, own in enumerate(narrow):
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([salt], pa.int32()), pa.array([own.tobytes()], pa.binary())], names)
+
+    def add(kind: type, last: bool):
+        """Sums by chunk, one batch after the other: a task holds only the sums of its own chunks."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: dict[tuple[int, int], np.ndarray] = {}
+            for batch in batches:
+                for k, salt, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                    key = (k, 0 if last else salt)
+                    held[key] = held.get(key, 0) + np.frombuffer(own.as_buffer(), kind).astype(np.uint64)
+            for (k, salt), total in held.items():
+                out = np.log2(total + 1.0).astype(np.uint8) if last else total
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([salt], pa.int32()), pa.array([out.tobytes()], pa.binary())], names)
 
         return run
 
     shape = "chunk int, salt int, counts binary"
-    some = docs.select("text").mapInArrow(count, shape).groupBy("chunk", "salt").applyInPandas(add(np.uint8), shape)
-    rows = some.groupBy("chunk").applyInPandas(add(np.uint64), shape).orderBy("chunk").collect()
-    whole = np.concatenate([np.frombuffer(bytes(r["counts"]), np.uint64) for r in rows]) if rows else np.zeros(buckets, np.uint64)
-    return np.log2(whole + 1.0).astype(np.uint8)
+    some = docs.select("text").mapInArrow(tally, shape).repartition("chunk", "salt").mapInArrow(add(np.uint8, False), shape)
+    rows = some.repartition("chunk").mapInArrow(add(np.uint64, True), shape).collect()
+    whole = np.zeros(buckets, np.uint8).reshape(-1, SKETCH_CHUNK)
+    for r in rows:
+        whole[r["chunk"]] = np.frombuffer(bytes(r["counts"]), np.uint8)
+    return whole.ravel()
 
 
 def prefixes(docs: DataFrame, classes: np.ndarray) -> DataFrame:
@@ -101,37 +117,44 @@ def prefixes(docs: DataFrame, classes: np.ndarray) -> DataFrame:
                 keep = np.arange(len(h)) - at[:-1][doc] < prefix_length(n)[doc]
                 picked = h[order][keep].view(np.int64)
                 bounds = np.concatenate([[0], np.cumsum(np.where(n > 0, prefix_length(n), 0))]).astype(np.int32)
-                sigs = [hashlib.blake2b(h[at[k] : at[k + 1]], digest_size=16).digest() if n[k] else None for k in range(len(n))]
-                yield pa.RecordBatch.from_arrays([names.slice(first, len(n)).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(sigs, pa.binary()), pa.ListArray.from_arrays(pa.array(bounds), pa.array(picked))], ["doc_id", "n", "sig", "prefix"])
+                yield pa.RecordBatch.from_arrays([names.slice(first, len(n)).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(signatures(h, at), pa.binary()), pa.ListArray.from_arrays(pa.array(bounds), pa.array(picked))], ["doc_id", "n", "sig", "prefix"])
 
     return docs.select("doc_id", "text").mapInArrow(run, SETS)
 
 
+def signatures(h: np.ndarray, at: np.ndarray) -> list[bytes | None]:
+    """A digest of each set, null for an empty one."""
+    return [hashlib.blake2b(h[i:j], digest_size=16).digest() if j > i else None for i, j in zip(at[:-1], at[1:], strict=True)]
+
+
 def whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(cid, n-grams as bytes) of the classes in ``wanted`` (cid, rep, sig): only their representatives' texts are hashed."""
-    bits = _ceil_bits(16 * wanted.count(), PICK_BITS)
-    words = wanted.select(F.pmod(F.xxhash64("rep"), F.lit(1 << bits)).alias("b")).groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("b") % 64).cast("int"))).alias("m"))
-    table = np.zeros(1 << (bits - 6), np.uint64)
-    for r in words.toLocalIterator():
-        table[r["w"]] = np.uint64(r["m"] & 0xFFFFFFFFFFFFFFFF)
+    rows = wanted.count()
+    texts = docs.select("doc_id", "text")
+    if rows <= PICK_ROWS:
+        picked = F.broadcast(wanted.select("rep").distinct())
+        texts, table = texts.join(picked, F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi").withColumn("b", F.lit(0).cast("long")), None
+    else:
+        bits = _ceil_bits(16 * rows, PICK_BITS)
+        place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits))
+        texts, table = texts.withColumn("b", place("doc_id")), bit_set(wanted.select(place("rep")), bits)
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            b = batch.column(2).to_numpy(zero_copy_only=False)
-            hit = (shared.value[b >> 6] >> (b & 63).astype(np.uint64)) & np.uint64(1) == 1
-            part = batch.filter(pa.array(hit))
-            for first, h, at in shingle_sets(part.column(1), WORDS):
+            if shared.value is not None:
+                b = batch.column(2).to_numpy(zero_copy_only=False)
+                batch = batch.filter(pa.array(shared.value[b >> 3] >> (b & 7).astype(np.uint8) & 1 == 1))
+            for first, h, at in shingle_sets(batch.column(1), WORDS):
                 own = [h[i:j].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)]
-                sigs = [hashlib.blake2b(x, digest_size=16).digest() for x in own]
-                yield pa.RecordBatch.from_arrays([part.column(0).slice(first, len(own)).cast(pa.int64()), pa.array(sigs, pa.binary()), pa.array(own, pa.binary())], ["doc", "s", "grams"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(own)).cast(pa.int64()), pa.array(signatures(h, at), pa.binary()), pa.array(own, pa.binary())], ["doc", "s", "grams"])
 
-    found = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << bits)).alias("b")).mapInArrow(run, "doc long, s binary, grams binary")
+    found = texts.mapInArrow(run, "doc long, s binary, grams binary")
     return found.join(wanted, F.col("rep").eqNullSafe(F.col("doc")) & (F.col("sig") == F.col("s"))).select("cid", "grams").dropDuplicates(["cid"])
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are similar, by comparing their whole sets."""
+    """The pairs (a, b) that are similar, by comparing their whole sets. For each pair one set moves to the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,95 +171,145 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _may_link(na: str, nb: str) -> F.Column:
-    """By size alone."""
-    return F.least(na, nb) * DOWN >= F.greatest(na, nb) * UP
-
-
-def _in_reach() -> F.Column:
-    """By place: what two sets can share before one n-gram (of what others have too), and from it on."""
-    reach = F.least("seen_a", "seen_b") + F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
-    return reach * (UP + DOWN) >= (F.col("n_a") + F.col("n_b")) * UP
+def _may_link() -> Column:
+    """By size, and by place: nothing is shared before the first block that two sets share, so that what they
+    share is at most what either has from there on. Every similar pair passes in its first common block."""
+    a, b = F.col("n_a"), F.col("n_b")
+    reach = F.least(a - F.col("pos_a"), b - F.col("pos_b"))
+    return (F.least(a, b) * DOWN >= F.greatest(a, b) * UP) & (reach * (UP + DOWN) >= (a + b) * UP)
 
 
-def _enough(whole: bool) -> F.Column:
-    """By overlap counted in the first n-grams: what lies behind them can't make up for less.
+def _enough() -> Column:
+    """By overlap of the prefixes: what lies behind them can't make up for less.
 
     All that is shared up to the end of the prefix that ends first is counted, and either can be that one, so
-    what is left is at most the larger rest. If the count is ``whole``, all up to the last counted n-gram is in it.
+    what is left is at most the larger rest.
     """
     a, b = F.col("n_a"), F.col("n_b")
     rest = lambda n: F.floor((UP * n + DOWN - 1) / DOWN) - 1
-    left = F.greatest(rest(a), rest(b))
-    if whole:
-        left = F.least(left, a - F.col("last_a") - 1, b - F.col("last_b") - 1)
-    return (F.col("c") + left) * (UP + DOWN) >= (a + b) * UP
+    return (F.size(F.array_intersect("prefix_a", "prefix_b")) + F.greatest(rest(a), rest(b))) * (UP + DOWN) >= (a + b) * UP
+
+
+def blocks_of(classes: DataFrame) -> DataFrame:
+    """(block, cid, n, pos, alone): for each class the blocks of its first n-grams.
+
+    N-grams of one class alone are left out. pos: place of the block's first n-gram among the class's; alone: how
+    many of the prefix no other class has.
+    """
+    entries = classes.select(F.posexplode("prefix").alias("pos", "gram"), "cid", "n")
+    columns = entries.groupBy("gram").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("cid")).alias("block")).filter("m > 1").drop("m")
+    found = entries.join(columns, "gram").groupBy("cid", "block").agg(F.first("n").alias("n"), F.count("*").alias("w"), F.min("pos").alias("pos"))
+    length = F.col("n") - F.floor((UP * F.col("n") + DOWN - 1) / DOWN) + 1
+    return found.withColumn("alone", length - F.sum("w").over(Window.partitionBy("cid"))).drop("w")
+
+
+def overlaps(rows: DataFrame, classes: DataFrame, parts: bool) -> DataFrame:
+    """Pairs (a, b) of a row marked ``lead`` with any other of its block and of another component that pass the bounds.
+
+    ``parts``: rows of a block are dealt to so many parts, each with a share of the leading rows.
+    """
+    names = ("cid", "n", "pos", "comp", "lead")
+    a, b = (rows.select("block", *((F.col("parts"),) if parts else ()), *(F.col(c).alias(f"{c}_{x}") for c in names)) for x in "ab")
+    a, on = a.filter("lead_a"), ["block"]
+    if parts:
+        a = a.withColumn("part", F.pmod(F.xxhash64("cid_a"), F.col("parts"))).drop("parts")
+        b = b.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
+        on = ["block", "part"]
+    met = a.join(b, on).filter((F.col("comp_a") != F.col("comp_b")) & (~F.col("lead_b") | (F.col("cid_a") < F.col("cid_b"))) & _may_link())
+    pairs = met.select(F.least("cid_a", "cid_b").alias("a"), F.greatest("cid_a", "cid_b").alias("b")).distinct()
+    heads = [classes.select(F.col("cid").alias(x), F.col("n").alias(f"n_{x}"), F.col("prefix").alias(f"prefix_{x}")) for x in "ab"]
+    return pairs.join(heads[0], "a").join(heads[1], "b").filter(_enough()).select("a", "b")
+
+
+def leading(rows: DataFrame, turn: int) -> DataFrame:
+    """The classes (lead) to compare next: of each overfull block some with the fewest n-grams of their own."""
+    group = F.pmod(F.xxhash64("cid", F.lit(turn)), F.lit(LEADS))
+    first = [F.min(F.when(group == k, F.struct((F.col("alone") / F.col("n")).alias("x"), F.xxhash64("cid", F.lit(turn)).alias("h"), F.col("cid").alias("lead")))) for k in range(LEADS)]
+    return rows.filter("full").groupBy("block").agg(F.array_compact(F.array(*first)).alias("p")).select(F.explode("p.lead").alias("lead_cid")).distinct()
 
 
 def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Documents (doc_id, n, sig), classes (cid, sig, rep, n), and (node, component) of linked classes."""
     small_batches(docs.sparkSession)
-    rows = docs.count()
-    table = materialize(prefixes(docs, frequency_classes(docs, _ceil_bits(8 * rows, SKETCH_BITS))), "sets")
+    table = materialize(prefixes(docs, frequency_classes(docs, _ceil_bits(8 * docs.count(), SKETCH_BITS))), "sets")
     grouped = table.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     classes = materialize(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    members = table.select("doc_id", "n", "sig")
-    column = Window.partitionBy("gram")
-    entries = classes.select(F.posexplode("prefix").alias("pos", "gram"), "cid", "n").withColumn("k", F.count("*").over(column)).filter("k > 1").drop("k")
-    # n-grams of one class alone can't be shared: before an entry at most its live ones (seen) are
-    live = materialize(entries.withColumn("seen", F.row_number().over(Window.partitionBy("cid").orderBy("pos", "gram")) - 1), "entries")
-    links = materialize(live.sparkSession.createDataFrame([], "a long, b long"), "links")
-    component = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    for turn in range(PIVOT_ROUNDS + 1):
-        if turn:
-            placed = materialize(live.join(component, live.cid == component.node, "left").select("gram", "pos", "seen", "cid", "n", F.coalesce("component", "cid").alias("comp")), "placed")
-        else:
-            placed = live.withColumn("comp", F.col("cid"))
-        tally = placed.groupBy("gram", "comp").agg(F.count("*").alias("c")).groupBy("gram").agg(F.count("*").alias("comps"), F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q")).filter("comps > 1")
-        live_now = materialize(placed.join(tally.select("gram"), "gram", "left_semi"), "open")
-        size, crossing = live_now.count(), tally.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()[0] or 0
+    live = materialize(blocks_of(classes), "blocks")
+    links = live.sparkSession.createDataFrame([], "a long, b long")
+    component = live.sparkSession.createDataFrame([], "node long, component long")
+    was = math.inf
+    for turn in count():
+        placed = live.join(component, live.cid == component.node, "left").drop("node").withColumn("comp", F.coalesce("component", "cid")).drop("component")
+        tally = placed.groupBy("block", "comp").agg(F.count("*").alias("c")).groupBy("block").agg(F.count("*").alias("comps"), F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"), F.max(F.struct("c", "comp")).alias("top")).filter("comps > 1")
+        tally = tally.select(F.col("block").alias("block_"), "s", ((F.col("s") * F.col("s") - F.col("q")) / 2).alias("pairs"), F.col("top.comp").alias("main"), F.col("top.c").alias("most"))
+        rows = placed.join(tally, F.col("block") == F.col("block_")).drop("block_")
+        rows = materialize(rows.select("block", "cid", "n", "pos", "alone", "comp", (F.col("comp") != F.col("main")).alias("lead"), F.ceil((F.col("s") - F.col("most")) * F.col("s") / BLOCK_PAIRS).alias("parts"), (F.col("pairs") > PAIRS_PER_ENTRY * F.col("s")).alias("full"), (F.col("pairs") / F.col("s")).alias("share")), "open")
+        size, pairs = rows.agg(F.count("*"), F.sum("share")).first()
         if not size:
             break
-        last = turn == PIVOT_ROUNDS or crossing <= PAIRS_PER_ENTRY * size
+        last, was = pairs <= PAIRS_PER_ENTRY * size or 2 * pairs > was, pairs
+        rows = rows.drop("share")
         if last:
-            a, b = (live_now.select("gram", *(F.col(c).alias(c + x) for c in ("cid", "n", "pos", "seen", "comp"))) for x in ("_a", "_b"))
-            met = a.join(b, "gram").filter((F.col("comp_a") < F.col("comp_b")) & _may_link("n_a", "n_b") & _in_reach())
+            found = overlaps(rows, classes, parts=True)
         else:
-            # the entries that stand first in their sets: those have the least of their own, and link with most
-            own = F.pmod(F.xxhash64("cid", F.lit(turn)), F.lit(PIVOTS))
-            first = [F.min(F.when(own == k, F.struct("pos", "cid", "seen", "n", "comp"))) for k in range(PIVOTS)]
-            pivot = live_now.groupBy("gram").agg(F.array_compact(F.array(*first)).alias("ps")).select("gram", F.explode("ps").alias("p"))
-            met = live_now.join(pivot, "gram").select(F.col("p.cid").alias("cid_a"), F.col("p.n").alias("n_a"), F.col("cid").alias("cid_b"), F.col("n").alias("n_b"), F.col("p.pos").alias("pos_a"), F.col("pos").alias("pos_b"), F.col("p.seen").alias("seen_a"), F.col("seen").alias("seen_b"), F.col("p.comp").alias("comp_a"), F.col("comp").alias("comp_b")).filter((F.col("comp_a") != F.col("comp_b")) & _may_link("n_a", "n_b") & _in_reach())
-        counted = met.groupBy("cid_a", "cid_b").agg(F.count("*").alias("c"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"), F.max("pos_a").alias("last_a"), F.max("pos_b").alias("last_b"))
-        pairs = materialize(counted.filter(_enough(whole=last)).select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b")), "pairs")
-        # one live n-gram can be enough for a smaller partner, so only classes in pairs have their whole sets made
-        wanted = classes.select("cid", "rep", "sig").join(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), "cid", "left_semi")
+            chosen = materialize(leading(rows, turn), "leads")
+            rows = rows.join(chosen, F.col("cid") == F.col("lead_cid"), "left").withColumn("lead", F.col("lead_cid").isNotNull()).drop("lead_cid")
+            found = overlaps(rows, classes, parts=False)
+        found = materialize(found, "pairs")
+        # only classes in pairs have their whole sets made
+        wanted = classes.select("cid", "rep", "sig").join(found.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), "cid", "left_semi")
         sets = materialize(whole_sets(docs, wanted), "grams")
-        links = materialize(links.unionByName(verified(pairs, sets)), "links")
+        links = materialize(links.unionByName(verified(found, sets)), "links")
         component = connected_components(links)
-        live = live_now.select("gram", "pos", "seen", "cid", "n")
+        discard(found, sets)
         if last:
             break
-    return members, classes.select("cid", "sig", "rep", "n"), component
+        live = rows.filter("not lead").select(live.columns)
+    return members_of(table), classes.select("cid", "sig", "rep", "n"), component
+
+
+def members_of(table: DataFrame) -> DataFrame:
+    return table.select("doc_id", "n", "sig")
+
+
+def components_of(classes: DataFrame, component: DataFrame) -> DataFrame:
+    """(sig, rep, least, kept): least doc_id of each class's component, and the signature of the class that has it."""
+    linked = component.join(classes, F.col("node") == F.col("cid")).select("node", "component", F.struct(F.col("rep").isNull().alias("none"), "rep", "sig").alias("c"))
+    least = materialize(linked.groupBy("component").agg(F.min("c").alias("c")), "least")
+    found = linked.select("node", "component").join(least, "component").select("node", F.col("c.rep").alias("least_"), F.col("c.sig").alias("kept_"))
+    return classes.join(found, F.col("cid") == F.col("node"), "left").select("sig", "rep", F.when(F.col("node").isNull(), F.col("rep")).otherwise(F.col("least_")).alias("least"), F.coalesce("kept_", "sig").alias("kept"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents without all but one of each component: the one with the smallest doc_id stays.
 
-    Rows with a null doc_id stay, as nothing tells them apart; of rows that repeat a doc_id one stays.
+    Documents without words stay, each. Rows that share a doc_id, or have none, are told apart by their sets: of
+    those with equal sets one stays, if it is their component's.
     """
-    found = near_duplicates(docs)
-    keep = found.filter("doc_id = component_id").select(F.col("doc_id").alias("kept_doc_")).distinct()
-    out = docs.join(keep, docs["doc_id"] == keep["kept_doc_"], "left_semi").unionByName(docs.filter(docs["doc_id"].isNull()))
-    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n_")).filter("n_ > 1 and doc_id is not null").isEmpty()
-    return out if repeated else out.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(out.filter("doc_id is null"))
+    members, classes, component = similar_classes(docs)
+    chosen = components_of(classes, component).filter("kept = sig").select(F.col("sig").alias("sig_"), "rep")
+    judged = members.join(chosen, F.col("sig") == F.col("sig_"), "left").filter("n = 0 or (sig_ is not null and doc_id <=> rep)").select("doc_id", "sig")
+    unclear = materialize(members.groupBy("doc_id").agg(F.count("*").alias("rows")).filter("rows > 1 or doc_id is null").select(F.col("doc_id").alias("unclear_")), "unclear")
+    stay = judged.select(F.col("doc_id").alias("stay_"), F.col("sig").alias("stay_sig_"))
+    if unclear.isEmpty():
+        return docs.join(stay, F.col("doc_id") == F.col("stay_"), "left_semi")
+    is_unclear = F.col("doc_id").eqNullSafe(F.col("unclear_"))
+    plain = docs.join(stay, F.col("doc_id") == F.col("stay_"), "left_semi").join(unclear, is_unclear, "left_anti")
+
+    @F.arrow_udf("binary")
+    def signature(texts: pa.Array) -> pa.Array:
+        return pa.array([s for _, h, at in shingle_sets(texts, WORDS) for s in signatures(h, at)], pa.binary())
+
+    own = docs.columns
+    odd = docs.join(unclear, is_unclear, "left_semi").select(F.struct(*own).alias("row_"), F.col("doc_id").alias("id_"), signature("text").alias("sig_"))
+    odd = materialize(odd, "odd")
+    same = F.col("id_").eqNullSafe(F.col("stay_")) & F.col("sig_").eqNullSafe(F.col("stay_sig_"))
+    one = odd.filter("sig_ is not null").join(stay, same, "left_semi").dropDuplicates(["id_", "sig_"])
+    return plain.unionByName(one.select("row_.*")).unionByName(odd.filter("sig_ is null").select("row_.*"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) of every document."""
     members, classes, component = similar_classes(docs)
-    placed = classes.join(component, classes.cid == component.node, "left").select("sig", "rep", F.coalesce("component", "cid").alias("comp"))
-    smallest = placed.groupBy("comp").agg(F.min("rep").alias("least"))
-    by_class = placed.join(smallest, "comp").select("sig", "least")
-    out = members.join(by_class, "sig", "left")
+    out = members.join(components_of(classes, component).select("sig", "least"), "sig", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))

@@ -5,11 +5,13 @@ import re
 import struct
 import zlib
 from collections import Counter, defaultdict
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from duelframe.llm import base, bpe, components, hamming, jaccard, langid, media, packing, pii, quality, registry, sharding, token_store
 from duelframe.llm.token_cache import CachedEncoder
@@ -46,8 +48,13 @@ def texts(df):
     return [(r["doc_id"], r["text"] or "") for r in df.select("doc_id", "text").collect()]
 
 
+@lru_cache
+def untouched(name):
+    return Tokenizer.from_file(registry.tokenizer_path(name))
+
+
 def reference_ids(name, text):
-    return CachedEncoder.get(registry.tokenizer_path(name)).tokenizer.encode(text, add_special_tokens=False).ids
+    return untouched(name).encode(text, add_special_tokens=False).ids
 
 
 def u32(ids):
@@ -91,6 +98,13 @@ def test_packing(request, which):
     assert len(bins) <= 1.03 * sum(r["length"] for r in rows) / 1024 + 2
 
 
+def test_packing_keeps_large_and_null_ids(spark):
+    """Ids that a double can't hold, and a null, in one batch; rows that repeat an id are packed each."""
+    ids = [None, 9007199254740993, 9007199254740995, 9007199254740993, 7]
+    rows = packing.pack(spark.createDataFrame([(d, f"text {k}", "x", 1) for k, d in enumerate(ids)], "doc_id long, text string, rank_ string, length int").coalesce(1), registry.tokenizer_path("byte_bpe_50k.json"), 2).collect()
+    assert sorted((r["doc_id"] for r in rows), key=str) == sorted(ids, key=str) and len({r["sequence_id"] for r in rows}) == 1
+
+
 def test_plan_keeps_the_histogram():
     rng = np.random.default_rng(5)
     for n in (1, 7, 5000):
@@ -120,6 +134,24 @@ def test_added_tokens_keep_their_ids(name):
     assert plain.token_to_id("<|endoftext|>") in got[0]
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_a_full_cache_keeps_ids(name, monkeypatch):
+    """Many steps through a cache that is too small for them give the ids of an untouched tokenizer."""
+    import pyarrow as pa
+
+    from duelframe.llm import token_cache
+
+    monkeypatch.setattr(token_cache, "CACHE_ENTRIES", 60)
+    monkeypatch.setattr(token_cache, "SLICE_BYTES", 200)
+    rng = np.random.default_rng(2)
+    own = [" ".join(f"w{i}, x" for i in rng.integers(0, 90, rng.integers(0, 25))) for _ in range(120)] + [LONG[:3000]]
+    encoder, got = CachedEncoder(registry.tokenizer_path(name)), []
+    for _, ids, at in encoder.encode(pa.array(own)):
+        got += [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])]
+        assert len(encoder.slot) <= max(60, 800)
+    assert got == [reference_ids(name, t) for t in own]
+
+
 @pytest.mark.parametrize("histogram", [{100: 1000}, {10: 1000}, {1: 5000}, {341: 900}, {257: 400, 255: 400}, {600: 100, 100: 400}, {k: 50 for k in range(5, 90)}, {k: 7 for k in range(200, 330)}, {3: 1}])
 def test_plan_of_short_pieces(histogram):
     made = packing.plan(histogram, 1024)
@@ -233,6 +265,40 @@ def test_jaccard_keeps_one(odd):
     assert {7, 10, 3, 5, 0, 1, 2, None} <= set(ids) and not {8, 9, 11, 4, 6} & set(ids) and len(ids) == len(set(ids))
 
 
+def test_jaccard_keeps_rows_that_share_an_id(spark):
+    """Different texts under one id, or none, are documents of their own; copies among them go."""
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(30)) for x in "abcd")
+    rows = [(1, a), (1, b), (1, b), (2, a), (3, c), (None, c), (None, d), (None, d), (None, ""), (None, None), (4, " "), (4, " "), (5, b + " end")]
+    kept = Counter((r["doc_id"], r["text"]) for r in jaccard.one_of_each(spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, sig string, n int").repartition(3)).collect())
+    assert kept == Counter([(1, a), (1, b), (3, c), (None, d), (None, ""), (None, None), (4, " "), (4, " ")])
+
+
+@pytest.mark.parametrize("sizes", [(5, 9, 30, 200), (1500,)])
+@pytest.mark.parametrize("rounds", [None, 0])
+def test_jaccard_of_random_edits(spark, sizes, rounds, monkeypatch):
+    """Families of 2 to 50 texts by edits of all kinds: words added in front, inside or behind, dropped, replaced.
+
+    rounds: with leading documents in every block that holds more than two documents.
+    """
+    if rounds is not None:
+        monkeypatch.setattr(jaccard, "PAIRS_PER_ENTRY", rounds)
+    rng = np.random.default_rng(sum(sizes))
+    rows = []
+    for n in sizes:
+        for family, copies in enumerate((2, 7, 50) if n < 1000 else (2, 12)):
+            first = [f"f{n}x{family}w{k}" for k in range(n)]
+            for c in range(copies):
+                text = list(rng.choice(first, 0)) + first
+                for _ in range(rng.integers(0, 3)):
+                    k, at = int(rng.integers(1, max(2, n // 12 + 1))), int(rng.integers(0, n))
+                    own = [f"o{n}x{family}c{c if rng.random() < 0.6 else 0}k{j}" for j in range(k)]
+                    how = rng.integers(0, 5)
+                    text = own + text if how == 0 else text + own if how == 1 else text[:at] + own + text[at:] if how == 2 else text[:at] + text[at + k :] if how == 3 else text[:at] + own + text[at + k :]
+                rows.append((len(rows), " ".join(text)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert Counter(map(tuple, jaccard.near_duplicates(df).collect())) == brute_components(rows)
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(0, 30)] + [(100, 105), (105, 103)] + [(200, k) for k in range(201, 240)] + [(7, 7)]
     got = {r["node"]: r["component"] for r in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -319,6 +385,43 @@ def test_language(spark, odd, none):
     assert langid.identify(none).count() == 0
 
 
+def plain_grams(text):
+    low = text.lower()
+    return {low[i : i + n] for n in (1, 2, 3) for i in range(len(low) - n + 1)}
+
+
+def test_language_kernel(spark):
+    """Presence, kernel and regression against sets of substrings and plain linear algebra."""
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").filter("lang is not null")
+    model = langid.fit(df)
+    rows = sorted((r["lang"], r["text"] or "") for r in langid.sample(df, langid.TEXTS).collect())
+    texts = [t for _, t in rows if t][:40]
+    known = {int(model.keys[c]): int(model.slots[c]) - 1 for c in np.flatnonzero(model.slots)}
+    number = lambda g: sum((ord(c) + 1) << (21 * (len(g) - 1 - i)) for i, c in enumerate(g))
+    want = np.zeros((len(texts), model.landmarks.shape[0]))
+    for k, t in enumerate(texts):
+        for g in plain_grams(t):
+            if (at := known.get(number(g))) is not None:
+                want[k, at] = 1
+    got = langid.presence(texts, model)
+    assert np.array_equal(got, want)
+    kernel = np.array([[(x * (z > 0)).sum() / np.sqrt(max(x.sum(), 1) * (z > 0).sum()) for z in model.landmarks.T] for x in want])
+    assert np.allclose(langid.kernel(got, model), kernel, atol=1e-4)
+    scores = np.maximum(kernel @ model.weights, 0)
+    import pyarrow as pa
+
+    found = langid.predict_texts(pa.array(texts), model)
+    assert [x.as_py() for x in found.field("lang_pred")] == [model.languages[k] for k in scores.argmax(1)]
+    assert np.allclose(found.field("score").to_numpy(zero_copy_only=False), scores.max(1) / scores.sum(1), atol=1e-4)
+
+
+def test_language_sample_of_repeated_rows(spark):
+    """Copies and rows without an id take no other text's place; each language keeps its own bound."""
+    rows = [(None, "x", f"text {k % 3}") for k in range(300)] + [(k, "y", f"other {k}") for k in range(20)] + [(7, "z", "same")] * 50 + [(8, None, "none")]
+    got = Counter((r["lang"], r["text"]) for r in langid.sample(spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(4), 5).collect())
+    assert Counter(lang for lang, _ in got.elements()) == {"x": 3, "y": 5, "z": 1} and max(got.values()) == 1
+
+
 def test_quality(spark, odd, none):
     df, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     train, test = labels.filter("doc_id % 2 = 0"), labels.filter("doc_id % 2 = 1")
@@ -331,6 +434,47 @@ def test_quality(spark, odd, none):
         assert quality.kept(rows, labels.limit(0), F.col("source"), F.col("lang")).columns == rows.columns
 
 
+def posteriors(rows):
+    """Host rate, path rate and quality of (host, path, score) rows: plain sums, each without the row's own score."""
+    n = len(rows)
+    mu = min(max(sum(r[2] for r in rows) / n, 1e-4), 1 - 1e-4)
+    hosts, paths = defaultdict(list), defaultdict(list)
+    for h, p, x in rows:
+        hosts[h].append(x)
+        paths[h, p].append(x)
+
+    def strength(sites, prior):
+        v = sum(len(x) * ((np.mean(x) - prior(k)) ** 2 - np.var(x) / len(x)) for k, x in sites.items())
+        b = sum(len(x) * prior(k) * (1 - prior(k)) for k, x in sites.items())
+        return min(max(b / max(v, 1e-9), quality.STRENGTH[0]), quality.STRENGTH[1])
+
+    kh = strength(hosts, lambda k: mu)
+    kp = strength(paths, lambda k: (sum(hosts[k[0]]) + kh * mu) / (len(hosts[k[0]]) + kh))
+    logit = lambda p: np.log(p / (1 - p))
+    out = []
+    for h, p, x in rows:
+        host = (sum(hosts[h]) - x + kh * mu) / (len(hosts[h]) - 1 + kh)
+        path = (sum(paths[h, p]) - x + kp * host) / (len(paths[h, p]) - 1 + kp)
+        out.append((host, path, 1 / (1 + np.exp(-(logit(x) + logit(path) - logit(mu))))))
+    return out
+
+
+def test_quality_posteriors(spark):
+    """Sums by brute force: hot, sparse and null sites, equal scores."""
+    rng = np.random.default_rng(4)
+    rows = [("big", f"p{k % 3}", float(rng.uniform(0.05, 0.95))) for k in range(150)] + [(f"h{k % 17}", None if k % 5 == 0 else f"p{k % 2}", float(rng.uniform(0.3, 0.99))) for k in range(60)]
+    rows += [(None, None, 0.5), (None, None, 0.5), ("one", "only", 0.9)]
+    df = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "k long, host_ string, path_ string, p_ double").repartition(4)
+    got = [tuple(r)[1:] for r in quality.posterior(df).select("k", "host_rate", "path_rate", "quality_").orderBy("k").collect()]
+    assert np.allclose(got, posteriors(rows), atol=1e-9)
+
+
+def test_quality_sites(spark):
+    df = spark.createDataFrame([("HTTP://A.org/x/y?z", "s", "l"), ("https://b.org", "s", "l"), (None, "s", "l"), ("no url", "s", "l")], "url string, source string, lang string")
+    assert [tuple(r) for r in df.select(*quality.sites_of(df)).collect()] == [("a.org", "x"), ("b.org", ""), (None, None), ("", "")]
+    assert [tuple(r) for r in df.drop("url").select(*quality.sites_of(df.drop("url"))).collect()] == [("s", "l")] * 4
+
+
 @pytest.mark.parametrize("which", ["odd", "docs", "none"])
 def test_sharding(request, which):
     df = request.getfixturevalue(which)
@@ -366,6 +510,20 @@ def test_hamming(spark, given):
             best = sorted(((c ^ d).bit_count(), i) for i, d in rows if i != q)[:10]
             want |= {(q, k + 1, i, dist) for k, (dist, i) in enumerate(best)}
     assert {tuple(r) for r in hamming.top_k(df).collect()} == want
+    clashing = df.withColumn("code", F.lit("x")).withColumn("rows", F.lit(1)).withColumn("id", F.lit(2)).withColumn("radius", F.lit(3))
+    hamming_limits = (hamming.MOST_MASKS, hamming.BLOCK_QUERIES)
+    try:  # wide segments for few codes: queries that stay open are compared with all codes, in blocks
+        hamming.MOST_MASKS, hamming.BLOCK_QUERIES = 30, 2
+        assert {tuple(r) for r in hamming.top_k(clashing, widths=((0, 16),)).collect()} == want
+        if given:
+            assert {tuple(r) for r in hamming.top_k(clashing, widths=((0, 32),)).collect()} == want
+    finally:
+        hamming.MOST_MASKS, hamming.BLOCK_QUERIES = hamming_limits
+
+
+def test_hamming_refuses_longer_vectors(spark):
+    with pytest.raises(Exception, match="more components"):
+        hamming.top_k(spark.createDataFrame([(50, [1.0] * 65), (51, [1.0] * 64)], "vec_id long, embedding array<double>")).collect()
 
 
 @pytest.mark.parametrize("which", ["odd", "docs"])
@@ -402,6 +560,42 @@ def test_media_blocks_and_tensors():
     assert pa.ipc.open_stream(media.ipc(table)).read_all().num_rows == len(table)
 
 
+def test_media_resampling_and_mel():
+    """Polyphase resampling against inserting zeros, filtering and dropping; mel frames and segments one by one."""
+    rng = np.random.default_rng(7)
+    phases, window, bank = media.tables()
+    low = np.zeros(media.TAPS * media.UP)
+    for p in range(media.UP):
+        low[p :: media.UP] = phases[p][::-1]
+    for n in (1, 2, 5, 64, 999, 4000):
+        x = rng.normal(size=n).astype(np.float32)
+        full = np.zeros(n * media.UP)
+        full[:: media.UP] = x
+        filtered = np.convolve(full, low)
+        shift = (media.TAPS - 1 - media.TAPS // 2) * media.UP
+        want = [filtered[m * media.DOWN + shift] for m in range(n * media.UP // media.DOWN)]
+        assert np.allclose(media.resample(x), want, atol=1e-4)
+    payload = bytes(np.concatenate([rng.integers(120, 136, 6400), rng.integers(0, 256, 9600), rng.integers(120, 136, 6400)]).astype(np.uint8))
+    y = media.resample(np.frombuffer(payload, np.uint8).astype(np.float32) / 128 - 1)
+    mel = media.log_mel(payload)
+    for k in range(0, len(mel), 3):
+        part = np.zeros(media.FRAME)
+        own = y[k * media.HOP : k * media.HOP + media.FRAME]
+        part[: len(own)] = own
+        angle = -2j * np.pi * np.outer(np.arange(media.FRAME // 2 + 1), np.arange(media.FRAME)) / media.FRAME
+        assert np.allclose(mel[k], np.log(np.abs(np.exp(angle) @ (part * window)) ** 2 @ bank + 1e-6), atol=1e-2)
+    energy = mel.mean(1) - np.median(mel.mean(1))
+    want, begin, loud = [], None, False
+    for k, e in enumerate([*energy, -np.inf]):
+        if e >= media.CLOSE:
+            begin, loud = (k, False) if begin is None else (begin, loud)
+            loud |= e > media.OPEN
+        elif begin is not None:
+            want += [(begin, k)] if loud else []
+            begin = None
+    assert [tuple(x) for x in media.segments(mel).tolist()] == want and want
+
+
 def test_media_tensors_are_stored(spark, odd, monkeypatch):
     import pyarrow as pa
 
