@@ -3,7 +3,7 @@
 A text is cut before each space or line feed that follows a visible character. Neither of the two
 vocabularies' splitting patterns has a match that crosses such a place, so the ids of a text are the ids
 of its chunks in order. Chunks are told apart exactly (Arrow dictionary encoding), looked up in a bounded
-cache, and only unseen ones go through the tokenizer.
+cache, and only unseen ones go through the tokenizer. A full cache keeps what the last steps used.
 """
 
 from __future__ import annotations
@@ -15,8 +15,9 @@ import pyarrow as pa
 
 from duelframe.llm.base import SLICE_BYTES, slices, utf8_buffers
 
-#: Distinct chunks that a worker remembers; at this many it starts afresh.
-CACHE_ENTRIES = 500_000
+#: Distinct chunks that a worker remembers; at this many it keeps only those of its last KEPT_STEPS steps, as far
+#: as they are less than half of them.
+CACHE_ENTRIES, KEPT_STEPS = 400_000, 2
 #: Bytes of unseen chunks that are joined for one call.
 JOINED_BYTES = 4000
 SPACE, LINE = 32, 10
@@ -70,6 +71,28 @@ class CachedEncoder:
         self.slot: dict[bytes, int] = {}
         self.pool = np.zeros(1 << 16, np.uint32)
         self.at = np.zeros((1 << 14) + 1, np.int64)
+        self.recent: list[list[bytes]] = []
+
+    def _make_room(self, more: int) -> None:
+        """Before ``more`` chunks come that would not fit: forget all but those of the last steps."""
+        if len(self.slot) + more <= CACHE_ENTRIES:
+            return
+        keep, room = {}, min(CACHE_ENTRIES // 2, CACHE_ENTRIES - more)
+        for words in reversed(self.recent):
+            if len(keep) + len(words) <= room:
+                keep |= dict.fromkeys(words)
+        words = list(keep)
+        known = np.fromiter((self.slot[w] for w in words), np.int64, len(words))
+        ids, total = self._gather(known)
+        self.clear()
+        if words:
+            self._add(words, ids, total[1:])
+
+    def _gather(self, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the chunks at these places one after the other, and their n + 1 offsets."""
+        begin, count = self.at[known], self.at[known + 1] - self.at[known]
+        total = np.concatenate([[0], np.cumsum(count)])
+        return self.pool[np.repeat(begin - total[:-1], count) + np.arange(total[-1])], total
 
     def _add(self, chunks: list[bytes], ids: np.ndarray, ends: np.ndarray) -> None:
         """Remember chunks whose ids follow each other in ``ids``, each up to its place in ``ends``."""
@@ -117,20 +140,20 @@ class CachedEncoder:
         chunks = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds.astype(np.int64)), data])
         coded = chunks.dictionary_encode()
         words = coded.dictionary.to_pylist()
-        if len(self.slot) + len(words) > CACHE_ENTRIES:
-            self.clear()
         new = [w for w in words if w not in self.slot]
+        if len(self.slot) + len(new) > CACHE_ENTRIES:
+            self._make_room(len(words))
+            new = [w for w in words if w not in self.slot]
         if new:
             self._learn(new)
-        known = np.fromiter((self.slot[w] for w in words), np.int64, len(words))[coded.indices.to_numpy(zero_copy_only=False)]
-        begin, count = self.at[known], self.at[known + 1] - self.at[known]
-        total = np.concatenate([[0], np.cumsum(count)])
-        ids = self.pool[np.repeat(begin - total[:-1], count) + np.arange(total[-1])]
+        self.recent = [*self.recent[1 - KEPT_STEPS :], words]
+        known = np.fromiter(map(self.slot.__getitem__, words), np.int64, len(words))[coded.indices.to_numpy(zero_copy_only=False)]
+        ids, total = self._gather(known)
         return ids, total[np.searchsorted(bounds, offsets)]
 
     def encode(self, texts: pa.Array):
         """Yields (first document, ids of some documents, their offsets): all documents in order."""
         raw, offsets = utf8_buffers(texts)
-        for first, last in slices(offsets, SLICE_BYTES // 2):
+        for first, last in slices(offsets, SLICE_BYTES):
             at = offsets[first : last + 1]
             yield (first, *self._slice(raw[at[0] : at[-1]], at - at[0]))
