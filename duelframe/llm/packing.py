@@ -177,14 +177,14 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, size: int = 1024) -> Data
     base = np.array([begins.get(k, 0) for k in range(size + 1)], np.int64)
     run_from, first, offset = (table[c].to_numpy(np.int64) for c in ("from", "first", "at"))
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         CachedEncoder.forget()  # workers that encoded would keep it for as long as they live
-        for part in batches:
-            length = part["length"].to_numpy(np.int64)
-            rank = part["rank_"].to_numpy(np.int64) - base[length]
+        for batch in batches:
+            length, rank = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("length", "rank_"))
+            rank = rank - base[length]
             k = np.searchsorted(key, length * (1 << 42) + rank, "right") - 1
-            yield part.drop(columns="rank_").assign(sequence_id=first[k] + rank - run_from[k], offset=offset[k])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(first[k] + rank - run_from[k]), pa.array(offset[k])], [*batch.schema.names[:-1], "sequence_id", "offset"])
 
     order, _ = ranked(cut, ["length", "doc_id", "piece", "ids_crc32"], "packed")
     names = [x.split()[0] for x in PIECES.split(", ")]
-    return order.select(*names, "rank_").mapInPandas(place, PIECES + ", sequence_id long, offset long")
+    return order.select(*names, "rank_").mapInArrow(place, PIECES + ", sequence_id long, offset long")
