@@ -4,8 +4,8 @@ Base spans (email, ip, card, phone) come from patterns. A protected entity is su
 anywhere in an entity's documents, co-occurrence over the corpus's documents gives the point-wise mutual
 information of term and entity; where it reaches a share of the entity's own information content, the term
 discloses the entity. Each of its occurrences outside base spans, in any document, gets a span: ``remove`` at
-the higher threshold, ``generalise`` at the lower. Terms that meet an entity in fewer than SUPPORT documents
-tell too little to judge by, so an entity in fewer documents has no such terms.
+the higher threshold, ``generalise`` at the lower. Terms that meet an entity in fewer than ``support`` documents
+tell too little to judge by, so an entity in fewer documents has no such terms (its own spans stay).
 
 Defined results: null text is an empty text (no spans; null stays null when sanitised); repeated rows
 count each as a document; equal texts have equal spans; an empty table gives an empty result; other columns
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from duelframe.llm.base import materialize, small_batches
+from duelframe.llm.base import bit_set, materialize, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 #: Each pattern takes a whole run of what a match may begin with, so that no text is scanned twice; where
@@ -40,7 +40,7 @@ PATTERNS = {
 }
 DIGIT, PLUS = re.compile("[0-9]"), re.compile(r"\+[0-9]")
 WORD = re.compile(r"[^\W\d_]+")
-#: Documents that a term must share with an entity.
+#: Documents that a term must share with an entity, unless told otherwise.
 SUPPORT = 3
 #: Bits of the set of disclosing terms that every task looks words up in (at most 16 MB are broadcast).
 TERM_BITS = (16, 27)
@@ -88,6 +88,11 @@ def outside(text: str, spans: list[tuple[int, int, str]]) -> Iterator[tuple[int,
             yield at, end, m[0].lower()
 
 
+def words_of(text: str) -> set[str]:
+    """The terms of a text, each once."""
+    return {w.lower() for w in set(WORD.findall(text))}
+
+
 def digest(text: str) -> str:
     return hashlib.blake2b(text.encode(), digest_size=16).hexdigest()
 
@@ -113,21 +118,22 @@ def find(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, FOUND)
 
 
-def terms_of_all(docs: DataFrame) -> DataFrame:
-    """(term, with_term): in how many documents each term stands, anywhere in them."""
+def terms_of_all(docs: DataFrame, may: Candidates) -> DataFrame:
+    """(term, with_term): in how many documents each term that may be wanted stands, anywhere in them."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             count: Counter[str] = Counter()
             for t in batch.column(0):
-                count.update({m[0].lower() for m in WORD.finditer(t.as_py() or "")})
+                count.update(words_of(t.as_py() or ""))
+            count = {w: n for w, n in count.items() if w in may}
             yield pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())], ["term", "n"])
 
     return docs.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("with_term"))
 
 
-def disclosing(docs: DataFrame, found: DataFrame) -> DataFrame:
+def disclosing(docs: DataFrame, found: DataFrame, support: int = SUPPORT) -> DataFrame:
     """(term, action) where the term's information about some entity reaches a threshold.
 
     Counts are of documents, over all of them: with the entity, with the term, with both. Equal texts are
@@ -138,15 +144,17 @@ def disclosing(docs: DataFrame, found: DataFrame) -> DataFrame:
     texts = found.filter(F.size("entities") > 0).groupBy("key").agg(F.count("*").alias("copies"), F.first("entities").alias("entities"), F.first("terms").alias("terms"))
     texts = materialize(texts, "texts")
     held = texts.select("key", "copies", F.explode("entities").alias("entity"))
-    entities = materialize(held.groupBy("entity").agg(F.sum("copies").alias("with_entity")).filter(F.col("with_entity") >= SUPPORT), "entities")
+    entities = materialize(held.groupBy("entity").agg(F.sum("copies").alias("with_entity")).filter(F.col("with_entity") >= support), "entities")
     most = entities.agg(F.max("with_entity")).first()[0]
     if most is None:
         return entities.select(F.col("entity").alias("term"), F.lit("").alias("action"))
     bound = total ** (1 - GENERALISE) * most**GENERALISE * (1 + 1e-9)
-    terms = terms_of_all(docs).filter(F.col("with_term").between(SUPPORT, bound))
+    # only terms that enough of the entities' documents have are counted over all of them
+    wanted = materialize(texts.select("copies", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("copies").alias("n")).filter(F.col("n") >= support).select("term"), "wanted")
+    terms = terms_of_all(docs, Candidates(wanted)).filter(F.col("with_term").between(support, bound))
     own = held.join(entities.select("entity"), "entity", "left_semi").groupBy("key").agg(F.collect_list("entity").alias("own"))
     met = texts.join(own, "key").select("copies", F.explode("own").alias("entity"), "terms").select("copies", "entity", F.explode("terms").alias("term"))
-    both = met.groupBy("entity", "term").agg(F.sum("copies").alias("both")).filter(F.col("both") >= SUPPORT)
+    both = met.groupBy("entity", "term").agg(F.sum("copies").alias("both")).filter(F.col("both") >= support)
     joined = both.join(entities, "entity").join(terms, "term")
     content = F.log(F.lit(total) / F.col("with_entity"))
     information = F.log(F.col("both") * total / (F.col("with_entity") * F.col("with_term")))
@@ -163,10 +171,7 @@ class Candidates:
         n = terms.count()
         self.empty = not n
         bits = min(max(math.ceil(math.log2(64 * max(n, 1))), TERM_BITS[0]), TERM_BITS[1])
-        words = terms.select((F.crc32(F.col("term").cast("binary")) % (1 << bits)).alias("b")).groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("b") % 64).cast("int"))).alias("m"))
-        table = np.zeros(1 << (bits - 6), np.uint64)
-        for r in words.toLocalIterator():
-            table[r["w"]] = np.uint64(r["m"] & 0xFFFFFFFFFFFFFFFF)
+        table = bit_set(terms.select(F.crc32(F.col("term").cast("binary")) % (1 << bits)), bits)
         self.shared = terms.sparkSession.sparkContext.broadcast(table.tobytes())
 
     def __contains__(self, term: str) -> bool:
@@ -180,16 +185,14 @@ def term_spans(docs: DataFrame, terms: DataFrame, may: Candidates) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, known = [], {}
+            rows, clear = [], set()
             for t in set(batch.column(0).to_pylist()) - {None}:
-                for m in WORD.finditer(t):
-                    w = m[0].lower()
-                    if w not in known:
-                        known[w] = w in may
-                    if known[w]:
-                        key = digest(t)
-                        rows += [(key, w, a, b) for a, b, w in outside(t, base_spans(t)) if w in may]
-                        break
+                new = words_of(t) - clear
+                own = {w for w in new if w in may}
+                clear |= new - own
+                if own:
+                    key = digest(t)
+                    rows += [(key, w, a, b) for a, b, w in outside(t, base_spans(t)) if w in own]
             columns = list(zip(*rows, strict=True)) or [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int64()), strict=True)], ["key", "term", "start", "stop"])
 
@@ -208,18 +211,18 @@ def _in_order(spans: F.Column) -> F.Column:
     return F.transform(F.array_sort(keyed), lambda x: x.s)
 
 
-def spans_of(docs: DataFrame) -> DataFrame:
+def spans_of(docs: DataFrame, support: int = SUPPORT) -> DataFrame:
     """(doc_id, key, n, spans, all_spans) of every document: base spans, and those with the terms' added."""
     found = materialize(find(docs), "found")
-    terms = disclosing(docs, found)
+    terms = disclosing(docs, found, support)
     extra = materialize(term_spans(docs, terms, Candidates(terms)), "extra")
     out = found.select("doc_id", "key", "n", "spans").join(extra, "key", "left").select("doc_id", "key", "n", "spans", "extra")
     return out.withColumn("all_spans", F.when(F.col("extra").isNull(), F.col("spans")).otherwise(_in_order(F.concat("spans", F.coalesce("extra", F.array().cast("array<string>"))))))
 
 
-def report(docs: DataFrame) -> DataFrame:
+def report(docs: DataFrame, support: int = SUPPORT) -> DataFrame:
     """Counts, the digest of base spans and all spans of every document."""
-    out = spans_of(docs)
+    out = spans_of(docs, support)
     counts = [F.col("n")[k].alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
     return out.select("doc_id", *counts, F.sha2(F.array_join("spans", ","), 256).alias("base_sha256"), F.array_join("all_spans", ",").alias("spans"))
 
@@ -236,10 +239,10 @@ def replaced(text: str, extra: list[str]) -> str:
     return "".join([*out, text[at:]])
 
 
-def sanitise(docs: DataFrame) -> DataFrame:
+def sanitise(docs: DataFrame, support: int = SUPPORT) -> DataFrame:
     """All documents with their own columns, personal data in ``text`` replaced."""
     found = materialize(find(docs), "found")
-    terms = disclosing(docs, found)
+    terms = disclosing(docs, found, support)
     may = Candidates(terms)
     extra = materialize(term_spans(docs, terms, may), "extra").withColumnRenamed("key", "key_").withColumnRenamed("extra", "extra_")
 
@@ -249,7 +252,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
 
     @F.arrow_udf(T.StringType())
     def key_of(texts: pa.Array) -> pa.Array:
-        some = lambda t: base_spans(t) or not may.empty and any(w in may for w in {m[0].lower() for m in WORD.finditer(t)})
+        some = lambda t: base_spans(t) or not may.empty and any(w in may for w in words_of(t))
         return pa.array([digest(t) if t and some(t) else None for t in texts.to_pylist()], pa.string())
 
     own = docs.columns
