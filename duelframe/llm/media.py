@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from duelframe.llm.base import materialize, small_batches
 
 UNIT = 64
-RATE, UP, DOWN, TAPS = 8000, 1, 2, 32
+RATE, UP, DOWN, TAPS = 8000, 2, 5, 32
 FRAME, HOP, BANDS, PATCH = 256, 128, 24, 32
 #: Frames that one block holds.
 BLOCK_FRAMES = 4096
@@ -81,15 +81,17 @@ def tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def resample(x: np.ndarray) -> np.ndarray:
-    """Rational-rate polyphase filter: output m uses phase (m * DOWN) mod UP at input (m * DOWN) // UP."""
+    """Rational-rate polyphase filter: output m uses phase (m * DOWN) mod UP at input (m * DOWN) // UP.
+
+    The outputs of one phase are DOWN inputs apart, so each phase is one product of a strided view.
+    """
     phases, _, _ = tables()
     padded = np.concatenate([np.zeros(TAPS // 2, np.float32), x, np.zeros(TAPS, np.float32)])
     n = len(x) * UP // DOWN
     out = np.empty(n, np.float32)
     windows = np.lib.stride_tricks.sliding_window_view(padded, TAPS)
-    for first in range(UP):
-        at = np.arange(first, n, UP)
-        out[first::UP] = (windows[:: DOWN][: len(at)] if UP == 1 else windows[at * DOWN // UP]) @ phases[first * DOWN % UP]
+    for first in range(min(UP, n)):
+        out[first::UP] = windows[first * DOWN // UP :: DOWN][: -(-(n - first) // UP)] @ phases[first * DOWN % UP]
     return out
 
 
