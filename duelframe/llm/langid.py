@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from duelframe.llm.base import small_batches
 
-#: Bounds of the fit: texts and landmarks of each language, n-grams of the vocabulary.
-TEXTS, LANDMARKS, VOCABULARY = 200, 24, 8192
+#: Bounds of the fit: languages, texts and landmarks of each, n-grams of the vocabulary.
+LANGUAGES, TEXTS, LANDMARKS, VOCABULARY = 200, 200, 24, 8192
 RIDGE = 1e-2
 TABLE_BITS = 19
 #: Characters that one step works on.
@@ -75,27 +75,26 @@ def kernel(rows: np.ndarray, model: Model) -> np.ndarray:
 
 
 def sample(docs: DataFrame, each: int) -> DataFrame:
-    """(lang, text) of up to ``each`` documents of each language: those with the smallest hashes.
+    """(lang, text) of up to ``each`` different rows of each language: those with the smallest hashes of id and text.
 
-    Every task keeps its own smallest first, so no language's rows meet in one place.
+    Every task keeps its own smallest first, so no language's rows meet in one place; rows that share id and text
+    count once. Of more than LANGUAGES languages those with the most rows are learned.
     """
 
     def smallest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
         for part in batches:
             held = part if held is None else pd.concat([held, part])
-            held = held.sort_values(["lang", "h"]).groupby("lang").head(each)
+            held = held.drop_duplicates().sort_values(["lang", "h"]).groupby("lang").head(each)
         if held is not None:
             yield held
 
-    hashed = docs.select("lang", F.xxhash64("doc_id", F.lit(11)).alias("h")).filter("lang is not null")
+    hashed = docs.filter("lang is not null").select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
+    known = hashed.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).select("lang")
     order = Window.partitionBy("lang").orderBy("h")
-    few = hashed.mapInPandas(smallest, hashed.schema).withColumn("r", F.row_number().over(order)).filter(F.col("r") <= each)
-    limits = few.groupBy("lang").agg(F.max("h").alias("most")).collect()
-    own = F.lit(False)
-    for r in limits:
-        own |= (F.col("lang") == r["lang"]) & (F.xxhash64("doc_id", F.lit(11)) <= r["most"])
-    return docs.filter(own).select("lang", "text").limit(each * max(1, len(limits)))
+    few = hashed.select("lang", "h").mapInPandas(smallest, "lang string, h long").join(F.broadcast(known), "lang", "left_semi").distinct()
+    few = few.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= each).drop("r")
+    return hashed.join(F.broadcast(few), ["lang", "h"], "left_semi").dropDuplicates(["lang", "h"]).select("lang", "text")
 
 
 def fit(docs: DataFrame) -> Model | None:
