@@ -11,28 +11,46 @@ its own neighbour; a row that repeats an id counts once for each; an empty table
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from duelframe.llm.base import materialize
+from duelframe.llm.base import discard, materialize
 
 BITS = 64
-#: Bits of a segment: the narrow one for few codes, so that buckets aren't mostly empty.
-NARROW, WIDE, FEW_CODES = 8, 16, 1 << 12
+#: Bits of a segment by how many codes there are at least: about their logarithm, so that buckets stay small.
+WIDTHS = ((0, 8), (1 << 12, 16), (1 << 24, 32))
+#: Rounds go on while a segment has at most so many values at their radius; queries that are open then are
+#: compared with all codes.
+MOST_MASKS = 20_000
+#: Queries (8 bytes each) of a block that is compared with all codes.
+BLOCK_QUERIES = 100_000
 
 
 def sign_code(vector: str) -> Column:
-    """Bit i is set where component i of the first 64 is positive."""
-    bits = F.transform(F.slice(vector, 1, BITS), lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i.cast("int"))).otherwise(F.lit(0).cast("long")))
-    return F.when(F.size(vector) > 0, F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b)))
+    """Bit i is set where component i is positive. Vectors of more than 64 components are an error."""
+    bits = F.transform(F.col(vector), lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i.cast("int"))).otherwise(F.lit(0).cast("long")))
+    code = F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
+    return F.when(F.size(vector) > BITS, F.raise_error(F.lit(f"codes have {BITS} bits, a vector has more components")).cast("long")).when(F.size(vector) > 0, code)
 
 
 def _segments(code: Column, width: int) -> Column:
     return F.array(*(F.shiftrightunsigned(code, width * k).bitwiseAND(F.lit((1 << width) - 1)) for k in range(BITS // width)))
 
 
-def top_k(vectors: DataFrame, k: int = 10, every: int = 50, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def _masks(before: DataFrame | None, spark: SparkSession, width: int) -> DataFrame:
+    """(mask, high): values with one bit more than those before, each once; high: the number of its highest bit."""
+    if before is None:
+        return spark.range(1).select(F.lit(0).cast("long").alias("mask"), F.lit(-1).alias("high"))
+    more = before.filter(F.col("high") < width - 1).select("mask", F.explode(F.sequence(F.col("high") + 1, F.lit(width - 1))).alias("high"))
+    return more.select(F.col("mask").bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("high"))).alias("mask"), "high")
+
+
+def top_k(vectors: DataFrame, k: int = 10, every: int = 50, id_col: str = "vec_id", vector_col: str = "embedding", widths: tuple = WIDTHS) -> DataFrame:
     """For each row whose id is divisible by ``every``: its k nearest rows by (Hamming distance, id)."""
+    spark = vectors.sparkSession
     coded = materialize(vectors.select(F.col(id_col).cast("long").alias("id"), sign_code(vector_col).alias("code")).filter("code is not null and id is not null"), "codes")
     # per code: how many rows, and its k + 1 smallest ids, kept small in each task before they meet
     part = Window.partitionBy("code", "salt").orderBy("id")
@@ -40,33 +58,41 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 50, id_col: str = "vec_i
     lists = few.groupBy("code").agg(F.slice(F.array_sort(F.collect_list("id")), 1, k + 1).alias("ids"))
     counts = coded.groupBy("code").agg(F.count("*").alias("rows"))
     entries = materialize(counts.join(lists, "code"), "codes")
-    width = NARROW if entries.count() < FEW_CODES else WIDE
+    codes = entries.count()
+    width = max(w for least, w in widths if codes >= least)
     index = materialize(entries.select(F.posexplode(_segments(F.col("code"), width)).alias("segment", "value"), "code", "rows"), "index")
-    # all values of a segment with their weight: 2^width rows, so they may be broadcast
-    flips = vectors.sparkSession.range(1 << width).select(F.col("id").alias("mask"), F.bit_count("id").alias("weight"))
-    asked = coded.filter(F.col("id") % every == 0).select(F.col("id").alias("query_id"), F.col("code").alias("query"))
-    asked = materialize(asked, "asked")
-    active = asked.select("query").distinct()
-    done = None
-    found = None
+    asked = materialize(coded.filter(F.col("id") % every == 0).select(F.col("id").alias("query_id"), F.col("code").alias("query")), "asked")
+    distance = F.bit_count(F.col("query").bitwiseXOR(F.col("code"))).alias("distance")
+    # the radius is a column of the written table: a join key like any other
+    active, masks, ended, found = materialize(asked.select("query", F.lit(0).alias("radius")).distinct(), "active"), None, [], None
     for r in range(width + 1):
-        own = active.select("query", F.posexplode(_segments(F.col("query"), width)).alias("segment", "own"), F.lit(r).alias("weight"))
-        probes = own.join(F.broadcast(flips.filter(F.col("weight") == r)), "weight").select("query", "segment", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
-        met = probes.join(index, ["segment", "value"]).select("query", "code", "rows", F.bit_count(F.col("query").bitwiseXOR(F.col("code"))).alias("distance"))
-        if found is not None:
-            met = met.unionByName(found)
-        met = met.distinct()
+        whole = r == width or math.comb(width, r) > MOST_MASKS
+        if whole:  # what is left, in blocks of queries, against all codes
+            blocks = math.ceil(active.count() / BLOCK_QUERIES)
+            own = F.pmod(F.xxhash64("query"), F.lit(blocks))
+            parts = [entries.crossJoin(F.broadcast(active.filter(own == b).select("query"))) for b in range(blocks)]
+            met = reduce(DataFrame.unionByName, parts).select("query", "code", "rows", distance)
+        else:
+            masks = materialize(_masks(masks, spark, width).withColumn("radius", F.lit(r)), "masks")
+            own = active.select("query", F.posexplode(_segments(F.col("query"), width)).alias("segment", "own"), "radius")
+            probes = own.join(F.broadcast(masks), "radius").select("query", "segment", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
+            met = probes.join(index, ["segment", "value"]).select("query", "code", "rows", distance)
+            met = (met if found is None else met.unionByName(found)).distinct()
         level = met.groupBy("query", "distance").agg(F.sum("rows").alias("n"))
         upto = Window.partitionBy("query").orderBy("distance")
         kth = level.withColumn("upto", F.sum("n").over(upto)).filter(F.col("upto") > k).groupBy("query").agg(F.min("distance").alias("kth"))
         met = materialize(met.join(kth, "query", "left").filter("kth is null or distance <= kth"), f"met-{r}")
-        ready = (F.col("kth") < BITS // width * (r + 1)) if r < width else F.lit(True)
-        ended = met.filter(F.coalesce(ready, F.lit(False))).select("query", "code", "distance")
-        done = ended if done is None else done.unionByName(ended)
-        found = met.filter(~F.coalesce(ready, F.lit(False))).select("query", "code", "rows", "distance")
-        active = materialize(active.join(ended.select("query").distinct(), "query", "left_anti"), "active")
+        ready = F.lit(True) if whole else F.coalesce(F.col("kth") < BITS // width * (r + 1), F.lit(False))
+        ended.append(met.filter(ready).select("query", "code", "distance"))
+        found = met.filter(~ready).select("query", "code", "rows", "distance")
+        if whole:
+            break
+        left = materialize(active.join(ended[-1].select("query").distinct(), "query", "left_anti").select("query", F.lit(r + 1).alias("radius")), "active")
+        discard(active)
+        active = left
         if active.isEmpty():
             break
+    done = reduce(DataFrame.unionByName, ended)
     nearest = done.join(entries.select("code", "ids"), "code").select("query", "distance", F.explode("ids").alias("neighbour_id"))
     best = Window.partitionBy("query").orderBy("distance", "neighbour_id")
     nearest = nearest.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k + 1).drop("r")
