@@ -29,7 +29,7 @@ STEPS = 1000
 def incidence(nodes: DataFrame) -> DataFrame:
     """(node, line, w): lines that two nodes or more share; w documents have the node's text."""
     lines = nodes.select("node", "w", F.explode("lines").alias("line"))
-    shared = lines.groupBy("line").agg(F.count("*").alias("n")).filter("n > 1").select("line")
+    shared = materialize(lines.groupBy("line").agg(F.count("*").alias("n")).filter("n > 1").select("line"), "shared")
     return lines.join(shared, "line", "left_semi")
 
 
@@ -41,7 +41,8 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int, rounds: int = ROU
     for turn in range(rounds):
         at = links.join(labels.select("node", "shard"), "node")
         tally = at.groupBy("line", "shard").agg(F.sum("w").alias("n"))
-        top = tally.groupBy("line").agg(F.max(F.struct("n", (-F.col("shard")).alias("s"))).alias("t"), F.sum("n").alias("of"))
+        # written: a line that very many nodes have is then the large side of a join, which Spark can split
+        top = materialize(tally.groupBy("line").agg(F.max(F.struct("n", (-F.col("shard")).alias("s"))).alias("t"), F.sum("n").alias("of")), "lines")
         votes = links.select("node", "line").join(top.select("line", (-F.col("t.s")).alias("want"), (F.col("t.n") / F.col("of")).alias("share")), "line")
         wish = votes.groupBy("node", "want").agg(F.sum("share").alias("share")).groupBy("node").agg(F.max(F.struct("share", (-F.col("want")).alias("s"))).alias("t")).select("node", (-F.col("t.s")).alias("want"))
         wished = labels.join(wish, "node", "left").withColumn("moves", F.coalesce(F.col("want") != F.col("shard"), F.lit(False))).withColumn("step", F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(STEPS)))
@@ -67,7 +68,7 @@ def nodes_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     lines = F.array_distinct(F.transform(F.filter(F.split(text, "\n"), lambda x: F.length(x) >= LINE_CHARS), lambda x: F.xxhash64(x)))
     measured = docs.select("doc_id", (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"), F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"), F.coalesce(F.xxhash64(text, F.lit(1)), F.lit(0)).alias("a"), F.when(text.isNull(), -1).otherwise(F.xxhash64(F.reverse(text))).alias("b"), F.coalesce(lines, F.array().cast("array<bigint>")).alias("lines"))
     held = materialize(measured, "measured")
-    nodes = held.groupBy("a", "b").agg(F.count("*").alias("w"), F.max("lines").alias("lines")).withColumn("node", F.monotonically_increasing_id())
+    nodes = held.groupBy("a", "b").agg(F.count("*").alias("w"), F.first("lines").alias("lines")).withColumn("node", F.monotonically_increasing_id())
     return held.drop("lines"), materialize(nodes, "nodes")
 
 
