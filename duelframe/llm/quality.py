@@ -3,8 +3,8 @@
 A logistic classifier of a few text measures gives each document's own evidence. Its scores, summed over
 all documents of each host and of each path below it, give posterior rates: a host's rate is shrunk towards
 the global one, a path's towards its host's, by beta priors whose strength follows from how much rates
-differ between sites (method of moments). A document's log odds are its own plus its path's over the
-global.
+differ between sites (method of moments). Both leave the document's own score out, so that it counts once. A
+document's log odds are its own plus its path's over the global.
 
 Defined results: null text is an empty text; null hosts or paths are sites of their own; documents without
 a label are only scored; where no labelled row of both kinds exists every document scores 0.5 and is kept;
@@ -68,9 +68,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray | None:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.float64()), pa.array(list(measures(batch.column(1))), pa.list_(pa.float64()))], ["y", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.float64()), pa.array(list(measures(batch.column(1))), pa.list_(pa.float64())), batch.column(2)], ["y", "x", "h"])
 
-    rows = docs.select("doc_id", "text").join(picked, "doc_id").select(F.col("quality").cast("double").alias("quality"), "text").mapInArrow(run, "y double, x array<double>").limit(LABELLED).collect()
+    shown = docs.select("doc_id", "text").join(picked, "doc_id").select(F.col("quality").cast("double").alias("quality"), "text", F.xxhash64("doc_id", "text").alias("h"))
+    rows = shown.mapInArrow(run, "y double, x array<double>, h long").orderBy("h", "y").limit(LABELLED).collect()
     y = np.array([r["y"] for r in rows])
     if not len(y) or y.min() == y.max():
         return None
@@ -110,51 +111,54 @@ def _strength(sites: DataFrame, mean: str, prior: Column) -> float:
     return float(min(max(r["b"] / max(r["v"], 1e-9), STRENGTH[0]), STRENGTH[1]))
 
 
-def site_rates(scored: DataFrame) -> tuple[DataFrame, float, int]:
-    """(host_, path_, host_rate, path_rate) of all sites, the global rate, and how many sites there are."""
+def sites_of(docs: DataFrame) -> tuple[Column, Column]:
+    """Host and path of each row: from its ``url`` (path: its first folder) where there is such a column; else the
+    source stands in for the host and the language for the part of it that a document comes from."""
+    if "url" not in docs.columns:
+        return F.col("source"), F.col("lang")
+    host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
+    return host, F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/([^/?#]*)", 1)
+
+
+def site_sums(scored: DataFrame) -> tuple[DataFrame, dict[str, float]]:
+    """(host_, path_, host_n, host_s, path_n, path_s): documents and summed scores of all sites; and the global
+    rate (mu), the strengths of the priors (host, path) and how many sites there are."""
     whole = scored.agg(F.avg("p_")).first()[0]
     mu = 0.5 if whole is None else float(min(max(whole, 1e-4), 1 - 1e-4))
     tally = [F.count("*").alias("n_"), F.sum("p_").alias("s_"), F.coalesce(F.var_pop("p_"), F.lit(0.0)).alias("var_")]
-    hosts = scored.groupBy("host_").agg(*tally).withColumn("m_", F.col("s_") / F.col("n_"))
-    kappa = _strength(hosts, "m_", F.lit(mu))
-    hosts = hosts.select("host_", ((F.col("s_") + kappa * mu) / (F.col("n_") + kappa)).alias("host_rate"))
+    hosts = materialize(scored.groupBy("host_").agg(*tally).withColumn("m_", F.col("s_") / F.col("n_")), "hosts")
+    of_host = _strength(hosts, "m_", F.lit(mu))
+    rated = hosts.select("host_", F.col("n_").alias("host_n"), F.col("s_").alias("host_s"), ((F.col("s_") + of_host * mu) / (F.col("n_") + of_host)).alias("host_rate"))
     paths = scored.groupBy("host_", "path_").agg(*tally).withColumn("m_", F.col("s_") / F.col("n_"))
-    paths = materialize(paths.alias("p").join(hosts.alias("h"), F.col("p.host_").eqNullSafe(F.col("h.host_"))).select("p.*", "host_rate"), "sites")
-    kappa = _strength(paths, "m_", F.col("host_rate"))
-    rates = paths.select("host_", "path_", "host_rate", ((F.col("s_") + kappa * F.col("host_rate")) / (F.col("n_") + kappa)).alias("path_rate"))
-    return rates, mu, paths.count()
-
-
-def _posterior(scored: DataFrame) -> DataFrame:
-    rates, mu, sites = site_rates(scored)
-    rates = rates.withColumnRenamed("host_", "rate_host_").withColumnRenamed("path_", "rate_path_")
-    rates = F.broadcast(rates) if sites <= BROADCAST_SITES else rates
-    joined = scored.join(rates, F.col("host_").eqNullSafe(F.col("rate_host_")) & F.col("path_").eqNullSafe(F.col("rate_path_")), "left").drop("rate_host_", "rate_path_")
+    paths = materialize(paths.alias("p").join(rated.alias("h"), F.col("p.host_").eqNullSafe(F.col("h.host_"))).select("p.*", "host_n", "host_s", "host_rate"), "sites")
+    of_path = _strength(paths, "m_", F.col("host_rate"))
+    return paths.select("host_", "path_", "host_n", "host_s", F.col("n_").alias("path_n"), F.col("s_").alias("path_s")), {"mu": mu, "host": of_host, "path": of_path, "sites": paths.count()}
+
+
+def posterior(scored: DataFrame) -> DataFrame:
+    """Adds host_rate, path_rate (each without the row's own score) and quality_ to rows with host_, path_ and p_."""
+    sums, prior = site_sums(scored.select("host_", "path_", "p_"))
+    sums = sums.withColumnRenamed("host_", "of_host_").withColumnRenamed("path_", "of_path_")
+    sums = F.broadcast(sums) if prior["sites"] <= BROADCAST_SITES else sums
+    joined = scored.join(sums, F.col("host_").eqNullSafe(F.col("of_host_")) & F.col("path_").eqNullSafe(F.col("of_path_")), "left")
+    rest = lambda s, n, k, towards: (F.greatest(F.col(s) - F.col("p_"), F.lit(0.0)) + k * towards) / (F.col(n) - 1 + k)
+    rated = joined.withColumn("host_rate", rest("host_s", "host_n", prior["host"], prior["mu"])).withColumn("path_rate", rest("path_s", "path_n", prior["path"], F.col("host_rate")))
+    safe = lambda p: F.greatest(F.least(p, F.lit(1 - 1e-9)), F.lit(1e-9))
     logit = lambda p: F.log(p / (1 - p))
-    safe = F.greatest(F.least(F.col("p_"), F.lit(1 - 1e-9)), F.lit(1e-9))
-    odds = logit(safe) + logit(F.col("path_rate")) - logit(F.lit(mu))
-    return joined.withColumn("quality_", 1 / (1 + F.exp(-odds)))
+    odds = logit(safe(F.col("p_"))) + logit(safe(F.col("path_rate"))) - logit(F.lit(prior["mu"]))
+    return rated.withColumn("quality_", 1 / (1 + F.exp(-odds))).drop("of_host_", "of_path_", "host_n", "host_s", "path_n", "path_s")
 
 
 def assess(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> DataFrame:
     """doc_id, classifier score, host and path rates, posterior quality and the decision, for every document."""
     score = scorer(docs, fit(docs, labels))
     scored = materialize(docs.select("doc_id", host.alias("host_"), path.alias("path_"), score("text").alias("p_")), "scores")
-    out = _posterior(scored)
-    return out.select("doc_id", F.col("p_").alias("score"), "host_rate", "path_rate", F.col("quality_").alias("quality"), (F.col("quality_") >= REJECT_BELOW).alias("keep"))
+    return posterior(scored).select("doc_id", F.col("p_").alias("score"), "host_rate", "path_rate", F.col("quality_").alias("quality"), (F.col("quality_") >= REJECT_BELOW).alias("keep"))
 
 
 def kept(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> DataFrame:
     """The documents that ``assess`` keeps, with their own columns. Rows are written with their scores, so that
     each text is scored once and the second pass needs no Python."""
     score = scorer(docs, fit(docs, labels))
-    own = docs.columns
-    scored = materialize(docs.select(F.struct(*own).alias("row_"), host.alias("host_"), path.alias("path_"), score("text").alias("p_")), "scores")
-    rates, mu, sites = site_rates(scored.select("host_", "path_", "p_"))
-    rates = rates.select(F.col("host_").alias("rate_host_"), F.col("path_").alias("rate_path_"), "path_rate")
-    rates = F.broadcast(rates) if sites <= BROADCAST_SITES else rates
-    joined = scored.join(rates, F.col("host_").eqNullSafe(F.col("rate_host_")) & F.col("path_").eqNullSafe(F.col("rate_path_")), "left")
-    logit = lambda p: F.log(p / (1 - p))
-    safe = F.greatest(F.least(F.col("p_"), F.lit(1 - 1e-9)), F.lit(1e-9))
-    odds = logit(safe) + logit(F.col("path_rate")) - logit(F.lit(mu))
-    return joined.filter(1 / (1 + F.exp(-odds)) >= REJECT_BELOW).select("row_.*")
+    scored = materialize(docs.select(F.struct(*docs.columns).alias("row_"), host.alias("host_"), path.alias("path_"), score("text").alias("p_")), "scores")
+    return posterior(scored).filter(F.col("quality_") >= REJECT_BELOW).select("row_.*")

@@ -6,7 +6,6 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from duelframe.llm import base, bpe, hamming, jaccard, langid, media, packing, pii, quality, sharding, token_store
 
@@ -29,7 +28,8 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.assess(_table(spark, sf_dir), _table(spark, sf_dir, "labels"), F.col("source"), F.col("lang"))
+    docs = _table(spark, sf_dir)
+    return quality.assess(docs, _table(spark, sf_dir, "labels"), *quality.sites_of(docs))
 
 
 def op3_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
