@@ -14,7 +14,7 @@ LEAST_SCORE = 0.3
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose posterior quality is below one half."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality.kept(docs, labels, F.col("source"), F.col("lang")).select(*docs.columns)
+    return quality.kept(docs, labels, *quality.sites_of(docs)).select(*docs.columns)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
