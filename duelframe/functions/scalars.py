@@ -112,13 +112,18 @@ def horizon_bucket(lead: Column, buckets: list[tuple[str, float | None, float |
     return out
 
 
-def match_type_classifier(name: Column) -> Column:
+# Names of tournaments, lower-cased, by which kinds of matches are told apart.
+WORLD_CUP = "fifa world cup"
+CONTINENTAL = ("afc asian cup", "africa cup of nations", "copa america", "concacaf gold cup", "ofc nations cup", "uefa euro")
+
+
+def match_type_classifier(name: Column, continental: tuple[str, ...] = CONTINENTAL, world_cup: str = WORLD_CUP) -> Column:
+    """friendly, world_cup, qualification, continental (a name with one of these parts) or other."""
     n = F.lower(name)
-    continental = ("urgent", "high")
     found = F.lit(False)
     for part in continental:
         found |= n.contains(part)
-    return F.when(n.contains("friendly"), "friendly").when(n == "world cup", "world_cup").when(n.contains("qualif"), "qualification").when(found, "continental").otherwise("other")
+    return F.when(n.contains("friendly"), "friendly").when(n == world_cup, "world_cup").when(n.rlike("qualification|qualifier"), "qualification").when(found, "continental").otherwise("other")
 
 
 def status_normalizer(raw: Column, known: dict[str, str]) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duelframe.functions.scalars import expected_score
@@ -10,6 +10,11 @@ from duelframe.functions.scalars import expected_score
 INITIAL = 1500.0
 
 
+def idle_regressed(rating: Column, rest_days: Column, idle_days: Column, share: Column) -> Column:
+    """A rating moved by ``share`` towards the initial one after ``idle_days`` or more; a first contest never is."""
+    return F.when(rest_days >= idle_days, INITIAL + (rating - INITIAL) * (1 - share)).otherwise(rating)
+
+
 def rate_batch(ratings: DataFrame, batch: DataFrame, params: DataFrame) -> tuple[DataFrame, DataFrame]:
     """One date: all contests read ratings from before it; each team's changes are summed and applied once.
 
@@ -18,9 +23,8 @@ def rate_batch(ratings: DataFrame, batch: DataFrame, params: DataFrame) -> tuple
     """
     sides = batch.select(F.explode(F.array("home_id", "away_id")).alias("team"), F.col("match_date").alias("day")).distinct()
     p = F.broadcast(params)
-    idle = F.col("last_date").isNotNull() & (F.datediff("day", "last_date") >= F.col("idle_days"))
     start = F.coalesce("rating", F.lit(INITIAL))
-    pre = sides.crossJoin(p).join(ratings, ["param_id", "team"], "left").withColumn("pre", F.when(idle, INITIAL + (start - INITIAL) * (1 - F.col("idle_share"))).otherwise(start))
+    pre = sides.crossJoin(p).join(ratings, ["param_id", "team"], "left").withColumn("pre", idle_regressed(start, F.datediff("day", "last_date"), F.col("idle_days"), F.col("idle_share")))
     pre = pre.select("param_id", "team", "day", "pre", F.coalesce("played", F.lit(0)).alias("played"))
     h, a = (pre.select("param_id", F.col("team").alias(f"{s}_id"), F.col("pre").alias(f"{s}_pre")) for s in ("home", "away"))
     rows = batch.join(h, "home_id").join(a, ["param_id", "away_id"]).join(p, "param_id")

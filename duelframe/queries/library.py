@@ -66,7 +66,7 @@ def canonical_projection(pairs):
 
 @query("SELECT match_id, CASE WHEN contains(lower(competition), 'urgent') OR contains(lower(competition), 'high') THEN 'continental' ELSE 'other' END AS kind FROM pairs", "pairs")
 def match_type_classifier(pairs):
-    return pairs.select("match_id", scalars.match_type_classifier(F.col("competition")).alias("kind"))
+    return pairs.select("match_id", scalars.match_type_classifier(F.col("competition"), ("urgent", "high")).alias("kind"))
 
 
 @query("""SELECT match_id, status, status IN ('home_team', 'away_team') AS eligible FROM (SELECT match_id, CASE WHEN match_id % 6 = 0 THEN 'neutral' WHEN match_id % 40 = home_id THEN 'home_team' WHEN match_id % 40 = away_id THEN 'away_team' ELSE 'unknown' END AS status FROM pairs)""", "pairs")

@@ -2,30 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CORRUPT = "_corrupt_record"
+#: A comma that an even number of quotes follows.
+FIELD_END = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+MOST_HEADERS = 100
 FIXTURE = ("fixture_id", "kickoff", "status", "stage", "home_name", "away_name", "home_score", "away_score", "home_extra", "away_extra")
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(source_file, row_number from 1, line) of text files. Each split counts its own lines; what stands before a
+    split in its file comes from one small row a split, so no task reads more than its splits."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("start_"), F.col("value").alias("line"), F.monotonically_increasing_id().alias("id_"))
+    splits = lines.groupBy("source_file", "start_").agg(F.min("id_").alias("first_"), F.count("*").alias("n_"))
+    before = F.coalesce(F.sum("n_").over(Window.partitionBy("source_file").orderBy("start_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    splits = splits.select("source_file", "start_", (before - F.col("first_") + 1).alias("shift_"))
+    return lines.join(F.broadcast(splits), ["source_file", "start_"]).select("source_file", (F.col("id_") + F.col("shift_")).alias("row_number"), "line")
+
+
 def csv_scan_strict(spark: SparkSession, path: str, columns: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(good rows, quarantined rows): trimmed text columns; a missing header column is an error.
+    """(good rows, quarantined rows): trimmed text columns; a file without one of ``columns`` is an error.
 
-    Rows with too few or too many fields are quarantined with a reason and their text.
+    Each file has a header line of its own (up to MOST_HEADERS kinds of them). Fields may be quoted, with commas and
+    doubled quotes inside. Rows with too few or too many fields are quarantined with a reason and their text. Rows
+    carry their file and their number in it; the first after the header is 2, and blank lines are skipped.
     """
-    header = spark.read.text(path).limit(1).first()
-    names = [c.strip().lstrip("﻿") for c in header[0].split(",")] if header else []
-    if missing := [c for c in columns if c not in names]:
-        raise ValueError(f"missing columns: {missing}")
-    schema = T.StructType([*(T.StructField(c, T.StringType()) for c in names), T.StructField(CORRUPT, T.StringType())])
-    rows = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", True).csv(path)
-    rows = rows.select("*", F.col("_metadata.file_path").alias("source_file"))
-    fields = F.size(F.split(F.col(CORRUPT), ","))
-    bad = rows.filter(F.col(CORRUPT).isNotNull()).select("source_file", F.lit("parse").alias("stage"), F.when(fields > len(names), "extra CSV fields").otherwise("missing CSV fields").alias("reason"), F.create_map(F.lit("line"), F.col(CORRUPT), *(x for c in names for x in (F.lit(c), F.col(c)))).alias("payload"))
-    good = rows.filter(F.col(CORRUPT).isNull()).select(*(F.trim(c).alias(c) for c in names), "source_file")
-    return good, bad
+    lines = numbered_lines(spark, path).withColumn("fields_", F.transform(F.split("line", FIELD_END, -1), _unquoted))
+    headers = lines.filter("row_number = 1").select("source_file", F.col("fields_").alias("header_"))
+    kinds = [tuple(c.lstrip("\ufeff") for c in r[0]) for r in headers.select("header_").distinct().limit(MOST_HEADERS + 1).collect()]
+    if len(kinds) > MOST_HEADERS:
+        raise ValueError(f"more than {MOST_HEADERS} different headers")
+    if not kinds or any(set(columns) - set(names) for names in kinds):
+        raise ValueError(f"missing columns: {sorted({c for names in kinds or [()] for c in columns if c not in names})}")
+    names = list(dict.fromkeys(c for kind in kinds for c in kind))
+    rows = lines.filter("row_number > 1 and trim(line) != ''").join(F.broadcast(headers), "source_file")
+    bare = F.transform("header_", lambda c: F.ltrim(c, F.lit("\ufeff")))
+    placed = {c: F.col("fields_")[F.array_position(bare, c).cast("int") - 1] for c in names}
+    value = lambda c: F.when(F.array_contains(bare, c) & (F.size("fields_") >= F.array_position(bare, c)), placed[c])
+    same = F.size("fields_") == F.size("header_")
+    reason = F.when(F.size("fields_") > F.size("header_"), "extra CSV fields").otherwise("missing CSV fields")
+    bad = rows.filter(~same).select("source_file", "row_number", F.lit("parse").alias("stage"), reason.alias("reason"), F.create_map(F.lit("line"), F.col("line"), *(x for c in names for x in (F.lit(c), value(c)))).alias("payload"))
+    return rows.filter(same).select(*(value(c).alias(c) for c in names), "source_file", "row_number"), bad
+
+
+def _unquoted(field: Column) -> Column:
+    bare = F.trim(field)
+    return F.when(bare.rlike('^"(?s:.*)"$') & (F.length(bare) > 1), F.replace(bare.substr(F.lit(2), F.length(bare) - 2), F.lit('""'), F.lit('"'))).otherwise(bare)
 
 
 SIDES = "struct<home:int,away:int>"

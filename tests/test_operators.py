@@ -120,6 +120,35 @@ def test_csv_scan(spark, tmp_path):
         scans.csv_scan_strict(spark, str(tmp_path), ["score"])
 
 
+def test_csv_scan_of_several_files(spark, tmp_path):
+    """Headers of their own, quoted commas and quotes, blank lines, a byte order mark; rows are numbered from 2."""
+    (tmp_path / "a.csv").write_text('\ufeffhome,note\n a ,"x, ""y"""\n\nb,c,d\n', encoding="utf-8")
+    (tmp_path / "b.csv").write_text("note,home,more\nn,h,m\nonly\n")
+    good, bad = scans.csv_scan_strict(spark, str(tmp_path), ["home", "note"])
+    assert sorted((r["home"], r["note"], r["more"], r["row_number"]) for r in good.collect()) == [("a", 'x, "y"', None, 2), ("h", "n", "m", 2)]
+    assert sorted((r["reason"], r["row_number"], r["payload"]["line"]) for r in bad.collect()) == [("extra CSV fields", 4, "b,c,d"), ("missing CSV fields", 3, "only")]
+    (tmp_path / "c.csv").write_text("other\n1\n")
+    with pytest.raises(ValueError, match="home"):
+        scans.csv_scan_strict(spark, str(tmp_path), ["home", "note"])
+
+
+def test_lines_are_numbered_across_splits(spark, tmp_path):
+    (tmp_path / "t.txt").write_text("".join(f"line {k}\n" for k in range(1, 4001)))
+    most = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+        rows = scans.numbered_lines(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+    assert len(rows) == 4000 and all(r["line"] == f"line {r['row_number']}" for r in rows)
+
+
+def test_match_types(spark):
+    names = ["Friendly", "FIFA World Cup", "FIFA World Cup qualification", "UEFA Euro", "UEFA Euro qualification", "Copa America", "Island Games", "High Cup"]
+    got = [r[0] for r in spark.createDataFrame([(n,) for n in names], "n string").select(scalars.match_type_classifier(F.col("n"))).collect()]
+    assert got == ["friendly", "world_cup", "qualification", "continental", "qualification", "continental", "other", "other"]
+
+
 def test_json_scans(spark, tmp_path):
     side = lambda h, a: {"home": h, "away": a}
     a = {"matches": [{"id": 1, "utcDate": "2026-06-11T20:00:00Z", "status": "FINISHED", "group": "A", "homeTeam": {"name": "x"}, "awayTeam": {"name": "y"}, "score": {"duration": "REGULAR", "fullTime": side(2, 1)}}, {"id": 1, "utcDate": "2026-06-11T20:00:00Z", "status": "T"}, {"id": 2, "utcDate": "bad", "status": "T"}]}

@@ -29,6 +29,25 @@ def test_entry(spark):
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
+def test_preprocessing_of_all_rows(spark):
+    """Medians, means and deviations, and one place for each competition, by numpy."""
+    rows = view(spark, SF, "pairs").orderBy("match_id").collect()
+    d = np.array([np.nan if r["match_id"] % 7 == 0 else r["home_goals"] - r["away_goals"] for r in rows], float)
+    x = np.stack([np.where(np.isnan(d), np.median(d[~np.isnan(d)]), d), [r["home_id"] % 11 for r in rows]], 1)
+    x = (x - x.mean(0)) / x.std(0, ddof=1)
+    kinds = sorted({r["competition"] for r in rows})
+    got = {r["match_id"]: r["features"] for r in library.QUERIES["feature_preprocess"](spark, SF).collect()}
+    assert len(got) == len(rows)
+    for r, own in zip(rows, x):
+        place = [float(r["competition"] == k) for k in kinds]
+        assert np.allclose(got[r["match_id"]][:2], own, atol=1e-6) and got[r["match_id"]][2 : 2 + len(kinds)] == place
+
+
+def test_permutation_raises_the_loss(spark):
+    got = {r["feature"]: r["increase"] for r in library.QUERIES["permutation_importance"](spark, SF).collect()}
+    assert set(got) == {"p_home", "p_draw", "p_away"} and all(np.isfinite(v) for v in got.values())
+
+
 def standing(matches, teams):
     """(points, difference, goals) of each of these teams in the matches among them."""
     out = {t: [0, 0, 0] for t in teams}
