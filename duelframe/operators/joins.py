@@ -62,6 +62,13 @@ def previous_asof(rows: DataFrame, key: str, order: list[str], take: list[str])
     return rows.withColumns({f"previous_{c}": F.lag(c).over(w) for c in take})
 
 
+def latest_before(rows: DataFrame, key: str, instant: str, tie: str, take: dict[str, str], name: str) -> DataFrame:
+    """Each row with a struct of the latest row of its key at an earlier instant (of several the last by ``tie``)."""
+    w = Window.partitionBy(key).orderBy(F.unix_micros(instant)).rangeBetween(Window.unboundedPreceding, -1)
+    own = F.struct(F.col(instant).alias("instant_"), F.col(tie).alias("tie_"), *(F.col(c).alias(n) for n, c in take.items()))
+    return rows.withColumn(name, F.max(own).over(w))
+
+
 def previous_asof_by_cutoff(rows: DataFrame, near: int = 16) -> DataFrame:
     """visit_id and its previous visit of the team: strictly earlier and known by this row's cutoff.
 

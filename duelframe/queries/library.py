@@ -905,31 +905,6 @@ def weighted_poisson_goal_fit(pairs):
     return models.weighted_poisson_goal_fit(pairs, "1997-01-01")[1]
 
 
-@query(None, "pairs")
-def rho_profile_fit(pairs):
-    rows = pairs.select("competition", "home_goals", "away_goals", F.lit(1.4).alias("home_mean"), F.lit(1.1).alias("away_mean"), scalars.decay_weight(F.col("match_date"), F.lit("1999-01-01").cast("date"), 730.0).alias("weight"))
-    return models.rho_profile_fit(rows, "competition")
-
-
-@query(None, "pairs")
-def training_table_build(pairs):
-    m = pairs.withColumns({"reason": _reason(), "same_date_batch_id": F.date_format("match_date", "yyyy-MM-dd"), "modeling_period": scalars.modeling_period(F.col("match_date"), "1994-01-01", "1997-01-01"), "fingerprint": ids.row_fingerprint(pairs)})
-    return reports.with_outcome(m).withColumn("model_eligible", F.col("reason").isNull())
-
-
-@query(None, "visits")
-def contextual_feature_build(visits):
-    rested = windows.rest_time(visits, "team", "kickoff", "visit_id")
-    out = windows.short_rest_streak(windows.rolling_match_counts(rested, "team", "kickoff"), "team", ["kickoff", "visit_id"], "rest_days")
-    return windows.sequence_in_competition(out, "team", "competition", "kickoff")
-
-
-@query(None, "forecasts")
-def evaluate_prospective(forecasts):
-    official = windows.official_selection(forecasts.filter(_validity().isNull()))
-    return scoring.segment_metrics(official, {"all": F.lit("all"), "horizon": scalars.horizon_bucket(F.col("lead_hours"), BUCKETS), "rule": F.col("rule")})
-
-
 @query("""SELECT p.match_id, h.zone AS home_zone, h.elevation AS home_elevation, a.zone AS away_zone, a.elevation AS away_elevation
   FROM pairs p LEFT JOIN sites h ON h.site_id = p.home_id LEFT JOIN sites a ON a.site_id = p.away_id""", "pairs", "sites")
 def catalog_enrich_join(pairs, sites):

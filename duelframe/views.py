@@ -23,6 +23,14 @@ VIEWS = {
         CASE n_nationkey % 4 WHEN 0 THEN 'Europe/London' WHEN 1 THEN 'America/New_York' WHEN 2 THEN 'Asia/Tokyo' ELSE 'UTC' END AS zone FROM {nation}""",
     "raw": """SELECT o_orderkey AS row_id, CASE WHEN o_orderkey % 31 = 0 THEN 'n/a' ELSE concat(substr(CAST(CAST(o_orderdate AS DATE) AS STRING), 1, 7), '-01') END AS day, concat('NATION_', CAST(o_custkey % 27 AS STRING)) AS home,
         concat(' NATION_', CAST((o_custkey + o_orderkey % 7) % 27 AS STRING)) AS away, CASE WHEN o_orderkey % 37 = 0 THEN '-1' ELSE CAST(o_orderkey % 2 AS STRING) END AS home_score, CASE WHEN o_orderkey % 41 = 0 THEN '' ELSE '1' END AS away_score FROM {orders}""",
+    "contests": """SELECT o_orderkey AS match_id, CAST(o_orderdate AS DATE) AS match_date, o_custkey % 40 AS home_id, (o_custkey + 1 + o_orderkey % 39) % 40 AS away_id, o_orderkey % 5 AS home_goals, (o_orderkey * 7 + o_custkey) % 4 AS away_goals, o_orderpriority AS competition,
+        CASE WHEN o_orderkey % 50 != 0 THEN CAST(concat(substr(CAST(CAST(o_orderdate AS DATE) AS STRING), 1, 10), ' ', lpad(CAST(o_orderkey % 20 AS STRING), 2, '0'), ':00:00') AS TIMESTAMP) END AS kickoff,
+        CASE WHEN o_orderkey % 30 != 29 THEN o_orderkey % 25 END AS site_id, CASE o_orderkey % 3 WHEN 0 THEN true WHEN 1 THEN false END AS neutral, o_orderkey % 7 = 0 AS extra_time, o_orderkey % 14 = 0 AS penalties, o_orderkey % 40 != 0 AS trusted,
+        CASE WHEN o_orderkey % 9 = 0 THEN 'abandoned' ELSE 'played' END AS match_status, CASE o_orderkey % 4 WHEN 0 THEN 'neutral' WHEN 1 THEN 'home_team' WHEN 2 THEN 'away_team' ELSE 'unknown' END AS home_advantage FROM {orders}""",
+    "grounds": """SELECT n_nationkey AS site_id, n_nationkey % 6 AS country, CAST(n_nationkey * 7 % 180 - 90 AS DOUBLE) AS latitude, CAST(n_nationkey * 31 % 360 - 180 AS DOUBLE) AS longitude, n_nationkey * 211 % 4000 AS elevation,
+        CASE n_nationkey % 4 WHEN 0 THEN 'Asia/Tokyo' WHEN 1 THEN 'UTC' WHEN 2 THEN 'Asia/Kolkata' ELSE 'Africa/Lagos' END AS zone FROM {nation}""",
+    "hosts": "SELECT DISTINCT n_nationkey % 6 AS country, n_nationkey % 6 * 5 AS team FROM {nation} WHERE n_nationkey % 6 < 4",
+    "teams": """SELECT DISTINCT o_custkey % 40 AS team, CASE WHEN o_custkey % 40 % 17 = 3 THEN 'former' ELSE 'active' END AS status, CASE WHEN o_custkey % 40 % 19 = 4 THEN 'youth' ELSE 'senior' END AS type FROM {orders} WHERE o_custkey % 40 != 39""",
     "venues": """SELECT n_nationkey AS site_id, CASE WHEN n_nationkey % 5 = 0 THEN concat(n_name, '|NATION_', CAST(n_nationkey + 1 AS STRING)) WHEN n_nationkey = 3 THEN concat(n_name, '| NATION_25') ELSE n_name END AS aliases FROM {nation}""",
     "categories": "SELECT o_orderpriority AS name, concat('class ', substr(o_orderpriority, 1, 1)) AS category, CAST(min(o_orderkey % 5) + length(o_orderpriority) AS DOUBLE) AS weight FROM {orders} WHERE o_orderpriority NOT LIKE '5%' GROUP BY o_orderpriority",
 }
