@@ -107,23 +107,53 @@ def legacy_id_repair(rows: DataFrame, key: str, created: str, stable: Column) ->
     return met.withColumn("repair", repair).withColumn("new_id", F.when(repair, new).otherwise(F.col(key).cast("string"))).drop("mark_", "rows_", "kinds_", "times_")
 
 
+def ranked(rows: DataFrame, order: list[Column], within: list[str] = ()) -> DataFrame:
+    """Adds ``rank_``: places from 1 in the given order, in each group of ``within`` columns.
+
+    Rows are dealt by range of group and order and sorted there, so a group with most of the rows fills many tasks;
+    what stands before a task's part of a group comes from one small row for each of them. The dealt rows are
+    checkpointed, as numbers in a task hold only for one way of dealing.
+    """
+    keys = [*(F.col(c) for c in within), *order]
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = rows.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumn("number_", F.monotonically_increasing_id()).checkpoint()
+    placed = placed.withColumn("task_", F.shiftright("number_", 33))
+    sizes = placed.groupBy("task_", *within).agg(F.min("number_").alias("first_"), F.count("*").alias("n_"))
+    before = F.coalesce(F.sum("n_").over(Window.partitionBy(*within).orderBy("task_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.select(F.col("task_").alias("of_task_"), *(F.col(c).alias(f"of_{c}_") for c in within), (before - F.col("first_") + 1).alias("shift_"))
+    same = F.col("task_") == F.col("of_task_")
+    for c in within:
+        same &= F.col(c).eqNullSafe(F.col(f"of_{c}_"))
+    return placed.join(sizes, same).withColumn("rank_", F.col("number_") + F.col("shift_")).drop("number_", "task_", "of_task_", "shift_", *(f"of_{c}_" for c in within))
+
+
 def top_k_with_status(rows: DataFrame, order: list[Column], k: int) -> DataFrame:
-    """Rank over all rows by the given order; the first k qualify. The rows are the few that one table ranks."""
-    return rows.withColumn("rank", F.row_number().over(Window.orderBy(*order))).withColumn("status", F.when(F.col("rank") <= k, "best_third").otherwise("eliminated"))
+    """Rank over all rows by the given order; the first k qualify."""
+    placed = ranked(rows, order).withColumn("rank", F.col("rank_").cast("int")).drop("rank_")
+    return placed.withColumn("status", F.when(F.col("rank") <= k, "best_third").otherwise("eliminated"))
+
+
+def _with_size(rows: DataFrame, fold: str) -> DataFrame:
+    sizes = rows.groupBy(fold).agg(F.count("*").alias("size_")).withColumnRenamed(fold, "of_fold_")
+    return rows.join(sizes, F.col(fold).eqNullSafe(F.col("of_fold_"))).drop("of_fold_")
 
 
 def temporal_blocks(rows: DataFrame, fold: str, order: list[str], skip: int, blocks: int) -> DataFrame:
     """Skip a fold's first rows and split the rest into near-equal blocks, larger ones first."""
-    w = Window.partitionBy(fold).orderBy(*order)
-    kept = rows.withColumn("nth_", F.row_number().over(w)).filter(F.col("nth_") > skip)
-    cut = kept.withColumn("block", F.ntile(blocks).over(w))
-    return cut.withColumn("block_cutoff", F.min(order[0]).over(Window.partitionBy(fold, "block"))).drop("nth_")
+    placed = _with_size(ranked(rows, [F.col(c) for c in order], [fold]), fold).filter(F.col("rank_") > skip)
+    at, size = F.col("rank_") - skip - 1, F.col("size_") - skip
+    each, larger = F.floor(size / blocks), size % blocks
+    inside = F.when(at < larger * (each + 1), F.floor(at / (each + 1))).otherwise(larger + F.floor((at - larger * (each + 1)) / each))
+    cut = placed.withColumn("block", (inside + 1).cast("int")).drop("rank_", "size_")
+    first = cut.groupBy(fold, "block").agg(F.min(order[0]).alias("block_cutoff")).select(F.col(fold).alias("of_fold_"), F.col("block").alias("of_block_"), "block_cutoff")
+    return cut.join(first, F.col(fold).eqNullSafe(F.col("of_fold_")) & (F.col("block") == F.col("of_block_"))).drop("of_fold_", "of_block_")
 
 
 def ratio_split(rows: DataFrame, fold: str, order: list[str], shares: tuple[float, float] = (0.6, 0.8)) -> DataFrame:
-    w = Window.partitionBy(fold)
-    place = F.row_number().over(w.orderBy(*order)) / F.count("*").over(w)
-    return rows.withColumn("part", F.when(place <= shares[0], "train").when(place <= shares[1], "tune").otherwise("calibration"))
+    """The first share of each fold's rows to train, up to the next to tune, the rest to calibration."""
+    placed = _with_size(ranked(rows, [F.col(c) for c in order], [fold]), fold)
+    place = F.col("rank_") / F.col("size_")
+    return placed.withColumn("part", F.when(place <= shares[0], "train").when(place <= shares[1], "tune").otherwise("calibration")).drop("rank_", "size_")
 
 
 def rank_with_tiebreaks(standings: DataFrame, matches: DataFrame, teams: int | None = None) -> DataFrame:

@@ -108,15 +108,28 @@ def weighted_poisson_goal_fit(matches: DataFrame, cutoff: str, half_life: float
 
 
 def score_grid(rows: DataFrame, most: int = 10, outcome_most: int = 40) -> DataFrame:
-    """From home_mean, away_mean and rho: outcome probabilities on a wide grid, mass and mode of the stored one."""
-    key = [c for c in rows.columns]
-    grid = rows.withColumns({"ph": poisson_pmf(F.col("home_mean"), outcome_most), "pa": poisson_pmf(F.col("away_mean"), outcome_most)})
-    grid = grid.select(*key, F.posexplode("ph").alias("h", "x"), "pa").select(*key, "h", "x", F.posexplode("pa").alias("a", "y"))
-    p = F.col("x") * F.col("y") * F.greatest(low_score_correction(F.col("h"), F.col("a"), F.col("home_mean"), F.col("away_mean"), F.col("rho")), F.lit(0.0))
-    grid = grid.withColumn("p", p)
-    stored = (F.col("h") <= most) & (F.col("a") <= most)
-    out = grid.groupBy(*key).agg(F.sum("p").alias("all_"), *(F.sum(F.when(c, F.col("p")).otherwise(0.0)).alias(n) for n, c in (("w_", F.col("h") > F.col("a")), ("d_", F.col("h") == F.col("a")), ("l_", F.col("h") < F.col("a")))), F.sum(F.when(stored, F.col("p")).otherwise(0.0)).alias("mass"), F.max(F.when(stored, F.struct(F.col("p").alias("p"), (-F.col("h")).alias("h"), (-F.col("a")).alias("a")))).alias("m"))
-    return out.select(*key, (F.col("w_") / F.col("all_")).alias("p_home"), (F.col("d_") / F.col("all_")).alias("p_draw"), (F.col("l_") / F.col("all_")).alias("p_away"), "mass", (1 - F.col("mass")).alias("residual"), F.concat_ws("-", -F.col("m.h"), -F.col("m.a")).alias("modal_score"))
+    """From home_mean, away_mean and rho: outcome probabilities on a wide grid, mass and mode of the stored one.
+
+    The grid is a product of two marginals but for four low scores, so its sums come from the marginals' and what
+    those four differ by: no row becomes many, and nothing is shuffled.
+    """
+    x, y = F.col("x_"), F.col("y_")
+    at = lambda c, k: c[k]
+    total = lambda c: F.aggregate(c, F.lit(0.0), lambda s, v: s + v)
+    upto = lambda c: F.aggregate(F.slice(c, 2, outcome_most), F.slice(c, 1, 1), lambda s, v: F.concat(s, F.array(F.element_at(s, -1) + v)))
+    grid = rows.withColumns({"x_": poisson_pmf(F.col("home_mean"), outcome_most), "y_": poisson_pmf(F.col("away_mean"), outcome_most)}).withColumns({"cx_": upto(x), "cy_": upto(y)})
+    low = {(h, a): F.greatest(low_score_correction(F.lit(h), F.lit(a), F.col("home_mean"), F.col("away_mean"), F.col("rho")), F.lit(0.0)) for h in (0, 1) for a in (0, 1)}
+    more = {k: at(x, k[0]) * at(y, k[1]) * (t - 1) for k, t in low.items()}
+    beats = lambda v, c: F.aggregate(F.zip_with(F.slice(v, 2, outcome_most), F.slice(c, 1, outcome_most), lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p)
+    drawn = F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p) + more[0, 0] + more[1, 1]
+    grid = grid.withColumns({"w_": beats(x, F.col("cy_")) + more[1, 0], "d_": drawn, "l_": beats(y, F.col("cx_")) + more[0, 1], "all_": total(x) * total(y) + sum(more.values()), "mass": at(F.col("cx_"), most) * at(F.col("cy_"), most) + sum(more.values())})
+    best = lambda c, first: F.array_max(F.transform(F.slice(c, first + 1, most + 1 - first), lambda v, k: F.struct(v.alias("p"), (-(k + first)).alias("k"))))
+    # the mode is one of the four, or the best cell of the rest, which has a score of two or more on some side
+    cell = lambda p, h, a: F.struct(F.round(p, 12).alias("p"), h.cast("int").alias("h"), a.cast("int").alias("a"))
+    pairs = [(best(x, i), best(y, j)) for i, j in ((2, 0), (0, 2))]
+    cells = [cell(h["p"] * a["p"], h["k"], a["k"]) for h, a in pairs] + [cell(at(x, h) * at(y, a) * t, F.lit(-h), F.lit(-a)) for (h, a), t in low.items()]
+    grid = grid.withColumn("m_", F.array_max(F.array(*cells)))
+    return grid.select(*rows.columns, (F.col("w_") / F.col("all_")).alias("p_home"), (F.col("d_") / F.col("all_")).alias("p_draw"), (F.col("l_") / F.col("all_")).alias("p_away"), "mass", (1 - F.col("mass")).alias("residual"), F.concat_ws("-", -F.col("m_.h"), -F.col("m_.a")).alias("modal_score"))
 
 
 def rho_profile_fit(rows: DataFrame, by: str, steps: int = 40, most: float = 0.2, penalty: float = 10.0) -> DataFrame:

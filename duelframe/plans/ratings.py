@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from duelframe.functions.scalars import expected_score
 
 INITIAL = 1500.0
+RATINGS = "param_id string, team long, rating double, played long, last_date date"
+HISTORY = "param_id string, match_id long, match_date date, home_id long, away_id long, home_pre double, away_pre double, expected double, delta double, home_post double, away_post double"
 
 
 def idle_regressed(rating: Column, rest_days: Column, idle_days: Column, share: Column) -> Column:
@@ -32,23 +34,33 @@ def rate_batch(ratings: DataFrame, batch: DataFrame, params: DataFrame) -> tuple
     actual = F.when(gd > 0, 1.0).when(gd < 0, 0.0).otherwise(0.5)
     margin = F.when(F.abs(gd) <= 1, 1.0).otherwise(1 + (F.abs(gd) - 1) * F.col("margin_weight"))
     rows = rows.withColumn("expected", expected_score(F.col("home_pre") + F.col("home_advantage") - F.col("away_pre"))).withColumn("delta", F.col("k") * margin * (actual - F.col("expected")))
-    changes = rows.select("param_id", F.explode(F.array(F.struct(F.col("home_id").alias("team"), F.col("delta").alias("d")), F.struct(F.col("away_id").alias("team"), (-F.col("delta")).alias("d")))).alias("x")).groupBy("param_id", "x.team").agg(F.sum("x.d").alias("d"), F.count("*").alias("n"))
-    updated = pre.join(changes, ["param_id", "team"]).select("param_id", "team", (F.col("pre") + F.col("d")).alias("rating"), (F.col("played") + F.col("n")).alias("played"), F.col("day").alias("last_date"))
-    rest = ratings.join(updated.select("param_id", "team"), ["param_id", "team"], "left_anti")
-    ph, pa = (updated.select("param_id", F.col("team").alias(f"{s}_id"), F.col("rating").alias(f"{s}_post")) for s in ("home", "away"))
-    rows = rows.join(ph, ["param_id", "home_id"]).join(pa, ["param_id", "away_id"])
-    return rows.select("param_id", "match_id", "match_date", "home_id", "away_id", "home_pre", "away_pre", "expected", "delta", "home_post", "away_post"), updated.unionByName(rest.select(*updated.columns))
+    changes = rows.select("param_id", F.explode(F.array(F.struct(F.col("home_id").alias("team"), F.col("delta").alias("d")), F.struct(F.col("away_id").alias("team"), (-F.col("delta")).alias("d")))).alias("x")).groupBy("param_id", "x.team").agg(F.sum("x.d").alias("d"))
+    for s in ("home", "away"):
+        rows = rows.join(changes.select("param_id", F.col("team").alias(f"{s}_id"), F.col("d").alias(f"{s}_d")), ["param_id", f"{s}_id"])
+    rows = rows.select("param_id", "match_id", "match_date", "home_id", "away_id", "home_pre", "away_pre", "expected", "delta", *((F.col(f"{s}_pre") + F.col(f"{s}_d")).alias(f"{s}_post") for s in ("home", "away")))
+    return rows, ratings_after(ratings, rows)
 
 
-def rating_history(matches: DataFrame, params: DataFrame, every: int = 4) -> tuple[DataFrame, DataFrame]:
-    """All dates in order: (contest rows, current ratings). Ratings are checkpointed every few dates."""
+def ratings_after(ratings: DataFrame, rows: DataFrame) -> DataFrame:
+    """Ratings once these contest rows of one date are in."""
+    side = lambda s: F.struct(F.col(f"{s}_id").alias("team"), F.col(f"{s}_post").alias("rating"))
+    own = rows.select("param_id", "match_date", F.explode(F.array(side("home"), side("away"))).alias("x")).groupBy("param_id", "x.team").agg(F.first("x.rating").alias("rating_"), F.count("*").alias("n_"), F.max("match_date").alias("day_"))
+    met = ratings.join(own, ["param_id", "team"], "full")
+    return met.select("param_id", "team", F.coalesce("rating_", "rating").alias("rating"), (F.coalesce("played", F.lit(0)) + F.coalesce("n_", F.lit(0))).alias("played"), F.coalesce("day_", "last_date").alias("last_date"))
+
+
+def rating_history(matches: DataFrame, params: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """All dates in order: (contest rows, current ratings), kept as tables under ``path`` in a shared folder.
+
+    One step a date (or whatever ``match_date`` is cut to), as each reads the ratings before it. A step writes its
+    contest rows, and from them the ratings, a row for each team and parameter set, so no plan grows with the dates.
+    """
     spark = matches.sparkSession
-    ratings = spark.createDataFrame([], "param_id string, team long, rating double, played long, last_date date")
-    dates = [r["match_date"] for r in matches.select("match_date").distinct().orderBy("match_date").collect()]
-    out = None
-    for k, day in enumerate(dates):
-        rows, ratings = rate_batch(ratings, matches.filter(F.col("match_date") == day), params)
-        out = rows if out is None else out.unionByName(rows)
-        if (k + 1) % every == 0:
-            ratings, out = ratings.checkpoint(), out.checkpoint()
-    return out, ratings
+    ratings = spark.createDataFrame([], RATINGS)
+    days = [r["match_date"] for r in matches.select("match_date").distinct().orderBy("match_date").toLocalIterator()]
+    for k, day in enumerate(days):
+        rows, _ = rate_batch(ratings, matches.filter(F.col("match_date") == day), params)
+        rows.write.parquet(f"{path}/contests/step={k}")
+        ratings_after(ratings, spark.read.schema(HISTORY).parquet(f"{path}/contests/step={k}")).write.parquet(f"{path}/ratings/step={k}")
+        ratings = spark.read.schema(RATINGS).parquet(f"{path}/ratings/step={k}")
+    return spark.read.schema(HISTORY).parquet(*(f"{path}/contests/step={k}" for k in range(len(days)))) if days else spark.createDataFrame([], HISTORY), ratings

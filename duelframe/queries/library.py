@@ -473,18 +473,18 @@ def fold_inventory(pairs):
 DRAW = "('0x' || substr(md5({}), 1, 8))::BIGINT"
 
 
-@query(f"""WITH {LOSS}, d AS (SELECT fixture_id, forecast_id, log_loss + ln(1.0 / 3) AS delta FROM l WHERE fixture_id % 10 = 0), p AS (SELECT *, row_number() OVER (PARTITION BY fixture_id ORDER BY forecast_id) - 1 AS place FROM d),
-s AS (SELECT fixture_id, count(*) AS n, avg(delta) AS m FROM p GROUP BY 1), g AS (SELECT s.fixture_id, n, r.range AS resample, k.range AS slot FROM s, range(50) r, range(1000) k WHERE k.range < n),
+@query(f"""WITH {LOSS}, d AS (SELECT fixture_id, forecast_id, log_loss + ln(1.0 / 3) AS delta FROM l), p AS (SELECT *, row_number() OVER (PARTITION BY fixture_id ORDER BY forecast_id) - 1 AS place FROM d),
+s AS (SELECT fixture_id, count(*) AS n, avg(delta) AS m FROM p GROUP BY 1), g AS (SELECT fixture_id, n, resample, unnest(range(n)) AS slot FROM (SELECT fixture_id, n, unnest(range(50)) AS resample FROM s)),
 k AS (SELECT fixture_id, resample, {DRAW.format("fixture_id || '|' || resample || '|' || slot")} % n AS place FROM g), m AS (SELECT fixture_id, resample, avg(delta) AS m FROM k JOIN p USING (fixture_id, place) GROUP BY 1, 2)
 SELECT s.fixture_id, s.n, round(s.m, 6) AS mean_delta, round(quantile_cont(m.m, 0.025), 6) AS low, round(quantile_cont(m.m, 0.975), 6) AS high, round(avg((m.m < 0)::INT), 6) AS share_below_zero FROM m JOIN s USING (fixture_id) GROUP BY 1, 2, 3""", "forecasts")
 def paired_bootstrap_ci(forecasts):
-    d = scoring.with_losses(forecasts.filter("fixture_id % 10 = 0")).select("fixture_id", "forecast_id", (F.col("log_loss") + F.log(F.lit(1 / 3))).alias("delta"))
+    d = scoring.with_losses(forecasts).select("fixture_id", "forecast_id", (F.col("log_loss") + F.log(F.lit(1 / 3))).alias("delta"))
     return _rounded(scoring.paired_bootstrap_ci(d, "forecast_id", "fixture_id", 50), "mean_delta", "low", "high", "share_below_zero")
 
 
 @query(None, "forecasts")
 def paired_bootstrap_ci_whole(forecasts):
-    """Every fixture and 1,000 resamples; ``paired_bootstrap_ci`` keeps to what its SQL has."""
+    """1,000 resamples, more than SQL has time for; ``paired_bootstrap_ci`` has 50 and SQL."""
     d = scoring.with_losses(forecasts).select("fixture_id", "forecast_id", (F.col("log_loss") + F.log(F.lit(1 / 3))).alias("delta"))
     return _rounded(scoring.paired_bootstrap_ci(d, "forecast_id", "fixture_id", 1000), "mean_delta", "low", "high", "share_below_zero")
 
@@ -630,10 +630,10 @@ def legacy_id_repair(forecasts):
     return windows.legacy_id_repair(rows, "id", "created_at", F.col("body").cast("string")).select("id", "created_at", "repair", "new_id")
 
 
-@query(f"WITH {STAND}, t AS (SELECT team, points, difference, scored FROM st WHERE competition = '1-URGENT'), r AS (SELECT team, CAST(row_number() OVER (ORDER BY points DESC, difference DESC, scored DESC, team) AS INT) AS rank FROM t) SELECT team, rank, CASE WHEN rank <= 8 THEN 'best_third' ELSE 'eliminated' END AS status FROM r", "pairs")
+@query(f"WITH {STAND} SELECT competition, team, CAST(row_number() OVER w AS INT) AS rank, CASE WHEN row_number() OVER w <= 8 THEN 'best_third' ELSE 'eliminated' END AS status FROM st WINDOW w AS (ORDER BY points DESC, difference DESC, scored DESC, team, competition)", "pairs")
 def top_k_with_status(pairs):
-    table = reports.group_standings(pairs).filter("competition = '1-URGENT'")
-    return windows.top_k_with_status(table, [F.desc("points"), F.desc("difference"), F.desc("scored"), F.col("team")], 8).select("team", "rank", "status")
+    order = [F.desc("points"), F.desc("difference"), F.desc("scored"), F.col("team"), F.col("competition")]
+    return windows.top_k_with_status(reports.group_standings(pairs), order, 8).select("competition", "team", "rank", "status")
 
 
 @query("""WITH x AS (SELECT *, row_number() OVER (PARTITION BY competition ORDER BY match_date, match_id) AS r FROM pairs), y AS (SELECT competition, match_id, match_date, ntile(5) OVER (PARTITION BY competition ORDER BY match_date, match_id) AS block FROM x WHERE r > 100)
@@ -771,13 +771,14 @@ def observed_score_loglik(pairs):
     return pairs.select("match_id", r6(scalars.observed_score_loglik(F.col("home_goals"), F.col("away_goals"), F.lit(1.2), F.lit(0.9), F.lit(-0.1))).alias("loglik"))
 
 
-@query("""WITH m AS (SELECT DISTINCT home_id, 0.5 + home_id / 40.0 AS hm FROM pairs), g AS (SELECT home_id, h.range AS h, a.range AS a, exp(h.range * ln(hm) - hm - lgamma(h.range + 1.0)) * exp(a.range * ln(1.1) - 1.1 - lgamma(a.range + 1.0)) *
-  greatest(CASE WHEN h.range = 0 AND a.range = 0 THEN 1 + hm * 1.1 * 0.05 WHEN h.range = 0 AND a.range = 1 THEN 1 - hm * 0.05 WHEN h.range = 1 AND a.range = 0 THEN 1 - 1.1 * 0.05 WHEN h.range = 1 AND a.range = 1 THEN 1.05 ELSE 1 END, 0) AS p FROM m, range(41) h, range(41) a)
-SELECT home_id, round(sum(p) FILTER (WHERE h > a) / sum(p), 6) AS p_home, round(sum(p) FILTER (WHERE h = a) / sum(p), 6) AS p_draw, round(sum(p) FILTER (WHERE h < a) / sum(p), 6) AS p_away, round(sum(p) FILTER (WHERE h <= 10 AND a <= 10), 6) AS mass,
-  arg_max(h || '-' || a, struct_pack(p := p, h := -h, a := -a)) FILTER (WHERE h <= 10 AND a <= 10) AS modal_score FROM g GROUP BY 1""", "pairs")
+@query("""WITH m AS (SELECT DISTINCT home_id, away_id, 0.5 + home_id / 40.0 AS hm, 0.4 + away_id / 50.0 AS am FROM pairs), g AS (SELECT home_id, away_id, h.range AS h, a.range AS a, exp(h.range * ln(hm) - hm - lgamma(h.range + 1.0)) * exp(a.range * ln(am) - am - lgamma(a.range + 1.0)) *
+  greatest(CASE WHEN h.range = 0 AND a.range = 0 THEN 1 + hm * am * 0.05 WHEN h.range = 0 AND a.range = 1 THEN 1 - hm * 0.05 WHEN h.range = 1 AND a.range = 0 THEN 1 - am * 0.05 WHEN h.range = 1 AND a.range = 1 THEN 1.05 ELSE 1 END, 0) AS p FROM m, range(41) h, range(41) a),
+o AS (SELECT home_id, away_id, round(sum(p) FILTER (WHERE h > a) / sum(p), 6) AS p_home, round(sum(p) FILTER (WHERE h = a) / sum(p), 6) AS p_draw, round(sum(p) FILTER (WHERE h < a) / sum(p), 6) AS p_away, round(sum(p) FILTER (WHERE h <= 10 AND a <= 10), 6) AS mass,
+  arg_max(h || '-' || a, struct_pack(p := round(p, 12), h := -h, a := -a)) FILTER (WHERE h <= 10 AND a <= 10) AS modal_score FROM g GROUP BY 1, 2)
+SELECT match_id, p_home, p_draw, p_away, mass, modal_score FROM pairs JOIN o USING (home_id, away_id)""", "pairs")
 def score_grid(pairs):
-    rows = pairs.select("home_id").distinct().select("home_id", (0.5 + F.col("home_id") / 40).alias("home_mean"), F.lit(1.1).alias("away_mean"), F.lit(-0.05).alias("rho"))
-    return _rounded(models.score_grid(rows).select("home_id", "p_home", "p_draw", "p_away", "mass", "modal_score"), "p_home", "p_draw", "p_away", "mass")
+    rows = pairs.select("match_id", (0.5 + F.col("home_id") / 40).alias("home_mean"), (0.4 + F.col("away_id") / 50).alias("away_mean"), F.lit(-0.05).alias("rho"))
+    return _rounded(models.score_grid(rows).select("match_id", "p_home", "p_draw", "p_away", "mass", "modal_score"), "p_home", "p_draw", "p_away", "mass")
 
 
 @query("SELECT competition, home_goals, away_goals, round(count(*) / sum(count(*)) OVER (PARTITION BY competition), 6) AS p FROM pairs GROUP BY 1, 2, 3", "pairs")

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from duelframe.functions import scalars
-from duelframe.plans import contextual, models, training
-from duelframe.queries.library import AVGS, BUCKETS, LOSS, METRICS, VALIDITY, _rounded, _validity, query, r6
+from duelframe.plans import contextual, models, ratings, training
+from duelframe.queries.library import AVGS, BUCKETS, LOSS, METRICS, PARAMS, VALIDITY, _rounded, _validity, query, r6
+from duelframe.queries.round_trips import home
 
 DAY = 86_400_000_000
 FEATURES = contextual.DIFFERENCES
@@ -104,3 +105,12 @@ def evaluate_prospective(forecasts):
 def rho_profile_fit(pairs):
     rows = pairs.select("competition", "home_goals", "away_goals", F.lit(1.4).alias("home_mean"), F.lit(1.1).alias("away_mean"), scalars.decay_weight(F.col("match_date"), F.lit("1999-01-01").cast("date"), 730.0).alias("weight"))
     return models.rho_profile_fit(rows, "competition").select("competition", r6("rho").alias("rho"), r6("objective").alias("objective"))
+
+
+@query(None, "pairs")
+def elo_history(pairs):
+    """All contests, rated by half-years (a batch reads the ratings from before it), with two parameter sets."""
+    halves = pairs.withColumn("match_date", F.make_date(F.year("match_date"), F.when(F.month("match_date") <= 6, 1).otherwise(7), F.lit(1)))
+    sets = pairs.sparkSession.createDataFrame([("calm", 10.0, 0.0, 0.0, 10_000, 0.0), ("idle", 20.0, 50.0, 0.15, 180, 0.25)], PARAMS)
+    rows, _ = ratings.rating_history(halves, sets, home(pairs.sparkSession))
+    return rows.select("param_id", "match_id", *(r6(c).alias(c) for c in ("home_pre", "away_pre", "expected", "delta", "home_post", "away_post")))

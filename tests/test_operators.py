@@ -4,6 +4,7 @@ import datetime as dt
 import gzip
 import json
 import random
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -25,8 +26,7 @@ def params(spark, **over):
 
 
 def history(spark, rows, **over):
-    spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
-    out, now = ratings.rating_history(spark.createDataFrame(rows, MATCH), params(spark, **over), every=2)
+    out, now = ratings.rating_history(spark.createDataFrame(rows, MATCH), params(spark, **over), f"{spark.conf.get('spark.checkpoint.dir')}/{uuid.uuid4().hex}")
     return {r["match_id"]: r for r in out.collect()}, {r["team"]: r["rating"] for r in now.collect()}
 
 

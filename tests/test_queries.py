@@ -48,6 +48,36 @@ def test_permutation_raises_the_loss(spark):
     assert set(got) == {"p_home", "p_draw", "p_away"} and all(np.isfinite(v) for v in got.values())
 
 
+def test_ratings_of_all_contests(spark):
+    """All half-years of all contests in plain Python: batches read earlier ratings, idle teams regress."""
+    sets = {"calm": (10.0, 0.0, 0.0, 10_000, 0.0), "idle": (20.0, 50.0, 0.15, 180, 0.25)}
+    batches = {}
+    for r in view(spark, SF, "pairs").collect():
+        d = r["match_date"]
+        batches.setdefault(d.replace(month=1 if d.month <= 6 else 7, day=1), []).append(r)
+    want = {}
+    for name, (k, advantage, weight, idle, share) in sets.items():
+        now, last = {}, {}
+        for day in sorted(batches):
+            teams = {t for r in batches[day] for t in (r["home_id"], r["away_id"])}
+            pre = {t: now.get(t, 1500.0) for t in teams}
+            pre = {t: 1500 + (v - 1500) * (1 - share) if t in last and (day - last[t]).days >= idle else v for t, v in pre.items()}
+            post, rows = dict(pre), []
+            for r in batches[day]:
+                h, a, gd = r["home_id"], r["away_id"], r["home_goals"] - r["away_goals"]
+                e = 1 / (1 + 10 ** (-(pre[h] + advantage - pre[a]) / 400))
+                delta = k * (1 if abs(gd) <= 1 else 1 + (abs(gd) - 1) * weight) * ((1.0 if gd > 0 else 0.0 if gd < 0 else 0.5) - e)
+                post[h] += delta
+                post[a] -= delta
+                rows.append((r["match_id"], h, a, e, delta))
+            for m, h, a, e, delta in rows:
+                want[name, m] = (pre[h], pre[a], e, delta, post[h], post[a])
+            now |= post
+            last |= dict.fromkeys(teams, day)
+    got = {(r[0], r[1]): tuple(r)[2:] for r in library.QUERIES["elo_history"](spark, SF).select("param_id", "match_id", "home_pre", "away_pre", "expected", "delta", "home_post", "away_post").collect()}
+    assert set(got) == set(want) and np.allclose([got[k] for k in sorted(got)], [want[k] for k in sorted(want)], atol=2e-6)
+
+
 def standing(matches, teams):
     """(points, difference, goals) of each of these teams in the matches among them."""
     out = {t: [0, 0, 0] for t in teams}
