@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from duelframe.llm.base import bit_set, materialize, small_batches
+from duelframe.llm.base import bit_set, lean, materialize, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 #: Each pattern takes a whole run of what a match may begin with, so that no text is scanned twice; where
@@ -42,8 +42,10 @@ DIGIT, PLUS = re.compile("[0-9]"), re.compile(r"\+[0-9]")
 WORD = re.compile(r"[^\W\d_]+")
 #: Documents that a term must share with an entity, unless told otherwise.
 SUPPORT = 3
-#: Bits of the set of disclosing terms that every task looks words up in (at most 16 MB are broadcast).
-TERM_BITS = (16, 27)
+#: Terms that are broadcast as they are (a few MB); more become a set of at most 2^27 bits (16 MB).
+EXACT_TERMS, TERM_BITS = 100_000, (16, 27)
+#: Words whose term a worker remembers.
+KNOWN_WORDS = 200_000
 #: Shares of an entity's information content at which a term is generalised, and removed.
 GENERALISE, REMOVE = 0.85, 1.0
 FOUND = "doc_id long, key string, n array<long>, spans array<string>, entities array<string>, terms array<string>"
@@ -88,6 +90,24 @@ def outside(text: str, spans: list[tuple[int, int, str]]) -> Iterator[tuple[int,
             yield at, end, m[0].lower()
 
 
+def _letter(c: str) -> bool:
+    return c.isalnum() and not c.isdecimal()
+
+
+def blanked(text: str, spans: list[tuple[int, int, str]]) -> str:
+    """The text with a space for each base span, and for what is left of words that a span touches."""
+    out, at = [], 0
+    for start, end, _ in spans:
+        while start > at and _letter(text[start]) and _letter(text[start - 1]):
+            start -= 1
+        while end < len(text) and _letter(text[end - 1]) and _letter(text[end]):
+            end += 1
+        if end > at:
+            out.append(text[at : max(start, at)])
+            at = end
+    return " ".join([*out, text[at:]])
+
+
 def words_of(text: str) -> set[str]:
     """The terms of a text, each once."""
     return {w.lower() for w in set(WORD.findall(text))}
@@ -101,6 +121,7 @@ def find(docs: DataFrame) -> DataFrame:
     """Base spans and the digest (key) of every whole text; entities and terms of those with base spans."""
     small_batches(docs.sparkSession)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
@@ -109,7 +130,7 @@ def find(docs: DataFrame) -> DataFrame:
                 spans = base_spans(text)
                 count = [sum(k == kind for _, _, k in spans) for kind in KINDS]
                 entities = sorted({f"{k}:{text[s:e].lower()}" for s, e, k in spans})
-                terms = sorted({w for _, _, w in outside(text, spans)}) if spans else []
+                terms = sorted(words_of(blanked(text, spans))) if spans else []
                 out.append((digest(text), count, [f"{k}:{s}:{e}" for s, e, k in spans], entities, terms))
             columns = list(zip(*out, strict=True)) or [[]] * 5
             types = (pa.string(), pa.list_(pa.int64()), *[pa.list_(pa.string())] * 3)
@@ -122,12 +143,12 @@ def terms_of_all(docs: DataFrame, may: Candidates) -> DataFrame:
     """(term, with_term): in how many documents each term that may be wanted stands, anywhere in them."""
     small_batches(docs.sparkSession)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             count: Counter[str] = Counter()
             for t in batch.column(0):
-                count.update(words_of(t.as_py() or ""))
-            count = {w: n for w, n in count.items() if w in may}
+                count.update(may.hits(t.as_py() or ""))
             yield pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())], ["term", "n"])
 
     return docs.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("with_term"))
@@ -165,32 +186,53 @@ def disclosing(docs: DataFrame, found: DataFrame, support: int = SUPPORT) -> Dat
 
 
 class Candidates:
-    """A set of terms by bits of their CRC, small enough for every task; it may also say yes to others."""
+    """Terms to look for, small enough for every task: up to EXACT_TERMS as they are, beyond as bits of their CRC,
+    which may also say yes to others."""
 
     def __init__(self, terms: DataFrame):
         n = terms.count()
-        self.empty = not n
-        bits = min(max(math.ceil(math.log2(64 * max(n, 1))), TERM_BITS[0]), TERM_BITS[1])
-        table = bit_set(terms.select(F.crc32(F.col("term").cast("binary")) % (1 << bits)), bits)
-        self.shared = terms.sparkSession.sparkContext.broadcast(table.tobytes())
-
-    def __contains__(self, term: str) -> bool:
-        table = self.shared.value
-        b = zlib.crc32(term.encode()) & (8 * len(table) - 1)
-        return bool(table[b >> 3] >> (b & 7) & 1)
+        self.empty, self.known = not n, None
+        self.exact = n <= EXACT_TERMS
+        if self.exact:
+            held = [r["term"] for r in terms.select("term").collect()]
+        else:
+            bits = min(max(math.ceil(math.log2(1024 * n)), TERM_BITS[0]), TERM_BITS[1])
+            held = bit_set(terms.select(F.crc32(F.col("term").cast("binary")) % (1 << bits)), bits).tobytes()
+        self.shared = terms.sparkSession.sparkContext.broadcast(held)
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"known": None}
+
+    def hits(self, text: str) -> set[str]:
+        """The terms among the text's words. What each word is, is remembered for up to KNOWN_WORDS of them."""
+        if self.known is None or len(self.known) > KNOWN_WORDS:
+            self.known, self.terms = {}, frozenset(self.shared.value) if self.exact else self.shared.value
+        known, out = self.known, set()
+        for w in set(WORD.findall(text)):
+            term = known.get(w, w)
+            if term is w:
+                low = w.lower()
+                term = known[w] = low if self._has(low) else None
+            if term is not None:
+                out.add(term)
+        return out
+
+    def _has(self, term: str) -> bool:
+        if self.exact:
+            return term in self.terms
+        b = zlib.crc32(term.encode()) & (8 * len(self.terms) - 1)
+        return bool(self.terms[b >> 3] >> (b & 7) & 1)
 
 
 def term_spans(docs: DataFrame, terms: DataFrame, may: Candidates) -> DataFrame:
     """(key, extra): for each distinct text, the spans of all disclosing terms in it."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, clear = [], set()
+            rows = []
             for t in set(batch.column(0).to_pylist()) - {None}:
-                new = words_of(t) - clear
-                own = {w for w in new if w in may}
-                clear |= new - own
-                if own:
+                if own := may.hits(t):
                     key = digest(t)
                     rows += [(key, w, a, b) for a, b, w in outside(t, base_spans(t)) if w in own]
             columns = list(zip(*rows, strict=True)) or [[]] * 4
@@ -252,7 +294,7 @@ def sanitise(docs: DataFrame, support: int = SUPPORT) -> DataFrame:
 
     @F.arrow_udf(T.StringType())
     def key_of(texts: pa.Array) -> pa.Array:
-        some = lambda t: base_spans(t) or not may.empty and any(w in may for w in words_of(t))
+        some = lambda t: base_spans(t) or not may.empty and bool(may.hits(t))
         return pa.array([digest(t) if t and some(t) else None for t in texts.to_pylist()], pa.string())
 
     own = docs.columns

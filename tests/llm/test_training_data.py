@@ -632,3 +632,58 @@ def test_empty_tables(spark, none):
     ranks = registry.tokenizer_path("byte_bpe_multi_50k.tiktoken")
     assert bpe.decode(bpe.encode(none, ranks, P.PATTERN), ranks, P.PATTERN).count() == 0
     assert hamming.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_pii_words_outside_spans():
+    """Blanking spans leaves the words that no span touches, however words and spans meet."""
+    import random
+
+    rnd = random.Random(3)
+    for _ in range(4000):
+        text = "".join(rnd.choice(["a", "Bc", "é", "²", "1", "_", " ", ".", "@", "+", "-", "1.2.3.4", "x@y.z", "é@ü", "+1234567890123", "İ"]) for _ in range(rnd.randrange(14)))
+        spans = pii.base_spans(text)
+        assert pii.words_of(pii.blanked(text, spans)) == {w for _, _, w in pii.outside(text, spans)}, text
+
+
+@pytest.mark.parametrize("exact", [True, False])
+def test_pii_terms_by_plain_counts(spark, exact, monkeypatch):
+    """Disclosing terms of a table with hot, rare and shared entities by plain counting over all documents."""
+    if not exact:
+        monkeypatch.setattr(pii, "EXACT_TERMS", 0)
+    rng = np.random.default_rng(8)
+    vocabulary = [f"Word{'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10]}" for k in range(100)]
+    rows = []
+    for k in range(400):
+        words = list(rng.choice(vocabulary, 12))
+        if k % 3 == 0:
+            e = int(rng.integers(0, 8))
+            words += [f"user{e}@mail.org", f"secret{'abcdefgh'[e]}", *([f"10.0.0.{e}"] if k % 2 else [])]
+            if e < 4 and rng.random() < 0.5:
+                words.append(f"half{'abcdefgh'[e]}")
+        rows.append((k, " ".join(words)))
+    rows += [(1000 + k, rows[3][1]) for k in range(5)] + [(2000, None), (2001, "")]
+    texts = [t or "" for _, t in rows]
+    n, support = len(texts), pii.SUPPORT
+    of_term, of_entity, both = Counter(), Counter(), Counter()
+    for t in texts:
+        spans = plain_spans(t)
+        entities = {f"{k}:{t[a:b].lower()}" for a, b, k in spans}
+        terms = {w for _, _, w in pii.outside(t, spans)}
+        of_term.update({w.lower() for w in pii.WORD.findall(t)})
+        of_entity.update(entities)
+        both.update((e, w) for e in entities for w in terms)
+    want = {}
+    for (e, w), c in both.items():
+        if c >= support and of_entity[e] >= support:
+            share = np.log(c * n / (of_entity[e] * of_term[w])) / max(np.log(n / of_entity[e]), 1e-9)
+            if share >= pii.GENERALISE:
+                want[w] = max(want.get(w, ""), "remove" if share >= pii.REMOVE - 1e-9 else "generalise")
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["term"]: r["action"] for r in pii.disclosing(df, pii.find(df)).collect()}
+    assert got == want and want
+    for r in pii.report(df).collect():
+        t = dict(rows)[r["doc_id"]] or ""
+        spans = plain_spans(t)
+        extra = [(a, b, want[w]) for a, b, w in pii.outside(t, spans) if w in want]
+        order = [*pii.KINDS, "generalise", "remove"]
+        assert r["spans"] == ",".join(f"{k}:{a}:{b}" for a, b, k in sorted([*spans, *extra], key=lambda s: (s[0], order.index(s[2]))))
