@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -77,6 +78,30 @@ def bit_set(places: DataFrame, bits: int) -> np.ndarray:
     return whole.ravel()
 
 
+def release() -> None:
+    """Hand memory that this worker no longer uses back to the system; workers are reused by other operators."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not this C library
+        pass
+
+
+def lean(run):
+    """A ``mapInArrow`` function that ends with ``release``."""
+
+    @wraps(run)
+    def whole(batches):
+        yield from run(batches)
+        release()
+
+    return whole
+
+
 def small_batches(spark: SparkSession) -> None:
     """Keep Arrow batches of whole texts small."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from duelframe.llm.base import bit_set, discard, materialize, small_batches
+from duelframe.llm.base import bit_set, discard, lean, materialize, small_batches
 from duelframe.llm.components import connected_components
 from duelframe.llm.shingles import shingle_sets
 
@@ -66,6 +66,7 @@ def frequency_classes(docs: DataFrame, bits: int) -> np.ndarray:
     buckets, mask = 1 << bits, np.uint64((1 << bits) - 1)
     names = ["chunk", "salt", "counts"]
 
+    @lean
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -106,6 +107,7 @@ def prefixes(docs: DataFrame, classes: np.ndarray) -> DataFrame:
     """For each document: size and signature of its set, and the n-grams that come first in the global order."""
     shared = docs.sparkSession.sparkContext.broadcast(classes)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank, mask = shared.value, np.uint64(len(shared.value) - 1)
         for batch in batches:
@@ -140,6 +142,7 @@ def whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         texts, table = texts.withColumn("b", place("doc_id")), bit_set(wanted.select(place("rep")), bits)
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if shared.value is not None:
@@ -156,6 +159,7 @@ def whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that are similar, by comparing their whole sets. For each pair one set moves to the other."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []

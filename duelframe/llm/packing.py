@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duelframe.llm.base import materialize, ranked, small_batches
+from duelframe.llm.base import lean, materialize, ranked, small_batches
 from duelframe.llm.token_cache import CachedEncoder
 
 #: Lengths tried for the second place of a pattern, and repeats of the first; steps of the fit.
@@ -36,6 +36,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int) -> DataFrame
     """Cut each document's ids (and end id) into pieces of ``size``; a longer document's first may be shorter."""
     small_batches(docs.sparkSession)
 
+    @lean
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.column(0).to_pylist()
@@ -177,6 +178,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, size: int = 1024) -> Data
     base = np.array([begins.get(k, 0) for k in range(size + 1)], np.int64)
     run_from, first, offset = (table[c].to_numpy(np.int64) for c in ("from", "first", "at"))
 
+    @lean
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         CachedEncoder.forget()  # workers that encoded would keep it for as long as they live
         for batch in batches:

@@ -17,7 +17,7 @@ from duelframe.llm.base import SLICE_BYTES, slices, utf8_buffers
 
 #: Distinct chunks that a worker remembers; at this many it keeps only those of its last KEPT_STEPS steps, as far
 #: as they are less than half of them.
-CACHE_ENTRIES, KEPT_STEPS = 400_000, 2
+CACHE_ENTRIES, KEPT_STEPS = 250_000, 2
 #: Bytes of unseen chunks that are joined for one call.
 JOINED_BYTES = 4000
 SPACE, LINE = 32, 10
@@ -154,6 +154,6 @@ class CachedEncoder:
     def encode(self, texts: pa.Array):
         """Yields (first document, ids of some documents, their offsets): all documents in order."""
         raw, offsets = utf8_buffers(texts)
-        for first, last in slices(offsets, SLICE_BYTES):
+        for first, last in slices(offsets, SLICE_BYTES // 2):
             at = offsets[first : last + 1]
             yield (first, *self._slice(raw[at[0] : at[-1]], at - at[0]))
