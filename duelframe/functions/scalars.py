@@ -69,10 +69,11 @@ def expected_goals(base: Column, attack: Column, defence: Column, category: Colu
 
 
 def poisson_pmf(mean: Column, most: int) -> Column:
-    """array of P(0) to P(most), each from the one before."""
-    first = F.array(F.exp(-mean))
-    step = lambda acc, k: F.concat(acc, F.array(F.element_at(acc, -1) * mean / k))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(most)), first, step) if most else first
+    """array of P(0) to P(most)."""
+    log_factorials = F.array(*(F.lit(math.lgamma(k + 1)) for k in range(most + 1)))
+    at = F.transform(log_factorials, lambda f, k: F.exp(k * F.log(mean) - mean - f))
+    never = F.transform(log_factorials, lambda f, k: F.when(k == 0, 1.0).otherwise(0.0))
+    return F.when(mean > 0, at).when(mean == 0, never)
 
 
 def low_score_correction(h: Column, a: Column, home_mean: Column, away_mean: Column, rho: Column) -> Column:

@@ -115,14 +115,16 @@ def score_grid(rows: DataFrame, most: int = 10, outcome_most: int = 40) -> DataF
     """
     x, y = F.col("x_"), F.col("y_")
     at = lambda c, k: c[k]
-    total = lambda c: F.aggregate(c, F.lit(0.0), lambda s, v: s + v)
-    upto = lambda c: F.aggregate(F.slice(c, 2, outcome_most), F.slice(c, 1, 1), lambda s, v: F.concat(s, F.array(F.element_at(s, -1) + v)))
-    grid = rows.withColumns({"x_": poisson_pmf(F.col("home_mean"), outcome_most), "y_": poisson_pmf(F.col("away_mean"), outcome_most)}).withColumns({"cx_": upto(x), "cy_": upto(y)})
+    grid = rows.withColumns({"x_": poisson_pmf(F.col("home_mean"), outcome_most), "y_": poisson_pmf(F.col("away_mean"), outcome_most)})
+    # one pass along both marginals: sums so far (a, b, of the stored scores c, d), and what wins, draws and loses
+    both = F.zip_with(x, y, lambda p, q: F.struct(p.alias("p"), q.alias("q")))
+    names = ("k", "a", "b", "c", "d", "w", "e", "l")
+    step = lambda s, v: F.struct(*(e.alias(n) for n, e in zip(names, (s.k + 1, s.a + v.p, s.b + v.q, F.when(s.k <= most, s.c + v.p).otherwise(s.c), F.when(s.k <= most, s.d + v.q).otherwise(s.d), s.w + v.p * s.b, s.e + v.p * v.q, s.l + v.q * s.a))))
+    grid = grid.withColumn("s_", F.aggregate(both, F.struct(F.lit(0).alias("k"), *(F.lit(0.0).alias(n) for n in names[1:])), step))
     low = {(h, a): F.greatest(low_score_correction(F.lit(h), F.lit(a), F.col("home_mean"), F.col("away_mean"), F.col("rho")), F.lit(0.0)) for h in (0, 1) for a in (0, 1)}
     more = {k: at(x, k[0]) * at(y, k[1]) * (t - 1) for k, t in low.items()}
-    beats = lambda v, c: F.aggregate(F.zip_with(F.slice(v, 2, outcome_most), F.slice(c, 1, outcome_most), lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p)
-    drawn = F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p) + more[0, 0] + more[1, 1]
-    grid = grid.withColumns({"w_": beats(x, F.col("cy_")) + more[1, 0], "d_": drawn, "l_": beats(y, F.col("cx_")) + more[0, 1], "all_": total(x) * total(y) + sum(more.values()), "mass": at(F.col("cx_"), most) * at(F.col("cy_"), most) + sum(more.values())})
+    own = lambda n: F.col(f"s_.{n}")
+    grid = grid.withColumns({"w_": own("w") + more[1, 0], "d_": own("e") + more[0, 0] + more[1, 1], "l_": own("l") + more[0, 1], "all_": own("a") * own("b") + sum(more.values()), "mass": own("c") * own("d") + sum(more.values())})
     best = lambda c, first: F.array_max(F.transform(F.slice(c, first + 1, most + 1 - first), lambda v, k: F.struct(v.alias("p"), (-(k + first)).alias("k"))))
     # the mode is one of the four, or the best cell of the rest, which has a score of two or more on some side
     cell = lambda p, h, a: F.struct(F.round(p, 12).alias("p"), h.cast("int").alias("h"), a.cast("int").alias("a"))
