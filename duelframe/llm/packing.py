@@ -32,7 +32,7 @@ FULL = 64
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int, entries: int | None = None) -> DataFrame:
     """Cut each document's ids (and end id) into pieces of ``size``; a longer document's first may be shorter."""
     small_batches(docs.sparkSession)
 
@@ -40,7 +40,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, size: int) -> DataFrame
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.column(0).to_pylist()
-            for first, ids, at in CachedEncoder.get(tokenizer).encode(batch.column(1)):
+            for first, ids, at in CachedEncoder.get(tokenizer, entries).encode(batch.column(1)):
                 rows = []
                 for k in range(len(at) - 1):
                     own = np.append(ids[at[k] : at[k + 1]], np.uint32(end_id)).astype("<u4")
@@ -165,9 +165,12 @@ def slots(made: list[tuple[tuple[int, ...], int]], size: int) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["length", "from", "first", "at"]).sort_values(["length", "from"], ignore_index=True)
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int, size: int = 1024) -> DataFrame:
-    """Place every piece of every document: adds sequence_id and offset to the pieces."""
-    cut = materialize(pieces(docs, tokenizer, end_id, size), "pieces")
+def pack(docs: DataFrame, tokenizer: str, end_id: int, size: int = 1024, entries: int | None = None) -> DataFrame:
+    """Place every piece of every document: adds sequence_id and offset to the pieces.
+
+    ``entries``: chunks that a worker's tokenizer cache holds, where its usual size is too much beside other work.
+    """
+    cut = materialize(pieces(docs, tokenizer, end_id, size, entries), "pieces")
     histogram = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
     table = slots(plan(histogram, size), size)
     begins, at = {}, 0

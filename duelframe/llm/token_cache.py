@@ -17,7 +17,7 @@ from duelframe.llm.base import SLICE_BYTES, slices, utf8_buffers
 
 #: Distinct chunks that a worker remembers; at this many it keeps only those of its last KEPT_STEPS steps, as far
 #: as they are less than half of them.
-CACHE_ENTRIES, KEPT_STEPS = 250_000, 2
+CACHE_ENTRIES, KEPT_STEPS = 400_000, 2
 #: Bytes of unseen chunks that are joined for one call.
 JOINED_BYTES = 4000
 SPACE, LINE = 32, 10
@@ -47,19 +47,20 @@ class CachedEncoder:
 
     _made: dict[str, CachedEncoder] = {}
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, entries: int | None = None):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.entries = Tokenizer.from_file(path), entries or CACHE_ENTRIES
         self.clear()
 
     @classmethod
-    def get(cls, path: str) -> CachedEncoder:
+    def get(cls, path: str, entries: int | None = None) -> CachedEncoder:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         if path not in cls._made:
-            cls._made[path] = cls(path)
+            cls._made[path] = cls(path, entries)
+        cls._made[path].entries = entries or CACHE_ENTRIES
         return cls._made[path]
 
     @classmethod
@@ -75,9 +76,9 @@ class CachedEncoder:
 
     def _make_room(self, more: int) -> None:
         """Before ``more`` chunks come that would not fit: forget all but those of the last steps."""
-        if len(self.slot) + more <= CACHE_ENTRIES:
+        if len(self.slot) + more <= self.entries:
             return
-        keep, room = {}, min(CACHE_ENTRIES // 2, CACHE_ENTRIES - more)
+        keep, room = {}, min(self.entries // 2, self.entries - more)
         for words in reversed(self.recent):
             if len(keep) + len(words) <= room:
                 keep |= dict.fromkeys(words)
@@ -141,7 +142,7 @@ class CachedEncoder:
         coded = chunks.dictionary_encode()
         words = coded.dictionary.to_pylist()
         new = [w for w in words if w not in self.slot]
-        if len(self.slot) + len(new) > CACHE_ENTRIES:
+        if len(self.slot) + len(new) > self.entries:
             self._make_room(len(words))
             new = [w for w in words if w not in self.slot]
         if new:
@@ -154,6 +155,7 @@ class CachedEncoder:
     def encode(self, texts: pa.Array):
         """Yields (first document, ids of some documents, their offsets): all documents in order."""
         raw, offsets = utf8_buffers(texts)
-        for first, last in slices(offsets, SLICE_BYTES // 2):
+        # a smaller cache, for workers with less memory, also goes in smaller steps
+        for first, last in slices(offsets, SLICE_BYTES if self.entries >= CACHE_ENTRIES else SLICE_BYTES // 2):
             at = offsets[first : last + 1]
             yield (first, *self._slice(raw[at[0] : at[-1]], at - at[0]))
