@@ -9,6 +9,8 @@ from duelframe.llm import base, jaccard, langid, packing, pii, quality, registry
 
 #: Below this share of all languages' scores a document's language counts as unknown.
 LEAST_SCORE = 0.3
+#: Chunks that a worker's tokenizer cache holds while packing.
+CACHED_CHUNKS = 250_000
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +38,8 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack all documents into sequences of 1024 tokens."""
-    return packing.pack(docs, registry.tokenizer_path("byte_bpe_50k.json"), end_id=2, size=1024)
+    """Pack all documents into sequences of 1024 tokens; the tokenizer's cache is small beside the other stages."""
+    return packing.pack(docs, registry.tokenizer_path("byte_bpe_50k.json"), end_id=2, size=1024, entries=CACHED_CHUNKS)
 
 
 STAGES = [
