@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from duelframe.llm import base, bpe, hamming, jaccard, langid, media, packing, pii, quality, sharding, token_store
+from duelframe.llm import base, bpe, grid_codes, hamming, jaccard, langid, media, negatives, packing, pii, quality, sharding, simhash, token_store
 
 
 def tokenizer_path(name: str) -> str:
@@ -68,6 +68,18 @@ def op10_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_features(_table(spark, sf_dir))
 
 
+def op11_grid_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid_codes.encode(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(_table(spark, sf_dir, "embeddings"))
+
+
 #: op7 by brute force: word shingles, all pairs that share one, and reachability.
 JACCARD_SQL = r"""
 WITH RECURSIVE w AS (
@@ -85,9 +97,9 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT a, min(b) AS co
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_token_store, op2_quality, op3_pattern_packing, op4_pii, op5_language, op6_sharding, op7_ngram_jaccard, op8_bpe, op9_hamming_topk, op10_audio)
+    own = (op1_token_store, op2_quality, op3_pattern_packing, op4_pii, op5_language, op6_sharding, op7_ngram_jaccard, op8_bpe, op9_hamming_topk, op10_audio, op11_grid_codes, op12_simhash, op13_hard_negatives)
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_ngram_jaccard": JACCARD_SQL, "op9_hamming_topk": hamming.ORACLE_SQL}
+    return {"op7_ngram_jaccard": JACCARD_SQL, "op9_hamming_topk": hamming.ORACLE_SQL, "op11_grid_codes": grid_codes.ORACLE_SQL, "op13_hard_negatives": negatives.ORACLE_SQL}
