@@ -111,12 +111,12 @@ def test_plan_keeps_the_histogram():
         histogram = Counter(np.minimum(1024, rng.geometric(1 / 300, n)).tolist())
         made = packing.plan(dict(histogram), 1024)
         total = Counter()
-        for p, repeats in made:
-            assert sum(p) <= 1024
+        for p, of, repeats in made:
+            assert sum(p) <= 1024 and 0 <= of <= len(p)
             for a in p:
                 total[a] += repeats
         assert total == histogram
-        assert sum(r for _, r in made) <= 1.02 * sum(a * c for a, c in histogram.items()) / 1024 + 2
+        assert sum(r for _, _, r in made) <= 1.02 * sum(a * c for a, c in histogram.items()) / 1024 + 2
     assert packing.plan({}, 1024) == []
 
 
@@ -156,7 +156,7 @@ def test_a_full_cache_keeps_ids(name, monkeypatch):
 def test_plan_of_short_pieces(histogram):
     made = packing.plan(histogram, 1024)
     total = Counter()
-    for p, repeats in made:
+    for p, _, repeats in made:
         assert sum(p) <= 1024
         for a in p:
             total[a] += repeats
@@ -166,7 +166,44 @@ def test_plan_of_short_pieces(histogram):
         least = -(-n // (1024 // a))
     else:
         least = -(-sum(a * n for a, n in histogram.items()) // 1024)
-    assert least <= sum(n for _, n in made) <= 1.05 * least
+    assert least <= sum(n for _, _, n in made) <= 1.05 * least
+
+
+def test_fit_finds_known_repeats():
+    """A histogram made from patterns is fitted by counts that give it back; the solution is no worse than plain gradient steps."""
+    found = packing.patterns(np.array([700, 500, 524, 324, 400, 224, 124, 100]), 1024, 0)
+    assert (700, 324) in found and (524, 500) in found and (500, 400, 124) in found and all(sum(p) == 1024 and list(p) == sorted(p, reverse=True) for p in found)
+    histogram = np.zeros(1025)
+    for p, n in [((700, 324), 40), ((524, 500), 25), ((500, 400, 124), 10), ((700, 224, 100), 7)]:
+        for a in p:
+            histogram[a] += n
+    x, residual = packing.fit_repeats(histogram, found)
+    matrix = np.array([[p.count(a) for p in found] for a in range(1025)], float)
+    y = np.zeros(len(found))
+    for _ in range(20_000):
+        y = np.maximum(0, y - matrix.T @ (matrix @ y - histogram) / np.linalg.norm(matrix, 2) ** 2)
+    assert (x >= 0).all() and np.linalg.norm(matrix @ x - histogram) <= np.linalg.norm(matrix @ y - histogram) + 1e-3 * np.linalg.norm(histogram)
+    assert residual == pytest.approx(np.linalg.norm(matrix @ x - histogram) / np.linalg.norm(histogram), abs=1e-6) and residual < 1e-3
+
+
+@pytest.mark.parametrize("times", [1, 10_000])
+def test_most_pieces_stand_in_fitted_patterns(times):
+    rng = np.random.default_rng(1)
+    histogram = {k: times * int(n) for k, n in Counter(rng.integers(1, 1024, 10_000).tolist()).items()} | {1024: 5000 * times}
+    left = np.zeros(1025, np.int64)
+    for k, n in histogram.items():
+        left[k] = n
+    assert packing.fit_repeats(left.astype(float), packing.patterns(np.flatnonzero(left), 1024, 0))[1] < 0.05
+    made = packing.plan(histogram, 1024)
+    assert sum(of * n for _, of, n in made) >= 0.9 * sum(histogram.values())
+    assert sum(n for _, _, n in made) <= 1.007 * sum(a * n for a, n in histogram.items()) / 1024 + 1
+
+
+def test_pieces_of_the_given_documents_stand_in_fitted_patterns(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = packing.pack(docs, registry.tokenizer_path("byte_bpe_50k.json"), 2)
+    pieces, inside, sequences, tokens = got.agg(F.count("*"), F.sum(F.col("fitted").cast("int")), F.countDistinct("sequence_id"), F.sum("length")).first()
+    assert inside >= 0.8 * pieces and sequences <= 1.01 * tokens / 1024 + 1
 
 
 @pytest.mark.parametrize("which", ["odd", "docs"])
