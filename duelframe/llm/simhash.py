@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from duelframe.llm.base import lean, materialize, slices, utf8_buffers
@@ -117,9 +117,9 @@ def around(codes: DataFrame) -> DataFrame:
 
 def linked(codes: DataFrame, crowd: int = CROWD) -> DataFrame:
     """(a, b): pairs of different codes, at most two bits apart, that connect all codes that are linked."""
-    table = variants(codes)
-    met = materialize(table.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1"), "variants")
-    entries = materialize(table.join(met, "key"), "entries")
+    # one shuffle of the variants: each gets the number of its key's, and those of one class alone go
+    counted = variants(codes).withColumn("m", F.count("*").over(Window.partitionBy("key")))
+    entries = materialize(counted.filter("m > 1"), "entries")
     few = entries.filter(F.col("m") <= crowd)
     left, right = (few.select("key", F.col("code").alias(x), F.col("bit").alias(f"bit_{x}")) for x in "ab")
     order = (F.col("bit_a") < F.col("bit_b")) | ((F.col("bit_a") == 2) & (F.col("a") < F.col("b")))
