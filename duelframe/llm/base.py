@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 4 << 20
 #: Rows of a task's Arrow batches; texts vary in size, so this stays small.
 BATCH_ROWS = 2000
+#: Joins that the rows of one key are dealt to by ``spread_join``.
+SALTS = 16
 #: Bytes of a part of a set of bits.
 BIT_PART = 1 << 15
 
@@ -47,6 +49,14 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def spread_join(rows: DataFrame, small: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of ``small``, which has at most one row a key: a key that very many rows have is
+    dealt to SALTS joins by hash, each with a copy of its row. Null keys meet nothing."""
+    each = small.withColumn("salt_", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = rows.withColumn("salt_", F.pmod(F.xxhash64(*(F.col(c) for c in rows.columns if c != key)), F.lit(SALTS)).cast("int"))
+    return dealt.join(each, [key, "salt_"], how).drop("salt_")
+
+
 def bit_set(places: DataFrame, bits: int) -> np.ndarray:
     """2^bits bits as bytes, those at the (only) column's numbers set. Each task sets bits of its own; parts of
     them meet by place, one after the other, so that nothing larger than the set is held anywhere."""

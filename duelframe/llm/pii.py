@@ -1,11 +1,13 @@
 """Personal data: patterns, and terms that give away what the patterns protect.
 
 Base spans (email, ip, card, phone) come from patterns. A protected entity is such a value. For each term
-anywhere in an entity's documents, co-occurrence over the corpus's documents gives the point-wise mutual
-information of term and entity; where it reaches a share of the entity's own information content, the term
-discloses the entity. Each of its occurrences outside base spans, in any document, gets a span: ``remove`` at
-the higher threshold, ``generalise`` at the lower. Terms that meet an entity in fewer than ``support`` documents
-tell too little to judge by, so an entity in fewer documents has no such terms (its own spans stay).
+anywhere in an entity's documents, co-occurrence over all documents estimates how surely the term points to the
+entity: documents with both by documents with the term, shrunk by k / (k + 1) where k different texts have both, as
+few texts tell little and copies of one tell nothing more. From it comes the point-wise mutual information of term
+and entity; where that reaches the share GENERALISE of the entity's own information content, the term discloses
+the entity. Each of its occurrences outside base spans, in any document, gets a span: ``remove`` where the shrunk
+estimate reaches REMOVE (so only terms that two texts or more have beside the entity), else ``generalise``.
+Entities are judged however rare they are.
 
 Defined results: null text is an empty text (no spans; null stays null when sanitised); repeated rows
 count each as a document; equal texts have equal spans; an empty table gives an empty result; other columns
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from duelframe.llm.base import bit_set, lean, materialize, small_batches
+from duelframe.llm.base import bit_set, lean, materialize, small_batches, spread_join
 
 KINDS = ("email", "ip", "card", "phone")
 #: Each pattern takes a whole run of what a match may begin with, so that no text is scanned twice; where
@@ -40,14 +42,13 @@ PATTERNS = {
 }
 DIGIT, PLUS = re.compile("[0-9]"), re.compile(r"\+[0-9]")
 WORD = re.compile(r"[^\W\d_]+")
-#: Documents that a term must share with an entity, unless told otherwise.
-SUPPORT = 3
 #: Terms that are broadcast as they are (a few MB); more become a set of at most 2^27 bits (16 MB).
 EXACT_TERMS, TERM_BITS = 100_000, (16, 27)
 #: Words whose term a worker remembers.
 KNOWN_WORDS = 200_000
-#: Shares of an entity's information content at which a term is generalised, and removed.
-GENERALISE, REMOVE = 0.85, 1.0
+#: Share of an entity's information content at which a term discloses it, and the shrunk probability of the entity
+#: given the term at which the term is removed.
+GENERALISE, REMOVE = 0.85, 0.6
 FOUND = "doc_id long, key string, n array<long>, spans array<string>, entities array<string>, terms array<string>"
 
 
@@ -154,8 +155,17 @@ def terms_of_all(docs: DataFrame, may: Candidates) -> DataFrame:
     return docs.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("with_term"))
 
 
-def disclosing(docs: DataFrame, found: DataFrame, support: int = SUPPORT) -> DataFrame:
-    """(term, action) where the term's information about some entity reaches a threshold.
+def entities_of(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, entity) and (entity, with_entity): entities that stand in the same texts count as one, the first by name."""
+    held = texts.select("key", "copies", F.explode("entities").alias("entity"))
+    same = [F.count("*").alias("n"), F.bit_xor(F.xxhash64("key")).alias("x"), F.sum(F.xxhash64(F.lit(1), "key").cast("decimal(20,0)")).alias("y")]
+    each = held.groupBy("entity").agg(F.sum("copies").alias("with_entity"), *same)
+    entities = materialize(each.groupBy("with_entity", "n", "x", "y").agg(F.min("entity").alias("entity")).select("entity", "with_entity"), "entities")
+    return spread_join(held.select("key", "entity"), entities, "entity"), entities
+
+
+def disclosing(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """(term, action) where the term's information about some entity reaches the threshold.
 
     Counts are of documents, over all of them: with the entity, with the term, with both. Equal texts are
     counted once with their number. As both is at most either count, a term in more than
@@ -164,25 +174,23 @@ def disclosing(docs: DataFrame, found: DataFrame, support: int = SUPPORT) -> Dat
     total = float(max(docs.count(), 1))
     texts = found.filter(F.size("entities") > 0).groupBy("key").agg(F.count("*").alias("copies"), F.first("entities").alias("entities"), F.first("terms").alias("terms"))
     texts = materialize(texts, "texts")
-    held = texts.select("key", "copies", F.explode("entities").alias("entity"))
-    entities = materialize(held.groupBy("entity").agg(F.sum("copies").alias("with_entity")).filter(F.col("with_entity") >= support), "entities")
+    held, entities = entities_of(texts)
     most = entities.agg(F.max("with_entity")).first()[0]
     if most is None:
         return entities.select(F.col("entity").alias("term"), F.lit("").alias("action"))
-    bound = total ** (1 - GENERALISE) * most**GENERALISE * (1 + 1e-9)
-    # only terms that enough of the entities' documents have are counted over all of them
-    wanted = materialize(texts.select("copies", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("copies").alias("n")).filter(F.col("n") >= support).select("term"), "wanted")
-    terms = terms_of_all(docs, Candidates(wanted)).filter(F.col("with_term").between(support, bound))
-    own = held.join(entities.select("entity"), "entity", "left_semi").groupBy("key").agg(F.collect_list("entity").alias("own"))
-    met = texts.join(own, "key").select("copies", F.explode("own").alias("entity"), "terms").select("copies", "entity", F.explode("terms").alias("term"))
-    both = met.groupBy("entity", "term").agg(F.sum("copies").alias("both")).filter(F.col("both") >= support)
-    joined = both.join(entities, "entity").join(terms, "term")
-    content = F.log(F.lit(total) / F.col("with_entity"))
-    information = F.log(F.col("both") * total / (F.col("with_entity") * F.col("with_term")))
-    share = information / F.greatest(content, F.lit(1e-9))
-    action = F.when(share >= REMOVE - 1e-9, "remove").when(share >= GENERALISE, "generalise")
+    bound = lambda n: total ** (1 - GENERALISE) * n**GENERALISE * (1 + 1e-9)
+    wanted = materialize(texts.select(F.explode("terms").alias("term")).distinct(), "wanted")
+    terms = materialize(terms_of_all(docs, Candidates(wanted)).filter(F.col("with_term") <= bound(most)), "counted")
+    rare = spread_join(texts.select("key", "copies", F.explode("terms").alias("term")), terms, "term")
+    reach = F.lit(bound(1.0)) * F.pow(F.col("with_entity"), F.lit(GENERALISE))
+    met = rare.join(held, "key").filter(F.col("with_term") <= reach)
+    both = met.groupBy("entity", "term").agg(F.sum("copies").alias("both"), F.count("*").alias("k"), F.first("with_term").alias("with_term"), F.first("with_entity").alias("with_entity"))
+    estimate = F.col("both") / F.col("with_term") * (F.col("k") / (F.col("k") + 1))
+    content = F.greatest(F.log(F.lit(total) / F.col("with_entity")), F.lit(1e-9))
+    share = F.log(estimate * total / F.col("with_entity")) / content
+    action = F.when(share >= GENERALISE, F.when(estimate >= REMOVE, "remove").otherwise("generalise"))
     # of several entities' actions the stronger: remove comes last by name
-    return materialize(joined.select("term", action.alias("action")).filter("action is not null").groupBy("term").agg(F.max("action").alias("action")), "terms")
+    return materialize(both.select("term", action.alias("action")).filter("action is not null").groupBy("term").agg(F.max("action").alias("action")), "terms")
 
 
 class Candidates:
@@ -253,18 +261,18 @@ def _in_order(spans: F.Column) -> F.Column:
     return F.transform(F.array_sort(keyed), lambda x: x.s)
 
 
-def spans_of(docs: DataFrame, support: int = SUPPORT) -> DataFrame:
+def spans_of(docs: DataFrame) -> DataFrame:
     """(doc_id, key, n, spans, all_spans) of every document: base spans, and those with the terms' added."""
     found = materialize(find(docs), "found")
-    terms = disclosing(docs, found, support)
+    terms = disclosing(docs, found)
     extra = materialize(term_spans(docs, terms, Candidates(terms)), "extra")
     out = found.select("doc_id", "key", "n", "spans").join(extra, "key", "left").select("doc_id", "key", "n", "spans", "extra")
     return out.withColumn("all_spans", F.when(F.col("extra").isNull(), F.col("spans")).otherwise(_in_order(F.concat("spans", F.coalesce("extra", F.array().cast("array<string>"))))))
 
 
-def report(docs: DataFrame, support: int = SUPPORT) -> DataFrame:
+def report(docs: DataFrame) -> DataFrame:
     """Counts, the digest of base spans and all spans of every document."""
-    out = spans_of(docs, support)
+    out = spans_of(docs)
     counts = [F.col("n")[k].alias(f"n_{kind}") for k, kind in enumerate(KINDS)]
     return out.select("doc_id", *counts, F.sha2(F.array_join("spans", ","), 256).alias("base_sha256"), F.array_join("all_spans", ",").alias("spans"))
 
@@ -281,10 +289,10 @@ def replaced(text: str, extra: list[str]) -> str:
     return "".join([*out, text[at:]])
 
 
-def sanitise(docs: DataFrame, support: int = SUPPORT) -> DataFrame:
+def sanitise(docs: DataFrame) -> DataFrame:
     """All documents with their own columns, personal data in ``text`` replaced."""
     found = materialize(find(docs), "found")
-    terms = disclosing(docs, found, support)
+    terms = disclosing(docs, found)
     may = Candidates(terms)
     extra = materialize(term_spans(docs, terms, may), "extra").withColumnRenamed("key", "key_").withColumnRenamed("extra", "extra_")
 

@@ -8,8 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from duelframe.llm import langid, pii, quality
-from test_training_data import LONG, ODD, brute_components, posteriors, reference_ids, u32
+from duelframe.llm import langid, quality
+from test_training_data import LONG, ODD, brute_components, plain_actions, plain_sanitised, posteriors, reference_ids, u32
 
 SF = "/root/testdata/sf0.001"
 STAGES = dict(corpus_pipeline.STAGES)
@@ -22,7 +22,7 @@ def home(spark, tmp_path_factory):
     path = f"file://{tmp_path_factory.mktemp('sf')}"
     spark.read.parquet(f"{SF}/labels.parquet").write.parquet(f"{path}/labels.parquet")
     given = [(r["doc_id"], r["text"], r["lang"], r["source"], r["n_chars"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
-    rows = given + [(None if d is None else 100_000 + d, t, None, None, None) for d, t in ODD] + [(200_000, LONG * 12, None, "s", 1)] + [(300_000 + k, t, lang, s, n) for k, (_, t, lang, s, n) in enumerate(given[:20])]
+    rows = given + [(None if d is None else 100_000 + d, t, None, None, None) for d, t in ODD] + [(200_000, LONG * 12, None, "s", 1)] + [(250_000 + k, f"agent zorblax {k} wrote to qwyjibo@mail.example.org about qwyjibo", "en", "s", 1) for k in range(4)] + [(300_000 + k, t, lang, s, n) for k, (_, t, lang, s, n) in enumerate(given[:20])]
     spark.createDataFrame([(*r, "x", b"y", 7, 8, 0.5, 9) for r in rows], SHAPE).repartition(3).write.parquet(f"{path}/documents.parquet")
     return path
 
@@ -79,14 +79,10 @@ def of_jaccard(spark, docs, home):
 
 
 def of_pii(spark, docs, home):
-    spans = {}
-    for r in pii.report(docs).collect():
-        spans.setdefault(r["doc_id"], []).append(r["spans"])
-    out = Counter()
-    for r in docs.select("doc_id", "text").collect():
-        extra = [x for x in spans[r["doc_id"]][0].split(",") if x.split(":")[0] in ("remove", "generalise")]
-        out[r["doc_id"], r["text"] if r["text"] is None else pii.replaced(r["text"], extra)] += 1
-    return out
+    rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+    want = plain_actions([t or "" for _, t in rows])
+    assert {"zorblax", "qwyjibo"} <= set(want)
+    return Counter((d, plain_sanitised(t, want)) for d, t in rows)
 
 
 PLAIN = {"quality classifier": of_quality, "language ID": of_language, "n-gram Jaccard join": of_jaccard, "PII": of_pii}

@@ -380,11 +380,11 @@ def test_pii_linear_patterns():
 
 def test_pii_terms(spark):
     rows = [(k, f"the owner zorblax quux wrote from zed{k}@mail.example.org about it number{k}") for k in range(3)]
-    rows += [(10 + k, "agent qwyjibo sent it to secret@mail.example.org and the rest went home") for k in range(4)]
-    rows += [(100 + k, f"the rest went home and sent it to the number of {'abcdefghij'[k % 10]} it") for k in range(60)]
+    rows += [(10 + k, f"agent qwyjibo sent it to secret@mail.example.org and the rest went home {k}") for k in range(4)]
+    rows += [(100 + k, f"the rest went home and sent it to the number of {'abcdefghij'[k % 10]} it") for k in range(600)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     found = {r["doc_id"]: r for r in pii.report(df).collect()}
-    assert "remove:6:13" in found[10]["spans"] and "email:25:" in found[10]["spans"] and "generalise" not in found[0]["spans"]
+    assert "remove:6:13" in found[10]["spans"] and "email:25:" in found[10]["spans"] and "generalise:0:3" not in found[0]["spans"]
     clean = {r["doc_id"]: r["text"] for r in pii.sanitise(df).collect()}
     assert "qwyjibo" not in clean[10] and "@" not in clean[10] and "[EMAIL]" in clean[10] and clean[100] == rows[7][1] and len(clean) == len(rows)
 
@@ -392,8 +392,8 @@ def test_pii_terms(spark):
 def test_pii_terms_far_away(spark):
     """Terms of an entity's documents disclose it however far away they stand, and in any text."""
     far = " ".join(["filler words that go on"] * 8)
-    rows = [(k, f"qwyjibo {far} secret@mail.example.org {far} Zorblax street, again qwyjibo") for k in range(3)]
-    rows += [(10, f"{far} and zorblax too")] + [(100 + k, f"{far} and words {k} of others too") for k in range(60)]
+    rows = [(k, f"qwyjibo {far} secret@mail.example.org {far} Zorblax street, again qwyjibo {k}") for k in range(3)]
+    rows += [(10, f"{far} and zorblax too")] + [(100 + k, f"{far} and words {k} of others too") for k in range(600)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     found = {r["doc_id"]: r["spans"].split(",") for r in pii.report(df).collect()}
     text = rows[0][1]
@@ -682,6 +682,63 @@ def test_pii_words_outside_spans():
         assert pii.words_of(pii.blanked(text, spans)) == {w for _, _, w in pii.outside(text, spans)}, text
 
 
+def plain_actions(texts):
+    """Terms and their actions by counting all pairs of entities and terms."""
+    of_term, of_entity, both, different = Counter(), Counter(), Counter(), defaultdict(set)
+    for t in texts:
+        spans = plain_spans(t)
+        entities = {f"{k}:{t[a:b].lower()}" for a, b, k in spans}
+        terms = {m[0].lower() for m in re.finditer(r"[^\W\d_]+", t) if not any(a < m.end() and m.start() < b for a, b, _ in spans)}
+        of_term.update({w.lower() for w in re.findall(r"[^\W\d_]+", t)})
+        of_entity.update(entities)
+        both.update((e, w) for e in entities for w in terms)
+        for e in entities:
+            for w in terms:
+                different[e, w].add(t)
+    want = {}
+    for (e, w), c in both.items():
+        sure = c / of_term[w] * len(different[e, w]) / (len(different[e, w]) + 1)
+        if np.log(sure * len(texts) / of_entity[e]) / max(np.log(len(texts) / of_entity[e]), 1e-9) >= 0.85:
+            want[w] = max(want.get(w, ""), "remove" if sure >= 0.6 else "generalise")
+    return want
+
+
+def plain_sanitised(text, want):
+    """A text without its base spans and terms; of spans that overlap the first's replacement counts for all."""
+    if text is None:
+        return None
+    base = plain_spans(text)
+    spans = base + [(m.start(), m.end(), want[m[0].lower()]) for m in re.finditer(r"[^\W\d_]+", text) if m[0].lower() in want and not any(a < m.end() and m.start() < b for a, b, _ in base)]
+    out, at = "", 0
+    for a, b, kind in sorted(spans, key=lambda s: (s[0], -s[1])):
+        if a >= at:
+            out += text[at:a] + {"remove": "", "generalise": "[TERM]"}.get(kind, f"[{kind.upper()}]")
+        at = max(at, b)
+    return out + text[at:]
+
+
+def test_pii_terms_of_the_given_documents(spark):
+    """Rare entities have disclosing terms too, but not all words of their documents are disclosing."""
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    rows += [(10**6 + k, f"{rows[k][1]} greta zorblax wrote from g.zorblax@mail.example.org") for k in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = plain_actions([t or "" for _, t in rows])
+    assert {r["term"]: r["action"] for r in pii.disclosing(df, pii.find(df)).collect()} == want
+    assert want["zorblax"] == want["greta"] == "remove" and "generalise" in want.values()
+    personal = [t for _, t in rows if t and plain_spans(t)]
+    kept = [np.mean([w.lower() not in want for w in re.findall(r"[^\W\d_]+", t)] or [1]) for t in personal]
+    assert min(kept) > 0.3 and np.mean(kept) > 0.7
+
+
+def test_pii_copies_are_no_evidence(spark):
+    """A third of all rows is one text with an entity: its words don't disclose it; and one text with many entities."""
+    rows = [(k, "our office at info@mail.example.org answers letters on weekdays") for k in range(100)] + [(1000 + k, f"{w} plain words {k}") for k, w in enumerate(["abc", "xyz"] * 100)]
+    rows += [(5000, " ".join(f"u{k}@mail.example.org" for k in range(300)) + " lonely")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["term"]: r["action"] for r in pii.disclosing(df, pii.find(df)).collect()}
+    assert got == plain_actions([t for _, t in rows]) == {"lonely": "generalise"}
+
+
 @pytest.mark.parametrize("exact", [True, False])
 def test_pii_terms_by_plain_counts(spark, exact, monkeypatch):
     """Disclosing terms of a table with hot, rare and shared entities by plain counting over all documents."""
@@ -700,21 +757,7 @@ def test_pii_terms_by_plain_counts(spark, exact, monkeypatch):
         rows.append((k, " ".join(words)))
     rows += [(1000 + k, rows[3][1]) for k in range(5)] + [(2000, None), (2001, "")]
     texts = [t or "" for _, t in rows]
-    n, support = len(texts), pii.SUPPORT
-    of_term, of_entity, both = Counter(), Counter(), Counter()
-    for t in texts:
-        spans = plain_spans(t)
-        entities = {f"{k}:{t[a:b].lower()}" for a, b, k in spans}
-        terms = {w for _, _, w in pii.outside(t, spans)}
-        of_term.update({w.lower() for w in pii.WORD.findall(t)})
-        of_entity.update(entities)
-        both.update((e, w) for e in entities for w in terms)
-    want = {}
-    for (e, w), c in both.items():
-        if c >= support and of_entity[e] >= support:
-            share = np.log(c * n / (of_entity[e] * of_term[w])) / max(np.log(n / of_entity[e]), 1e-9)
-            if share >= pii.GENERALISE:
-                want[w] = max(want.get(w, ""), "remove" if share >= pii.REMOVE - 1e-9 else "generalise")
+    want = plain_actions(texts)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = {r["term"]: r["action"] for r in pii.disclosing(df, pii.find(df)).collect()}
     assert got == want and want
