@@ -1,10 +1,14 @@
 """Byte-level BPE with tiktoken from a local rank file: whole texts to ids, and ids to raw bytes.
 
 Long texts are cut where the splitting pattern surely ends a match: before a space or line feed that
-follows an ASCII letter or digit, with something visible after it. Runs without such places stay whole.
-
-Defined results: null text is an empty text (no ids); empty tables give empty results; every row is
-encoded, repeated ones too; other columns are not read.
+follows an ASCII letter or digit, with something visible after it. Runs without such places stay whole, but for long
+runs of white space: the pattern tries those character by character and would overflow its stack. By the pattern's
+own rule (``\\s+(?!\\S)``) such a run is one match up to its last character, which belongs to what follows; at
+the end of a text all of it is one. So the run is encoded as that one piece, without the pattern.
+
+Defined results: null text is an empty text (no ids); a null doc_id is kept; texts of any length are encoded whole,
+long runs of one kind of character too; empty tables give empty results; every row is encoded, repeated ones too;
+other columns are not read. The splitting pattern must have the rule above and no other match across such places.
 """
 
 from __future__ import annotations
@@ -24,6 +28,8 @@ from duelframe.llm.base import small_batches
 #: Characters of a text that go to the library at once.
 PART_CHARS = 50_000
 SAFE = re.compile(r"(?<=[A-Za-z0-9])(?=[ \n]\S)")
+#: A run of white space (as Unicode has it) that the splitting pattern doesn't see.
+RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{10000,}")
 ENCODED = "doc_id long, n_tokens long, ids array<int>"
 
 
@@ -49,11 +55,23 @@ def parts(text: str, most: int = PART_CHARS) -> Iterator[str]:
 
 
 def encode_text(enc, text: str | None) -> np.ndarray:
+    """Ids of a whole text."""
     if not text:
         return np.zeros(0, "<u4")
     if len(text) <= PART_CHARS:
-        return np.array(enc.encode_ordinary(text), "<u4")
-    return np.concatenate([np.array(enc.encode_ordinary(part), "<u4") for part in parts(text)])
+        return np.array(enc.encode_ordinary(text), "<u4") if not RUN.search(text) else _with_runs(enc, text)
+    return _with_runs(enc, text)
+
+
+def _with_runs(enc, text: str) -> np.ndarray:
+    found, first = [], 0
+    for run in RUN.finditer(text):
+        last = run.end() if run.end() == len(text) else run.end() - 1
+        found += [enc.encode_ordinary(part) for part in parts(text[first : run.start()])]
+        found.append(enc._encode_single_piece(text[run.start() : last]))
+        first = last
+    found += [enc.encode_ordinary(part) for part in parts(text[first:])]
+    return np.concatenate([np.array(ids, "<u4") for ids in found])
 
 
 def encode(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:

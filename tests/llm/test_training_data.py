@@ -236,6 +236,34 @@ def test_bpe_parts_of_long_text():
         assert [i for c in cut for i in enc.encode_ordinary(c)] == enc.encode_ordinary(text)
 
 
+LONG_RUNS = [s * n for s, n in ((" ", 2_000_000), ("\n", 2_000_000), (" \n\t\u3000", 500_000))]
+
+
+def test_bpe_of_long_white_space(spark):
+    """Runs that the library's pattern can't take: alone, before, between and after letters, equal to piece by piece."""
+    import public_tokenizers as P
+
+    ranks = registry.tokenizer_path("byte_bpe_multi_50k.tiktoken")
+    enc = bpe.encoding(ranks, P.PATTERN)
+    rows = [(10 * k + j, t) for k, run in enumerate(LONG_RUNS) for j, t in enumerate((run, run + "a", "b c" + run, f"x. {run} y z{run}1"))] + [(None, LONG_RUNS[0])]
+    got = bpe.decode(bpe.encode(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), ranks, P.PATTERN), ranks, P.PATTERN).drop("decoded").collect()
+    want = Counter()
+    for d, t in rows:
+        ids = [i for part in re_findall(P.PATTERN, t) for i in enc._encode_single_piece(part.encode())]
+        want[d, len(ids), hashlib.sha256(u32(ids)).hexdigest(), hashlib.sha256(t.encode()).hexdigest()] += 1
+    assert Counter(tuple(r) for r in got) == want
+
+
+@pytest.mark.parametrize("run", [" " * 12_000, "\n" * 12_000, "\x85\u2003 " * 5000, "\x1c" * 12_000, "\u200b" * 12_000])
+def test_bpe_runs_are_those_of_the_library(run):
+    """Below what overflows, the library itself gives the same ids, whatever counts as white space."""
+    import public_tokenizers as P
+
+    enc = bpe.encoding(registry.tokenizer_path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    for text in (run, run + "a", run + ".", "a" + run, f"it's {run}é{run} \n", f"{run}\x1c{run}b", run + "\u200b"):
+        assert bpe.encode_text(enc, text).tolist() == enc.encode_ordinary(text)
+
+
 def brute_components(rows):
     sets = {}
     for k, (_, t) in enumerate(rows):
