@@ -1,12 +1,14 @@
 """Exact top-k search in binary codes by incremental multi-index hashing.
 
-A vector's code holds the signs of its components. Codes are cut into segments; round r looks up, for each
-segment, all values within r flipped bits of the query's. After it every code closer than
-segments * (r + 1) has been met, so a query ends once its k-th verified distance is below that. Equal codes
-are one entry of the index, and equal queries one query.
-
-Defined results: a null or empty vector has no code and no row; ties go to the smaller id; a row is never
-its own neighbour; a row that repeats an id counts once for each; an empty table gives an empty result.
+A vector's code holds the signs of its components. Codes are cut into segments, about as wide as the logarithm
+of how many there are; round r looks up, for each segment, all values with r bits flipped of the query's. After it
+every code closer than segments * (r + 1) has been met, so a query ends once its k-th verified distance is below
+that. The last round would meet every value of a segment, so every query ends. Equal codes are one entry of the
+index, and equal queries one query.
+
+Defined results: a null or empty vector has no code and no row; a row with a null id is no query and nobody's
+neighbour; ties go to the smaller id; a row is never its own neighbour; a row that repeats an id counts once for
+each; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -20,13 +22,8 @@ from pyspark.sql import functions as F
 from duelframe.llm.base import discard, materialize
 
 BITS = 64
-#: Bits of a segment by how many codes there are at least: about their logarithm, so that buckets stay small.
-WIDTHS = ((0, 8), (1 << 12, 16), (1 << 24, 32))
-#: Rounds go on while a segment has at most so many values at their radius; queries that are open then are
-#: compared with all codes.
-MOST_MASKS = 20_000
-#: Queries (8 bytes each) of a block that is compared with all codes.
-BLOCK_QUERIES = 100_000
+#: Segments are at least so many: at most 22 bits wide, so that a radius has at most 705,432 masks (to be broadcast).
+LEAST_SEGMENTS = 3
 
 
 def sign_code(vector: str) -> Column:
@@ -36,8 +33,15 @@ def sign_code(vector: str) -> Column:
     return F.when(F.size(vector) > BITS, F.raise_error(F.lit(f"codes have {BITS} bits, a vector has more components")).cast("long")).when(F.size(vector) > 0, code)
 
 
-def _segments(code: Column, width: int) -> Column:
-    return F.array(*(F.shiftrightunsigned(code, width * k).bitwiseAND(F.lit((1 << width) - 1)) for k in range(BITS // width)))
+def widths(codes: int, segments: int | None = None) -> list[int]:
+    """Bits of each segment, about the logarithm of the codes."""
+    n = segments or min(max(round(BITS / math.log2(max(codes, 4))), LEAST_SEGMENTS), BITS)
+    return [BITS // n + (k < BITS % n) for k in range(n)]
+
+
+def _segments(code: Column, bits: list[int]) -> Column:
+    """(value, values): each segment's value, and how many it can have."""
+    return F.array(*(F.struct(F.shiftrightunsigned(code, sum(bits[:k])).bitwiseAND(F.lit((1 << w) - 1)).alias("value"), F.lit(1 << w).cast("long").alias("values")) for k, w in enumerate(bits)))
 
 
 def _masks(before: DataFrame | None, spark: SparkSession, width: int) -> DataFrame:
@@ -48,7 +52,7 @@ def _masks(before: DataFrame | None, spark: SparkSession, width: int) -> DataFra
     return more.select(F.col("mask").bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("high"))).alias("mask"), "high")
 
 
-def top_k(vectors: DataFrame, k: int = 10, every: int = 50, id_col: str = "vec_id", vector_col: str = "embedding", widths: tuple = WIDTHS) -> DataFrame:
+def top_k(vectors: DataFrame, k: int = 10, every: int = 50, id_col: str = "vec_id", vector_col: str = "embedding", segments: int | None = None) -> DataFrame:
     """For each row whose id is divisible by ``every``: its k nearest rows by (Hamming distance, id)."""
     spark = vectors.sparkSession
     coded = materialize(vectors.select(F.col(id_col).cast("long").alias("id"), sign_code(vector_col).alias("code")).filter("code is not null and id is not null"), "codes")
@@ -58,31 +62,24 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 50, id_col: str = "vec_i
     lists = few.groupBy("code").agg(F.slice(F.array_sort(F.collect_list("id")), 1, k + 1).alias("ids"))
     counts = coded.groupBy("code").agg(F.count("*").alias("rows"))
     entries = materialize(counts.join(lists, "code"), "codes")
-    codes = entries.count()
-    width = max(w for least, w in widths if codes >= least)
-    index = materialize(entries.select(F.posexplode(_segments(F.col("code"), width)).alias("segment", "value"), "code", "rows"), "index")
+    bits = widths(entries.count(), segments)
+    index = materialize(entries.select(F.posexplode(_segments(F.col("code"), bits)).alias("segment", "s"), "code", "rows").select("segment", "s.value", "code", "rows"), "index")
     asked = materialize(coded.filter(F.col("id") % every == 0).select(F.col("id").alias("query_id"), F.col("code").alias("query")), "asked")
     distance = F.bit_count(F.col("query").bitwiseXOR(F.col("code"))).alias("distance")
     # the radius is a column of the written table: a join key like any other
     active, masks, ended, found = materialize(asked.select("query", F.lit(0).alias("radius")).distinct(), "active"), None, [], None
-    for r in range(width + 1):
-        whole = r == width or math.comb(width, r) > MOST_MASKS
-        if whole:  # what is left, in blocks of queries, against all codes
-            blocks = math.ceil(active.count() / BLOCK_QUERIES)
-            own = F.pmod(F.xxhash64("query"), F.lit(blocks))
-            parts = [entries.crossJoin(F.broadcast(active.filter(own == b).select("query"))) for b in range(blocks)]
-            met = reduce(DataFrame.unionByName, parts).select("query", "code", "rows", distance)
-        else:
-            masks = materialize(_masks(masks, spark, width).withColumn("radius", F.lit(r)), "masks")
-            own = active.select("query", F.posexplode(_segments(F.col("query"), width)).alias("segment", "own"), "radius")
-            probes = own.join(F.broadcast(masks), "radius").select("query", "segment", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
-            met = probes.join(index, ["segment", "value"]).select("query", "code", "rows", distance)
-            met = (met if found is None else met.unionByName(found)).distinct()
+    for r in range(max(bits) + 1):
+        whole = r == max(bits)
+        masks = materialize(_masks(masks, spark, max(bits)).withColumn("radius", F.lit(r)), "masks")
+        own = active.select("query", F.posexplode(_segments(F.col("query"), bits)).alias("segment", "s"), "radius")
+        probes = own.join(F.broadcast(masks), "radius").filter(F.col("mask") < F.col("s.values")).select("query", "segment", F.col("s.value").bitwiseXOR(F.col("mask")).alias("value"))
+        met = probes.join(index, ["segment", "value"]).select("query", "code", "rows", distance)
+        met = (met if found is None else met.unionByName(found)).distinct()
         level = met.groupBy("query", "distance").agg(F.sum("rows").alias("n"))
         upto = Window.partitionBy("query").orderBy("distance")
         kth = level.withColumn("upto", F.sum("n").over(upto)).filter(F.col("upto") > k).groupBy("query").agg(F.min("distance").alias("kth"))
         met = materialize(met.join(kth, "query", "left").filter("kth is null or distance <= kth"), f"met-{r}")
-        ready = F.lit(True) if whole else F.coalesce(F.col("kth") < BITS // width * (r + 1), F.lit(False))
+        ready = F.lit(True) if whole else F.coalesce(F.col("kth") < len(bits) * (r + 1), F.lit(False))
         ended.append(met.filter(ready).select("query", "code", "distance"))
         found = met.filter(~ready).select("query", "code", "rows", "distance")
         if whole:

@@ -576,14 +576,23 @@ def test_hamming(spark, given):
             want |= {(q, k + 1, i, dist) for k, (dist, i) in enumerate(best)}
     assert {tuple(r) for r in hamming.top_k(df).collect()} == want
     clashing = df.withColumn("code", F.lit("x")).withColumn("rows", F.lit(1)).withColumn("id", F.lit(2)).withColumn("radius", F.lit(3))
-    hamming_limits = (hamming.MOST_MASKS, hamming.BLOCK_QUERIES)
-    try:  # wide segments for few codes: queries that stay open are compared with all codes, in blocks
-        hamming.MOST_MASKS, hamming.BLOCK_QUERIES = 30, 2
-        assert {tuple(r) for r in hamming.top_k(clashing, widths=((0, 16),)).collect()} == want
-        if given:
-            assert {tuple(r) for r in hamming.top_k(clashing, widths=((0, 32),)).collect()} == want
-    finally:
-        hamming.MOST_MASKS, hamming.BLOCK_QUERIES = hamming_limits
+    for segments in (4, 7):  # wide and uneven segments for few codes: large radii
+        assert {tuple(r) for r in hamming.top_k(clashing, segments=segments).collect()} == want
+
+
+def test_hamming_of_far_away_queries(spark):
+    """A query far from all codes, and a table with fewer codes than neighbours asked for, end by the last round."""
+    rows = [(50, [1.0] * 64), *((k, [-1.0] * (60 + k) + [1.0] * (4 - k)) for k in range(1, 4))] + [(None, [1.0] * 64)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in hamming.top_k(df, segments=8).collect())
+    assert got == [(50, 1, 1, 61), (50, 2, 2, 62), (50, 3, 3, 63)]
+
+
+def test_hamming_widths():
+    for codes in (0, 1, 500, 1 << 16, 1 << 20, 1 << 24, 1 << 33):
+        bits = hamming.widths(codes)
+        assert sum(bits) == 64 and max(bits) <= 22 and max(bits) - min(bits) <= 1
+    assert hamming.widths(1 << 16) == [16] * 4 and hamming.widths(1 << 24) == [22, 21, 21]
 
 
 def test_hamming_refuses_longer_vectors(spark):
