@@ -3,16 +3,18 @@
 A text's features are which character n-grams of one to three (from a bounded vocabulary) it has. The
 normalised kernel against a few landmark texts (Nystroem) feeds one-versus-rest kernel ridge regression;
 documents are scored by matrix products over a batch of presence rows. The fit uses a bounded sample by
-hash of each language; whole texts are used throughout.
+hash of each language, fewer texts and landmarks of each where there are very many languages, so that the model
+stays small; none is left out. Whole texts are used throughout; Spark counts the sample's n-grams, and the driver
+gets the vocabulary and which of it each sampled text has.
 
 Defined results: ``und`` with score 0 for null texts, texts without a letter, and where nothing was
 learned; rows without a language are not learned from; repeated rows count each; an empty table gives an
-empty result; other columns are not read. Ties between languages go to the first in order of names.
+empty result; a null doc_id is kept, and its row is learned from only where a caller keeps it; other columns are
+not read. Ties between languages go to the first in order of names.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,10 +24,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from duelframe.llm.base import small_batches
+from duelframe.llm.base import lean, materialize, small_batches
 
-#: Bounds of the fit: languages, texts and landmarks of each, n-grams of the vocabulary.
-LANGUAGES, TEXTS, LANDMARKS, VOCABULARY = 200, 200, 24, 8192
+#: Bounds of the fit: texts and landmarks of a language, n-grams of the vocabulary.
+TEXTS, LANDMARKS, VOCABULARY = 200, 24, 8192
+#: Texts and landmarks of all languages together; beyond, each language has fewer, but FEWEST texts and one landmark.
+ALL_TEXTS, ALL_LANDMARKS, FEWEST = 20_000, 2000, 4
+#: Sampled texts that one step of the fit works on.
+FIT_ROWS = 512
 RIDGE = 1e-2
 TABLE_BITS = 19
 #: Characters that one step works on.
@@ -63,11 +69,24 @@ def presence(texts: list[str], model: Model) -> np.ndarray:
     for k, text in enumerate(texts):
         for keys in grams(text):
             at = _cells(keys)
-            found = model.slots[at]
-            out[k, found[model.keys[at] == keys]] = 1
+            while len(keys):  # n-grams of other cells move on by one; few cells are taken, so almost all end here
+                found, own = model.slots[at], model.keys[at] == keys
+                out[k, found[own]] = 1
+                on = (found > 0) & ~own
+                keys, at = keys[on], (at[on] + 1) & ((1 << TABLE_BITS) - 1)
     return out[:, 1:]
 
 
+def hash_table(vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slots and keys: each n-gram in the first free cell from its own on."""
+    slots, keys = np.zeros(1 << TABLE_BITS, np.int32), np.zeros(1 << TABLE_BITS, np.uint64)
+    for k, at in enumerate(_cells(vocabulary).tolist()):
+        while slots[at]:
+            at = (at + 1) & ((1 << TABLE_BITS) - 1)
+        slots[at], keys[at] = k + 1, vocabulary[k]
+    return slots, keys
+
+
 def kernel(rows: np.ndarray, model: Model) -> np.ndarray:
     """Normalised kernel of each row with each landmark."""
     x = rows.astype(np.float32)
@@ -78,7 +97,7 @@ def sample(docs: DataFrame, each: int) -> DataFrame:
     """(lang, text) of up to ``each`` different rows of each language: those with the smallest hashes of id and text.
 
     Every task keeps its own smallest first, so no language's rows meet in one place; rows that share id and text
-    count once. Of more than LANGUAGES languages those with the most rows are learned.
+    count once.
     """
 
     def smallest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -90,48 +109,62 @@ def sample(docs: DataFrame, each: int) -> DataFrame:
             yield held
 
     hashed = docs.filter("lang is not null").select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
-    known = hashed.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).select("lang")
     order = Window.partitionBy("lang").orderBy("h")
-    few = hashed.select("lang", "h").mapInPandas(smallest, "lang string, h long").join(F.broadcast(known), "lang", "left_semi").distinct()
+    few = hashed.select("lang", "h").mapInPandas(smallest, "lang string, h long").distinct()
     few = few.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= each).drop("r")
     return hashed.join(F.broadcast(few), ["lang", "h"], "left_semi").dropDuplicates(["lang", "h"]).select("lang", "text")
 
 
-def fit(docs: DataFrame) -> Model | None:
-    """Learn from the texts and languages of ``docs``."""
+def vocabulary_of(texts: DataFrame) -> np.ndarray:
+    """The n-grams that most of the texts have, the most frequent first."""
 
+    @lean
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.unique(np.concatenate([np.unique(g) for g in grams(t.as_py() or "")] or [np.zeros(0, np.uint64)])).tobytes() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["lang", "grams"])
+            for t in batch.column(0):
+                found = [np.unique(g) for g in grams(t.as_py() or "")]
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)).view(np.int64))], ["gram"])
+
+    counted = texts.select("text").mapInArrow(distinct, "gram long").groupBy("gram").agg(F.count("*").alias("n"))
+    return np.array([r["gram"] for r in counted.orderBy(F.desc("n"), "gram").limit(VOCABULARY).collect()], np.int64).view(np.uint64)
+
 
-    rows = sorted((r["lang"], bytes(r["grams"])) for r in sample(docs, TEXTS).mapInArrow(distinct, "lang string, grams binary").collect() if r["grams"])
-    if not rows:
+def fit(docs: DataFrame) -> Model | None:
+    """Learn from the texts and languages of ``docs``."""
+    known = docs.filter("lang is not null and text != ''").select(F.countDistinct("lang")).first()[0]
+    if not known:
         return None
-    languages = sorted({lang for lang, _ in rows})
-    sets = [np.frombuffer(g, np.uint64) for _, g in rows]
-    seen: Counter[int] = Counter()
-    for s in sets:
-        seen.update(s.tolist())
-    vocabulary = np.array([g for g, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:VOCABULARY]], np.uint64)
-    slots, keys = np.zeros(1 << TABLE_BITS, np.int32), np.zeros(1 << TABLE_BITS, np.uint64)
-    cells = _cells(vocabulary)
-    free = np.unique(cells, return_index=True)[1]  # of n-grams that share a cell the most frequent stays
-    slots[cells[free]], keys[cells[free]] = free + 1, vocabulary[free]
-    model = Model(languages, slots, keys, np.zeros((len(vocabulary), 1), np.float32), np.zeros((1, 1), np.float32))
-    x = np.zeros((len(sets), len(vocabulary) + 1), np.uint8)
-    for k, s in enumerate(sets):
-        at = _cells(s)
-        x[k, slots[at][keys[at] == s]] = 1
-    x = x[:, 1:]
-    y = np.array([languages.index(lang) for lang, _ in rows])
-    picked = np.concatenate([np.flatnonzero(y == c)[:LANDMARKS] for c in range(len(languages))])
-    model.landmarks = (x[picked].T / np.sqrt(np.maximum(x[picked].sum(1), 1))).astype(np.float32)
-    k_nl, k_ll = kernel(x, model).astype(np.float64), (model.landmarks.T @ model.landmarks).astype(np.float64)
-    target = (y[:, None] == np.arange(len(languages))[None]).astype(np.float64)
-    balance = (len(y) / (len(languages) * np.bincount(y, minlength=len(languages))))[y][:, None]
-    gram = k_nl.T @ (balance * k_nl) + RIDGE * len(y) * k_ll + 1e-6 * np.eye(len(picked))
-    model.weights = np.linalg.solve(gram, k_nl.T @ (balance * target)).astype(np.float32)
+    each = min(TEXTS, max(ALL_TEXTS // known, FEWEST))
+    few = materialize(sample(docs, each).filter("text != ''"), "sample")
+    vocabulary = vocabulary_of(few)
+    slots, keys = hash_table(vocabulary)
+    model = Model([], slots, keys, np.zeros((len(vocabulary), 1), np.float32), np.zeros((1, 1), np.float32))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @lean
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = [np.packbits(presence([t.as_py()], shared.value), axis=1).tobytes() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.binary())], ["lang", "bits"])
+
+    rows = sorted((r["lang"], bytes(r["bits"])) for r in few.select("lang", "text").mapInArrow(marked, "lang string, bits binary").collect())
+    model.languages = languages = sorted({lang for lang, _ in rows})
+    place = {lang: k for k, lang in enumerate(languages)}
+    y = np.array([place[lang] for lang, _ in rows])
+    unpacked = lambda at: np.unpackbits(np.array([np.frombuffer(rows[k][1], np.uint8) for k in at]), axis=1, count=len(vocabulary))
+    marks = max(1, min(LANDMARKS, ALL_LANDMARKS // len(languages)))
+    chosen = unpacked(np.concatenate([np.flatnonzero(y == c)[:marks] for c in range(len(languages))]))
+    model.landmarks = (chosen.T / np.sqrt(np.maximum(chosen.sum(1), 1))).astype(np.float32)
+    size = len(chosen)
+    gram, aim = RIDGE * len(y) * (model.landmarks.T @ model.landmarks).astype(np.float64) + 1e-6 * np.eye(size), np.zeros((size, len(languages)))
+    balance = len(y) / (len(languages) * np.bincount(y, minlength=len(languages)))
+    for first in range(0, len(y), FIT_ROWS):
+        at = np.arange(first, min(first + FIT_ROWS, len(y)))
+        near = kernel(unpacked(at), model).astype(np.float64)
+        gram += near.T @ (balance[y[at]][:, None] * near)
+        aim += near.T @ (balance[y[at]][:, None] * (y[at][:, None] == np.arange(len(languages))))
+    model.weights = np.linalg.solve(gram, aim).astype(np.float32)
     return model
 
 

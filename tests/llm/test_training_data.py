@@ -480,6 +480,35 @@ def test_language_kernel(spark):
     assert np.allclose(found.field("score").to_numpy(zero_copy_only=False), scores.max(1) / scores.sum(1), atol=1e-4)
 
 
+def test_language_vocabulary_is_whole(spark, monkeypatch):
+    """The most frequent n-grams by plain counting, all of them found again where cells collide."""
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").filter("lang is not null")
+    texts = [r["text"] for r in langid.sample(df, 10).collect() if r["text"]]
+    count = Counter(g for t in texts for g in plain_grams(t))
+    number = lambda g: sum((ord(c) + 1) << (21 * (len(g) - 1 - i)) for i, c in enumerate(g))
+    monkeypatch.setattr(langid, "VOCABULARY", 500)
+    monkeypatch.setattr(langid, "TABLE_BITS", 10)
+    got = langid.vocabulary_of(spark.createDataFrame([(t,) for t in texts], "text string")).tolist()
+    assert got == [number(g) for g in sorted(count, key=lambda g: (-count[g], number(g)))[:500]]
+    slots, keys = langid.hash_table(np.array(got, np.uint64))
+    assert sorted(slots[slots > 0]) == list(range(1, 501))
+    model = langid.Model(["x"], slots, keys, np.zeros((500, 1), np.float32), np.zeros((1, 1), np.float32))
+    want = [[g in {number(x) for x in plain_grams(t)} for g in got] for t in texts[:15]]
+    assert np.array_equal(langid.presence(texts[:15], model), np.array(want))
+
+
+def test_many_languages_are_all_learned(spark, monkeypatch):
+    """More languages than the bounds were made for: fewer texts and landmarks each, none left out."""
+    monkeypatch.setattr(langid, "ALL_TEXTS", 200)
+    monkeypatch.setattr(langid, "ALL_LANDMARKS", 100)
+    rows = [(100 * k + j, f"{chr(0x4E00 + k)}{chr(0x5E00 + k)} word {chr(0x4E00 + k)}{j}", f"l{k:03d}") for k in range(60) for j in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df)
+    assert len(model.languages) == 60 and model.landmarks.shape[1] == 60
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(df).collect()}
+    assert np.mean([got[d] == lang for d, _, lang in rows]) > 0.95
+
+
 def test_language_sample_of_repeated_rows(spark):
     """Copies and rows without an id take no other text's place; each language keeps its own bound."""
     rows = [(None, "x", f"text {k % 3}") for k in range(300)] + [(k, "y", f"other {k}") for k in range(20)] + [(7, "z", "same")] * 50 + [(8, None, "none")]
