@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: A comma that an even number of quotes follows.
-FIELD_END = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+#: Stands for a comma outside quotes while a line is split; where a line has it, ESCAPE and a letter stand for it.
+MARK, ESCAPE = "\u0001", "\u0002"
 MOST_HEADERS = 100
 FIXTURE = ("fixture_id", "kickoff", "status", "stage", "home_name", "away_name", "home_score", "away_score", "home_extra", "away_extra")
 
@@ -27,9 +27,10 @@ def csv_scan_strict(spark: SparkSession, path: str, columns: list[str]) -> tuple
 
     Each file has a header line of its own (up to MOST_HEADERS kinds of them). Fields may be quoted, with commas and
     doubled quotes inside. Rows with too few or too many fields are quarantined with a reason and their text. Rows
-    carry their file and their number in it; the first after the header is 2, and blank lines are skipped.
+    carry their file and their number in it; the first after the header is 2, and blank lines are skipped. A line is
+    a row: one with a quote that it doesn't close is quarantined, so a quoted line feed makes two such rows.
     """
-    lines = numbered_lines(spark, path).withColumn("fields_", F.transform(F.split("line", FIELD_END, -1), _unquoted))
+    lines = numbered_lines(spark, path).withColumn("fields_", F.transform(fields_of(F.col("line")), _unquoted))
     headers = lines.filter("row_number = 1").select("source_file", F.col("fields_").alias("header_"))
     kinds = [tuple(c.lstrip("\ufeff") for c in r[0]) for r in headers.select("header_").distinct().limit(MOST_HEADERS + 1).collect()]
     if len(kinds) > MOST_HEADERS:
@@ -41,15 +42,28 @@ def csv_scan_strict(spark: SparkSession, path: str, columns: list[str]) -> tuple
     bare = F.transform("header_", lambda c: F.ltrim(c, F.lit("\ufeff")))
     placed = {c: F.col("fields_")[F.array_position(bare, c).cast("int") - 1] for c in names}
     value = lambda c: F.when(F.array_contains(bare, c) & (F.size("fields_") >= F.array_position(bare, c)), placed[c])
-    same = F.size("fields_") == F.size("header_")
-    reason = F.when(F.size("fields_") > F.size("header_"), "extra CSV fields").otherwise("missing CSV fields")
+    closed = F.size(F.split("line", '"', -1)) % 2 == 1
+    same = closed & (F.size("fields_") == F.size("header_"))
+    reason = F.when(~closed, "unclosed quote").when(F.size("fields_") > F.size("header_"), "extra CSV fields").otherwise("missing CSV fields")
     bad = rows.filter(~same).select("source_file", "row_number", F.lit("parse").alias("stage"), reason.alias("reason"), F.create_map(F.lit("line"), F.col("line"), *(x for c in names for x in (F.lit(c), value(c)))).alias("payload"))
     return rows.filter(same).select(*(value(c).alias(c) for c in names), "source_file", "row_number"), bad
 
 
+def fields_of(line: Column) -> Column:
+    """Fields of a line, quotes and all: split at commas outside quotes, in time linear in the line.
+
+    Between quotes, every other part is outside; commas there become MARK, and the parts put together again are split there.
+    """
+    safe = F.replace(F.replace(line, F.lit(ESCAPE), F.lit(ESCAPE + "e")), F.lit(MARK), F.lit(ESCAPE + "m"))
+    parts = F.transform(F.split(safe, '"', -1), lambda x, i: F.when(i % 2 == 0, F.translate(x, ",", MARK)).otherwise(x))
+    back = lambda x: F.replace(F.replace(x, F.lit(ESCAPE + "m"), F.lit(MARK)), F.lit(ESCAPE + "e"), F.lit(ESCAPE))
+    quoted = F.transform(F.split(F.array_join(parts, '"'), MARK, -1), back)
+    return F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, ",", -1))
+
+
 def _unquoted(field: Column) -> Column:
     bare = F.trim(field)
-    return F.when(bare.rlike('^"(?s:.*)"$') & (F.length(bare) > 1), F.replace(bare.substr(F.lit(2), F.length(bare) - 2), F.lit('""'), F.lit('"'))).otherwise(bare)
+    return F.when(F.startswith(bare, F.lit('"')) & F.endswith(bare, F.lit('"')) & (F.length(bare) > 1), F.replace(bare.substr(F.lit(2), F.length(bare) - 2), F.lit('""'), F.lit('"'))).otherwise(bare)
 
 
 SIDES = "struct<home:int,away:int>"

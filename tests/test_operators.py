@@ -132,6 +132,29 @@ def test_csv_scan_of_several_files(spark, tmp_path):
         scans.csv_scan_strict(spark, str(tmp_path), ["home", "note"])
 
 
+def test_csv_scan_of_very_wide_and_unclosed_lines(spark, tmp_path):
+    """100,000 quoted fields in a line, marks that the splitting uses itself, quotes in the middle, and quoted line feeds."""
+    n = 100_000
+    (tmp_path / "a.csv").write_text('home,note\n' + ",".join(['"x, y"'] * n) + "\n" + ",".join(["z"] * n) + '\na\u0001b\u0002e,"c\u0002m,\u0001""d"\n5" x,"open\nrest",1\n"p, q"r,""\n')
+    good, bad = scans.csv_scan_strict(spark, str(tmp_path), ["home", "note"])
+    assert sorted((r["row_number"], r["home"], r["note"]) for r in good.collect()) == [(4, "a\u0001b\u0002e", 'c\u0002m,\u0001"d'), (7, '"p, q"r', "")]
+    assert sorted((r["row_number"], r["reason"]) for r in bad.collect()) == [(2, "extra CSV fields"), (3, "extra CSV fields"), (5, "missing CSV fields"), (6, "unclosed quote")]
+    wide = spark.createDataFrame([(",".join(['"x, y"'] * n),)], "line string").select(F.size(scans.fields_of(F.col("line")))).first()[0]
+    assert wide == n
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_csv_fields_by_a_plain_machine(spark, seed):
+    rnd = random.Random(seed)
+    lines = ["".join(rnd.choice([",", '"', "a", " ", "\u0001", "\u0002", "e", "m"]) for _ in range(rnd.randrange(12))) for _ in range(400)]
+    for line, fields in spark.createDataFrame([(x,) for x in lines], "line string").select("line", scans.fields_of(F.col("line"))).collect():
+        want, inside = [""], False
+        for c in line:
+            inside ^= c == '"'
+            want = [*want, ""] if c == "," and not inside else [*want[:-1], want[-1] + c]
+        assert fields == want
+
+
 def test_lines_are_numbered_across_splits(spark, tmp_path):
     (tmp_path / "t.txt").write_text("".join(f"line {k}\n" for k in range(1, 4001)))
     most = spark.conf.get("spark.sql.files.maxPartitionBytes")
