@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from duelframe.functions.ids import derived_id
+from duelframe.operators import known
 
 EARLIEST, LATEST = "0001-01-01", "9999-12-31"
 
@@ -69,21 +70,10 @@ def latest_before(rows: DataFrame, key: str, instant: str, tie: str, take: dict[
     return rows.withColumn(name, F.max(own).over(w))
 
 
-def previous_asof_by_cutoff(rows: DataFrame, near: int = 16) -> DataFrame:
-    """visit_id and its previous visit of the team: strictly earlier and known by this row's cutoff.
-
-    The nearest earlier rows are looked through first, in one window; only rows with none among them that
-    have further earlier ones are joined with those.
-    """
-    w = Window.partitionBy("team").orderBy("kickoff", "visit_id")
-    back = lambda c, k: F.lag(c, k).over(w)
-    fits = [F.when((back("kickoff", k) < F.col("kickoff")) & (back("cutoff", k) <= F.col("cutoff")), back("visit_id", k)) for k in range(1, near + 1)]
-    looked = rows.select("team", "visit_id", "kickoff", "cutoff", F.coalesce(*fits).alias("previous_id"), F.row_number().over(w).alias("nth_"))
-    done = F.col("previous_id").isNotNull() | (F.col("nth_") <= near + 1)
-    a, b = looked.filter(~done).alias("a"), rows.alias("b")
-    met = a.join(b, (F.col("a.team") == F.col("b.team")) & (F.col("b.kickoff") < F.col("a.kickoff")) & (F.col("b.cutoff") <= F.col("a.cutoff")), "left")
-    rest = met.groupBy(F.col("a.visit_id").alias("visit_id")).agg(F.max(F.struct(F.col("b.kickoff").alias("k"), F.col("b.visit_id").alias("v"))).alias("p")).select("visit_id", F.col("p.v").alias("previous_id"))
-    return looked.filter(done).select("visit_id", "previous_id").unionByName(rest)
+def previous_asof_by_cutoff(rows: DataFrame) -> DataFrame:
+    """visit_id and its previous visit of the team: strictly earlier and known by this row's cutoff."""
+    placed = known.placed(rows.select("team", "visit_id", "kickoff", "cutoff"), "team", "kickoff", "visit_id")
+    return known.with_latest_known(placed, "team", "cutoff", {"id": "visit_id"}, "before_").select("visit_id", F.col("before_.id").alias("previous_id"))
 
 
 def interval_self_join(rows: DataFrame, days: int) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,25 +15,41 @@ def _micros(kickoff: str) -> Column:
     return F.unix_micros(F.col(kickoff))
 
 
-def rolling(key: str, kickoff: str, days: int, including: bool = False):
-    """Rows of the key in the last days; without the current instant unless ``including``."""
-    return Window.partitionBy(key).orderBy(_micros(kickoff)).rangeBetween(-days * DAY, 0 if including else -1)
+def in_stretches(rows: DataFrame, key: str, kickoff: str, days: int, columns: Callable) -> DataFrame:
+    """``rows`` with the columns that ``columns`` makes of windows over at most so many days.
+
+    Rows stand in their own stretch of that many days and, as context, in the next one, and windows are by key and
+    stretch: a key with very many rows is spread over time. ``columns`` gets a function that makes the window of the
+    last days, without the current instant unless told ``including``.
+    """
+    at = _micros(kickoff)
+    part = F.floor(at / (days * DAY))
+    both = F.array(F.struct(part.alias("part_"), F.lit(True).alias("own_")), F.when(at.isNotNull(), F.struct((part + 1).alias("part_"), F.lit(False).alias("own_"))))
+    dealt = rows.withColumns({"at_": at, "in_": F.explode(F.array_compact(both))}).select("*", "in_.*")
+
+    def last(span: int, including: bool = False):
+        return Window.partitionBy(key, "part_").orderBy("at_").rangeBetween(-span * DAY, 0 if including else -1)
+
+    return dealt.withColumns(columns(last)).filter("own_").drop("at_", "in_", "part_", "own_")
 
 
 def rolling_match_counts(rows: DataFrame, key: str, kickoff: str, days: tuple[int, ...] = (7, 14, 30)) -> DataFrame:
-    return rows.withColumns({f"matches_{d}d": F.count("*").over(rolling(key, kickoff, d)) for d in days})
+    return in_stretches(rows, key, kickoff, max(days), lambda last: {f"matches_{d}d": F.count("*").over(last(d)) for d in days})
 
 
-def rolling_minutes(rows: DataFrame, key: str, kickoff: str, minutes: str, days: int) -> DataFrame:
+def rolling_minutes(rows: DataFrame, key: str, kickoff: str, minutes: str, *days: int) -> DataFrame:
     """Sum over the window; nothing there is 0, anything unknown there makes it unknown."""
-    w = rolling(key, kickoff, days)
-    unknown = F.count_if(F.col(minutes).isNull()).over(w)
-    return rows.withColumn(f"{minutes}_{days}d", F.when(unknown > 0, None).otherwise(F.coalesce(F.sum(minutes).over(w), F.lit(0.0))))
+
+    def made(last: Callable) -> dict[str, Column]:
+        unknown = {d: F.count_if(F.col(minutes).isNull()).over(last(d)) for d in days}
+        return {f"{minutes}_{d}d": F.when(unknown[d] > 0, None).otherwise(F.coalesce(F.sum(minutes).over(last(d)), F.lit(0.0))) for d in days}
+
+    return in_stretches(rows, key, kickoff, max(days), made)
 
 
-def rolling_travel(rows: DataFrame, key: str, kickoff: str, distance: str, days: int) -> DataFrame:
+def rolling_travel(rows: DataFrame, key: str, kickoff: str, distance: str, *days: int) -> DataFrame:
     """Sum of known distances over the window with the current row; null if none is known."""
-    return rows.withColumn(f"{distance}_{days}d", F.sum(distance).over(rolling(key, kickoff, days, including=True)))
+    return in_stretches(rows, key, kickoff, max(days), lambda last: {f"{distance}_{d}d": F.sum(distance).over(last(d, including=True)) for d in days})
 
 
 def rest_time(rows: DataFrame, key: str, kickoff: str, tie: str) -> DataFrame:

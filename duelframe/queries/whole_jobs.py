@@ -41,6 +41,23 @@ def contextual_feature_build(contests, grounds, hosts):
     return rows.select("match_id", "side", "team", *(F.round(F.col(c).cast("double"), 4).alias(c) for c in FEATURES), *FLAGS)
 
 
+KNOWN_ROWS = TEAM_ROWS.replace("k AS (SELECT *, max(", f"""o AS (SELECT *, instant + INTERVAL 1 HOUR * CAST(match_id % 200 - 60 AS INT) AS cutoff FROM r),
+n AS (SELECT a.match_id AS of_match, a.team AS of_team, max(struct_pack(t := b.instant, m := b.match_id)) AS prev, {", ".join(f"count(b.match_id) FILTER (WHERE b.instant >= a.instant - INTERVAL {d} DAY) AS matches_{d}d, CASE WHEN count(b.match_id) FILTER (WHERE b.instant >= a.instant - INTERVAL {d} DAY AND b.minutes IS NULL) = 0 THEN coalesce(sum(b.minutes) FILTER (WHERE b.instant >= a.instant - INTERVAL {d} DAY), 0.0) END AS minutes_{d}d" for d in contextual.DAYS)},
+  count(b.match_id) FILTER (WHERE b.competition = a.competition) + 1 AS tournament_match_number FROM o a LEFT JOIN o b ON b.team = a.team AND b.instant < a.instant AND b.cutoff <= a.cutoff GROUP BY ALL),
+k AS (SELECT o.*, n.* FROM o JOIN n ON n.of_match = o.match_id AND n.of_team = o.team),
+unused AS (SELECT *, max(""")
+KNOWN_ROWS = KNOWN_ROWS.replace(", ".join(f"sum(travel_km) OVER {_RANGE.format(d * DAY, 'CURRENT ROW')} AS travel_km_{d}d" for d in contextual.DAYS), ", ".join(f"(SELECT sum(b.travel_km) FROM j b WHERE b.team = j.team AND b.instant >= j.instant - INTERVAL {d} DAY AND (b.match_id = j.match_id OR (b.instant < j.instant AND b.cutoff <= j.cutoff))) AS travel_km_{d}d" for d in contextual.DAYS))
+
+
+@query(f"WITH {KNOWN_ROWS} SELECT match_id, side, team, {', '.join(f'round(CAST({c} AS DOUBLE), 4) AS {c}' for c in FEATURES)}, {', '.join(FLAGS)} FROM t", "contests", "grounds", "hosts")
+def contextual_feature_build_by_cutoff(contests, grounds, hosts):
+    """Rows become known between 60 hours before and 139 hours after their instant: features see only what is known by then."""
+    instant = F.coalesce("kickoff", F.col("match_date").cast("timestamp"))
+    late = contests.withColumn("cutoff", F.timestamp_micros(F.unix_micros(instant) + (F.col("match_id") % 200 - 60) * 3_600_000_000))
+    rows = _teams(late, grounds, hosts)
+    return rows.select("match_id", "side", "team", *(F.round(F.col(c).cast("double"), 4).alias(c) for c in FEATURES), *FLAGS)
+
+
 @query(f"""WITH {TEAM_ROWS} SELECT h.match_id, {', '.join(f'round(CAST(h.{c} AS DOUBLE), 4) AS home_{c}, round(CAST(a.{c} AS DOUBLE), 4) AS away_{c}, round(CAST(h.{c} AS DOUBLE) - CAST(a.{c} AS DOUBLE), 4) AS {c}_diff' for c in FEATURES)}
   FROM t h JOIN t a ON a.match_id = h.match_id AND h.side = 'home' AND a.side = 'away'""", "contests", "grounds", "hosts")
 def contextual_match_rows(contests, grounds, hosts):

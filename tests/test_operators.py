@@ -10,8 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from duelframe.functions import ids, scalars
-from duelframe.operators import joins, reports, windows
-from duelframe.plans import jobs, models, ratings
+from duelframe.operators import joins, known, reports, scan, windows
+from duelframe.plans import contextual, jobs, models, ratings
 from duelframe.queries.library import PARAMS
 from duelframe.sources import scans, sinks
 from duelframe.streaming import ledger
@@ -267,12 +267,58 @@ def test_interval_join_counts_across_stretches(spark):
 
 
 @pytest.mark.parametrize("near", [1, 2, 16])
-def test_previous_by_cutoff_looks_beyond_the_nearest(spark, near):
+def test_previous_by_cutoff_looks_beyond_the_nearest(spark, near, monkeypatch):
+    monkeypatch.setattr(known, "NEAR", near)
+    monkeypatch.setattr(known, "STRETCH", 32)
     rnd = random.Random(5)
     data = [(k, k % 2, dt.datetime(2024, 1, 1) + dt.timedelta(hours=rnd.randrange(40)), dt.datetime(2024, 1, 1) + dt.timedelta(hours=rnd.randrange(90))) for k in range(60)]
     rows = spark.createDataFrame(data, "visit_id long, team long, kickoff timestamp, cutoff timestamp")
     best = {a[0]: max(((b[2], b[0]) for b in data if b[1] == a[1] and b[2] < a[2] and b[3] <= a[3]), default=(None, None))[1] for a in data}
-    assert {r.visit_id: r.previous_id for r in joins.previous_asof_by_cutoff(rows, near).collect()} == best
+    assert {r.visit_id: r.previous_id for r in joins.previous_asof_by_cutoff(rows).collect()} == best
+
+
+def test_known_rows_of_a_hot_key(spark):
+    """Latest known rows and sums over known rows against plain Python; one key has most rows, and rows known never or at once."""
+    rnd = random.Random(2)
+    data = [(i, 0 if rnd.random() < 0.8 else rnd.randrange(4), rnd.randrange(800), rnd.choice([None, 0, rnd.randrange(3000), rnd.randrange(3000)]), float(rnd.randrange(9))) for i in range(1500)]
+    rows = known.placed(spark.createDataFrame(data, "id long, team long, t long, cutoff long, v double").repartition(6), "team", "t", "id").checkpoint()
+    got = {r["id"]: r["b"] for r in known.with_latest_known(rows, "team", "cutoff", {"id": "id"}, "b").select("id", F.col("b.id").alias("b")).collect()}
+    fits = lambda b, a: b[1] == a[1] and b[2] < a[2] and a[3] is not None and b[3] is not None and b[3] <= a[3]
+    assert got == {a[0]: max(((b[2], b[0]) for b in data if fits(b, a)), default=(None, None))[1] for a in data}
+    asked = rows.filter("cutoff is not null").select(F.col("id").alias("ask_"), F.col("team").alias("key_"), F.greatest(F.lit(0), F.col("floor_") - 50).alias("low_"), F.col("floor_").alias("high_"), F.col("cutoff").alias("cutoff_"))
+    sums = {r["ask_"]: (r["n"], r["v"]) for r in known.known_sums(asked, rows, "team", "cutoff", {"n": F.lit(1), "v": F.col("v")}, 50).collect() if r["n"]}
+    at = {r["place_"]: r for r in rows.collect()}
+    want = {}
+    for r in at.values():
+        seen = [at[q]["v"] for q in range(max(0, r["floor_"] - 50), r["floor_"]) if r["cutoff"] is not None and at[q]["cutoff"] is not None and at[q]["team"] == r["team"] and at[q]["cutoff"] <= r["cutoff"]]
+        want |= {r["id"]: (len(seen), sum(seen))} if seen else {}
+    assert sums == want
+
+
+def test_running_values_are_spread_over_tasks(spark):
+    rnd = random.Random(6)
+    data = [(k, 1 if k % 9 else k % 4, rnd.randrange(-5, 9), rnd.choice([None, 1.5])) for k in range(600)]
+    df = spark.createDataFrame(data, "id long, team long, v long, w double").repartition(5)
+    out = scan.running(df, ["team"], [F.col("id")], {"total": F.col("v"), "weight": F.col("w")}, {"top": F.col("v")})
+    assert out.columns == ["id", "team", "v", "w", "total", "weight", "top"]
+    assert scan.in_order(df, [F.col("team"), F.col("id")]).filter("team = 1").select("task_").distinct().count() > 1
+    for r in out.collect():
+        before = [x for x in data if x[1] == r["team"] and x[0] <= r["id"]]
+        assert r["total"] == sum(x[2] for x in before) and r["top"] == max(x[2] for x in before) and r["weight"] == (sum(x[3] for x in before if x[3]) or None)
+
+
+def test_features_do_not_see_what_was_not_known(spark):
+    """An earlier match that became known after a match's cutoff is none of its features' business."""
+    t = lambda d, h=18: dt.datetime(2026, 1, d, h)
+    shape = "match_id long, match_date date, kickoff timestamp, home_id long, away_id long, competition string, site_id long, neutral boolean, extra_time boolean, penalties boolean, trusted boolean, cutoff timestamp"
+    row = lambda k, d, cutoff: (k, D(2026, 1, d), t(d), 1, 10 + k, "c", 1, None, False, False, True, cutoff)
+    matches = spark.createDataFrame([row(1, 15, t(16, 0)), row(2, 20, t(14, 0)), row(3, 25, t(14, 0)), row(4, 27, t(28, 0))], shape)
+    sites = spark.createDataFrame([(1, 1, 0.0, 0.0, 0, "UTC")], "site_id long, country long, latitude double, longitude double, elevation long, zone string")
+    hosts = spark.createDataFrame([(1, 1)], "country long, team long")
+    got = {r["match_id"]: r for r in contextual.team_rows(matches, sites, hosts).filter("team = 1").collect()}
+    assert got[2]["previous_match_id"] is None and got[2]["matches_7d"] == 0 and got[2]["rest_hours"] is None and got[2]["tournament_match_number"] == 1
+    assert got[3]["previous_match_id"] == 2 and got[3]["matches_14d"] == 1 and got[3]["minutes_14d"] == 90 and got[3]["tournament_match_number"] == 2
+    assert got[4]["previous_match_id"] == 3 and got[4]["matches_14d"] == 3 and got[4]["tournament_match_number"] == 4 and got[4]["minutes_30d"] == 270
 
 
 def test_historical_ingest_places_each_row_once(spark):
