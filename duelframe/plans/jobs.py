@@ -154,6 +154,29 @@ def grid_search_report(matches: DataFrame, folds: DataFrame, params: DataFrame,
     each = F.explode(F.array(*(F.struct(*(F.lit(v).alias(c) for c, v in o.asDict().items())) for o in options)))
     tests = roles.filter("role = 'test'").join(rates, "fold").withColumn("option_", each).select("*", "option_.*")
     scores = scoring.proper_scores(predict(tests, F.col("rate")), "param_id", "fold")
+    return _selected(scores)
+
+
+def rating_grid_report(matches: DataFrame, history: DataFrame, params: DataFrame, starts: list) -> DataFrame:
+    """param_id, fold (a year from each start), scores and ``selected``, for ratings of every parameter set.
+
+    ``history``: contest rows of all sets from one pass (ratings before a contest hold nothing later, so they serve
+    every fold). A fold's draw rate comes from the matches before its start.
+    """
+    day = lambda d: F.lit(d.isoformat()).cast("date")
+    drawn = (F.col("outcome") == "draw").cast("int")
+    rates = matches.agg(*(F.avg(F.when(F.col("match_date") < day(s), drawn)).alias(f"r{k}") for k, s in enumerate(starts))).first()
+    fold = [F.struct(F.lit(s.isoformat()).alias("fold"), F.lit(rates[k]).cast("double").alias("rate")) for k, s in enumerate(starts)]
+    inside = F.coalesce(*(F.when((F.col("match_date") >= day(s)) & (F.col("match_date") < F.add_months(day(s), 12)), f) for s, f in zip(starts, fold, strict=True)))
+    tests = history.withColumn("fold_", inside).filter("fold_ is not null").select("param_id", "match_id", "home_pre", "away_pre", "fold_.*")
+    advantage = params.select("param_id", "home_advantage")
+    met = tests.join(matches.select("match_id", "outcome"), "match_id").join(F.broadcast(advantage), "param_id")
+    scored = models.draw_rate_probability(met.withColumn("difference", F.col("home_pre") + F.col("home_advantage") - F.col("away_pre")), F.col("rate"))
+    return _selected(scoring.proper_scores(scored, "param_id", "fold"))
+
+
+def _selected(scores: DataFrame) -> DataFrame:
+    """Scores by param_id and fold with their mean over folds, and whether it is the least (ties: the smaller id)."""
     means = scores.groupBy("param_id").agg(F.round(F.avg("log_loss"), 12).alias("mean_log_loss"))
     best = means.agg(F.min(F.struct("mean_log_loss", "param_id")).alias("b")).select(F.col("b.param_id").alias("best_"))
     return scores.join(means, "param_id").join(best, F.col("param_id") == F.col("best_"), "left").withColumn("selected", F.col("best_").isNotNull()).drop("best_")

@@ -1,7 +1,13 @@
-"""Batch rating updates: one date at a time, every parameter set in the same pass."""
+"""Batch rating updates by date, every parameter set in the same pass."""
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Iterator
+from itertools import product
+
+import pyarrow as pa
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +24,8 @@ def idle_regressed(rating: Column, rest_days: Column, idle_days: Column, share:
 
 
 def rate_batch(ratings: DataFrame, batch: DataFrame, params: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One date: all contests read ratings from before it; each team's changes are summed and applied once.
+    """All contests of a date read the given ratings; each team's changes are summed and applied once. Several dates
+    are several batches: each reads the given ratings, and ratings after them are those after a team's last date.
 
     ``ratings``: param_id, team, rating, played, last_date. ``params``: param_id, k, home_advantage,
     margin_weight, idle_days, idle_share (a few rows). Returns (contest rows with pre and post, new ratings).
@@ -28,15 +35,15 @@ def rate_batch(ratings: DataFrame, batch: DataFrame, params: DataFrame) -> tuple
     start = F.coalesce("rating", F.lit(INITIAL))
     pre = sides.crossJoin(p).join(ratings, ["param_id", "team"], "left").withColumn("pre", idle_regressed(start, F.datediff("day", "last_date"), F.col("idle_days"), F.col("idle_share")))
     pre = pre.select("param_id", "team", "day", "pre", F.coalesce("played", F.lit(0)).alias("played"))
-    h, a = (pre.select("param_id", F.col("team").alias(f"{s}_id"), F.col("pre").alias(f"{s}_pre")) for s in ("home", "away"))
-    rows = batch.join(h, "home_id").join(a, ["param_id", "away_id"]).join(p, "param_id")
+    h, a = (pre.select("param_id", F.col("day").alias("match_date"), F.col("team").alias(f"{s}_id"), F.col("pre").alias(f"{s}_pre")) for s in ("home", "away"))
+    rows = batch.join(h, ["match_date", "home_id"]).join(a, ["match_date", "param_id", "away_id"]).join(p, "param_id")
     gd = F.col("home_goals") - F.col("away_goals")
     actual = F.when(gd > 0, 1.0).when(gd < 0, 0.0).otherwise(0.5)
     margin = F.when(F.abs(gd) <= 1, 1.0).otherwise(1 + (F.abs(gd) - 1) * F.col("margin_weight"))
     rows = rows.withColumn("expected", expected_score(F.col("home_pre") + F.col("home_advantage") - F.col("away_pre"))).withColumn("delta", F.col("k") * margin * (actual - F.col("expected")))
-    changes = rows.select("param_id", F.explode(F.array(F.struct(F.col("home_id").alias("team"), F.col("delta").alias("d")), F.struct(F.col("away_id").alias("team"), (-F.col("delta")).alias("d")))).alias("x")).groupBy("param_id", "x.team").agg(F.sum("x.d").alias("d"))
+    changes = rows.select("param_id", "match_date", F.explode(F.array(F.struct(F.col("home_id").alias("team"), F.col("delta").alias("d")), F.struct(F.col("away_id").alias("team"), (-F.col("delta")).alias("d")))).alias("x")).groupBy("param_id", "match_date", "x.team").agg(F.sum("x.d").alias("d"))
     for s in ("home", "away"):
-        rows = rows.join(changes.select("param_id", F.col("team").alias(f"{s}_id"), F.col("d").alias(f"{s}_d")), ["param_id", f"{s}_id"])
+        rows = rows.join(changes.select("param_id", "match_date", F.col("team").alias(f"{s}_id"), F.col("d").alias(f"{s}_d")), ["param_id", "match_date", f"{s}_id"])
     rows = rows.select("param_id", "match_id", "match_date", "home_id", "away_id", "home_pre", "away_pre", "expected", "delta", *((F.col(f"{s}_pre") + F.col(f"{s}_d")).alias(f"{s}_post") for s in ("home", "away")))
     return rows, ratings_after(ratings, rows)
 
@@ -44,23 +51,115 @@ def rate_batch(ratings: DataFrame, batch: DataFrame, params: DataFrame) -> tuple
 def ratings_after(ratings: DataFrame, rows: DataFrame) -> DataFrame:
     """Ratings once these contest rows of one date are in."""
     side = lambda s: F.struct(F.col(f"{s}_id").alias("team"), F.col(f"{s}_post").alias("rating"))
-    own = rows.select("param_id", "match_date", F.explode(F.array(side("home"), side("away"))).alias("x")).groupBy("param_id", "x.team").agg(F.first("x.rating").alias("rating_"), F.count("*").alias("n_"), F.max("match_date").alias("day_"))
+    own = rows.select("param_id", "match_date", F.explode(F.array(side("home"), side("away"))).alias("x")).groupBy("param_id", "x.team").agg(F.max_by("x.rating", "match_date").alias("rating_"), F.count("*").alias("n_"), F.max("match_date").alias("day_"))
     met = ratings.join(own, ["param_id", "team"], "full")
     return met.select("param_id", "team", F.coalesce("rating_", "rating").alias("rating"), (F.coalesce("played", F.lit(0)) + F.coalesce("n_", F.lit(0))).alias("played"), F.coalesce("day_", "last_date").alias("last_date"))
 
 
-def rating_history(matches: DataFrame, params: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
-    """All dates in order: (contest rows, current ratings), kept as tables under ``path`` in a shared folder.
+class _Fold:
+    """Contests of one parameter set in order of date: only the teams' state is kept."""
+
+    def __init__(self, k: float, home_advantage: float, margin_weight: float, idle_days: int, idle_share: float, stops: list[dt.date]):
+        self.k, self.home_advantage, self.margin_weight, self.idle_days, self.idle_share = k, home_advantage, margin_weight, idle_days, idle_share
+        self.stops, self.ratings, self.played, self.last = stops, {}, {}, {}
+
+    def snapshots(self, before: dt.date | None) -> list[tuple]:
+        """State rows of all stops up to this date (none: the state after all contests)."""
+        due = [d for d in self.stops if before is None or d <= before]
+        self.stops = self.stops[len(due) :]
+        return [(d, t, self.ratings[t], self.played[t], self.last[t]) for d in [*due, *([None] if before is None else [])] for t in self.ratings]
+
+    def contests(self, day: dt.date, batch: list[tuple]) -> list[tuple]:
+        """All contests of one date read the ratings before it; each team's changes are summed and applied once."""
+        pre, change, rows = {}, {}, []
+        for _, home, away, _, _ in batch:
+            for t in (home, away):
+                if t not in pre:
+                    r = self.ratings.get(t, INITIAL)
+                    idle = t in self.last and (day - self.last[t]).days >= self.idle_days
+                    pre[t], change[t] = (INITIAL + (r - INITIAL) * (1 - self.idle_share) if idle else r), 0.0
+        for match, home, away, scored, conceded in batch:
+            gap = scored - conceded
+            expected = 1 / (1 + 10 ** (-(pre[home] + self.home_advantage - pre[away]) / 400))
+            margin = 1.0 if abs(gap) <= 1 else 1 + (abs(gap) - 1) * self.margin_weight
+            delta = self.k * margin * ((gap > 0) + 0.5 * (gap == 0) - expected)
+            change[home] += delta
+            change[away] -= delta
+            rows.append((match, day, home, away, pre[home], pre[away], expected, delta))
+            for t in (home, away):
+                self.played[t] = self.played.get(t, 0) + 1
+        for t in pre:
+            self.ratings[t], self.last[t] = pre[t] + change[t], day
+        return [(*r, self.ratings[r[2]], self.ratings[r[3]]) for r in rows]
+
+
+def _folded(batches: Iterator[pa.RecordBatch], stops: list[dt.date]) -> Iterator[pa.RecordBatch]:
+    """Rows in order of (param_id, match_date, match_id), several dates a batch, to contest rows and state rows."""
+    schema = pa.schema([("param_id", pa.string()), ("match_id", pa.int64()), ("match_date", pa.date32()), *((c, pa.int64()) for c in ("home_id", "away_id")), *((c, pa.float64()) for c in ("home_pre", "away_pre", "expected", "delta", "home_post", "away_post")), ("played", pa.int64()), ("last_date", pa.date32())])
+    name = fold = day = None
+    held: list[tuple] = []
+
+    def made(rows: list[tuple], states: list[tuple]) -> Iterator[pa.RecordBatch]:
+        whole = [(name, *r, None, None) for r in rows] + [(name, None, d, t, None, None, None, None, None, r, None, n, last) for d, t, r, n, last in states]
+        if whole:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*whole, strict=True), schema, strict=True)], schema=schema)
 
-    One step a date (or whatever ``match_date`` is cut to), as each reads the ratings before it. A step writes its
-    contest rows, and from them the ratings, a row for each team and parameter set, so no plan grows with the dates.
+    def closed(end: bool) -> Iterator[pa.RecordBatch]:
+        """The held date's contests, and with ``end`` the last states of the parameter set."""
+        nonlocal held
+        if fold is not None:
+            states, rows = fold.snapshots(day) if held else [], fold.contests(day, held) if held else []
+            held = []
+            yield from made(rows, states + (fold.snapshots(None) if end else []))
+
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("param_id", "match_date", "match_id", "home_id", "away_id", "home_goals", "away_goals")]
+        options = [batch.column(c) for c in ("k", "home_advantage", "margin_weight", "idle_days", "idle_share")]
+        for i, (param, date, *contest) in enumerate(zip(*columns, strict=True)):
+            if param != name or date != day:
+                yield from closed(param != name)
+            if param != name:
+                name, fold = param, _Fold(*(o[i].as_py() for o in options), sorted(stops))
+            day = date
+            held.append(tuple(contest))
+    yield from closed(True)
+
+
+def rating_fold(matches: DataFrame, params: DataFrame, path: str, stops: list[dt.date] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Every date in order, every parameter set, in one pass: (contest rows, current ratings, ratings at the stops).
+
+    Contests are sorted by Spark and go past a task for each parameter set, which keeps the teams' state alone, however
+    many contests there are: each date reads the ratings before it, so one set's contests are a sequence. Ratings at a
+    stop are those before its date (columns as of the current ones, and ``stop``), so that folds share the pass.
+    Contests without a date, a team or a score are left out. The result is a table under ``path`` in a shared folder.
     """
     spark = matches.sparkSession
-    ratings = spark.createDataFrame([], RATINGS)
-    days = [r["match_date"] for r in matches.select("match_date").distinct().orderBy("match_date").toLocalIterator()]
-    for k, day in enumerate(days):
-        rows, _ = rate_batch(ratings, matches.filter(F.col("match_date") == day), params)
-        rows.write.parquet(f"{path}/contests/step={k}")
-        ratings_after(ratings, spark.read.schema(HISTORY).parquet(f"{path}/contests/step={k}")).write.parquet(f"{path}/ratings/step={k}")
-        ratings = spark.read.schema(RATINGS).parquet(f"{path}/ratings/step={k}")
-    return spark.read.schema(HISTORY).parquet(*(f"{path}/contests/step={k}" for k in range(len(days)))) if days else spark.createDataFrame([], HISTORY), ratings
+    played = matches.select("match_id", "match_date", *(F.col(c).cast("long").alias(c) for c in ("home_id", "away_id", "home_goals", "away_goals"))).dropna()
+    sets = params.count()
+    dealt = played.crossJoin(F.broadcast(params)).repartitionByRange(max(sets, 1), "param_id").sortWithinPartitions("param_id", "match_date", "match_id")
+    days = list(stops or [])
+    folded = dealt.mapInArrow(lambda batches: _folded(batches, days), f"{HISTORY}, played long, last_date date")
+    folded.write.parquet(f"{path}/fold")
+    table = spark.read.schema(f"{HISTORY}, played long, last_date date").parquet(f"{path}/fold")
+    state = table.filter("match_id is null").select("param_id", F.col("home_id").alias("team"), F.col("home_post").alias("rating"), "played", "last_date", F.col("match_date").alias("stop"))
+    now = state.filter("stop is null").drop("stop")
+    return table.filter("match_id is not null").drop("played", "last_date"), now, state.filter("stop is not null")
+
+
+def rating_history(matches: DataFrame, params: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """All dates in order: (contest rows, current ratings)."""
+    rows, now, _ = rating_fold(matches, params, path)
+    return rows, now
+
+
+def rating_grid(base: dict[str, float], **options: list) -> list[tuple]:
+    """Rows of PARAMS columns for all combinations of options (others as in ``base``); names tell what differs."""
+    names = ("k", "home_advantage", "margin_weight", "idle_days", "idle_share")
+    out = []
+    for chosen in product(*options.values()):
+        own = base | dict(zip(options, chosen, strict=True))
+        label = " ".join(f"{n}={v:g}" for n, v in zip(options, chosen, strict=True))
+        out.append((label, float(own["k"]), float(own["home_advantage"]), float(own["margin_weight"]), int(own["idle_days"]), float(own["idle_share"])))
+    if {*options} - {*names}:
+        raise ValueError(f"unknown options: {sorted({*options} - {*names})}")
+    return out

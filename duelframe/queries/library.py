@@ -832,15 +832,16 @@ def table_digest(pairs):
 
 # --- rating and model jobs ------------------------------------------------------------------------
 
-@query("""SELECT home_id AS team, round(1500 + 20 * sum(CASE WHEN d > 0 THEN 1.0 WHEN d < 0 THEN 0.0 ELSE 0.5 END * w - w * e), 6) AS rating FROM (
-  SELECT match_id, home_id, home_goals - away_goals AS d, CASE WHEN abs(home_goals - away_goals) <= 1 THEN 1.0 ELSE 1 + (abs(home_goals - away_goals) - 1) * 0.15 END AS w, 1 / (1 + pow(10.0, -50 / 400.0)) AS e FROM pairs WHERE match_date = (SELECT min(match_date) FROM pairs)
-  UNION ALL SELECT match_id, away_id, away_goals - home_goals, CASE WHEN abs(home_goals - away_goals) <= 1 THEN 1.0 ELSE 1 + (abs(home_goals - away_goals) - 1) * 0.15 END, 1 - 1 / (1 + pow(10.0, -50 / 400.0)) FROM pairs WHERE match_date = (SELECT min(match_date) FROM pairs)) GROUP BY 1""", "pairs")
+@query("""SELECT match_date, team, round(1500 + sum(20.0 * w * ((CASE WHEN d > 0 THEN 1.0 WHEN d < 0 THEN 0.0 ELSE 0.5 END) - e)), 6) AS rating FROM (
+  SELECT match_date, match_id, home_id AS team, home_goals - away_goals AS d, CASE WHEN abs(home_goals - away_goals) <= 1 THEN 1.0 ELSE 1 + (abs(home_goals - away_goals) - 1) * 0.15 END AS w, 1 / (1 + pow(10.0, -50 / 400.0)) AS e FROM pairs
+  UNION ALL SELECT match_date, match_id, away_id, away_goals - home_goals, CASE WHEN abs(home_goals - away_goals) <= 1 THEN 1.0 ELSE 1 + (abs(home_goals - away_goals) - 1) * 0.15 END, 1 - 1 / (1 + pow(10.0, -50 / 400.0)) FROM pairs) GROUP BY ALL""", "pairs")
 def elo_batch_update(pairs):
-    first = pairs.agg(F.min("match_date").alias("match_date"))
+    """Every date as a batch of its own, from initial ratings."""
     spark = pairs.sparkSession
     params = spark.createDataFrame([("p", 20.0, 50.0, 0.15, 365, 0.25)], PARAMS)
-    _, after = ratings.rate_batch(spark.createDataFrame([], RATINGS), pairs.join(F.broadcast(first), "match_date"), params)
-    return after.select("team", r6("rating").alias("rating"))
+    rows, _ = ratings.rate_batch(spark.createDataFrame([], RATINGS), pairs, params)
+    side = lambda s: F.struct(F.col(f"{s}_id").alias("team"), F.col(f"{s}_post").alias("rating"))
+    return rows.select("match_date", F.explode(F.array(side("home"), side("away"))).alias("x")).groupBy("match_date", "x.team").agg(r6(F.first("x.rating")).alias("rating"))
 
 
 PARAMS = "param_id string, k double, home_advantage double, margin_weight double, idle_days int, idle_share double"

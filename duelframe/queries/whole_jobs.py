@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from duelframe.functions import scalars
-from duelframe.plans import contextual, models, ratings, training
+from duelframe.operators import reports
+from duelframe.plans import contextual, jobs, models, ratings, training
 from duelframe.queries.library import AVGS, BUCKETS, LOSS, METRICS, PARAMS, VALIDITY, _rounded, _validity, query, r6
 from duelframe.queries.round_trips import home
 
@@ -124,10 +127,32 @@ def rho_profile_fit(pairs):
     return models.rho_profile_fit(rows, "competition").select("competition", r6("rho").alias("rho"), r6("objective").alias("objective"))
 
 
+SETS = [("calm", 10.0, 0.0, 0.0, 10_000, 0.0), ("idle", 20.0, 50.0, 0.15, 180, 0.25)]
+#: 48 parameter sets.
+RATING_GRID = {"k": [10, 20, 30, 40], "home_advantage": [0, 50, 100], "margin_weight": [0, 0.15], "idle_share": [0, 0.25]}
+FOLD_STARTS = (dt.date(1996, 1, 1), dt.date(1997, 1, 1), dt.date(1998, 1, 1))
+
+
 @query(None, "pairs")
 def elo_history(pairs):
-    """All contests, rated by half-years (a batch reads the ratings from before it), with two parameter sets."""
-    halves = pairs.withColumn("match_date", F.make_date(F.year("match_date"), F.when(F.month("match_date") <= 6, 1).otherwise(7), F.lit(1)))
-    sets = pairs.sparkSession.createDataFrame([("calm", 10.0, 0.0, 0.0, 10_000, 0.0), ("idle", 20.0, 50.0, 0.15, 180, 0.25)], PARAMS)
-    rows, _ = ratings.rating_history(halves, sets, home(pairs.sparkSession))
+    """All contests of every date, with two parameter sets."""
+    rows, _ = ratings.rating_history(pairs, pairs.sparkSession.createDataFrame(SETS, PARAMS), home(pairs.sparkSession))
     return rows.select("param_id", "match_id", *(r6(c).alias(c) for c in ("home_pre", "away_pre", "expected", "delta", "home_post", "away_post")))
+
+
+@query(None, "pairs")
+def elo_ratings_at_folds(pairs):
+    """Ratings of all teams before the start of each fold, from the same pass."""
+    _, _, at = ratings.rating_fold(pairs, pairs.sparkSession.createDataFrame(SETS, PARAMS), home(pairs.sparkSession), list(FOLD_STARTS))
+    return at.select("param_id", F.col("stop").alias("fold_start"), "team", r6("rating").alias("rating"), "played", "last_date")
+
+
+@query(None, "pairs")
+def rating_grid_search(pairs):
+    """48 rating parameter sets over three yearly folds: mean log loss of the draw-rate predictor, and the one selected."""
+    spark = pairs.sparkSession
+    base = {"k": 20, "home_advantage": 0, "margin_weight": 0, "idle_days": 365, "idle_share": 0}
+    grid = spark.createDataFrame(ratings.rating_grid(base, **RATING_GRID), PARAMS)
+    rows, _ = ratings.rating_history(pairs, grid, home(spark))
+    out = jobs.rating_grid_report(reports.with_outcome(pairs), rows, grid, list(FOLD_STARTS))
+    return out.select("param_id", "fold", "n", r6("log_loss").alias("log_loss"), r6("mean_log_loss").alias("mean_log_loss"), "selected")

@@ -8,7 +8,8 @@ import pytest
 import __spark_entry__
 from compare import difference
 from duelframe.operators import scoring
-from duelframe.queries import library
+from duelframe.plans import ratings
+from duelframe.queries import library, whole_jobs
 from duelframe.views import view
 
 SF = "/root/testdata/sf0.001"
@@ -48,34 +49,81 @@ def test_permutation_raises_the_loss(spark):
     assert set(got) == {"p_home", "p_draw", "p_away"} and all(np.isfinite(v) for v in got.values())
 
 
+def plain_history(rows, options):
+    """(pre, pre, expected, delta, post, post) of every contest, date by date, and the ratings after each date."""
+    k, advantage, weight, idle, share = options
+    batches, now, last, want, after = {}, {}, {}, {}, {}
+    for r in rows:
+        batches.setdefault(r["match_date"], []).append(r)
+    for day in sorted(batches):
+        teams = {t for r in batches[day] for t in (r["home_id"], r["away_id"])}
+        pre = {t: now.get(t, 1500.0) for t in teams}
+        pre = {t: 1500 + (v - 1500) * (1 - share) if t in last and (day - last[t]).days >= idle else v for t, v in pre.items()}
+        post, made = dict(pre), []
+        for r in batches[day]:
+            h, a, gd = r["home_id"], r["away_id"], r["home_goals"] - r["away_goals"]
+            e = 1 / (1 + 10 ** (-(pre[h] + advantage - pre[a]) / 400))
+            delta = k * (1 if abs(gd) <= 1 else 1 + (abs(gd) - 1) * weight) * ((1.0 if gd > 0 else 0.0 if gd < 0 else 0.5) - e)
+            post[h] += delta
+            post[a] -= delta
+            made.append((r["match_id"], h, a, e, delta))
+        for m, h, a, e, delta in made:
+            want[m] = (pre[h], pre[a], e, delta, post[h], post[a])
+        now |= post
+        last |= dict.fromkeys(teams, day)
+        after[day] = dict(now)
+    return want, after
+
+
+HISTORY = ("home_pre", "away_pre", "expected", "delta", "home_post", "away_post")
+
+
 def test_ratings_of_all_contests(spark):
-    """All half-years of all contests in plain Python: batches read earlier ratings, idle teams regress."""
-    sets = {"calm": (10.0, 0.0, 0.0, 10_000, 0.0), "idle": (20.0, 50.0, 0.15, 180, 0.25)}
-    batches = {}
-    for r in view(spark, SF, "pairs").collect():
-        d = r["match_date"]
-        batches.setdefault(d.replace(month=1 if d.month <= 6 else 7, day=1), []).append(r)
-    want = {}
-    for name, (k, advantage, weight, idle, share) in sets.items():
-        now, last = {}, {}
-        for day in sorted(batches):
-            teams = {t for r in batches[day] for t in (r["home_id"], r["away_id"])}
-            pre = {t: now.get(t, 1500.0) for t in teams}
-            pre = {t: 1500 + (v - 1500) * (1 - share) if t in last and (day - last[t]).days >= idle else v for t, v in pre.items()}
-            post, rows = dict(pre), []
-            for r in batches[day]:
-                h, a, gd = r["home_id"], r["away_id"], r["home_goals"] - r["away_goals"]
-                e = 1 / (1 + 10 ** (-(pre[h] + advantage - pre[a]) / 400))
-                delta = k * (1 if abs(gd) <= 1 else 1 + (abs(gd) - 1) * weight) * ((1.0 if gd > 0 else 0.0 if gd < 0 else 0.5) - e)
-                post[h] += delta
-                post[a] -= delta
-                rows.append((r["match_id"], h, a, e, delta))
-            for m, h, a, e, delta in rows:
-                want[name, m] = (pre[h], pre[a], e, delta, post[h], post[a])
-            now |= post
-            last |= dict.fromkeys(teams, day)
-    got = {(r[0], r[1]): tuple(r)[2:] for r in library.QUERIES["elo_history"](spark, SF).select("param_id", "match_id", "home_pre", "away_pre", "expected", "delta", "home_post", "away_post").collect()}
+    """Every date of all contests in plain Python: dates read earlier ratings, idle teams regress; and ratings at folds."""
+    rows = view(spark, SF, "pairs").collect()
+    want, at = {}, {}
+    for name, *options in whole_jobs.SETS:
+        history, after = plain_history(rows, options)
+        want |= {(name, m): v for m, v in history.items()}
+        for start in whole_jobs.FOLD_STARTS:
+            at |= {(name, start, t): v for t, v in after[max(d for d in after if d < start)].items()}
+    got = {(r[0], r[1]): tuple(r)[2:] for r in library.QUERIES["elo_history"](spark, SF).select("param_id", "match_id", *HISTORY).collect()}
     assert set(got) == set(want) and np.allclose([got[k] for k in sorted(got)], [want[k] for k in sorted(want)], atol=2e-6)
+    folds = {(r["param_id"], r["fold_start"], r["team"]): r["rating"] for r in library.QUERIES["elo_ratings_at_folds"](spark, SF).collect()}
+    assert set(folds) == set(at) and np.allclose([folds[k] for k in sorted(folds)], [at[k] for k in sorted(at)], atol=2e-6)
+
+
+def test_rating_grid_search(spark):
+    """All 48 parameter sets over the folds by plain histories, draw rates and losses."""
+    rows = view(spark, SF, "pairs").collect()
+    base = {"k": 20, "home_advantage": 0, "margin_weight": 0, "idle_days": 365, "idle_share": 0}
+    won = lambda r: (r["home_goals"] > r["away_goals"]) - (r["home_goals"] < r["away_goals"])
+    want = {}
+    for name, *options in ratings.rating_grid(base, **whole_jobs.RATING_GRID):
+        history, _ = plain_history(rows, options)
+        for start in whole_jobs.FOLD_STARTS:
+            before = [r for r in rows if r["match_date"] < start]
+            d = min(max(sum(won(r) == 0 for r in before) / len(before), 0.05), 0.45)
+            losses = []
+            for r in rows:
+                if start <= r["match_date"] < start.replace(year=start.year + 1):
+                    e = 1 / (1 + 10 ** (-(history[r["match_id"]][0] + options[1] - history[r["match_id"]][1]) / 400))
+                    losses.append(-np.log({1: (1 - d) * e, 0: d, -1: (1 - d) * (1 - e)}[won(r)]))
+            want[name, start.isoformat()] = (len(losses), np.mean(losses))
+    got = library.QUERIES["rating_grid_search"](spark, SF).collect()
+    assert len(got) == len(want) == 144 and len({r["param_id"] for r in got}) == 48
+    assert all(want[r["param_id"], r["fold"]][0] == r["n"] and abs(want[r["param_id"], r["fold"]][1] - r["log_loss"]) < 2e-6 for r in got)
+    mean = {p: np.mean([v for (q, _), (_, v) in want.items() if q == p]) for p, _ in want}
+    assert {r["param_id"] for r in got if r["selected"]} <= {p for p, v in mean.items() if v < min(mean.values()) + 1e-9}
+
+
+def test_ratings_leave_out_unplayed_contests(spark, tmp_path):
+    day = [whole_jobs.FOLD_STARTS[0]] * 4
+    rows = [(1, day[0], 1, 2, 1, 0), (2, day[0], 1, None, 1, 0), (3, None, 1, 2, 1, 0), (4, day[0], 3, 4, None, 0)]
+    matches = spark.createDataFrame(rows, "match_id long, match_date date, home_id long, away_id long, home_goals int, away_goals int")
+    history, now, at = ratings.rating_fold(matches, spark.createDataFrame(whole_jobs.SETS, library.PARAMS), str(tmp_path / "a"), [day[0]])
+    assert history.count() == 2 and now.count() == 4 and at.count() == 0
+    assert ratings.rating_history(matches.limit(0), spark.createDataFrame(whole_jobs.SETS, library.PARAMS), str(tmp_path / "b"))[0].count() == 0
 
 
 def standing(matches, teams):
