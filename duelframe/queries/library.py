@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from duelframe.functions import ids, scalars
-from duelframe.operators import contracts, joins, reports, scoring, windows
+from duelframe.operators import bootstrap, contracts, joins, reports, scoring, windows
 from duelframe.plans import models, ratings
 from duelframe.views import oracle, view
 
@@ -484,9 +484,9 @@ def paired_bootstrap_ci(forecasts):
 
 @query(None, "forecasts")
 def paired_bootstrap_ci_whole(forecasts):
-    """1,000 resamples, more than SQL has time for; ``paired_bootstrap_ci`` has 50 and SQL."""
+    """10,000 resamples of every fixture, drawn by blocks; ``paired_bootstrap_ci`` has 50, of other draws, and SQL."""
     d = scoring.with_losses(forecasts).select("fixture_id", "forecast_id", (F.col("log_loss") + F.log(F.lit(1 / 3))).alias("delta"))
-    return _rounded(scoring.paired_bootstrap_ci(d, "forecast_id", "fixture_id", 1000), "mean_delta", "low", "high", "share_below_zero")
+    return _rounded(bootstrap.bootstrap_means(d, "forecast_id", "fixture_id", "delta").withColumnRenamed("mean", "mean_delta"), "mean_delta", "low", "high", "share_below_zero")
 
 
 @query(f"""WITH {LOSS}, m AS (SELECT fold, CASE WHEN forecast_id % 2 = 0 THEN 'a' ELSE 'b' END AS model, avg(log_loss) AS x, avg(brier) AS y, avg(rps) AS z FROM l GROUP BY 1, 2)

@@ -4,9 +4,11 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 from compare import difference
+from duelframe.operators import bootstrap as bootstrap_module
 from duelframe.operators import scoring
 from duelframe.plans import ratings
 from duelframe.queries import library, whole_jobs
@@ -176,8 +178,42 @@ def test_bootstrap_of_all_fixtures(spark):
         groups.setdefault(r["fixture_id"], []).append(-np.log(p) + np.log(1 / 3))
     got = {r[0]: tuple(r)[1:] for r in library.QUERIES["paired_bootstrap_ci_whole"](spark, SF).select("fixture_id", "n", "mean_delta", "low", "high", "share_below_zero").collect()}
     assert set(got) == set(groups)
-    for by in [x for x in sorted(groups, key=lambda x: (len(groups[x]), x)) if x % 10][:5]:
-        assert np.allclose(got[by], bootstrap(by, groups[by], 1000), atol=2e-6)
+    for by in sorted(groups, key=lambda x: (len(groups[x]), x))[::7]:  # against independent draws by numpy
+        values, (n, mean, low, high, below) = np.array(groups[by]), got[by]
+        means = np.random.default_rng(by).choice(values, (10_000, n)).mean(1)
+        spread = values.std() / np.sqrt(n)
+        assert n == len(values) and abs(mean - values.mean()) < 2e-6 and abs(below - (means < 0).mean()) < 0.03
+        assert np.allclose([low, high], np.quantile(means, [0.025, 0.975]), atol=0.12 * spread + 2e-6)
+
+
+def test_bootstrap_by_blocks(spark):
+    """One group over many blocks beside small ones and one without values: the same by each draw in plain Python."""
+    rng = np.random.default_rng(4)
+    values = {1: rng.normal(size=900).tolist(), 2: [0.5], 3: rng.normal(size=64).tolist(), None: [1.0, -2.0]}
+    rows = [(g, k, v, "x") for g, own in values.items() for k, v in enumerate(own)] + [(9, 1, None, "x")]
+    df = spark.createDataFrame(rows, "g long, k long, v double, n string").repartition(3)
+    got = {r["g"]: tuple(r)[1:] for r in bootstrap_module.bootstrap_means(df, "k", "g", "v", 300, size=64).collect()}
+    seeds = {r[0]: r[1] for r in df.select("g", F.xxhash64(F.col("g").cast("string"))).collect()}
+    assert set(got) == set(values)
+    for g, own in values.items():
+        n, total = len(own), np.zeros(300)
+        blocks = range(-(-n // 64))
+        draws = [bootstrap_module.draws_of_block(seeds[g], n, b, 300, 64) for b in blocks]
+        assert (np.sum(draws, 0) == n).all()
+        for b in blocks:
+            random, part = bootstrap_module._generator(seeds[g], 2, b), own[64 * b : 64 * b + 64]
+            picked = iter(random.integers(0, len(part), int(draws[b].sum())))
+            for r in range(300):
+                total[r] += sum(part[next(picked)] for _ in range(draws[b][r]))
+        assert np.allclose(got[g], (n, np.mean(own), *np.quantile(total / n, [0.025, 0.975]), (total < 0).mean()), atol=1e-9)
+
+
+def test_draws_of_blocks_are_multinomial():
+    """Each row's weight has the mean and variance of a draw with replacement, also across blocks of unequal size."""
+    n, size, resamples = 1000, 300, 20_000
+    draws = np.array([bootstrap_module.draws_of_block(11, n, b, resamples, size) for b in range(4)])
+    share = np.array([300, 300, 300, 100]) / n
+    assert np.allclose(draws.mean(1), n * share, rtol=0.01) and np.allclose(np.cov(draws), n * (np.diag(share) - np.outer(share, share)), atol=8)
 
 
 def test_bootstrap_of_a_large_group(spark):
