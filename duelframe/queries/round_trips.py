@@ -23,6 +23,14 @@ def home(spark: SparkSession) -> str:
     return f"{ledger.shared_folder(spark)}/trip-{uuid.uuid4().hex}"
 
 
+def _few(rows: DataFrame, most: int) -> list:
+    """All rows of a table that is small by its nature; more than ``most`` are an error, none is dropped."""
+    found = rows.limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} rows, too many for a configuration")
+    return found
+
+
 def _write_lines(lines: DataFrame, header: str, path: str) -> None:
     """Text lines as they are, under a header line in each file."""
     lines.select(F.col(lines.columns[0]).alias(header)).write.option("header", True).option("quote", "\u0000").option("sep", "\u0001").csv(path)
@@ -132,7 +140,7 @@ def catalog_scan(venues):
 @query("SELECT category, name FROM categories", "categories")
 def category_mapping_scan(categories):
     """The catalogue of categories as the small mapping that a configuration holds (a row for each category)."""
-    rows = categories.groupBy("category").agg(F.collect_set("name").alias("names")).orderBy("category").limit(1000).collect()
+    rows = _few(categories.groupBy("category").agg(F.collect_set("name").alias("names")), 1000)
     return scans.category_mapping(categories.sparkSession, {r["category"]: r["names"] for r in rows})
 
 
@@ -274,7 +282,7 @@ def row_identity_hash(raw):
 @query("SELECT a.v AS k, b.v AS home, c.v AS margin, 1 AS ids FROM (SELECT DISTINCT CAST(status_rank AS DOUBLE) AS v FROM (SELECT length(status) AS status_rank FROM snap_cur)) a, (SELECT DISTINCT CAST(length(status) * 10 AS DOUBLE) AS v FROM snap_prev) b, (SELECT DISTINCT CAST(id % 3 AS DOUBLE) AS v FROM snap_cur) c", "snap_prev", "snap_cur")
 def param_grid_cross_join(prev, cur):
     """Options (a few each) from the tables; their product with an id of its own for each row."""
-    few = lambda rows, c: sorted(float(r[0]) for r in rows.select(c).distinct().limit(50).collect())
+    few = lambda rows, c: sorted(float(r[0]) for r in _few(rows.select(c).distinct(), 50))
     grid = joins.param_grid(cur.sparkSession, k=few(cur, F.length("status")), home=few(prev, F.length("status") * 10), margin=few(cur, F.col("id") % 3))
     tally = grid.groupBy("param_id").agg(F.count("*").cast("int").alias("ids"))
     return grid.join(tally, "param_id").select("k", "home", "margin", "ids")

@@ -7,6 +7,7 @@ import random
 import uuid
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from duelframe.functions import ids, scalars
@@ -259,6 +260,34 @@ def test_stream_snapshot_changes(spark, tmp_path):
     assert got == [(1, "new", None), (1, "status", "b"), (2, "new", None)]
 
 
+def test_stream_snapshot_changes_survive_a_failure(spark, tmp_path, monkeypatch):
+    """A batch that fails between its differences and its state, and is repeated, writes nothing twice; old states go."""
+    shape = "id long, status string, at timestamp"
+    out = str(tmp_path / "out")
+    run = lambda: ledger.stream_snapshot_changes(spark.readStream.schema(spark.createDataFrame([], shape).schema).parquet(str(tmp_path / "in")), str(tmp_path / "state"), out, str(tmp_path / "cp"), "id", ["status"], "at").awaitTermination()
+    for hour in range(1, 6):
+        spark.createDataFrame([(1, f"s{hour}", dt.datetime(2026, 1, 1, hour)), (hour, "x", dt.datetime(2026, 1, 1, hour))][: 1 if hour == 1 else 2], shape).write.mode("append").parquet(str(tmp_path / "in"))
+        if hour in (1, 3):
+            with monkeypatch.context() as m:
+                m.setattr(DataFrameWriter, "parquet", lambda self, path, *a, f=DataFrameWriter.parquet, **b: f(self, path, *a, **b) if "/state/" not in path else (_ for _ in ()).throw(OSError("lost")))
+                with pytest.raises(Exception, match="lost"):
+                    run()
+            assert spark.read.parquet(out).count() > 0
+        run()
+    got = sorted((r["id"], r["field"], r["was"] or "", r["now"] or "") for r in spark.read.parquet(out).collect())
+    assert got == sorted([(1, "new", "", "")] + [(1, "status", f"s{h - 1}", f"s{h}") for h in range(2, 6)] + [(h, "new", "", "") for h in range(2, 6)])
+    assert len(list((tmp_path / "state").iterdir())) == 2
+
+
+def test_shared_folder_must_be_named(spark):
+    class Session:
+        conf = type("C", (), {"get": staticmethod(lambda key, other=None: other)})
+        sparkContext = type("S", (), {"getConf": staticmethod(lambda: {})})
+
+    with pytest.raises(ValueError, match="names no folder"):
+        ledger.shared_folder(Session)
+
+
 def test_interval_join_counts_across_stretches(spark):
     at = [dt.datetime(2024, 1, 1) + dt.timedelta(days=d) for d in (0, 3, 6, 7, 7, 20)]
     rows = spark.createDataFrame([(k, 1, t) for k, t in enumerate(at)], "visit_id long, team long, kickoff timestamp")
