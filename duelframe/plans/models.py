@@ -6,11 +6,11 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duelframe.functions.scalars import CLIP, decay_weight, expected_score, low_score_correction, poisson_pmf
+from duelframe.plans import boosting, goals
 from duelframe.schemas import OUTCOMES
 
 CLASS = {o: k for k, o in enumerate(OUTCOMES)}
@@ -66,13 +66,18 @@ def boosted_models(train: DataFrame, numeric: list[str]) -> list:
     return out
 
 
-def boosted_tree_challenger(train: DataFrame, test: DataFrame, numeric: list[str]) -> DataFrame:
-    """Three one-against-rest boosted-tree models, their probabilities normalised."""
-    out = test
-    for k, (_, model) in enumerate(boosted_models(train, numeric)):
-        out = model.transform(out).withColumn(f"g{k}", vector_to_array("probability")[1]).select(*out.columns, f"g{k}")
-    total = F.col("g0") + F.col("g1") + F.col("g2")
-    return out.withColumns({p: F.col(f"g{k}") / total for k, p in enumerate(("p_home", "p_draw", "p_away"))}).drop("g0", "g1", "g2")
+#: Two option sets of the challenger: shallow trees, and larger ones in smaller steps.
+BOOSTED_GRID = ({"rounds": 8, "learning_rate": 0.2, "leaves": 4, "depth": 2}, {"rounds": 12, "learning_rate": 0.1, "leaves": 8, "depth": 3})
+
+
+def boosted_tree_challenger(train: DataFrame, test: DataFrame, numeric: list[str], tune: DataFrame | None = None, grid: tuple[dict, ...] = BOOSTED_GRID) -> DataFrame:
+    """Boosted trees of all three outcomes at once; with ``tune`` rows the option set that has the least log loss there."""
+    labelled = lambda rows: rows.withColumn("class_", class_index(F.col("outcome")))
+    if tune is None:
+        model = boosting.fit_boosted(labelled(train), numeric, "class_", len(OUTCOMES), **grid[0])
+    else:
+        model, _ = boosting.select_boosted(labelled(train), labelled(tune).filter("class_ is not null"), numeric, "class_", len(OUTCOMES), list(grid))
+    return boosting.with_boosted(test, model, ["p_home", "p_draw", "p_away"])
 
 
 def draw_rate_probability(rows: DataFrame, draw_rate: Column) -> DataFrame:
@@ -90,21 +95,10 @@ def goal_rows(matches: DataFrame, cutoff: str, half_life: float) -> DataFrame:
     return before.select("competition", decay_weight(F.col("match_date"), F.lit(cutoff).cast("date"), half_life).alias("weight"), F.explode(both).alias("x")).select("competition", "weight", "x.*")
 
 
-def weighted_poisson_goal_fit(matches: DataFrame, cutoff: str, half_life: float = 730.0, ridge: float = 0.05):
-    """(fitted pipeline, effects): log-link Poisson on attack, defence, category and home; effects of teams sum to 0."""
-    cats = ["attack", "defence", "competition"]
-    stages = [StringIndexer(inputCols=cats, outputCols=[f"{c}_x" for c in cats], handleInvalid="keep", stringOrderType="alphabetAsc"), OneHotEncoder(inputCols=[f"{c}_x" for c in cats], outputCols=[f"{c}_o" for c in cats], dropLast=False), VectorAssembler(inputCols=["at_home", *(f"{c}_o" for c in cats)], outputCol="features")]
-    glr = GeneralizedLinearRegression(family="poisson", link="log", weightCol="weight", regParam=ridge, labelCol="goals", maxIter=15)
-    model = Pipeline(stages=[*stages, glr]).fit(goal_rows(matches, cutoff, half_life))
-    labels = dict(zip(cats, model.stages[0].labelsArray))
-    values, at, rows = model.stages[-1].coefficients.toArray(), 1, []
-    for c in cats:
-        n = len(labels[c]) + 1
-        own = values[at : at + len(labels[c])]
-        rows += [(c, str(name), float(v - own.mean())) for name, v in zip(labels[c], own)]
-        at += n
-    rows.append(("home", "home", float(values[0])))
-    return model, matches.sparkSession.createDataFrame(rows, "kind string, name string, effect double")
+def weighted_poisson_goal_fit(matches: DataFrame, cutoff: str, half_life: float = 730.0, strength: float = 0.05) -> tuple[goals.GoalModel, DataFrame]:
+    """(fitted model, effects): log-link Poisson on attack, defence, category and home; effects of teams sum to 0."""
+    model = goals.fit_goals(goal_rows(matches, cutoff, half_life), strength)
+    return model, matches.sparkSession.createDataFrame(model.effects(), "kind string, name string, effect double")
 
 
 def score_grid(rows: DataFrame, most: int = 10, outcome_most: int = 40) -> DataFrame:
