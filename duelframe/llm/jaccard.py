@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from duelframe.llm.base import bit_set, discard, lean, materialize, small_batches
+from duelframe.llm.base import bit_set, discard, lean, materialize, small_batches, spread_join
 from duelframe.llm.components import connected_components
 from duelframe.llm.shingles import shingle_sets
 
@@ -291,29 +291,30 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     those with equal sets one stays, if it is their component's.
     """
     members, classes, component = similar_classes(docs)
-    chosen = components_of(classes, component).filter("kept = sig").select(F.col("sig").alias("sig_"), "rep")
-    judged = members.join(chosen, F.col("sig") == F.col("sig_"), "left").filter("n = 0 or (sig_ is not null and doc_id <=> rep)").select("doc_id", "sig")
+    chosen = components_of(classes, component).filter("kept = sig").select("sig", "rep", F.lit(True).alias("chosen"))
+    judged = spread_join(members, chosen, "sig", "left").filter("n = 0 or (chosen and doc_id <=> rep)").select("doc_id", "sig")
     unclear = materialize(members.groupBy("doc_id").agg(F.count("*").alias("rows")).filter("rows > 1 or doc_id is null").select(F.col("doc_id").alias("unclear_")), "unclear")
     stay = judged.select(F.col("doc_id").alias("stay_"), F.col("sig").alias("stay_sig_"))
+    # rows in one column, so that no name of theirs meets the joins' own
+    own = docs.columns
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in own)).alias("row_"), F.col("doc_id").alias("id_"), F.col("text").alias("text_"))
     if unclear.isEmpty():
-        return docs.join(stay, F.col("doc_id") == F.col("stay_"), "left_semi")
-    is_unclear = F.col("doc_id").eqNullSafe(F.col("unclear_"))
-    plain = docs.join(stay, F.col("doc_id") == F.col("stay_"), "left_semi").join(unclear, is_unclear, "left_anti")
+        return rows.join(stay, F.col("id_") == F.col("stay_"), "left_semi").select("row_.*")
+    is_unclear = F.col("id_").eqNullSafe(F.col("unclear_"))
+    plain = rows.join(stay, F.col("id_") == F.col("stay_"), "left_semi").join(unclear, is_unclear, "left_anti")
 
     @F.arrow_udf("binary")
     def signature(texts: pa.Array) -> pa.Array:
         return pa.array([s for _, h, at in shingle_sets(texts, WORDS) for s in signatures(h, at)], pa.binary())
 
-    own = docs.columns
-    odd = docs.join(unclear, is_unclear, "left_semi").select(F.struct(*own).alias("row_"), F.col("doc_id").alias("id_"), signature("text").alias("sig_"))
-    odd = materialize(odd, "odd")
+    odd = materialize(rows.join(unclear, is_unclear, "left_semi").select("row_", "id_", signature("text_").alias("sig_")), "odd")
     same = F.col("id_").eqNullSafe(F.col("stay_")) & F.col("sig_").eqNullSafe(F.col("stay_sig_"))
     one = odd.filter("sig_ is not null").join(stay, same, "left_semi").dropDuplicates(["id_", "sig_"])
-    return plain.unionByName(one.select("row_.*")).unionByName(odd.filter("sig_ is null").select("row_.*"))
+    return plain.select("row_.*").unionByName(one.select("row_.*")).unionByName(odd.filter("sig_ is null").select("row_.*"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) of every document."""
     members, classes, component = similar_classes(docs)
-    out = members.join(components_of(classes, component).select("sig", "least"), "sig", "left")
+    out = spread_join(members, components_of(classes, component).select("sig", "least"), "sig", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from duelframe.llm.base import materialize, ranked
+from duelframe.llm.base import materialize, ranked, spread_join
 
 SHARDS, ROUNDS = 8, 4
 #: A line links documents if it has so many characters.
@@ -41,9 +41,9 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int, rounds: int = ROU
     for turn in range(rounds):
         at = links.join(labels.select("node", "shard"), "node")
         tally = at.groupBy("line", "shard").agg(F.sum("w").alias("n"))
-        # written: a line that very many nodes have is then the large side of a join, which Spark can split
+        # written, and copied to several joins: a line that very many nodes have is no hot key
         top = materialize(tally.groupBy("line").agg(F.max(F.struct("n", (-F.col("shard")).alias("s"))).alias("t"), F.sum("n").alias("of")), "lines")
-        votes = links.select("node", "line").join(top.select("line", (-F.col("t.s")).alias("want"), (F.col("t.n") / F.col("of")).alias("share")), "line")
+        votes = spread_join(links.select("node", "line"), top.select("line", (-F.col("t.s")).alias("want"), (F.col("t.n") / F.col("of")).alias("share")), "line")
         wish = votes.groupBy("node", "want").agg(F.sum("share").alias("share")).groupBy("node").agg(F.max(F.struct("share", (-F.col("want")).alias("s"))).alias("t")).select("node", (-F.col("t.s")).alias("want"))
         wished = labels.join(wish, "node", "left").withColumn("moves", F.coalesce(F.col("want") != F.col("shard"), F.lit(False))).withColumn("step", F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(STEPS)))
         # at most shards x STEPS rows each: bounded, so they may be broadcast
@@ -77,7 +77,8 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     measured, nodes = nodes_of(docs)
     links = materialize(incidence(nodes), "links")
     labels = propagate(nodes, links, shards)
-    placed = measured.join(nodes.select("a", "b", "node").join(labels.select("node", "shard"), "node"), ["a", "b"])
+    labelled = nodes.join(labels.select("node", "shard"), "node").select(F.struct("a", "b").alias("text_key"), "node", "shard")
+    placed = spread_join(measured.withColumn("text_key", F.struct("a", "b")), labelled, "text_key")
     order, total = ranked(placed.select("doc_id", "size", "text_crc32", "node", "shard"), ["shard", "node", "doc_id"], "sharded")
     n = F.lit(max(total, 1))
     part = F.floor((F.lit(shards) * (F.col("rank_") + 1) + n - 1) / n) - 1

@@ -330,6 +330,16 @@ def test_jaccard_keeps_one(odd):
     assert {7, 10, 3, 5, 0, 1, 2, None} <= set(ids) and not {8, 9, 11, 4, 6} & set(ids) and len(ids) == len(set(ids))
 
 
+def test_jaccard_keeps_one_whatever_columns_are_called(spark, odd):
+    """Columns that are called what the joins call theirs."""
+    names = ["stay_", "stay_sig_", "unclear_", "rep", "sig", "row_", "id_", "chosen", "salt_", "a.b"]
+    for df in (odd, odd.filter("doc_id is not null").dropDuplicates(["doc_id"])):
+        wide = df.withColumns({c: F.lit(k) for k, c in enumerate(names)})
+        got = jaccard.one_of_each(wide)
+        assert got.columns == wide.columns
+        assert sorted(map(str, got.select("doc_id", "text").collect())) == sorted(map(str, jaccard.one_of_each(df).select("doc_id", "text").collect()))
+
+
 def test_jaccard_keeps_rows_that_share_an_id(spark):
     """Different texts under one id, or none, are documents of their own; copies among them go."""
     a, b, c, d = (" ".join(f"{x}{k}" for k in range(30)) for x in "abcd")
