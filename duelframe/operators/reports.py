@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duelframe.functions.scalars import outcome_from_scores
+from duelframe.operators.windows import ranked
 
 
 def home_away_expand(matches: DataFrame) -> DataFrame:
@@ -51,9 +52,28 @@ def feature_tiering(coverage: DataFrame, operational: tuple[str, ...] = ()) -> D
 
 
 def distribution_summary(rows: DataFrame, value: str, *by: str) -> DataFrame:
-    """count, min, quartiles with linear interpolation, max of finite values."""
-    finite = rows.filter(F.col(value).isNotNull() & ~F.isnan(value) & (F.abs(value) != float("inf")))
-    return finite.groupBy(*by).agg(F.count("*").alias("n"), F.min(value).alias("min"), *(F.percentile(value, q).alias(n) for q, n in ((0.25, "p25"), (0.5, "median"), (0.75, "p75"))), F.max(value).alias("max"))
+    """count, min, quartiles with linear interpolation, max of finite values.
+
+    Values are ranked by range over all tasks, and only those at the wanted ranks meet, so no task holds a group's values.
+    """
+    finite = rows.filter(F.col(value).isNotNull() & ~F.isnan(value) & (F.abs(value) != float("inf"))).select(*by, F.col(value).alias("value_"))
+    placed = ranked(finite, [F.col("value_")], list(by))
+    sizes = placed.groupBy(*by).agg(F.count("*").alias("n"), F.min("value_").alias("min"), F.max("value_").alias("max"))
+    shares = ((0.25, "p25"), (0.5, "median"), (0.75, "p75"))
+    at = {name: (F.col("n") - 1) * F.lit(q) for q, name in shares}
+    ends = {name: (F.floor(x).cast("long") + 1, F.ceil(x).cast("long") + 1) for name, x in at.items()}
+    own = sizes.select(F.col("n").alias("n"), *(F.col(c).alias(f"of_{c}_") for c in by))
+    same = F.lit(True)
+    for c in by:
+        same &= F.col(c).eqNullSafe(F.col(f"of_{c}_"))
+    wanted = F.lit(False)
+    for low, high in ends.values():
+        wanted |= (F.col("rank_") == low) | (F.col("rank_") == high)
+    met = placed.join(F.broadcast(own), same) if not by else placed.join(own, same)
+    picked = met.filter(wanted).groupBy(*by, "n").agg(*(F.max(F.when(F.col("rank_") == e, F.col("value_").cast("double"))).alias(f"{name}_{k}_") for name, both in ends.items() for k, e in enumerate(both)))
+    low, high = (lambda name, k=k: F.col(f"{name}_{k}_") for k in (0, 1))
+    quartiles = picked.select(*(F.col(c).alias(f"of_{c}_") for c in by), *((low(name) + (high(name) - low(name)) * (x - F.floor(x))).alias(name) for name, x in at.items()))
+    return sizes.join(quartiles, same).select(*by, "n", "min", "p25", "median", "p75", "max")
 
 
 def impossible_counts(rows: DataFrame, key: list[str], checks: dict[str, Column]) -> DataFrame:

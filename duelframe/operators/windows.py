@@ -8,6 +8,8 @@ from itertools import count
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from duelframe.operators import scan
+
 DAY = 86_400_000_000
 
 
@@ -54,19 +56,22 @@ def rolling_travel(rows: DataFrame, key: str, kickoff: str, distance: str, *days
 
 def rest_time(rows: DataFrame, key: str, kickoff: str, tie: str) -> DataFrame:
     """Hours and whole days since the key's previous row."""
-    w = Window.partitionBy(key).orderBy(kickoff, tie)
-    before = F.lag(kickoff).over(w)
-    return rows.withColumns({"rest_hours": (_micros(kickoff) - F.unix_micros(before)) / 3.6e9, "rest_days": F.datediff(F.col(kickoff), before)})
+    out = scan.lagged(rows, [key], [F.col(kickoff), F.col(tie)], {"previous_": kickoff})
+    return out.withColumns({"rest_hours": (_micros(kickoff) - F.unix_micros("previous_")) / 3.6e9, "rest_days": F.datediff(F.col(kickoff), "previous_")}).drop("previous_")
 
 
 def short_rest_streak(rows: DataFrame, key: str, order: list[str], rest_days: str, limit: int = 7) -> DataFrame:
-    """Consecutive rows with short rest; a first row, unknown rest or long rest starts again at 0."""
-    w = Window.partitionBy(key).orderBy(*order)
-    reset = F.when(F.col(rest_days) < limit, 0).otherwise(1)
-    marked = rows.withColumn("island_", F.sum(reset).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    inside = Window.partitionBy(key, "island_").orderBy(*order)
-    first_reset = F.first(reset).over(inside)
-    return marked.withColumn("streak", F.row_number().over(inside) - first_reset).drop("island_")
+    """Consecutive rows with short rest; a first row, unknown rest or long rest starts again at 0.
+
+    The streak is how many places a row stands behind the last one that started again.
+    """
+    keys = [F.col(c) for c in order]
+    placed = scan.places(rows, [F.col(key), *keys], "stand_")
+    starts = F.when(~F.coalesce(F.col(rest_days) < limit, F.lit(False)), F.col("stand_"))
+    out = scan.running(placed, [key], [F.col("stand_")], most={"start_": starts})
+    first = out.groupBy(F.col(key).alias("of_key_")).agg(F.min("stand_").alias("begin_"))  # where a first row has a short rest, it counts as one
+    met = out.join(first, F.col(key).eqNullSafe(F.col("of_key_")))
+    return met.withColumn("streak", (F.col("stand_") - F.coalesce(F.col("start_"), F.col("begin_") - 1)).cast("int")).drop("stand_", "start_", "of_key_", "begin_")
 
 
 def sequence_in_competition(rows: DataFrame, key: str, competition: str, kickoff: str) -> DataFrame:
@@ -77,8 +82,9 @@ def sequence_in_competition(rows: DataFrame, key: str, competition: str, kickoff
 
 def data_quality_flags(rows: DataFrame, key: str, order: list[str], source: str, untrusted: str) -> DataFrame:
     """Whether any earlier row of the key is from the untrusted source."""
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("untrusted_before", F.coalesce(F.max(F.col(source) == untrusted).over(w), F.lit(False)))
+    bad = F.coalesce(F.col(source) == untrusted, F.lit(False)).cast("int")
+    out = scan.running(rows, [key], [F.col(c) for c in order], {"bad_": bad})
+    return out.withColumn("untrusted_before", F.col("bad_") - bad > 0).drop("bad_")
 
 
 def dedupe_identical_or_conflict(rows: DataFrame, keys: list[str], payload: Column, order: str) -> DataFrame:

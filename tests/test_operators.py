@@ -3,9 +3,11 @@
 import datetime as dt
 import gzip
 import json
+import math
 import random
 import uuid
 
+import numpy as np
 import pytest
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
@@ -336,6 +338,39 @@ def test_running_values_are_spread_over_tasks(spark):
         assert r["total"] == sum(x[2] for x in before) and r["top"] == max(x[2] for x in before) and r["weight"] == (sum(x[3] for x in before if x[3]) or None)
 
 
+def test_one_team_with_all_rows_runs_in_many_tasks(spark):
+    """Rest, streaks and flags of a team that has almost all rows, against a plain walk; tasks that hold it are several."""
+    rnd = random.Random(7)
+    data = [(k, 1 if k % 40 else 2, dt.datetime(2024, 1, 1) + dt.timedelta(hours=rnd.randrange(4000)), rnd.choice([None, 1, 3, 6, 7, 9]), "bad" if k == 77 else "ok") for k in range(700)]
+    df = spark.createDataFrame(data, "id long, team long, at timestamp, rest int, source string").repartition(6)
+    order = lambda r: (r[2], r[0])
+    want = {}
+    for team in (1, 2):
+        before, streak, seen = None, 0, False
+        for k, r in enumerate(sorted((x for x in data if x[1] == team), key=order)):
+            streak = streak + 1 if r[3] is not None and r[3] < 7 else 0
+            want[r[0]] = ((r[2] - before).total_seconds() / 3600 if before else None, streak, seen)
+            before, seen = r[2], seen or r[4] == "bad"
+    out = windows.rest_time(windows.short_rest_streak(windows.data_quality_flags(df, "team", ["at", "id"], "source", "bad"), "team", ["at", "id"], "rest"), "team", "at", "id")
+    assert {r["id"]: (r["rest_hours"], r["streak"], r["untrusted_before"]) for r in out.collect()} == want
+    assert scan.in_order(df, [F.col("team"), F.col("at")]).filter("team = 1").select("task_").distinct().count() > 2
+
+
+def test_distribution_of_a_hot_group(spark):
+    """Exact quartiles where one group has most rows, equal values, and one row alone; without groups too."""
+    rnd = random.Random(4)
+    data = [(None if k % 50 == 1 else "hot" if k % 10 else f"g{k % 3}", rnd.choice([1.0, 2.5, rnd.random() * 9, -3.0])) for k in range(2000)] + [("one", 7.0), ("hot", float("nan")), ("hot", None), ("hot", float("inf"))]
+    df = spark.createDataFrame(data, "g string, v double").repartition(7)
+    groups = {}
+    for g, v in data:
+        if v is not None and math.isfinite(v):
+            groups.setdefault(g, []).append(v)
+    want = lambda v: (len(v), min(v), *np.quantile(v, [0.25, 0.5, 0.75]), max(v))
+    got = {r[0]: tuple(r)[1:] for r in reports.distribution_summary(df, "v", "g").collect()}
+    assert set(got) == set(groups) and all(np.allclose(got[g], want(v)) for g, v in groups.items())
+    assert np.allclose(tuple(reports.distribution_summary(df, "v").first()), want([v for own in groups.values() for v in own]))
+
+
 def test_features_do_not_see_what_was_not_known(spark):
     """An earlier match that became known after a match's cutoff is none of its features' business."""
     t = lambda d, h=18: dt.datetime(2026, 1, d, h)
