@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from duelframe.functions.ids import hash_draw
-from duelframe.functions.scalars import CLIP
+from duelframe.functions.scalars import CLIP, observed_score_loglik
 from duelframe.schemas import OUTCOMES
 
 P = ("p_home", "p_draw", "p_away")
@@ -80,6 +80,16 @@ def segment_metrics(rows: DataFrame, segments: dict[str, Column]) -> DataFrame:
     return proper_scores(rows.withColumn("s_", F.explode(each)).select("*", "s_.segment", F.col("s_.value").alias("segment_value")), "segment", "segment_value")
 
 
+def goal_log_likelihood(rows: DataFrame, *by: str) -> DataFrame:
+    """n, mean log-likelihood of the observed scores under the forecasts' means and low-score correction, and its negative.
+
+    ``rows``: home_goals, away_goals, home_mean, away_mean, rho. Rows without a score or a forecast are left out.
+    """
+    whole = rows.dropna(subset=["home_goals", "away_goals", "home_mean", "away_mean", "rho"])
+    own = observed_score_loglik(*(F.col(c) for c in ("home_goals", "away_goals", "home_mean", "away_mean", "rho")))
+    return whole.groupBy(*by).agg(F.count("*").alias("n"), F.avg(own).alias("goal_log_likelihood")).withColumn("goal_loss", -F.col("goal_log_likelihood"))
+
+
 def paired_bootstrap_ci(deltas: DataFrame, key: str, by: str, resamples: int) -> DataFrame:
     """Mean of paired deltas with 2.5 % and 97.5 % quantiles of resampled means, and the share below 0.
 

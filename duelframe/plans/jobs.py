@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from duelframe.functions.ids import derived_id, row_fingerprint, table_digest
 from duelframe.functions.scalars import CLIP, decay_weight
 from duelframe.operators import contracts, joins, scoring, windows
-from duelframe.plans import models
+from duelframe.plans import models, resume
 from duelframe.sources import sinks
 
 P = scoring.P
@@ -71,9 +72,11 @@ def goal_probabilities(matches: DataFrame, fixtures: DataFrame, cutoff: str) ->
     return models.score_grid(means).select("match_id", "home_mean", "away_mean", *P)
 
 
-def predict_upcoming(matches: DataFrame, fixtures: DataFrame, cutoff: str, created: str, version: str) -> DataFrame:
+def predict_upcoming(matches: DataFrame, fixtures: DataFrame, cutoff: str, created: str, version: str, ratings: DataFrame | None = None) -> DataFrame:
     """Forecasts of eligible fixtures by what was known at the cutoff, each with id, checksum and lead hours.
 
+    ``ratings`` (team, rating: those before the cutoff) are attached to both sides; null where a team has none.
+
     ``fixtures``: contests with status, kickoff, result. Rows that are not eligible have no forecast.
     """
     at, made = F.lit(cutoff).cast("timestamp"), F.lit(created).cast("timestamp")
@@ -81,6 +84,11 @@ def predict_upcoming(matches: DataFrame, fixtures: DataFrame, cutoff: str, creat
     open_ = fixtures.withColumn("reason_", reason).filter("reason_ is null").drop("reason_")
     scored = goal_probabilities(matches, open_, cutoff[:10]).join(open_.select("match_id", "kickoff"), "match_id")
     out = scored.select(derived_id(F.lit(version), F.col("match_id"), F.lit(created)).alias("prediction_id"), "match_id", "kickoff", *P, "home_mean", "away_mean", F.lit(version).alias("model_version"), at.alias("data_cutoff"), made.alias("created_at"), ((F.unix_micros("kickoff") - F.unix_micros(made)) / 3.6e9).alias("lead_hours"))
+    if ratings is not None:
+        out = out.join(open_.select("match_id", "home_id", "away_id"), "match_id")
+        for side in ("home", "away"):
+            out = out.join(ratings.select(F.col("team").alias(f"{side}_id"), F.col("rating").alias(f"{side}_rating")), f"{side}_id", "left")
+        out = out.drop("home_id", "away_id")
     return out.withColumn("checksum", row_fingerprint(out))
 
 
@@ -97,6 +105,83 @@ def oof_base_features(matches: DataFrame, cutoffs: list[str]) -> DataFrame:
     return out
 
 
+def oof_base_features_by_role(rows: DataFrame, folder: str, least: int, blocks: int = 5) -> DataFrame:
+    """match_id, role, block and log probabilities: no row is scored by a model that saw it or anything later.
+
+    ``rows``: matches with a ``role``. Train rows in order of date, without the first ``least``, are cut into ``blocks``;
+    each is scored by a goal model of the train rows before its first date (left out where those are fewer than
+    ``least``). Tune, calibration and test rows are scored by a model of all rows before their role's first date. Each
+    part is kept in ``folder`` when it is finished.
+    """
+    spark = rows.sparkSession
+    train = rows.filter("role = 'train'")
+    cut = windows.temporal_blocks(train.withColumn("all_", F.lit("train")), "all_", ["match_date", "match_id"], least, blocks).drop("all_")
+    cut = resume.part(spark, folder, "blocks", lambda: cut.select("match_id", "block", "block_cutoff"))
+    steps = [(f"block-{r['block']}", train, train.join(cut.filter(F.col("block") == r["block"]).select("match_id"), "match_id"), r["d"], r["block"]) for r in cut.groupBy("block").agg(F.min("block_cutoff").alias("d")).orderBy("block").collect()]
+    for r in rows.filter("role != 'train'").groupBy("role").agg(F.min("match_date").alias("d")).orderBy("d").collect():
+        steps.append((r["role"], rows, rows.filter(F.col("role") == r["role"]), r["d"], 0))
+    out = []
+    for name, known, fixtures, day, block in steps:
+        before = known.filter(F.col("match_date") < F.lit(day))
+        if block and before.limit(least).count() < least:
+            continue
+
+        def scored(before=before, fixtures=fixtures, day=day, block=block) -> DataFrame:
+            made = goal_probabilities(before, fixtures, day.isoformat())
+            roles = fixtures.select("match_id", "role")
+            return made.join(roles, "match_id").select("match_id", "role", F.lit(block).alias("block"), *(F.log(F.greatest(p, F.lit(CLIP))).alias(f"log_{p}") for p in P))
+
+        out.append(resume.part(spark, folder, name, scored))
+    if not out:
+        raise ValueError("no rows remain to be scored out of fold")
+    return reduce(DataFrame.unionByName, out)
+
+
+def feature_assembly(rows: DataFrame, base: DataFrame, ratings: DataFrame, contextual: DataFrame, key: str = "match_id") -> DataFrame:
+    """``rows`` that have base features, with those, their ratings before the match, and contextual features.
+
+    A row with base features but without a rating or contextual row is an error, and so are rows of one match whose
+    contents differ; equal repeats count once.
+    """
+    one = {}
+    for name, table in (("base features", base), ("ratings", ratings), ("contextual features", contextual)):
+        one[name] = table.filter(F.col(key).isNotNull()).dropDuplicates()
+        if not one[name].groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
+            raise ValueError(f"{name} of one match differ")
+    usable = rows.join(one["base features"], key)
+    for name in ("ratings", "contextual features"):
+        missing = [r[0] for r in usable.select(key).join(one[name].select(key), key, "left_anti").orderBy(key).limit(5).collect()]
+        if missing:
+            raise ValueError(f"{name} are missing for {key} {', '.join(map(str, missing))}")
+    out = usable.join(one["ratings"], key).join(one["contextual features"], key)
+    if out.isEmpty():
+        raise ValueError("no rows have base features")
+    return out.withColumn("rating_difference", F.col("home_pre") - F.col("away_pre"))
+
+
+def goal_grid_report(matches: DataFrame, folder: str, starts: list, grid: list[dict]) -> DataFrame:
+    """param_id, fold (a year from each start), scores and ``selected`` for goal models of each option set.
+
+    ``matches`` with their outcome; options: half_life and strength. A model of a fold sees the matches before its start
+    alone. Scores of each (option set, fold) are kept in ``folder`` when they are finished.
+    """
+    spark, found = matches.sparkSession, []
+    for options in grid:
+        name = " ".join(f"{k}={v:g}" for k, v in sorted(options.items()))
+        for start in starts:
+            day = F.lit(start.isoformat()).cast("date")
+            fixtures = matches.filter((F.col("match_date") >= day) & (F.col("match_date") < F.add_months(day, 12)))
+
+            def scored(options=options, start=start, fixtures=fixtures, name=name) -> DataFrame:
+                model, _ = models.weighted_poisson_goal_fit(matches, start.isoformat(), **options)
+                means = goal_means(model, fixtures).select("match_id", "home_mean", "away_mean", F.lit(0.0).alias("rho"))
+                rows = models.score_grid(means).select("match_id", *P).join(fixtures.select("match_id", "outcome"), "match_id")
+                return scoring.proper_scores(rows.withColumns({"param_id": F.lit(name), "fold": F.lit(start.isoformat())}), "param_id", "fold")
+
+            found.append(resume.part(spark, folder, f"{name.replace(' ', '-')}-{start.isoformat()}", scored))
+    return _selected(reduce(DataFrame.unionByName, found))
+
+
 def tempered(rows: DataFrame, temperature: Column) -> DataFrame:
     """Probabilities raised to 1 / temperature and normalised."""
     raised = {p: F.pow(F.greatest(F.col(p), F.lit(CLIP)), 1 / temperature) for p in P}

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duelframe.operators import joins, reports
-from duelframe.plans import jobs, models
-from duelframe.queries.library import DIFF, OUT, QUERIES, SQL, query, r6
+from duelframe.plans import jobs, models, ratings
+from duelframe.queries.library import DIFF, OUT, PARAMS, QUERIES, SQL, query, r6
 from duelframe.streaming import ledger
 
 GRID = {"advantage": [0, 50], "scale": [5, 10]}
@@ -98,7 +98,8 @@ def predict_upcoming(pairs):
     late = pairs.filter("match_date >= DATE '1998-01-01'")
     status = F.when(F.col("match_id") % 8 == 0, "finished").when(F.col("match_id") % 8 == 1, "postponed").otherwise("scheduled")
     fixtures = late.withColumns({"status": status, "kickoff": F.col("match_date").cast("timestamp"), "result": F.lit(None).cast("string")})
-    return jobs.predict_upcoming(pairs, fixtures, "1998-01-01 00:00:00", "1998-01-01 12:00:00", "goal-1")
+    _, now = ratings.rating_history(pairs.filter("match_date < DATE '1998-01-01'"), pairs.sparkSession.createDataFrame([("p", 20.0, 50.0, 0.15, 365, 0.25)], PARAMS), f"{ledger.shared_folder(pairs.sparkSession)}/ratings-{uuid.uuid4().hex}")
+    return jobs.predict_upcoming(pairs, fixtures, "1998-01-01 00:00:00", "1998-01-01 12:00:00", "goal-1", now)
 
 
 @query(None, "pairs")

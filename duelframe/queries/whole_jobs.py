@@ -156,3 +156,34 @@ def rating_grid_search(pairs):
     rows, _ = ratings.rating_history(pairs, grid, home(spark))
     out = jobs.rating_grid_report(reports.with_outcome(pairs), rows, grid, list(FOLD_STARTS))
     return out.select("param_id", "fold", "n", r6("log_loss").alias("log_loss"), r6("mean_log_loss").alias("mean_log_loss"), "selected")
+
+
+GOAL_GRID = [{"half_life": h, "strength": s} for h in (365.0, 1460.0) for s in (0.01, 0.2)]
+
+
+@query(None, "pairs")
+def goal_grid_search(pairs):
+    """Four goal option sets over two yearly folds; each finished fit is kept, so that a lost driver goes on."""
+    out = jobs.goal_grid_report(reports.with_outcome(pairs), home(pairs.sparkSession), list(FOLD_STARTS[1:]), GOAL_GRID)
+    return out.select("param_id", "fold", "n", r6("log_loss").alias("log_loss"), r6("mean_log_loss").alias("mean_log_loss"), "selected")
+
+
+def _roles(pairs):
+    return models.nested_temporal_split(pairs.filter("match_date < DATE '1999-01-01'"), "1998-01-01", 180, 180)
+
+
+@query(None, "pairs")
+def oof_base_features_by_role(pairs):
+    """Five blocks of the train rows, then tune, calibration and test rows."""
+    return jobs.oof_base_features_by_role(_roles(pairs), home(pairs.sparkSession), 100)
+
+
+@query(None, "contests", "grounds", "hosts")
+def feature_assembly_whole(contests, grounds, hosts):
+    """Out-of-fold base features, ratings before each match and contextual features of both sides, by match."""
+    spark = contests.sparkSession
+    base = jobs.oof_base_features_by_role(_roles(contests), home(spark), 100).drop("role", "block")
+    rated, _ = ratings.rating_history(contests, spark.createDataFrame(SETS[1:], PARAMS), home(spark))
+    context = contextual.match_rows(_teams(contests, grounds, hosts)).select("match_id", "home_rest_days", "away_rest_days", "rest_days_diff", "matches_30d_diff")
+    out = jobs.feature_assembly(_roles(contests).select("match_id", "role", "competition"), base, rated.select("match_id", "home_pre", "away_pre"), context)
+    return out.select("match_id", "role", *(r6(c).alias(c) for c in out.columns if c not in ("match_id", "role", "competition")), "competition")

@@ -4,8 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from duelframe.plans import boosting, goals, models
-from duelframe.queries import library
+from duelframe.plans import boosting, goals, jobs, models
+from duelframe.queries import library, whole_jobs
 from duelframe.views import view
 
 SF = "/root/testdata/sf0.001"
@@ -143,3 +143,72 @@ def test_boosted_challenger_of_the_given_contests(spark):
     learned = models.boosted_tree_challenger(train, train, ["difference", "load"]).agg(F.avg(-F.log(own))).first()[0]
     shares = [r["count"] / train.count() for r in train.groupBy("outcome").count().collect()]
     assert learned < -sum(s * np.log(s) for s in shares)
+
+
+def test_out_of_fold_by_role_goes_on_where_it_ended(spark, tmp_path, monkeypatch):
+    """Each part is scored by a model of earlier rows alone; a run that breaks off leaves finished parts, which the next reads."""
+    rows = whole_jobs._roles(view(spark, SF, "pairs"))
+    calls, scored = [], jobs.goal_probabilities
+
+    def watched(matches, fixtures, cutoff):
+        assert matches.filter(F.col("match_date") >= F.lit(cutoff).cast("date")).isEmpty()
+        assert fixtures.filter(F.col("match_date") < F.lit(cutoff).cast("date")).isEmpty()
+        calls.append(cutoff)
+        if len(calls) == 4:
+            raise OSError("driver lost")
+        return scored(matches, fixtures, cutoff)
+
+    monkeypatch.setattr(jobs, "goal_probabilities", watched)
+    folder = f"file://{tmp_path}/parts"
+    with pytest.raises(OSError):
+        jobs.oof_base_features_by_role(rows, folder, 100)
+    out = jobs.oof_base_features_by_role(rows, folder, 100)
+    assert len(calls) == 9 and calls[3] == calls[4]  # 5 blocks and 3 roles; only the broken one is made twice
+    got = {r["match_id"]: (r["role"], r["block"]) for r in out.collect()}
+    own = sorted(((r["match_date"], r["match_id"]) for r in rows.filter("role = 'train'").collect()))[100:]
+    blocks = np.array_split(np.array([m for _, m in own]), 5)
+    want = {int(m): ("train", k + 1) for k, b in enumerate(blocks) for m in b} | {r["match_id"]: (r["role"], 0) for r in rows.filter("role != 'train'").collect()}
+    assert got == want
+
+
+def test_feature_assembly_and_its_errors(spark):
+    table = lambda rows, shape: spark.createDataFrame(rows, shape)
+    rows = table([(1, "c"), (2, "c"), (3, "d")], "match_id long, competition string")
+    base, rated, context = table([(1, 0.1), (2, 0.2), (2, 0.2)], "match_id long, log_p_home double"), table([(1, 10.0, 4.0), (2, 1.0, 2.0), (9, 0.0, 0.0)], "match_id long, home_pre double, away_pre double"), table([(1, 7), (2, None), (None, 1)], "match_id long, rest int")
+    got = {r["match_id"]: (r["competition"], r["log_p_home"], r["rating_difference"], r["rest"]) for r in jobs.feature_assembly(rows, base, rated, context).collect()}
+    assert got == {1: ("c", 0.1, 6.0, 7), 2: ("c", 0.2, -1.0, None)}
+    with pytest.raises(ValueError, match="contextual features are missing for match_id 2"):
+        jobs.feature_assembly(rows, base, rated, context.filter("match_id = 1"))
+    with pytest.raises(ValueError, match="ratings are missing for match_id 1"):
+        jobs.feature_assembly(rows, base, rated.filter("match_id = 2"), context)
+    with pytest.raises(ValueError, match="contextual features of one match differ"):
+        jobs.feature_assembly(rows, base, rated, context.unionByName(table([(1, 8)], "match_id long, rest int")))
+    with pytest.raises(ValueError, match="no rows"):
+        jobs.feature_assembly(rows, base.limit(0), rated, context)
+
+
+def test_goal_grid_is_scored_by_fold_and_kept(spark):
+    """Log losses of all option sets and folds from plain effects and grids of scores."""
+    pairs = view(spark, SF, "pairs")
+    rows = pairs.collect()
+    got = {(r["param_id"], r["fold"]): r for r in library.QUERIES["goal_grid_search"](spark, SF).collect()}
+    assert len(got) == 8 and len({p for (p, _), r in got.items() if r["selected"]}) == 1
+    for options in whole_jobs.GOAL_GRID[::3]:
+        start = whole_jobs.FOLD_STARTS[1]
+        e = plain_goals([(r["attack"], r["defence"], r["competition"], r["at_home"], r["weight"], r["goals"]) for r in models.goal_rows(pairs, start.isoformat(), options["half_life"]).collect()], options["strength"])
+        losses = []
+        for r in rows:
+            if start <= r["match_date"] < start.replace(year=start.year + 1):
+                mean = lambda a, d, h: np.exp(e["intercept", "intercept"] + e.get(("attack", str(a)), 0) + e.get(("defence", str(d)), 0) + e.get(("competition", r["competition"]), 0) + h * e["home", "home"])
+                k = np.arange(41)
+                pmf = lambda m: np.exp(k * np.log(m) - m - np.array([sum(np.log(np.arange(1, x + 1))) for x in k]))
+                grid = np.outer(pmf(mean(r["home_id"], r["away_id"], 1)), pmf(mean(r["away_id"], r["home_id"], 0)))
+                gap = np.sign(r["home_goals"] - r["away_goals"])
+                losses.append(-np.log({1: np.tril(grid, -1), 0: np.diag(grid), -1: np.triu(grid, 1)}[gap].sum() / grid.sum()))
+        name = f"half_life={options['half_life']:g} strength={options['strength']:g}"
+        assert got[name, start.isoformat()]["n"] == len(losses) and abs(got[name, start.isoformat()]["log_loss"] - np.mean(losses)) < 3e-6
+
+
+def test_upcoming_forecasts_have_current_ratings(spark):
+    got = library.QUERIES["predict_upcoming"](spark, SF)
+    assert {"home_rating", "away_rating"} <= set(got.columns) and got.filter("home_rating is null or away_rating is null").count() == 0 and got.count() > 0
