@@ -10,8 +10,9 @@ Equal sets are one class before that, so copies never meet in pairs. Blocks that
 closed. While the others would still make more than PAIRS_PER_ENTRY pairs an entry, and each round halves them, a
 few leading documents of each overfull block are compared with all that meet them, and are done with; what they
 link becomes one component. At the end only documents outside a block's largest component are compared with the rest of it,
-in parts of at most BLOCK_PAIRS pairs. A pair is left out only where both are in one component already, or
-where a bound says that they can't be similar.
+in parts of at most BLOCK_PAIRS pairs. Pairs that pass the bounds are compared in batches, a few of each class
+first, since one link makes one component of two. A pair is left out only where both are in one component already,
+or where a bound says that they can't be similar.
 
 Defined results: null or blank text has an empty set and links with nothing; a null doc_id is kept, its
 component is the smallest doc_id of its component, or null; repeated rows share a class; an empty table
@@ -49,6 +50,8 @@ LEADS = 4
 PAIRS_PER_ENTRY = 8
 #: Pairs of one block that one task makes.
 BLOCK_PAIRS = 1 << 20
+#: A first batch has about so many pairs for each class, or for twice as many; each later one MORE times as many.
+FIRST, MORE = 4, 8
 SETS = "doc_id long, n long, sig binary, prefix array<long>"
 
 
@@ -232,6 +235,47 @@ def leading(rows: DataFrame, turn: int) -> DataFrame:
     return rows.filter("full").groupBy("block").agg(F.array_compact(F.array(*first)).alias("p")).select(F.explode("p.lead").alias("lead_cid")).distinct()
 
 
+def batch_of(pairs: DataFrame, most: int, turn: int) -> DataFrame:
+    """(a, b, now): about ``most`` pairs of each class are marked, by hash; of classes that have no more, all are.
+
+    A pair's chance is that of the class with fewer pairs, so at most ``most`` times twice the classes are expected.
+    """
+    degree = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).groupBy("cid").agg(F.count("*").alias("d"))
+    for x in "ab":
+        pairs = pairs.join(degree.select(F.col("cid").alias(x), F.col("d").alias(f"d_{x}")), x)
+    chance = F.least("d_a", "d_b") * F.pmod(F.xxhash64("a", "b", F.lit(turn)), F.lit(1 << 20))
+    return pairs.select("a", "b", (chance < F.lit(most) * (1 << 20)).alias("now"))
+
+
+def linked(docs: DataFrame, classes: DataFrame, found: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``links`` and those among the pairs ``found``, as far as they join components; and the components then.
+
+    In a batch some pairs of each class are compared; what has come into one component needs no more. Batches grow
+    until none is left; one that would leave less than half is made whole.
+    """
+    # only classes in pairs have their whole sets made
+    wanted = materialize(classes.select("cid", "rep", "sig").join(found.select(F.col("a").alias("cid")).union(found.select("b")).distinct(), "cid", "left_semi"), "wanted")
+    sets = materialize(whole_sets(docs, wanted), "grams")
+    most, held = FIRST, [wanted, sets]
+    for turn in count():
+        judged = materialize(batch_of(found, most, turn), "batch")
+        held.append(judged)
+        total, now = judged.agg(F.count("*"), F.count_if("now")).first()
+        whole = 2 * now >= total
+        links = materialize(links.unionByName(verified(judged.filter(F.lit(whole) | F.col("now")).select("a", "b"), sets)), "links")
+        component = connected_components(links)
+        if whole:
+            break
+        found = judged.filter("not now").select("a", "b")
+        for x in "ab":
+            found = found.join(component.select(F.col("node").alias(x), F.col("component").alias(f"c_{x}")), x, "left")
+        found = materialize(found.filter(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b"), "pairs")
+        held.append(found)
+        most *= MORE
+    discard(*held)
+    return links, component
+
+
 def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Documents (doc_id, n, sig), classes (cid, sig, rep, n), and (node, component) of linked classes."""
     small_batches(docs.sparkSession)
@@ -260,12 +304,8 @@ def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
             rows = rows.join(chosen, F.col("cid") == F.col("lead_cid"), "left").withColumn("lead", F.col("lead_cid").isNotNull()).drop("lead_cid")
             found = overlaps(rows, classes, parts=False)
         found = materialize(found, "pairs")
-        # only classes in pairs have their whole sets made
-        wanted = classes.select("cid", "rep", "sig").join(found.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), "cid", "left_semi")
-        sets = materialize(whole_sets(docs, wanted), "grams")
-        links = materialize(links.unionByName(verified(found, sets)), "links")
-        component = connected_components(links)
-        discard(found, sets)
+        links, component = linked(docs, classes, found, links)
+        discard(found)
         if last:
             break
         live = rows.filter("not lead").select(live.columns)

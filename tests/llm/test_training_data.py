@@ -374,6 +374,24 @@ def test_jaccard_of_random_edits(spark, sizes, rounds, monkeypatch):
     assert Counter(map(tuple, jaccard.near_duplicates(df).collect())) == brute_components(rows)
 
 
+def test_jaccard_compares_few_pairs_of_a_group(spark, monkeypatch):
+    """Of one large family whose texts nearly all pass the bounds with each other, few pairs are compared, and no link is lost."""
+    monkeypatch.setattr(jaccard, "PAIRS_PER_ENTRY", 10**9)  # all pairs at once, without leading documents
+    rng = np.random.default_rng(8)
+    first = [f"base{k}" for k in range(146)]
+    rows = []
+    for k in range(240):
+        text = list(first)
+        for j, at in enumerate(rng.choice(146, 2 if k % 8 else 1, replace=False)):
+            text[at] = f"own{k}x{j}"
+        rows.append((k, " ".join(text)))
+    compared, verified = [], jaccard.verified
+    monkeypatch.setattr(jaccard, "verified", lambda pairs, sets: (compared.append(pairs.count()), verified(pairs, sets))[1])
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert Counter(map(tuple, jaccard.near_duplicates(df).collect())) == brute_components(rows)
+    assert len(compared) > 1 and sum(compared) <= 20 * len(rows), compared
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(0, 30)] + [(100, 105), (105, 103)] + [(200, k) for k in range(201, 240)] + [(7, 7)]
     got = {r["node"]: r["component"] for r in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
