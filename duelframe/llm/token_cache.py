@@ -4,11 +4,16 @@ A text is cut before each space or line feed that follows a visible character. N
 vocabularies' splitting patterns has a match that crosses such a place, so the ids of a text are the ids
 of its chunks in order. Chunks are told apart exactly (Arrow dictionary encoding), looked up in a bounded
 cache, and only unseen ones go through the tokenizer. A full cache keeps what the last steps used.
+
+Where the vocabulary marks the ends of words, chunks of letters go through it without offsets: each gives one end
+at least, so that as many ends as chunks are one each. Where it ignores case and kinds of white space, so does the cache.
 """
 
 from __future__ import annotations
 
+import json
 import unicodedata
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +26,11 @@ CACHE_ENTRIES, KEPT_STEPS = 400_000, 2
 #: Bytes of unseen chunks that are joined for one call.
 JOINED_BYTES = 4000
 SPACE, LINE = 32, 10
+#: Bytes of ASCII letters and of characters up to U+027F, nearly all letters.
+LETTER = np.zeros(256, bool)
+LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0xC0), *range(0xC3, 0xCA)]] = True
+#: Normalizers that make one of upper and lower case, and of any white space.
+FOLDING = [("NFC", None), ("Replace", {"Regex": "\\s+"}), ("Lowercase", None)]
 
 
 def chunk_starts(raw: np.ndarray, documents: np.ndarray) -> np.ndarray:
@@ -51,6 +61,14 @@ class CachedEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.entries = Tokenizer.from_file(path), entries or CACHE_ENTRIES
+        said = json.loads(Path(path).read_text(encoding="utf-8"))
+        self.ends, suffix = None, said["model"].get("end_of_word_suffix")
+        if suffix:
+            vocabulary = self.tokenizer.get_vocab()
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[k for word, k in vocabulary.items() if word.endswith(suffix)]] = True
+        kinds = [(n["type"], n.get("pattern")) for n in (said["normalizer"] or {}).get("normalizers", [])]
+        self.folds, self.added = kinds == FOLDING, [t["content"].lower().encode() for t in said["added_tokens"]]
         self.clear()
 
     @classmethod
@@ -106,6 +124,28 @@ class CachedEncoder:
         self.at[k + 1 : k + 1 + len(chunks)] = used + ends
         self.slot.update(zip(chunks, range(k, k + len(chunks)), strict=True))
 
+    def _learn_words(self, chunks: list[bytes], words: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Encode chunks (at ``words``) of letters behind a space or line feed; which of them are known then."""
+        done = np.zeros(len(words), bool)
+        for part in np.split(np.arange(len(words)), np.flatnonzero(np.diff(np.cumsum(size[words]) // JOINED_BYTES)) + 1) if len(words) else []:
+            own = [chunks[k] for k in words[part]]
+            ids = np.array(self.tokenizer.encode_batch_fast([b"".join(own).decode("utf-8", "replace")], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(own) and ends[-1] == len(ids):
+                self._add(own, ids, ends)
+                done[part] = True
+        return done
+
+    def _folded(self, raw: np.ndarray) -> np.ndarray:
+        """Lower case, except where what follows may combine with a letter, and spaces; but as it is beside an added token."""
+        low = raw.copy()
+        upper = raw - np.uint8(65) < 26
+        upper[:-1] &= raw[1:] < 0x80
+        low[upper] += 32
+        low[raw == LINE] = SPACE
+        data = bytes(low).lower()
+        return raw if any(t in data for t in self.added) else low
+
     def _learn(self, chunks: list[bytes]) -> None:
         """Encode chunks that aren't known. Plain ones share calls, told apart by their offsets."""
         raw = np.frombuffer(b"".join(chunks), np.uint8)
@@ -116,7 +156,15 @@ class CachedEncoder:
         easy = ((first == SPACE) | (first == LINE)) & (size > 1) & (size < 200) & (last > 0x20) & (last != 0x7F) & ~wide
         chars = np.cumsum((raw & 0xC0) != 0x80)[stop - 1]
         chars = np.diff(chars, prepend=0)
-        plain, alone = np.flatnonzero(easy), list(np.flatnonzero(~easy))
+        if self.ends is not None:
+            odd = np.cumsum(~LETTER[raw])
+            words = np.flatnonzero(easy & (odd[stop - 1] == odd[stop - size]))  # letters behind the first byte
+            easy[words[self._learn_words(chunks, words, size)]] = False
+            known = np.zeros(len(chunks), bool)
+            known[words] = ~easy[words]
+        else:
+            known = np.zeros(len(chunks), bool)
+        plain, alone = np.flatnonzero(easy), list(np.flatnonzero(~easy & ~known))
         for part in np.split(plain, np.flatnonzero(np.diff(np.cumsum(size[plain]) // JOINED_BYTES)) + 1) if len(plain) else []:
             own = [chunks[k] for k in part]
             text = b"".join(own).decode("utf-8", "replace")
@@ -135,6 +183,8 @@ class CachedEncoder:
         documents = offsets[:-1][np.diff(offsets) > 0]
         if not len(documents):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
+        if self.folds:
+            raw = self._folded(raw)
         starts = chunk_starts(raw, documents)
         bounds = np.append(starts, len(raw))
         data = pa.py_buffer(np.ascontiguousarray(raw))

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duelframe.llm.base import small_batches
+from duelframe.llm.base import lean, small_batches
 from duelframe.llm.token_cache import CachedEncoder
 
 #: Bounds of the dictionary's fit: documents, ids of each, and its own size.
@@ -44,6 +44,7 @@ def fit_dictionary(docs: DataFrame, tokenizer: str, width: int) -> bytes:
     share = min(1.0, SAMPLE_DOCUMENTS / max(1, docs.count()))
     picked = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
 
+    @lean
     def serialised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, ids, at in CachedEncoder.get(tokenizer).encode(batch.column(0)):
@@ -73,6 +74,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int, width:
     digest = hashlib.sha256(dictionary).hexdigest()
     spark.createDataFrame([(digest, bytearray(dictionary), width, end_id)], "sha256 string, bytes binary, width int, end_id long").coalesce(1).write.parquet(f"{path}/dictionary")
 
+    @lean
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
@@ -131,9 +133,11 @@ def read_store(spark: SparkSession, path: str, doc_ids: list[int] | None = None,
             near |= (F.col("first_doc") <= d) & (F.col("last_doc") >= d)
         blocks = blocks.filter(near)
 
+    @lean
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
+        CachedEncoder.forget()  # workers that encoded would keep it for as long as they live
         decompress = zstandard.ZstdDecompressor(**_codec(dictionary)).decompress
         for batch in batches:
             for k in range(batch.num_rows):

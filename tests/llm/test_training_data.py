@@ -77,6 +77,24 @@ def test_token_store(spark, request, which):
     assert {r["doc_id"]: r["ids"] for r in one} == {d: [*reference_ids("word_bpe_49k.json", t), 1] for d, t in texts(df) if d in (10, 3)}
 
 
+def test_words_are_encoded_once_in_any_case():
+    """Case and white space make no new chunks where the vocabulary ignores them; ids stay those of the whole text."""
+    import pyarrow as pa
+
+    name = "word_bpe_49k.json"
+    encoder = CachedEncoder(registry.tokenizer_path(name))
+    list(encoder.encode(pa.array(["x Word wORD\nWORD\nword word"])))
+    assert len(encoder.slot) == 2
+    own = [
+        " J\u030ca H\u0331 T\u0308 W\u030a I\u0307 j\u030c \u0130I ıi ΟΔΟΣ ΣA ΑΣ a×b ÷ Éa\u0301 e\u0301 ﬁ ŉ ǅ Ǆ ß ẞ K Å",
+        "A <|ENDOFTEXT|> B <|endoftext|> C <|StartOfText|>", " a</w> </w> b</W>\nIT'S IT's don'T 'S 's", "Aé Zé\u0301 ɐa ʼn Ÿ " + " ".join(chr(k) + "Q" for k in range(0xC0, 0x280)),
+        "\u0301a", "J", "\u030cX", "A\u200bB C\u00a0D E\u3000F G\u0085H\r\nI\tJ", None, "",
+    ]
+    for texts_ in (own, own[::-1], [t for t in own if t and "<" not in t], *([t] for t in own)):
+        got = [ids[i:j].tolist() for _, ids, at in CachedEncoder(registry.tokenizer_path(name)).encode(pa.array(texts_, pa.string())) for i, j in zip(at[:-1], at[1:])]
+        assert got == [reference_ids(name, t or "") for t in texts_]
+
+
 @pytest.mark.parametrize("which", ["odd", "docs"])
 def test_packing(request, which):
     df = request.getfixturevalue(which)
