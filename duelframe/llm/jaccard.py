@@ -4,15 +4,15 @@ The document by n-gram incidence is multiplied with itself only where it must be
 n-grams that come first in one global order (rare ones first, by a sketch that covers all documents),
 enough of them that similar sets must share some. N-grams that stand in the same documents are one block.
 Documents that meet in a block are discarded where their sizes and the block's places in them rule the
-similarity out, then where the overlap counted over their first n-grams does; the rest are compared exactly.
+similarity out, or a sketch of parities does, which counts no more than what they differ in; the rest are compared exactly.
 
 Equal sets are one class before that, so copies never meet in pairs. Blocks that one component fills are
 closed. While the others would still make more than PAIRS_PER_ENTRY pairs an entry, and each round halves them, a
 few leading documents of each overfull block are compared with all that meet them, and are done with; what they
 link becomes one component. At the end only documents outside a block's largest component are compared with the rest of it,
 in parts of at most BLOCK_PAIRS pairs. Pairs that pass the bounds are compared in batches, a few of each class
-first, since one link makes one component of two. A pair is left out only where both are in one component already,
-or where a bound says that they can't be similar.
+first, since one link makes one component of two, and components stand for the links found so far. A pair is left
+out only where both are in one component already, or where a bound says that they can't be similar.
 
 Defined results: null or blank text has an empty set and links with nothing; a null doc_id is kept, its
 component is the smallest doc_id of its component, or null; repeated rows share a class; an empty table
@@ -41,7 +41,7 @@ WORDS = 5
 SKETCH_CHUNK = 1 << 15
 #: Bits of the sketch: one bucket for every 1/8 document, within these bounds (so at most 4 MB are broadcast).
 SKETCH_BITS = (15, 22)
-#: Up to so many documents whose n-grams are needed for comparison are broadcast (16 bytes each); beyond, a set
+#: Up to so many documents whose n-grams are needed for comparison are broadcast (about 60 bytes each); beyond, a set
 #: of at most 2^PICK_BITS bits (16 MB) picks them.
 PICK_ROWS, PICK_BITS = 500_000, (16, 27)
 #: Leading documents of a block in one round.
@@ -52,7 +52,9 @@ PAIRS_PER_ENTRY = 8
 BLOCK_PAIRS = 1 << 20
 #: A first batch has about so many pairs for each class, or for twice as many; each later one MORE times as many.
 FIRST, MORE = 4, 8
-SETS = "doc_id long, n long, sig binary, prefix array<long>"
+#: Longs of a set's sketch of parities.
+PARITY_LONGS = 8
+SETS = "doc_id long, n long, sig binary, prefix array<long>, parity array<long>"
 
 
 def _ceil_bits(n: int, bounds: tuple[int, int]) -> int:
@@ -122,7 +124,7 @@ def prefixes(docs: DataFrame, classes: np.ndarray) -> DataFrame:
                 keep = np.arange(len(h)) - at[:-1][doc] < prefix_length(n)[doc]
                 picked = h[order][keep].view(np.int64)
                 bounds = np.concatenate([[0], np.cumsum(np.where(n > 0, prefix_length(n), 0))]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([names.slice(first, len(n)).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(signatures(h, at), pa.binary()), pa.ListArray.from_arrays(pa.array(bounds), pa.array(picked))], ["doc_id", "n", "sig", "prefix"])
+                yield pa.RecordBatch.from_arrays([names.slice(first, len(n)).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(signatures(h, at), pa.binary()), pa.ListArray.from_arrays(pa.array(bounds), pa.array(picked)), parities(h, doc, len(n))], ["doc_id", "n", "sig", "prefix", "parity"])
 
     return docs.select("doc_id", "text").mapInArrow(run, SETS)
 
@@ -132,6 +134,18 @@ def signatures(h: np.ndarray, at: np.ndarray) -> list[bytes | None]:
     return [hashlib.blake2b(h[i:j], digest_size=16).digest() if j > i else None for i, j in zip(at[:-1], at[1:], strict=True)]
 
 
+def parities(h: np.ndarray, doc: np.ndarray, n_docs: int) -> pa.Array:
+    """For each set: whether an odd number of its n-grams falls into each of 64 * PARITY_LONGS buckets.
+
+    Bits in which two sketches differ are no more than the n-grams that one of the two sets has alone.
+    """
+    bits = 64 * PARITY_LONGS
+    bucket = (h >> np.uint64(64 - bits.bit_length() + 1)).astype(np.int64)
+    odd = np.bincount(doc * bits + bucket, minlength=n_docs * bits) & 1
+    longs = np.packbits(odd.astype(np.uint8).reshape(-1, bits), axis=1, bitorder="little").view("<i8").ravel()
+    return pa.ListArray.from_arrays(pa.array(np.arange(n_docs + 1, dtype=np.int32) * PARITY_LONGS), pa.array(longs))
+
+
 def whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(cid, n-grams as bytes) of the classes in ``wanted`` (cid, rep, sig): only their representatives' texts are hashed."""
     rows = wanted.count()
@@ -155,6 +169,8 @@ def whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 own = [h[i:j].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(own)).cast(pa.int64()), pa.array(signatures(h, at), pa.binary()), pa.array(own, pa.binary())], ["doc", "s", "grams"])
 
+    if table is None:
+        wanted = F.broadcast(wanted)
     found = texts.mapInArrow(run, "doc long, s binary, grams binary")
     return found.join(wanted, F.col("rep").eqNullSafe(F.col("doc")) & (F.col("sig") == F.col("s"))).select("cid", "grams").dropDuplicates(["cid"])
 
@@ -179,26 +195,17 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _may_link() -> Column:
-    """By size, and by place: nothing is shared before the first block that two sets share, so that what they
-    share is at most what either has from there on. Every similar pair passes in its first common block."""
+    """By size; by place: nothing is shared before the first block that two sets share, so that what they
+    share is at most what either has from there on; and by the parities in which they differ. Every similar pair passes
+    in its first common block."""
     a, b = F.col("n_a"), F.col("n_b")
     reach = F.least(a - F.col("pos_a"), b - F.col("pos_b"))
-    return (F.least(a, b) * DOWN >= F.greatest(a, b) * UP) & (reach * (UP + DOWN) >= (a + b) * UP)
-
-
-def _enough() -> Column:
-    """By overlap of the prefixes: what lies behind them can't make up for less.
-
-    All that is shared up to the end of the prefix that ends first is counted, and either can be that one, so
-    what is left is at most the larger rest.
-    """
-    a, b = F.col("n_a"), F.col("n_b")
-    rest = lambda n: F.floor((UP * n + DOWN - 1) / DOWN) - 1
-    return (F.size(F.array_intersect("prefix_a", "prefix_b")) + F.greatest(rest(a), rest(b))) * (UP + DOWN) >= (a + b) * UP
+    differ = sum(F.bit_count(F.col("parity_a")[k].bitwiseXOR(F.col("parity_b")[k])) for k in range(PARITY_LONGS))
+    return (F.least(a, b) * DOWN >= F.greatest(a, b) * UP) & (reach * (UP + DOWN) >= (a + b) * UP) & (differ * (UP + DOWN) <= (a + b) * (DOWN - UP))
 
 
 def blocks_of(classes: DataFrame) -> DataFrame:
-    """(block, cid, n, pos, alone): for each class the blocks of its first n-grams.
+    """(block, cid, n, pos, alone, parity): for each class the blocks of its first n-grams.
 
     N-grams of one class alone are left out. pos: place of the block's first n-gram among the class's; alone: how
     many of the prefix no other class has.
@@ -207,15 +214,15 @@ def blocks_of(classes: DataFrame) -> DataFrame:
     columns = entries.groupBy("gram").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("cid")).alias("block")).filter("m > 1").drop("m")
     found = entries.join(columns, "gram").groupBy("cid", "block").agg(F.first("n").alias("n"), F.count("*").alias("w"), F.min("pos").alias("pos"))
     length = F.col("n") - F.floor((UP * F.col("n") + DOWN - 1) / DOWN) + 1
-    return found.withColumn("alone", length - F.sum("w").over(Window.partitionBy("cid"))).drop("w")
+    return found.withColumn("alone", length - F.sum("w").over(Window.partitionBy("cid"))).drop("w").join(classes.select("cid", "parity"), "cid")
 
 
-def overlaps(rows: DataFrame, classes: DataFrame, parts: bool) -> DataFrame:
+def overlaps(rows: DataFrame, parts: bool) -> DataFrame:
     """Pairs (a, b) of a row marked ``lead`` with any other of its block and of another component that pass the bounds.
 
     ``parts``: rows of a block are dealt to so many parts, each with a share of the leading rows.
     """
-    names = ("cid", "n", "pos", "comp", "lead")
+    names = ("cid", "n", "pos", "comp", "lead", "parity")
     a, b = (rows.select("block", *((F.col("parts"),) if parts else ()), *(F.col(c).alias(f"{c}_{x}") for c in names)) for x in "ab")
     a, on = a.filter("lead_a"), ["block"]
     if parts:
@@ -223,9 +230,7 @@ def overlaps(rows: DataFrame, classes: DataFrame, parts: bool) -> DataFrame:
         b = b.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
         on = ["block", "part"]
     met = a.join(b, on).filter((F.col("comp_a") != F.col("comp_b")) & (~F.col("lead_b") | (F.col("cid_a") < F.col("cid_b"))) & _may_link())
-    pairs = met.select(F.least("cid_a", "cid_b").alias("a"), F.greatest("cid_a", "cid_b").alias("b")).distinct()
-    heads = [classes.select(F.col("cid").alias(x), F.col("n").alias(f"n_{x}"), F.col("prefix").alias(f"prefix_{x}")) for x in "ab"]
-    return pairs.join(heads[0], "a").join(heads[1], "b").filter(_enough()).select("a", "b")
+    return met.select(F.least("cid_a", "cid_b").alias("a"), F.greatest("cid_a", "cid_b").alias("b")).distinct()
 
 
 def leading(rows: DataFrame, turn: int) -> DataFrame:
@@ -247,8 +252,8 @@ def batch_of(pairs: DataFrame, most: int, turn: int) -> DataFrame:
     return pairs.select("a", "b", (chance < F.lit(most) * (1 << 20)).alias("now"))
 
 
-def linked(docs: DataFrame, classes: DataFrame, found: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``links`` and those among the pairs ``found``, as far as they join components; and the components then.
+def linked(docs: DataFrame, classes: DataFrame, found: DataFrame, component: DataFrame) -> DataFrame:
+    """(node, component) of all that is linked in ``component`` or by the pairs ``found``.
 
     In a batch some pairs of each class are compared; what has come into one component needs no more. Batches grow
     until none is left; one that would leave less than half is made whole.
@@ -262,8 +267,8 @@ def linked(docs: DataFrame, classes: DataFrame, found: DataFrame, links: DataFra
         held.append(judged)
         total, now = judged.agg(F.count("*"), F.count_if("now")).first()
         whole = 2 * now >= total
-        links = materialize(links.unionByName(verified(judged.filter(F.lit(whole) | F.col("now")).select("a", "b"), sets)), "links")
-        component = connected_components(links)
+        known = component.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        component = connected_components(known.unionByName(verified(judged.filter(F.lit(whole) | F.col("now")).select("a", "b"), sets)))
         if whole:
             break
         found = judged.filter("not now").select("a", "b")
@@ -271,19 +276,20 @@ def linked(docs: DataFrame, classes: DataFrame, found: DataFrame, links: DataFra
             found = found.join(component.select(F.col("node").alias(x), F.col("component").alias(f"c_{x}")), x, "left")
         found = materialize(found.filter(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b"), "pairs")
         held.append(found)
+        if found.isEmpty():
+            break
         most *= MORE
     discard(*held)
-    return links, component
+    return component
 
 
 def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Documents (doc_id, n, sig), classes (cid, sig, rep, n), and (node, component) of linked classes."""
     small_batches(docs.sparkSession)
     table = materialize(prefixes(docs, frequency_classes(docs, _ceil_bits(8 * docs.count(), SKETCH_BITS))), "sets")
-    grouped = table.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    grouped = table.filter("n > 0").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("parity").alias("parity"))
     classes = materialize(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
     live = materialize(blocks_of(classes), "blocks")
-    links = live.sparkSession.createDataFrame([], "a long, b long")
     component = live.sparkSession.createDataFrame([], "node long, component long")
     was = math.inf
     for turn in count():
@@ -291,20 +297,21 @@ def similar_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         tally = placed.groupBy("block", "comp").agg(F.count("*").alias("c")).groupBy("block").agg(F.count("*").alias("comps"), F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"), F.max(F.struct("c", "comp")).alias("top")).filter("comps > 1")
         tally = tally.select(F.col("block").alias("block_"), "s", ((F.col("s") * F.col("s") - F.col("q")) / 2).alias("pairs"), F.col("top.comp").alias("main"), F.col("top.c").alias("most"))
         rows = placed.join(tally, F.col("block") == F.col("block_")).drop("block_")
-        rows = materialize(rows.select("block", "cid", "n", "pos", "alone", "comp", (F.col("comp") != F.col("main")).alias("lead"), F.ceil((F.col("s") - F.col("most")) * F.col("s") / BLOCK_PAIRS).alias("parts"), (F.col("pairs") > PAIRS_PER_ENTRY * F.col("s")).alias("full"), (F.col("pairs") / F.col("s")).alias("share")), "open")
+        rows = materialize(rows.select("block", "cid", "n", "pos", "alone", "parity", "comp", (F.col("comp") != F.col("main")).alias("lead"), F.ceil((F.col("s") - F.col("most")) * F.col("s") / BLOCK_PAIRS).alias("parts"), (F.col("pairs") > PAIRS_PER_ENTRY * F.col("s")).alias("full"), (F.col("pairs") / F.col("s")).alias("share")), "open")
         size, pairs = rows.agg(F.count("*"), F.sum("share")).first()
         if not size:
             break
         last, was = pairs <= PAIRS_PER_ENTRY * size or 2 * pairs > was, pairs
         rows = rows.drop("share")
         if last:
-            found = overlaps(rows, classes, parts=True)
+            found = overlaps(rows, parts=True)
         else:
             chosen = materialize(leading(rows, turn), "leads")
             rows = rows.join(chosen, F.col("cid") == F.col("lead_cid"), "left").withColumn("lead", F.col("lead_cid").isNotNull()).drop("lead_cid")
-            found = overlaps(rows, classes, parts=False)
+            found = overlaps(rows, parts=False)
         found = materialize(found, "pairs")
-        links, component = linked(docs, classes, found, links)
+        if not found.isEmpty():
+            component = linked(docs, classes, found, component)
         discard(found)
         if last:
             break

@@ -410,6 +410,26 @@ def test_jaccard_compares_few_pairs_of_a_group(spark, monkeypatch):
     assert len(compared) > 1 and sum(compared) <= 20 * len(rows), compared
 
 
+def test_jaccard_lists_few_pairs_that_do_not_link(spark, monkeypatch):
+    """Of a family whose texts link with one text, and not with each other, hardly more pairs are listed than link."""
+    monkeypatch.setattr(jaccard, "PAIRS_PER_ENTRY", 10**9)
+    rng = np.random.default_rng(8)
+    first = [f"base{k}" for k in range(146)]
+    rows = [(0, " ".join(first))]
+    for k in range(1, 240):
+        text = list(first)
+        for j, at in enumerate(rng.choice(12, 2, replace=False) * 12 + 4):
+            text[at] = f"own{k}x{j}"
+        rows.append((k, " ".join(text)))
+    listed, overlaps = [], jaccard.overlaps
+    monkeypatch.setattr(jaccard, "overlaps", lambda *a, **b: (listed.append((got := overlaps(*a, **b)).count()), got)[1])
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert Counter(map(tuple, jaccard.near_duplicates(df).collect())) == brute_components(rows)
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(142)} for _, t in rows]
+    link = sum(9 * len(x & y) >= 4 * (len(x) + len(y)) for k, x in enumerate(sets) for y in sets[:k])
+    assert link <= sum(listed) <= 1.2 * link < 0.5 * 240 * 239 / 2, (listed, link)
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(0, 30)] + [(100, 105), (105, 103)] + [(200, k) for k in range(201, 240)] + [(7, 7)]
     got = {r["node"]: r["component"] for r in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
