@@ -430,6 +430,19 @@ def test_jaccard_lists_few_pairs_that_do_not_link(spark, monkeypatch):
     assert link <= sum(listed) <= 1.2 * link < 0.5 * 240 * 239 / 2, (listed, link)
 
 
+@pytest.mark.parametrize("part", [1 << 17, 5])
+def test_components_take_few_rounds(spark, part, monkeypatch):
+    """A path in any order needs few tables where a task may hold its edges; and small parts give the same."""
+    monkeypatch.setattr(components, "STAR_EDGES", part)
+    made, materialize = [], components.materialize
+    monkeypatch.setattr(components, "materialize", lambda df, tag: (made.append(tag), materialize(df, tag))[1])
+    order = np.random.default_rng(4).permutation(400).tolist()
+    edges = [(order[k], order[k + 1]) for k in range(300)] + [(order[k], order[k + 1]) for k in range(301, 399)]
+    got = {r["node"]: r["component"] for r in components.connected_components(spark.createDataFrame(edges, "a long, b long").repartition(3)).collect()}
+    assert got == {x: min(own) for own in (order[:301], order[301:]) for x in own}
+    assert part < 10 or len(made) <= 3 + 2 * 4, made
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(0, 30)] + [(100, 105), (105, 103)] + [(200, k) for k in range(201, 240)] + [(7, 7)]
     got = {r["node"]: r["component"] for r in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
