@@ -6,7 +6,8 @@ of its chunks in order. Chunks are told apart exactly (Arrow dictionary encoding
 cache, and only unseen ones go through the tokenizer. A full cache keeps what the last steps used.
 
 Where the vocabulary marks the ends of words, chunks of letters go through it without offsets: each gives one end
-at least, so that as many ends as chunks are one each. Where it ignores case and kinds of white space, so does the cache.
+at least, so that as many ends as chunks are one each. Where its tokens are the text's bytes as they are, chunks share a
+call without offsets and are told apart by the tokens' bytes. Where it ignores case and kinds of white space, so does the cache.
 """
 
 from __future__ import annotations
@@ -67,6 +68,13 @@ class CachedEncoder:
             vocabulary = self.tokenizer.get_vocab()
             self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
             self.ends[[k for word, k in vocabulary.items() if word.endswith(suffix)]] = True
+        self.bytes = None
+        if said["normalizer"] is None and said["pre_tokenizer"]["type"] == "ByteLevel" and not said["pre_tokenizer"]["add_prefix_space"]:
+            vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+            self.bytes = np.zeros(self.tokenizer.get_vocab_size() + 1, np.int64)  # a token has a character for each byte
+            self.bytes[list(vocabulary.values())] = [len(word) for word in vocabulary]
+            for token in said["added_tokens"]:
+                self.bytes[token["id"]] = len(token["content"].encode())
         kinds = [(n["type"], n.get("pattern")) for n in (said["normalizer"] or {}).get("normalizers", [])]
         self.folds, self.added = kinds == FOLDING, [t["content"].lower().encode() for t in said["added_tokens"]]
         self.clear()
@@ -168,6 +176,15 @@ class CachedEncoder:
         for part in np.split(plain, np.flatnonzero(np.diff(np.cumsum(size[plain]) // JOINED_BYTES)) + 1) if len(plain) else []:
             own = [chunks[k] for k in part]
             text = b"".join(own).decode("utf-8", "replace")
+            if self.bytes is not None:
+                ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+                ends, wanted = np.cumsum(self.bytes[ids]), np.cumsum(size[part])
+                at = np.searchsorted(ends, wanted)
+                if ends[-1] == wanted[-1] and (ends[at] == wanted).all():
+                    self._add(own, ids, at + 1)
+                else:
+                    alone += list(part)
+                continue
             if not unicodedata.is_normalized("NFC", text) or len(text) != chars[part].sum():
                 alone += list(part)
                 continue
@@ -176,7 +193,7 @@ class CachedEncoder:
             self._add(own, np.array(encoded.ids, np.uint32), np.searchsorted(ends, np.cumsum(chars[part]), "right"))
         for k in range(0, len(alone), 512):
             own = [chunks[i] for i in alone[k : k + 512]]
-            found = [e.ids for e in self.tokenizer.encode_batch([c.decode("utf-8", "replace") for c in own], add_special_tokens=False)]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast([c.decode("utf-8", "replace") for c in own], add_special_tokens=False)]
             self._add(own, np.array([i for ids in found for i in ids], np.uint32), np.cumsum([len(ids) for ids in found]))
 
     def _slice(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -95,6 +95,22 @@ def test_words_are_encoded_once_in_any_case():
         assert got == [reference_ids(name, t or "") for t in texts_]
 
 
+def test_byte_tokens_need_no_offsets():
+    """Chunks that share a call are told apart by the bytes of their ids; the call is one without offsets."""
+    import pyarrow as pa
+
+    name = "byte_bpe_50k.json"
+    for own in ([f"some words, é日本🙂 and{k} more\nlines  of them.  x\u0301 e\u0301 don't\u00a0{k}" for k in range(40)], [t for _, t in ODD], ["a \ufffd b \x00 c <|endoftext|> d\r\n e"]):
+        encoder = CachedEncoder(registry.tokenizer_path(name))
+
+        class Fast:
+            encode_batch_fast = staticmethod(encoder.tokenizer.encode_batch_fast)
+
+        encoder.tokenizer = Fast
+        got = [ids[i:j].tolist() for _, ids, at in encoder.encode(pa.array(own, pa.string())) for i, j in zip(at[:-1], at[1:])]
+        assert got == [reference_ids(name, t or "") for t in own]
+
+
 @pytest.mark.parametrize("which", ["odd", "docs"])
 def test_packing(request, which):
     df = request.getfixturevalue(which)
