@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -90,19 +96,51 @@ def goal_log_likelihood(rows: DataFrame, *by: str) -> DataFrame:
     return whole.groupBy(*by).agg(F.count("*").alias("n"), F.avg(own).alias("goal_log_likelihood")).withColumn("goal_loss", -F.col("goal_log_likelihood"))
 
 
-def paired_bootstrap_ci(deltas: DataFrame, key: str, by: str, resamples: int) -> DataFrame:
+#: Rows of a group whose draws are looked up in an array of its deltas; those of larger groups meet them in a join.
+HELD = 1 << 16
+
+
+def paired_bootstrap_ci(deltas: DataFrame, key: str, by: str, resamples: int, held: int = HELD) -> DataFrame:
     """Mean of paired deltas with 2.5 % and 97.5 % quantiles of resampled means, and the share below 0.
 
-    Every row's weight in a resample is how often hash-derived draws from 0 to n - 1 name its place; draws
-    and rows meet in a join on (group, place), so groups are spread over the cluster.
+    Every row's weight in a resample is how often hash-derived draws from 0 to n - 1 name its place. A group of up to
+    ``held`` rows makes its draws beside the array of its deltas, with no row for each draw; draws and rows of larger
+    groups meet in a join on (group, place), so groups are spread over the cluster. Draws are many more than their
+    plan's size tells, so that neither join may be a broadcast one.
     """
-    placed = deltas.withColumn("place", F.row_number().over(Window.partitionBy(by).orderBy(key)) - 1)
-    sizes = placed.groupBy(by).agg(F.count("*").alias("n"), F.avg("delta").alias("mean_delta"))
-    draws = sizes.select(by, "n", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1))).alias("resample")).select(by, "n", "resample", F.explode(F.sequence(F.lit(0), (F.col("n") - 1).cast("int"))).alias("slot"))
+    sizes = deltas.groupBy(by).agg(F.count("*").alias("n"), F.avg("delta").alias("mean_delta"))
+    met = deltas.select(by, key, "delta").join(sizes.select(by, "n").hint("merge"), by)
+
+    small = met.filter(F.col("n") <= held).groupBy(by, "n").agg(F.transform(F.array_sort(F.collect_list(F.struct(key, "delta"))), lambda x: x.delta).alias("deltas_"))
+    kind = deltas.schema[by].dataType.simpleString()
+    own = small.select(by, F.col(by).cast("string").alias("name_"), "deltas_").mapInArrow(lambda batches: _resampled(batches, resamples), f"`{by}` {kind}, m double")
+
+    large = met.filter(F.col("n") > held)
+    placed = large.select(by, "delta", (F.row_number().over(Window.partitionBy(by).orderBy(key)) - 1).alias("place"))
+    draws = sizes.filter(F.col("n") > held).select(by, "n", F.explode(F.sequence(F.lit(0), F.lit(resamples - 1))).alias("resample")).select(by, "n", "resample", F.explode(F.sequence(F.lit(0), (F.col("n") - 1).cast("int"))).alias("slot"))
     picked = draws.select(by, "resample", (hash_draw(F.col(by), F.col("resample"), F.col("slot")) % F.col("n")).alias("place"))
-    means = picked.join(placed.select(by, "place", "delta"), [by, "place"]).groupBy(by, "resample").agg(F.avg("delta").alias("m"))
+    means = picked.join(placed.hint("merge"), [by, "place"]).groupBy(by, "resample").agg(F.avg("delta").alias("m")).select(by, "m").unionByName(own)
     out = means.groupBy(by).agg(F.percentile("m", 0.025).alias("low"), F.percentile("m", 0.975).alias("high"), F.avg((F.col("m") < 0).cast("int")).alias("share_below_zero"))
-    return out.join(sizes, by).select(by, "n", "mean_delta", "low", "high", "share_below_zero")
+    return out.join(sizes.hint("merge"), by).select(by, "n", "mean_delta", "low", "high", "share_below_zero")
+
+
+def _resampled(batches: Iterator[pa.RecordBatch], resamples: int) -> Iterator[pa.RecordBatch]:
+    """The means of each group's resamples, by the draws of ``hash_draw``; null deltas are left out of a mean."""
+    slots: list[bytes] = []
+    for batch in batches:
+        for k, name in enumerate(batch.column(1).to_pylist()):
+            held = batch.column(2)[k].values
+            n, values, known = len(held), pc.fill_null(held, 0.0).to_numpy(zero_copy_only=False), held.is_valid().to_numpy(zero_copy_only=False)
+            slots += [str(j).encode() for j in range(len(slots), n)]
+            means = []
+            for r in range(resamples):
+                start = f"{name}|{r}|".encode()
+                drawn = b"".join([hashlib.md5(start + s).digest() for s in slots[:n]])
+                at = np.frombuffer(drawn, ">u4")[::4].astype(np.int64) % n
+                there = int(known[at].sum())
+                means.append(float(values[at].sum()) / there if there else None)
+            column = pa.concat_arrays([batch.column(0).slice(k, 1)] * resamples)
+            yield pa.RecordBatch.from_arrays([column, pa.array(means, pa.float64())], [batch.schema.field(0).name, "m"])
 
 
 def model_comparison_delta(scored: DataFrame, by: str, model: str, a: str, b: str) -> DataFrame:

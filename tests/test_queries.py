@@ -221,3 +221,15 @@ def test_bootstrap_of_a_large_group(spark):
     df = spark.createDataFrame([(7, k, d) for k, d in enumerate(deltas)], "g long, k long, delta double")
     got = scoring.paired_bootstrap_ci(df, "k", "g", 20).select("n", "mean_delta", "low", "high", "share_below_zero").first()
     assert np.allclose(tuple(got), bootstrap(7, deltas, 20))
+
+
+def test_bootstrap_of_groups_held_and_joined(spark):
+    """Both ways give the same draws: in an array of the group's deltas, and in a join; no plan broadcasts draws."""
+    rows = [(g, k, None if (g, k) == (2, 3) else ((k * 37 + g) % 101 - 50) / 40) for g, n in ((1, 300), (2, 5), (3, 1)) for k in range(n)]
+    df = spark.createDataFrame([*rows, (None, 0, 1.0)], "g long, k long, delta double")
+    whole, joined = (scoring.paired_bootstrap_ci(df, "k", "g", 20, held) for held in (scoring.HELD, 0))
+    got, want = ({r["g"]: tuple(r)[1:] for r in out.collect()} for out in (whole, joined))
+    assert got.keys() == want.keys() == {1, 2, 3} and all(np.allclose(got[g], want[g]) for g in got)
+    assert np.allclose(got[1], bootstrap(1, [d for g, _, d in rows if g == 1], 20))
+    for out in (whole, joined):
+        assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
