@@ -51,10 +51,17 @@ def discard(*tables: DataFrame) -> None:
 
 def spread_join(rows: DataFrame, small: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """``rows`` with the columns of ``small``, which has at most one row a key: a key that very many rows have is
-    dealt to SALTS joins by hash, each with a copy of its row. Null keys meet nothing."""
+    dealt to SALTS joins by hash, each with a copy of its row. Null keys meet nothing. Never a broadcast: Spark takes
+    the copies for no more than the file of ``small``, and they would grow on the driver with the input."""
     each = small.withColumn("salt_", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     dealt = rows.withColumn("salt_", F.pmod(F.xxhash64(*(F.col(c) for c in rows.columns if c != key)), F.lit(SALTS)).cast("int"))
-    return dealt.join(each, [key, "salt_"], how).drop("salt_")
+    return dealt.join(each.hint("merge"), [key, "salt_"], how).drop("salt_")
+
+
+def dealt_join(rows: DataFrame, other: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """A join that deals both tables out by ``key``; Spark splits a key that many of ``rows`` have. Compressed files of
+    ids and small numbers are far smaller than their rows: by the size of a file, millions of rows would be broadcast."""
+    return rows.join(other.hint("merge"), key, how)
 
 
 def bit_set(places: DataFrame, bits: int) -> np.ndarray:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from duelframe.llm.base import materialize, ranked, spread_join
+from duelframe.llm.base import dealt_join, materialize, ranked, spread_join
 
 SHARDS, ROUNDS = 8, 4
 #: A line links documents if it has so many characters.
@@ -30,7 +30,7 @@ def incidence(nodes: DataFrame) -> DataFrame:
     """(node, line, w): lines that two nodes or more share; w documents have the node's text."""
     lines = nodes.select("node", "w", F.explode("lines").alias("line"))
     shared = materialize(lines.groupBy("line").agg(F.count("*").alias("n")).filter("n > 1").select("line"), "shared")
-    return lines.join(shared, "line", "left_semi")
+    return spread_join(lines, shared, "line")
 
 
 def propagate(nodes: DataFrame, links: DataFrame, shards: int, rounds: int = ROUNDS) -> DataFrame:
@@ -39,13 +39,13 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int, rounds: int = ROU
     total = nodes.agg(F.coalesce(F.sum("w"), F.lit(0))).first()[0]
     quota = (1 + SLACK) * total / shards
     for turn in range(rounds):
-        at = links.join(labels.select("node", "shard"), "node")
+        at = dealt_join(links, labels.select("node", "shard"), "node")
         tally = at.groupBy("line", "shard").agg(F.sum("w").alias("n"))
         # written, and copied to several joins: a line that very many nodes have is no hot key
         top = materialize(tally.groupBy("line").agg(F.max(F.struct("n", (-F.col("shard")).alias("s"))).alias("t"), F.sum("n").alias("of")), "lines")
         votes = spread_join(links.select("node", "line"), top.select("line", (-F.col("t.s")).alias("want"), (F.col("t.n") / F.col("of")).alias("share")), "line")
         wish = votes.groupBy("node", "want").agg(F.sum("share").alias("share")).groupBy("node").agg(F.max(F.struct("share", (-F.col("want")).alias("s"))).alias("t")).select("node", (-F.col("t.s")).alias("want"))
-        wished = labels.join(wish, "node", "left").withColumn("moves", F.coalesce(F.col("want") != F.col("shard"), F.lit(False))).withColumn("step", F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(STEPS)))
+        wished = dealt_join(labels, wish, "node", "left").withColumn("moves", F.coalesce(F.col("want") != F.col("shard"), F.lit(False))).withColumn("step", F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(STEPS)))
         # at most shards x STEPS rows each: bounded, so they may be broadcast
         load = labels.groupBy("shard").agg(F.sum("w").alias("load"))
         queue = wished.filter("moves").groupBy("want", "step").agg(F.sum("w").alias("n"))
@@ -58,7 +58,7 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int, rounds: int = ROU
 
 def edge_cut(links: DataFrame, labels: DataFrame) -> DataFrame:
     """One row: documents of shared lines in all, and those outside their line's largest shard (cut)."""
-    tally = links.join(labels.select("node", "shard"), "node").groupBy("line", "shard").agg(F.sum("w").alias("n"))
+    tally = dealt_join(links, labels.select("node", "shard"), "node").groupBy("line", "shard").agg(F.sum("w").alias("n"))
     return tally.groupBy("line").agg(F.sum("n").alias("n"), F.max("n").alias("most")).agg(F.sum("n").alias("total"), F.sum(F.col("n") - F.col("most")).alias("cut"))
 
 
@@ -77,7 +77,7 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     measured, nodes = nodes_of(docs)
     links = materialize(incidence(nodes), "links")
     labels = propagate(nodes, links, shards)
-    labelled = nodes.join(labels.select("node", "shard"), "node").select(F.struct("a", "b").alias("text_key"), "node", "shard")
+    labelled = dealt_join(nodes.select("a", "b", "node"), labels.select("node", "shard"), "node").select(F.struct("a", "b").alias("text_key"), "node", "shard")
     placed = spread_join(measured.withColumn("text_key", F.struct("a", "b")), labelled, "text_key")
     order, total = ranked(placed.select("doc_id", "size", "text_crc32", "node", "shard"), ["shard", "node", "doc_id"], "sharded")
     n = F.lit(max(total, 1))

@@ -928,3 +928,12 @@ def test_pii_terms_by_plain_counts(spark, exact, monkeypatch):
         extra = [(a, b, want[w]) for a, b, w in pii.outside(t, spans) if w in want]
         order = [*pii.KINDS, "generalise", "remove"]
         assert r["spans"] == ",".join(f"{k}:{a}:{b}" for a, b, k in sorted([*spans, *extra], key=lambda s: (s[0], order.index(s[2]))))
+
+
+def test_large_joins_are_not_broadcast(spark):
+    """The copies of a spread join and tables of a dealt one don't go through the driver, however small their files are."""
+    rows = spark.range(1000).selectExpr("id % 50 AS k", "id AS x")
+    small = base.materialize(spark.range(50).selectExpr("id AS k", "id * 2 AS y"), "few")
+    for out in (base.spread_join(rows, small, "k"), base.dealt_join(rows, small, "k"), base.spread_join(rows, small, "k", "left")):
+        assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r["k"], r["x"], r["y"]) for r in out.select("k", "x", "y").collect()) == sorted((x % 50, x, x % 50 * 2) for x in range(1000))
