@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from duelframe.llm.base import bit_set, lean, materialize, small_batches, spread_join
+from duelframe.llm.base import bit_set, dealt_join, lean, materialize, small_batches, spread_join
 
 KINDS = ("email", "ip", "card", "phone")
 #: Each pattern takes a whole run of what a match may begin with, so that no text is scanned twice; where
@@ -183,7 +183,7 @@ def disclosing(docs: DataFrame, found: DataFrame) -> DataFrame:
     terms = materialize(terms_of_all(docs, Candidates(wanted)).filter(F.col("with_term") <= bound(most)), "counted")
     rare = spread_join(texts.select("key", "copies", F.explode("terms").alias("term")), terms, "term")
     reach = F.lit(bound(1.0)) * F.pow(F.col("with_entity"), F.lit(GENERALISE))
-    met = rare.join(held, "key").filter(F.col("with_term") <= reach)
+    met = dealt_join(rare, held, "key").filter(F.col("with_term") <= reach)
     both = met.groupBy("entity", "term").agg(F.sum("copies").alias("both"), F.count("*").alias("k"), F.first("with_term").alias("with_term"), F.first("with_entity").alias("with_entity"))
     estimate = F.col("both") / F.col("with_term") * (F.col("k") / (F.col("k") + 1))
     content = F.greatest(F.log(F.lit(total) / F.col("with_entity")), F.lit(1e-9))
@@ -249,7 +249,7 @@ def term_spans(docs: DataFrame, terms: DataFrame, may: Candidates) -> DataFrame:
     shape = "key string, term string, start long, stop long"
     if may.empty:
         return docs.sparkSession.createDataFrame([], "key string, extra array<string>")
-    hit = docs.select("text").mapInArrow(run, shape).dropDuplicates(["key", "start", "stop"]).join(terms, "term")
+    hit = spread_join(docs.select("text").mapInArrow(run, shape).dropDuplicates(["key", "start", "stop"]), terms, "term")
     return hit.groupBy("key").agg(F.collect_list(F.concat_ws(":", "action", "start", "stop")).alias("extra"))
 
 
@@ -266,7 +266,7 @@ def spans_of(docs: DataFrame) -> DataFrame:
     found = materialize(find(docs), "found")
     terms = disclosing(docs, found)
     extra = materialize(term_spans(docs, terms, Candidates(terms)), "extra")
-    out = found.select("doc_id", "key", "n", "spans").join(extra, "key", "left").select("doc_id", "key", "n", "spans", "extra")
+    out = dealt_join(found.select("doc_id", "key", "n", "spans"), extra, "key", "left").select("doc_id", "key", "n", "spans", "extra")
     return out.withColumn("all_spans", F.when(F.col("extra").isNull(), F.col("spans")).otherwise(_in_order(F.concat("spans", F.coalesce("extra", F.array().cast("array<string>"))))))
 
 
@@ -294,7 +294,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
     found = materialize(find(docs), "found")
     terms = disclosing(docs, found)
     may = Candidates(terms)
-    extra = materialize(term_spans(docs, terms, may), "extra").withColumnRenamed("key", "key_").withColumnRenamed("extra", "extra_")
+    extra = materialize(term_spans(docs, terms, may), "extra").withColumnRenamed("key", "k_").withColumnRenamed("extra", "extra_")
 
     @F.arrow_udf(T.StringType())
     def clean(texts: pa.Array, more: pa.Array) -> pa.Array:
@@ -309,6 +309,6 @@ def sanitise(docs: DataFrame) -> DataFrame:
     keyed = docs.select(F.struct(*own).alias("row_"), F.col("text").alias("text_"), key_of("text").alias("k_"))
     plain = keyed.filter("k_ is null").select("row_.*")
     # written first: two Python steps in one stage would keep twice as many workers, and their caches, alive
-    rest = materialize(keyed.filter("k_ is not null"), "personal").join(extra, F.col("k_") == F.col("key_"), "left")
+    rest = dealt_join(materialize(keyed.filter("k_ is not null"), "personal"), extra, "k_", "left")
     rest = rest.select("row_", clean("text_", "extra_").alias("clean_"))
     return plain.unionByName(rest.select(*(F.col("clean_").alias(c) if c == "text" else F.col("row_")[c].alias(c) for c in own)))
