@@ -10,7 +10,7 @@ import __spark_entry__
 from compare import difference
 from duelframe.operators import bootstrap as bootstrap_module
 from duelframe.operators import scoring
-from duelframe.plans import ratings
+from duelframe.plans import contextual, ratings
 from duelframe.queries import library, whole_jobs
 from duelframe.views import view
 
@@ -239,3 +239,27 @@ def test_outgoing_files_of_many_rows_stay_below_the_bound(spark, tmp_path):
     """A part with more lines than one file may have is dealt to several: nothing is too large."""
     spark.range(500_000).select(F.col("id").alias("c_custkey"), F.lit(1).alias("c_nationkey"), F.lit("x").alias("c_mktsegment")).write.parquet(str(tmp_path / "customer.parquet"))
     assert difference(spark, str(tmp_path), library.QUERIES["publish_gate_scan"], library.SQL["publish_gate_scan"]) == ""
+
+
+@pytest.fixture(scope="module")
+def repeated(spark, tmp_path_factory):
+    """The given tables with every order eight times, so that many rows share a team and instant."""
+    home = tmp_path_factory.mktemp("repeated")
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    # 23,400 = 600 * 39: hour, teams, site and all flags stay but for what 7 and 9 divide
+    orders.crossJoin(spark.range(8).withColumnRenamed("id", "k")).withColumn("o_orderkey", F.col("o_orderkey") + F.col("k") * 23_400).drop("k").write.parquet(str(home / "orders.parquet"))
+    spark.read.parquet(f"{SF}/nation.parquet").write.parquet(str(home / "nation.parquet"))
+    return str(home)
+
+
+def test_contextual_windows_go_over_instants(spark, repeated, monkeypatch):
+    """What windows see grows with teams' instants, not with rows; results are those of the SQL."""
+    parts, written = [], contextual.written
+
+    def spy(rows):
+        parts.append(written(rows))
+        return parts[-1]
+
+    monkeypatch.setattr(contextual, "written", spy)
+    assert difference(spark, repeated, library.QUERIES["contextual_feature_build"], library.SQL["contextual_feature_build"]) == ""
+    assert parts[0].count() <= parts[0].agg(F.sum("n_")).first()[0] / 7
