@@ -263,3 +263,11 @@ def test_contextual_windows_go_over_instants(spark, repeated, monkeypatch):
     monkeypatch.setattr(contextual, "written", spy)
     assert difference(spark, repeated, library.QUERIES["contextual_feature_build"], library.SQL["contextual_feature_build"]) == ""
     assert parts[0].count() <= parts[0].agg(F.sum("n_")).first()[0] / 7
+
+
+def test_contextual_match_rows_of_repeated_rows(spark, repeated):
+    """Equal to the SQL, and rows are not doubled to count sides."""
+    assert difference(spark, repeated, library.QUERIES["contextual_match_rows"], library.SQL["contextual_match_rows"]) == ""
+    teams = spark.createDataFrame([(1, "home"), (1, "away"), (2, "home")], "match_id long, side string").withColumns({c: F.lit(1) for c in contextual.DIFFERENCES})
+    out = contextual.match_rows(teams)
+    assert [r["match_id"] for r in out.collect()] == [1] and "Expand" not in out._jdf.queryExecution().executedPlan().toString()
