@@ -271,3 +271,10 @@ def test_contextual_match_rows_of_repeated_rows(spark, repeated):
     teams = spark.createDataFrame([(1, "home"), (1, "away"), (2, "home")], "match_id long, side string").withColumns({c: F.lit(1) for c in contextual.DIFFERENCES})
     out = contextual.match_rows(teams)
     assert [r["match_id"] for r in out.collect()] == [1] and "Expand" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_contextual_audit_is_one_pass(spark, repeated):
+    """Equal to the SQL; the sides' rows are made once for all reasons."""
+    assert difference(spark, repeated, library.QUERIES["contextual_audit"], library.SQL["contextual_audit"]) == ""
+    plan = library.QUERIES["contextual_audit"](spark, repeated)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan
