@@ -278,3 +278,13 @@ def test_contextual_audit_is_one_pass(spark, repeated):
     assert difference(spark, repeated, library.QUERIES["contextual_audit"], library.SQL["contextual_audit"]) == ""
     plan = library.QUERIES["contextual_audit"](spark, repeated)._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" not in plan
+
+
+def test_contextual_features_by_cutoff_write_no_checkpoints(spark, repeated, monkeypatch):
+    """Equal to the SQL; steps are compressed tables of few columns, where checkpoints of whole rows filled the disk."""
+
+    def checkpoint(*_):
+        raise AssertionError("uncompressed checkpoint")
+
+    monkeypatch.setattr(type(spark.range(1)), "checkpoint", checkpoint)
+    assert difference(spark, repeated, library.QUERIES["contextual_feature_build_by_cutoff"], library.SQL["contextual_feature_build_by_cutoff"]) == ""
