@@ -242,22 +242,26 @@ def grid_search_report(matches: DataFrame, folds: DataFrame, params: DataFrame,
     return _selected(scores)
 
 
-def rating_grid_report(matches: DataFrame, history: DataFrame, params: DataFrame, starts: list) -> DataFrame:
+def rating_grid_report(matches: DataFrame, before: DataFrame, sets: DataFrame, starts: list) -> DataFrame:
     """param_id, fold (a year from each start), scores and ``selected``, for ratings of every parameter set.
 
-    ``history``: contest rows of all sets from one pass (ratings before a contest hold nothing later, so they serve
-    every fold). A fold's draw rate comes from the matches before its start.
+    ``before``, ``sets``: tables of ``ratings.grid_ratings`` (ratings before a date hold nothing later, so they serve
+    every fold). A fold's draw rate comes from the matches before its start. Contests of one date, home and away team
+    and outcome are scored once, with their number as weight.
     """
     day = lambda d: F.lit(d.isoformat()).cast("date")
     drawn = (F.col("outcome") == "draw").cast("int")
     rates = matches.agg(*(F.avg(F.when(F.col("match_date") < day(s), drawn)).alias(f"r{k}") for k, s in enumerate(starts))).first()
     fold = [F.struct(F.lit(s.isoformat()).alias("fold"), F.lit(rates[k]).cast("double").alias("rate")) for k, s in enumerate(starts)]
     inside = F.coalesce(*(F.when((F.col("match_date") >= day(s)) & (F.col("match_date") < F.add_months(day(s), 12)), f) for s, f in zip(starts, fold, strict=True)))
-    tests = history.withColumn("fold_", inside).filter("fold_ is not null").select("param_id", "match_id", "home_pre", "away_pre", "fold_.*")
-    advantage = params.select("param_id", "home_advantage")
-    met = tests.join(matches.select("match_id", "outcome"), "match_id").join(F.broadcast(advantage), "param_id")
-    scored = models.draw_rate_probability(met.withColumn("difference", F.col("home_pre") + F.col("home_advantage") - F.col("away_pre")), F.col("rate"))
-    return _selected(scoring.proper_scores(scored, "param_id", "fold"))
+    played = matches.dropna(subset=["match_id", "match_date", "home_id", "away_id", "home_goals", "away_goals"]).withColumn("fold_", inside).filter("fold_ is not null")
+    tests = played.groupBy("match_date", F.col("home_id").cast("long").alias("home_id"), F.col("away_id").cast("long").alias("away_id"), "outcome", "fold_").agg(F.count("*").alias("n_"))
+    side = lambda s: before.select("match_date", "group_", F.col("team").alias(f"{s}_id"), F.col("pre").alias(f"{s}_pre"))
+    met = tests.join(side("home").hint("merge"), ["match_date", "home_id"]).join(side("away").hint("merge"), ["match_date", "away_id", "group_"])
+    each = met.select("outcome", "fold_.*", "n_", "group_", F.posexplode(F.arrays_zip("home_pre", "away_pre")).alias("pos", "x_")).join(F.broadcast(sets), ["group_", "pos"])
+    scored = scoring.with_losses(models.draw_rate_probability(each.withColumn("difference", F.col("x_.home_pre") + F.col("home_advantage") - F.col("x_.away_pre")), F.col("rate")))
+    means = {"log_loss": "log_loss", "brier": "brier", "rps": "rps", "hit": "accuracy", "p_true": "mean_true_probability"}
+    return _selected(scored.groupBy("param_id", "fold").agg(F.sum("n_").alias("n"), *((F.sum(F.col("n_") * F.col(c)) / F.sum("n_")).alias(m) for c, m in means.items())))
 
 
 def _selected(scores: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Iterator
 from itertools import product
 
+import numpy as np
 import pyarrow as pa
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +16,8 @@ from duelframe.functions.scalars import expected_score
 
 INITIAL = 1500.0
 RATINGS = "param_id string, team long, rating double, played long, last_date date"
+#: Parameter sets that one task of a grid carries.
+SETS_A_TASK = 8
 HISTORY = "param_id string, match_id long, match_date date, home_id long, away_id long, home_pre double, away_pre double, expected double, delta double, home_post double, away_post double"
 
 
@@ -152,6 +155,79 @@ def rating_history(matches: DataFrame, params: DataFrame, path: str) -> tuple[Da
     return rows, now
 
 
+def _grid_folded(batches: Iterator[pa.RecordBatch], sets: list[tuple], first: dt.date) -> Iterator[pa.RecordBatch]:
+    """Meetings in order of (group, date) to the ratings of each date's teams before it, all sets of a group at once."""
+    schema = pa.schema([("match_date", pa.date32()), ("team", pa.int64()), ("group_", pa.int32()), ("pre", pa.list_(pa.float64()))])
+    epoch, group, at, held = dt.date(1970, 1, 1), None, None, []
+
+    def day_done() -> Iterator[pa.RecordBatch]:
+        day = at[1]
+        home, away, n, beyond, won, won_beyond = (np.concatenate(c) for c in zip(*held, strict=True))
+        for t in np.unique(np.concatenate([home, away])).tolist():
+            place.setdefault(t, len(place))
+        while len(place) > len(state["rating"]):
+            state["rating"] = np.concatenate([state["rating"], np.full_like(state["rating"], INITIAL)])
+            state["last"] = np.concatenate([state["last"], np.full_like(state["last"], np.iinfo(np.int64).max)])
+        teams, inverse = np.unique(np.concatenate([home, away]), return_inverse=True)
+        own = np.array([place[t] for t in teams.tolist()])
+        h, a = inverse[: len(home)], inverse[len(home) :]
+        rating, idle = state["rating"][own], (day - state["last"][own])[:, None] >= idle_days  # no last date: far below
+        pre = np.where(idle, INITIAL + (rating - INITIAL) * (1 - idle_share), rating)
+        expected = 1 / (1 + 10 ** (-(pre[h] + advantage - pre[a]) / 400))
+        delta = k * (won[:, None] + margin * won_beyond[:, None] - expected * (n[:, None] + margin * beyond[:, None]))
+        change = np.zeros_like(pre)
+        np.add.at(change, h, delta)
+        np.subtract.at(change, a, delta)
+        state["rating"][own], state["last"][own] = pre + change, day
+        if day >= (first - epoch).days:
+            flat = pa.ListArray.from_arrays(np.arange(len(teams) + 1, dtype=np.int32) * pre.shape[1], pa.array(pre.ravel()))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(teams), day, np.int32)).cast(pa.date32()), pa.array(teams), pa.array(np.full(len(teams), group, np.int32)), flat], schema=schema)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        groups, days = batch.column(0).to_numpy(), batch.column(1).cast(pa.int32()).to_numpy().astype(np.int64)
+        columns = [batch.column(c).to_numpy() for c in range(2, 8)]
+        cuts = np.flatnonzero((np.diff(groups) != 0) | (np.diff(days) != 0)) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
+            if at != (groups[a], days[a]):
+                if held:
+                    yield from day_done()
+                    held.clear()
+                at = (groups[a], days[a])
+            if group != groups[a]:
+                group = groups[a]
+                k, advantage, margin, idle_days, idle_share = (np.array(c, float) for c in zip(*sets[group * SETS_A_TASK : (group + 1) * SETS_A_TASK], strict=True))
+                place: dict[int, int] = {}
+                state = {"rating": np.full((64, len(k)), INITIAL), "last": np.full(64, np.iinfo(np.int64).max)}
+            held.append([c[a:b] for c in columns])
+    if held:
+        yield from day_done()
+
+
+def grid_ratings(matches: DataFrame, params: DataFrame, path: str, first: dt.date) -> tuple[DataFrame, DataFrame]:
+    """Ratings of all parameter sets before each date from ``first`` on: (match_date, team, group_, pre), and what sets
+    stand where in ``pre`` (group_, pos, param_id, home_advantage).
+
+    All contests of a date read the same ratings, and changes of a team are summed, so that contests of a date, home and
+    away team go on as one row with sums of their results; no contest is repeated for each set. A group of SETS_A_TASK
+    sets is one pass over these rows. Contests without a date, a team or a score are left out.
+    """
+    spark = matches.sparkSession
+    chosen = sorted(params.collect())
+    sets = [tuple(r[c] for c in ("k", "home_advantage", "margin_weight", "idle_days", "idle_share")) for r in chosen]
+    played = matches.select("match_id", "match_date", *(F.col(c).cast("long").alias(c) for c in ("home_id", "away_id", "home_goals", "away_goals"))).dropna()
+    gap = F.col("home_goals") - F.col("away_goals")
+    won, beyond = F.when(gap > 0, 1.0).when(gap < 0, 0.0).otherwise(0.5), F.greatest(F.abs(gap) - 1, F.lit(0)).cast("double")
+    meetings = played.groupBy("match_date", "home_id", "away_id").agg(F.count("*").cast("double").alias("n"), F.sum(beyond).alias("beyond"), F.sum(won).alias("won"), F.sum(won * beyond).alias("won_beyond"))
+    groups = max(-(-len(sets) // SETS_A_TASK), 1)
+    dealt = meetings.select(F.explode(F.array(*(F.lit(g) for g in range(groups)))).alias("group_"), "*").repartitionByRange(groups, "group_").sortWithinPartitions("group_", "match_date", "home_id", "away_id")
+    shape = "match_date date, team long, group_ int, pre array<double>"
+    dealt.mapInArrow(lambda batches: _grid_folded(batches, sets, first), shape).write.parquet(f"{path}/grid")
+    names = spark.createDataFrame([(i // SETS_A_TASK, i % SETS_A_TASK, r["param_id"], float(r["home_advantage"])) for i, r in enumerate(chosen)], "group_ int, pos int, param_id string, home_advantage double")
+    return spark.read.schema(shape).parquet(f"{path}/grid"), names
+
+
 def rating_grid(base: dict[str, float], **options: list) -> list[tuple]:
     """Rows of PARAMS columns for all combinations of options (others as in ``base``); names tell what differs."""
     names = ("k", "home_advantage", "margin_weight", "idle_days", "idle_share")

@@ -288,3 +288,20 @@ def test_contextual_features_by_cutoff_write_no_checkpoints(spark, repeated, mon
 
     monkeypatch.setattr(type(spark.range(1)), "checkpoint", checkpoint)
     assert difference(spark, repeated, library.QUERIES["contextual_feature_build_by_cutoff"], library.SQL["contextual_feature_build_by_cutoff"]) == ""
+
+
+def test_grid_ratings_are_those_of_the_history(spark, tmp_path):
+    """Ratings before each date as in the pass over contests, with idle teams and wide scores; no row for each contest."""
+    pairs = view(spark, SF, "pairs")
+    # teams with gaps, and every contest three times on its date
+    rows = pairs.filter("match_id % 3 = 0").withColumn("home_goals", F.col("home_goals") * 2).crossJoin(spark.range(3).withColumnRenamed("id", "r")).withColumn("match_id", F.col("match_id") * 3 + F.col("r")).drop("r")
+    params = spark.createDataFrame([*whole_jobs.SETS, *((f"s{k}", 5.0 * k, 10.0, 0.3, 30, 0.5) for k in range(9))], library.PARAMS)
+    history, _ = ratings.rating_history(rows, params, str(tmp_path / "a"))
+    day = whole_jobs.FOLD_STARTS[0]
+    want = {(r["param_id"], r["match_date"], t): p for r in history.filter(F.col("match_date") >= F.lit(day)).collect() for t, p in ((r["home_id"], r["home_pre"]), (r["away_id"], r["away_pre"]))}
+    before, sets = ratings.grid_ratings(rows, params, str(tmp_path / "b"), day)
+    names = {(r["group_"], r["pos"]): r["param_id"] for r in sets.collect()}
+    found = before.collect()
+    got = {(names[r["group_"], k], r["match_date"], r["team"]): v for r in found for k, v in enumerate(r["pre"])}
+    assert len(names) == 11 and got.keys() == want.keys() and all(abs(got[x] - want[x]) < 1e-8 for x in want)
+    assert len(found) * 3 < history.filter(F.col("match_date") >= F.lit(day)).count()
