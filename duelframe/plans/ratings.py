@@ -228,6 +228,16 @@ def grid_ratings(matches: DataFrame, params: DataFrame, path: str, first: dt.dat
     return spark.read.schema(shape).parquet(f"{path}/grid"), names
 
 
+def ratings_before(matches: DataFrame, params: DataFrame, path: str) -> DataFrame:
+    """param_id, match_id, home_pre and away_pre of every contest, by way of the ratings before each date."""
+    before, sets = grid_ratings(matches, params, path, dt.date.min)
+    each = before.select("match_date", "team", "group_", F.posexplode("pre").alias("pos", "pre_")).join(F.broadcast(sets.drop("home_advantage")), ["group_", "pos"])
+    side = lambda s: each.select("param_id", "match_date", F.col("team").alias(f"{s}_id"), F.col("pre_").alias(f"{s}_pre"))
+    played = matches.dropna(subset=["match_id", "match_date", "home_id", "away_id", "home_goals", "away_goals"])
+    met = played.select("match_id", "match_date", *(F.col(c).cast("long").alias(c) for c in ("home_id", "away_id"))).join(side("home").hint("merge"), ["match_date", "home_id"])
+    return met.join(side("away").hint("merge"), ["match_date", "away_id", "param_id"]).select("param_id", "match_id", "home_pre", "away_pre")
+
+
 def rating_grid(base: dict[str, float], **options: list) -> list[tuple]:
     """Rows of PARAMS columns for all combinations of options (others as in ``base``); names tell what differs."""
     names = ("k", "home_advantage", "margin_weight", "idle_days", "idle_share")

@@ -305,3 +305,11 @@ def test_grid_ratings_are_those_of_the_history(spark, tmp_path):
     got = {(names[r["group_"], k], r["match_date"], r["team"]): v for r in found for k, v in enumerate(r["pre"])}
     assert len(names) == 11 and got.keys() == want.keys() and all(abs(got[x] - want[x]) < 1e-8 for x in want)
     assert len(found) * 3 < history.filter(F.col("match_date") >= F.lit(day)).count()
+
+
+def test_ratings_before_contests_are_those_of_the_history(spark, tmp_path):
+    """Each contest's ratings, without a pass over contests in one task."""
+    pairs, params = view(spark, SF, "pairs"), spark.createDataFrame(whole_jobs.SETS, library.PARAMS)
+    key = lambda rows: {(r["param_id"], r["match_id"]): (r["home_pre"], r["away_pre"]) for r in rows.collect()}
+    want, got = key(ratings.rating_history(pairs, params, str(tmp_path / "a"))[0]), key(ratings.ratings_before(pairs, params, str(tmp_path / "b")))
+    assert got.keys() == want.keys() and all(np.allclose(got[x], want[x], atol=1e-8) for x in want)
